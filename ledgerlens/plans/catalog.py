@@ -45,3 +45,153 @@ for _g in ("year_month", "year", "month", "quarter", "year_quarter"):
     _funnel_query(f"funnel_by_{_g}", group=GROUP, group_by=_g, per_facility=False, include_budget=False)
 _funnel_query("funnel_by_year_compat", group=GROUP, group_by="year", per_facility=False,
               include_budget=False, compat_fanout=True)
+
+# With budget (one row per moment)
+_funnel_query("funnel_budget", facility=FACILITY, per_facility=False)
+_funnel_query("funnel_budget_group", group=GROUP, per_facility=False)
+_funnel_query("funnel_lender", facility=FACILITY, lender=LENDER_LC, per_facility=False)
+_funnel_query("funnel_budget_max", group=GROUP, per_facility=False, budget_agg="max")
+# Latest version, per facility in group mode
+_funnel_query("funnel_facility", facility=FACILITY)
+_funnel_query("funnel_group_facilities", group=GROUP)
+_funnel_query("funnel_group_nonempty", group=GROUP, lender=LENDER)
+_funnel_query("funnel_unknown_group", group="G99")
+_funnel_query("funnel_global")
+_funnel_query("funnel_p12m_quarter", group=GROUP, period="P12M", group_by="quarter")
+_funnel_query("funnel_c12m", facility=FACILITY, period="C12M")
+_funnel_query("funnel_all_months", group=GROUP, period=None)
+# eCOF funnel where the lender filter does not apply to quotes
+_funnel_query("ecof_period", group=GROUP, lender=LENDER, per_facility=False,
+              include_budget=False, lender_on_ecof=False)
+
+
+# --------------------------------------------------------------------------
+# modular steps of the latest report (group mode)
+# --------------------------------------------------------------------------
+
+def _step(name: str, step, sql_cte: str, cols: list[str]):
+    p = fn.FunnelParams(group=GROUP)
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ledgerlens.functions.calendar import collect_months, month_fields
+        from pyspark.sql import functions as F
+        inp = fn.FunnelInputs.from_tables(Tables(spark, sf_dir))
+        months = [r[0] for r in collect_months(fn.filtered_moments(inp, p))]
+        s = step(inp, p, months)
+        return s.select(*month_fields(F.col("year_month")),
+                        F.col("fkey").alias("facility_used_by_id"),
+                        *[F.col(c).cast(t).alias(c) for c, t in cols])
+
+    body = (f"SELECT m.year_month, m.year, m.month, m.quarter, m.year_quarter, "
+            f"s.fkey AS facility_used_by_id, "
+            f"{', '.join(f'CAST(s.{c} AS {t}) AS {c}' for c, t in cols)} "
+            f"FROM {sql_cte} s JOIN FilteredMoments m ON s.year_month = m.year_month")
+    full = O.funnel_sql(group=GROUP)
+    # reuse the report's CTEs; replace its final SELECT with the step's
+    sql = full[: full.rindex("\nSELECT ")] + "\n" + body
+    register(name, sql)(q)
+
+
+_step("step_applications", fn.step_applications, "Applications",
+      [("accept_val", "decimal(18,2)"), ("accept", "bigint"), ("decline", "bigint"),
+       ("pending", "bigint"), ("proposed", "bigint")])
+_step("step_paids", fn.step_paids, "Paids",
+      [("advance", "decimal(18,2)"), ("advance_count", "bigint"), ("commission", "decimal(18,2)")])
+_step("step_ecof", fn.step_ecof, "Ecof", [("ecof_count", "bigint"), ("ecof_advance", "decimal(18,2)")])
+_step("step_budget", fn.step_budget, "Budget", [("budget", "decimal(18,2)")])
+
+
+@register("step_facilities", O.funnel_sql(group=GROUP)[: O.funnel_sql(group=GROUP).rindex("\nSELECT ")]
+          + "\nSELECT facility_used_by_id, facility_used_by_name FROM Facilities")
+def q_step_facilities(spark, sf_dir):
+    inp = fn.FunnelInputs.from_tables(Tables(spark, sf_dir))
+    return fn.facilities(inp, fn.FunnelParams(group=GROUP)).select("facility_used_by_id", "facility_used_by_name")
+
+
+@register("report_name", O.funnel_sql(facility=FACILITY, lender=LENDER)[
+    : O.funnel_sql(facility=FACILITY, lender=LENDER).rindex("\nSELECT ")]
+    + f"\nSELECT facility_used_by_name || ' : ' || '{LENDER}' AS report_name FROM Facilities")
+def q_report_name(spark, sf_dir):
+    from pyspark.sql import functions as F
+    inp = fn.FunnelInputs.from_tables(Tables(spark, sf_dir))
+    p = fn.FunnelParams(facility=FACILITY, lender=LENDER)
+    return fn.report_name_frame(inp, p).select(fn.report_name(F.col("name"), LENDER).alias("report_name"))
+
+
+# --------------------------------------------------------------------------
+# calendar
+# --------------------------------------------------------------------------
+
+def _cal(spark, sf_dir):
+    from ledgerlens.functions import calendar as C
+    return C, C.moment(Tables(spark, sf_dir))
+
+
+@register("moment_calendar", O.with_fixtures("SELECT * FROM moment"))
+def q_moment_calendar(spark, sf_dir):
+    return _cal(spark, sf_dir)[1]
+
+
+def _period_query(name, period, fname):
+    @register(name, O.with_fixtures(O.period_sql(period) + " ORDER BY year_month"))
+    def q(spark, sf_dir):
+        C, cal = _cal(spark, sf_dir)
+        return getattr(C, fname)(cal, O.AS_OF).orderBy("year_month")
+    return q
+
+
+_period_query("moment_c12m", "C12M", "period_c12m")
+_period_query("moment_l12m", "L12M", "period_l12m")
+_period_query("moment_p12m", "P12M", "period_p12m")
+_period_query("moment_rolling", "ROLLING", "period_rolling")
+_period_query("moment_last4y", "LAST4Y", "last_4_years")
+
+
+@register("moment_from_data", O.with_fixtures(O.period_sql(None) + " ORDER BY year_month"))
+def q_moment_from_data(spark, sf_dir):
+    inp = fn.FunnelInputs.from_tables(Tables(spark, sf_dir))
+    return fn.filtered_moments(inp, fn.FunnelParams(period=None)).orderBy("year_month")
+
+
+@register("parse_year_month", O.with_fixtures(
+    "SELECT year_month, CAST(left(year_month, 4) AS INTEGER) AS year, CAST(right(year_month, 2) AS INTEGER) AS month, "
+    "CAST((CAST(right(year_month, 2) AS INTEGER) - 1) // 3 + 1 AS INTEGER) AS quarter, "
+    "left(year_month, 4) || '-' || CAST((CAST(right(year_month, 2) AS INTEGER) - 1) // 3 + 1 AS VARCHAR) AS year_quarter "
+    "FROM (SELECT DISTINCT year_month FROM paid_mth) p"))
+def q_parse_year_month(spark, sf_dir):
+    from ledgerlens.functions.calendar import parse_year_month
+    from ledgerlens.sources import domain
+    return parse_year_month(domain.paid_mth(Tables(spark, sf_dir)).select("year_month").distinct())
+
+
+@register("grain_mapping", O.with_fixtures(
+    "SELECT DISTINCT year_month, year_quarter AS group_value FROM (" + O.period_sql("L12M") + ") m"))
+def q_grain_mapping(spark, sf_dir):
+    from pyspark.sql import functions as F
+    C, cal = _cal(spark, sf_dir)
+    m = C.period_l12m(cal, O.AS_OF)
+    return m.select("year_month", C.grain_value("year_quarter").alias("group_value")).distinct()
+
+
+# --------------------------------------------------------------------------
+# fact views
+# --------------------------------------------------------------------------
+
+@register("application_facts", O.with_fixtures("SELECT * FROM application_facts"))
+def q_application_facts(spark, sf_dir):
+    return fn.FunnelInputs.from_tables(Tables(spark, sf_dir)).applications
+
+
+@register("paid_facts", O.with_fixtures("SELECT * FROM paid_facts"))
+def q_paid_facts(spark, sf_dir):
+    return fn.FunnelInputs.from_tables(Tables(spark, sf_dir)).paids
+
+
+@register("budget_facts", O.with_fixtures("SELECT * FROM budget_facts"))
+def q_budget_facts(spark, sf_dir):
+    return fn.FunnelInputs.from_tables(Tables(spark, sf_dir)).budget
+
+
+@register("ecof_facts", O.with_fixtures("SELECT * FROM ecof_facts"))
+def q_ecof_facts(spark, sf_dir):
+    return fn.FunnelInputs.from_tables(Tables(spark, sf_dir)).ecof
