@@ -41,7 +41,7 @@ def int_div_pct(num, den) -> Column:
 
 def n0(x) -> Column:
     """``FORMAT(x, 'N0')``: half away from zero, thousands separators."""
-    return F.format_number(F.round(_c(x).cast("decimal(38,6)"), 0), 0)
+    return F.format_number(F.round(_c(x), 0), 0)
 
 
 def money_text(x) -> Column:
