@@ -224,3 +224,105 @@ _monthly("monthly_applications_l12m", "monthly_applications",
 for _p, _k in (("L12M", "l12m"), ("P12M", "p12m"), ("C12M", "c12m"), (None, "all")):
     _monthly(f"monthly_period_{_k}", "monthly_period",
              O.monthly_period_sql(period=_p, group=GROUP), period=_p, group=GROUP)
+
+
+# --------------------------------------------------------------------------
+# summaries, guards, job log
+# --------------------------------------------------------------------------
+
+def _prev_month():
+    from ledgerlens.functions.calendar import previous_month_key
+    return previous_month_key(O.AS_OF)
+
+
+@register("application_summary", O.with_fixtures(O.application_summary_sql(_prev_month())))
+def q_application_summary(spark, sf_dir):
+    from ledgerlens.operators.summaries import application_summary
+    from ledgerlens.sources import domain
+    t = Tables(spark, sf_dir)
+    return application_summary(domain.account(t), domain.application_mth(t), O.AS_OF, _prev_month())
+
+
+@register("application_summary_all", O.with_fixtures(O.application_summary_sql(None)))
+def q_application_summary_all(spark, sf_dir):
+    from ledgerlens.operators.summaries import application_summary
+    from ledgerlens.sources import domain
+    t = Tables(spark, sf_dir)
+    return application_summary(domain.account(t), domain.application_mth(t), O.AS_OF, None)
+
+
+def _paid_summary(spark, sf_dir):
+    from ledgerlens.operators.summaries import paid_summary
+    from ledgerlens.sources import domain
+    t = Tables(spark, sf_dir)
+    return paid_summary(domain.account(t), domain.paid_mth(t, with_product=True),
+                        domain.lender_product_code(t), O.AS_OF, _prev_month())
+
+
+@register("paid_summary", O.with_fixtures(O.paid_summary_sql(_prev_month()), O.PAID_WITH_PRODUCT))
+def q_paid_summary(spark, sf_dir):
+    return _paid_summary(spark, sf_dir)
+
+
+@register("paid_summary_phase", O.paid_phase_sql(_prev_month()))
+def q_paid_summary_phase(spark, sf_dir):
+    from ledgerlens.operators.summaries import paid_summary_phase
+    return paid_summary_phase(_paid_summary(spark, sf_dir), _prev_month())
+
+
+@register("summary_gate", O.summary_gate_sql(_prev_month(), O.D.FEED_CUTOFF))
+def q_summary_gate(spark, sf_dir):
+    from ledgerlens.operators.summaries import application_summary, summary_gate
+    from ledgerlens.sources import domain
+    t = Tables(spark, sf_dir)
+    loaded = application_summary(domain.account(t), domain.application_mth(t, domain.FEED_CUTOFF),
+                                 O.AS_OF, None)
+    return summary_gate(domain.application_mth(t), loaded, _prev_month())
+
+
+_LOG_APP = "set_application_mth_summary"
+
+
+@register("job_log", O.job_log_sql(_LOG_APP, _prev_month(),
+                                   __import__("datetime").datetime.combine(O.AS_OF, __import__("datetime").time())))
+def q_job_log(spark, sf_dir):
+    import datetime as dt
+    from ledgerlens.operators.summaries import application_summary, job_log
+    from ledgerlens.sources import domain
+    t = Tables(spark, sf_dir)
+    s = application_summary(domain.account(t), domain.application_mth(t), O.AS_OF, _prev_month())
+    return job_log(s, _LOG_APP, _prev_month(), dt.datetime.combine(O.AS_OF, dt.time()))
+
+
+# --------------------------------------------------------------------------
+# notifications
+# --------------------------------------------------------------------------
+
+EMAIL = "user8@example.com"
+
+
+def _crm(spark, sf_dir):
+    from ledgerlens.sources import domain
+    t = Tables(spark, sf_dir)
+    return domain.crm_user_notification(t), domain.crm_user(t)
+
+
+@register("notifications_all", O.notifications_sql(O.D.NOTIFICATIONS_NOW))
+def q_notifications_all(spark, sf_dir):
+    from ledgerlens.plans.notifications import notifications
+    n, u = _crm(spark, sf_dir)
+    return notifications(n, u, O.D.NOTIFICATIONS_NOW)
+
+
+@register("notifications_user", O.notifications_sql(O.D.NOTIFICATIONS_NOW, EMAIL))
+def q_notifications_user(spark, sf_dir):
+    from ledgerlens.plans.notifications import notifications
+    n, u = _crm(spark, sf_dir)
+    return notifications(n, u, O.D.NOTIFICATIONS_NOW, EMAIL)
+
+
+@register("notifications_flag", O.notifications_flag_sql(O.D.NOTIFICATIONS_NOW, EMAIL))
+def q_notifications_flag(spark, sf_dir):
+    from ledgerlens.plans.notifications import has_notifications
+    n, u = _crm(spark, sf_dir)
+    return has_notifications(n, u, O.D.NOTIFICATIONS_NOW, EMAIL)

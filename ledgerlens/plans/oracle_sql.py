@@ -539,3 +539,109 @@ def monthly_period_sql(period="L12M", facility=None, group=None, lender=None, as
     FROM M m LEFT JOIN Res r ON m.year_month = r.year_month
     ORDER BY m.year_month"""
     return with_fixtures(body, ctes)
+
+
+# ---------------------------------------------------------------------------
+# summaries, job log, notifications
+# ---------------------------------------------------------------------------
+
+SUMMARY_ACC = ("a.facility_used_by_id, a.facility_used_by_legal_name, a.facility_used_by_trading_style, "
+               "a.facility_used_by_report_group_id, a.account_report_group, "
+               "a.facility_used_by_business_manager_email")
+
+
+def application_summary_sql(month: str | None, as_of=AS_OF, source: str = "application_mth") -> str:
+    where = f"WHERE app.year_month = '{month}'" if month is not None else ""
+    return f"""
+    SELECT {SUMMARY_ACC}, app.facility_code,
+           CAST(SUM(app.accept) AS BIGINT) AS accept_count,
+           CAST(SUM(COALESCE(app.accept_val, 0)) AS DECIMAL(18,2)) AS accept_total,
+           CAST(COUNT(app.decline) AS BIGINT) AS decline_count,
+           CAST(SUM(COALESCE(app.decline_val, 0)) AS DECIMAL(18,2)) AS decline_total,
+           CAST(COUNT(app.pending) AS BIGINT) AS pending_count,
+           CAST(SUM(COALESCE(app.pending_val, 0)) AS DECIMAL(18,2)) AS pending_total,
+           app.year_month, {_ts(as_of)} AS last_updated
+    FROM {source} app JOIN account a ON app.facility_code = a.facility_code
+    {where}
+    GROUP BY app.facility_code, {SUMMARY_ACC}, app.year_month"""
+
+
+def paid_summary_sql(month: str, as_of=AS_OF) -> str:
+    return f"""
+    SELECT {SUMMARY_ACC}, p.facility_code, p.product_code, lpc.funding_option_uc,
+           CAST(COUNT(p.advance) AS BIGINT) AS advance_count,
+           CAST(SUM(p.advance) AS DECIMAL(18,2)) AS advance_total, p.year_month,
+           {_ts(as_of)} AS last_updated
+    FROM paid_mth_p p JOIN account a ON p.facility_code = a.facility_code
+    JOIN lender_product_code lpc ON p.product_code = lpc.product_code
+    WHERE p.year_month = '{month}'
+    GROUP BY p.facility_code, p.product_code, {SUMMARY_ACC}, lpc.funding_option_uc, p.year_month"""
+
+
+PAID_WITH_PRODUCT = {"paid_mth_p": paid_mth_sql(with_product=True)}
+
+
+def summary_gate_sql(month: str, loaded: dt.date) -> str:
+    extra = {"app_loaded": application_mth_sql(loaded)}
+    summary = application_summary_sql(None, source="app_loaded")
+    body = f"""
+    SELECT '{month}' AS year_month, src = 1 AS source_has_month, dst = 1 AS summary_has_month,
+           CASE WHEN src <> 1 THEN 'skip: no source rows for month'
+                WHEN dst = 1 THEN 'skip: summary already has month' ELSE 'load' END AS action
+    FROM (SELECT COALESCE((SELECT max(CASE WHEN year_month = '{month}' THEN 1 ELSE 0 END) FROM application_mth), 0) AS src,
+                 COALESCE((SELECT max(CASE WHEN year_month = '{month}' THEN 1 ELSE 0 END) FROM ({summary}) s), 0) AS dst) g"""
+    return with_fixtures(body, extra)
+
+
+def paid_phase_sql(month: str, product: str = "FPP", as_of=AS_OF) -> str:
+    body = f"""
+    SELECT '{month}' AS year_month,
+           CASE WHEN COALESCE(max(CASE WHEN product_code = '{product}' THEN 1 ELSE 0 END), 0) = 1
+                THEN 'first phase' ELSE 'second phase' END AS phase,
+           CAST(count(1) AS BIGINT) AS rows_inserted
+    FROM ({paid_summary_sql(month, as_of)}) s WHERE year_month = '{month}'"""
+    return with_fixtures(body, PAID_WITH_PRODUCT)
+
+
+def job_log_sql(app: str, month: str, now: dt.datetime, as_of=AS_OF) -> str:
+    day = now.timetuple().tm_yday
+    ts = _ts(now)
+    body = f"""
+    SELECT '{app}' AS applicationName, 'Information' AS logType, '{app} started' AS message,
+           {ts} AS dateCreated, {day} AS day, {now.month} AS month, {now.year} AS year
+    UNION ALL SELECT '{app}', 'Information', 'Deleted existing data for year_month: {month}', {ts}, {day}, {now.month}, {now.year}
+    UNION ALL SELECT '{app}', 'Success', '{app} completed successfully. Rows inserted for {month}: ' || CAST(count(1) AS VARCHAR),
+           {ts}, {day}, {now.month}, {now.year}
+    FROM ({application_summary_sql(month, as_of)}) s WHERE year_month = '{month}'"""
+    return with_fixtures(body)
+
+
+def _labels_case(col: str) -> str:
+    from ledgerlens.functions.filters import ACTIVITY_LABELS, NOT_FOUND_LABEL
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ACTIVITY_LABELS.items())
+    return f"CASE {col} {whens} ELSE '{NOT_FOUND_LABEL}' END"
+
+
+def _overdue_where(now: dt.datetime) -> str:
+    return (f"un.scheduled_end < {_ts(now)} AND un.actual_end IS NULL AND un.activity_type IS NOT NULL "
+            f"AND un.regarding IS NOT NULL AND un.regarding <> ''")
+
+
+def notifications_sql(now: dt.datetime, email: str | None = None) -> str:
+    extra = f" AND u.email = {_lit(email)}" if email is not None else ""
+    body = f"""
+    SELECT un.scheduled_end, strftime(un.scheduled_end, '%d/%m/%Y') AS scheduled_end_date,
+           {_labels_case('un.activity_type')} AS activity_type, un.subject, un.regarding, un.link,
+           u.initials, u.name
+    FROM crm_user_notification un LEFT JOIN crm_user u ON un.crm_user_id = u.crm_user_id
+    WHERE {_overdue_where(now)}{extra}
+    ORDER BY un.scheduled_end"""
+    return with_fixtures(body)
+
+
+def notifications_flag_sql(now: dt.datetime, email: str | None) -> str:
+    body = f"""
+    SELECT CASE WHEN count(1) > 0 THEN 1 ELSE 0 END AS flag
+    FROM crm_user_notification un LEFT JOIN crm_user u ON un.crm_user_id = u.crm_user_id
+    WHERE u.email = {_lit(email)} AND {_overdue_where(now)}"""
+    return with_fixtures(body)
