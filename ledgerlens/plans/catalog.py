@@ -326,3 +326,103 @@ def q_notifications_flag(spark, sf_dir):
     from ledgerlens.plans.notifications import has_notifications
     n, u = _crm(spark, sf_dir)
     return has_notifications(n, u, O.D.NOTIFICATIONS_NOW, EMAIL)
+
+
+# --------------------------------------------------------------------------
+# loaders (A2-A11, A16)
+# --------------------------------------------------------------------------
+
+def _loaders():
+    from ledgerlens.operators import loaders as L
+    from ledgerlens.sources import domain
+    return L, domain
+
+
+@register("stage_applications", O.with_fixtures(f"SELECT {', '.join(O.APPS_COLS)} FROM application_mth"))
+def q_stage_applications(spark, sf_dir):
+    L, D = _loaders()
+    return L.stage_applications(D.apps_feed(Tables(spark, sf_dir)))
+
+
+@register("stage_paids", O.with_fixtures(f"SELECT {', '.join(O.PAIDS_COLS)} FROM paid_mth_p", O.PAID_WITH_PRODUCT))
+def q_stage_paids(spark, sf_dir):
+    L, D = _loaders()
+    return L.stage_paids(D.tb_paids_feed(Tables(spark, sf_dir)))
+
+
+def _apps_pair(spark, sf_dir):
+    L, D = _loaders()
+    t = Tables(spark, sf_dir)
+    target = D.application_mth(t, D.FEED_CUTOFF).select(*O.APPS_COLS)
+    staged = L.stage_applications(D.apps_feed(t)).select(*O.APPS_COLS)
+    return L, target, staged
+
+
+def _paids_pair(spark, sf_dir):
+    L, D = _loaders()
+    t = Tables(spark, sf_dir)
+    target = L.latest_per_key(D.paid_mth(t, D.FEED_CUTOFF, with_product=True).select(*O.PAIDS_COLS),
+                              "id", O.PAIDS_ORDER)
+    staged = L.latest_per_key(L.stage_paids(D.tb_paids_feed(t)).select(*O.PAIDS_COLS), "id", O.PAIDS_ORDER)
+    return L, target, staged
+
+
+def _upsert_queries(prefix, pair, kind, table):
+    from ledgerlens.operators.loaders import APPS_CHANGE_COLS, PAIDS_CHANGE_COLS
+    cols = APPS_CHANGE_COLS if kind == "apps" else PAIDS_CHANGE_COLS
+    cut = O.D.FEED_CUTOFF
+
+    @register(f"{prefix}_changed", O.upsert_sql(kind, "changed", cols, cut))
+    def q_changed(spark, sf_dir):
+        L, t, s = pair(spark, sf_dir)
+        return L.upsert_changed(t, s, "id", cols)
+
+    @register(f"{prefix}_new", O.upsert_sql(kind, "new", cols, cut))
+    def q_new(spark, sf_dir):
+        L, t, s = pair(spark, sf_dir)
+        return L.upsert_new(t, s, "id")
+
+    @register(prefix, O.upsert_sql(kind, "merged", cols, cut))
+    def q_merged(spark, sf_dir):
+        L, t, s = pair(spark, sf_dir)
+        return L.upsert(t, s, "id", cols)
+
+    @register(f"{prefix}_counts", O.upsert_sql(kind, table, cols, cut))
+    def q_counts(spark, sf_dir):
+        L, t, s = pair(spark, sf_dir)
+        return L.upsert_counts(L.upsert(t, s, "id", cols), table)
+
+
+_upsert_queries("upsert_applications", _apps_pair, "apps", "application_mth")
+_upsert_queries("upsert_paids", _paids_pair, "paids", "paid_mth")
+
+
+@register("json_applications", O.with_fixtures(O.json_rows_sql()))
+def q_json_applications(spark, sf_dir):
+    L, D = _loaders()
+    return L.json_rows(D.application_month_json(Tables(spark, sf_dir)))
+
+
+_OVERLAP = 90
+
+
+@register("replace_slice", O.replace_slice_sql(O.D.FEED_CUTOFF, _OVERLAP))
+def q_replace_slice(spark, sf_dir):
+    import datetime as dt
+    L, D = _loaders()
+    t = Tables(spark, sf_dir)
+    target = L.json_rows(D.application_month_json(t, until=D.FEED_CUTOFF))
+    payload = L.json_rows(D.application_month_json(t, since=D.FEED_CUTOFF - dt.timedelta(days=_OVERLAP)))
+    return L.replace_slice(target, payload, ["date", "lender_id"])
+
+
+@register("year_month_columns", O.with_fixtures(
+    "SELECT id, year, month, CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS business_year_month, "
+    "year_month AS upload_year_month FROM application_mth"))
+def q_year_month_columns(spark, sf_dir):
+    from pyspark.sql import functions as F
+    L, D = _loaders()
+    a = D.application_mth(Tables(spark, sf_dir))
+    b = L.with_business_month(a.drop("year_month"))
+    return b.select("id", "year", "month", F.col("year_month").alias("business_year_month"),
+                    F.date_format("upload_date", "yyyy-MM").alias("upload_year_month"))

@@ -645,3 +645,91 @@ def notifications_flag_sql(now: dt.datetime, email: str | None) -> str:
     FROM crm_user_notification un LEFT JOIN crm_user u ON un.crm_user_id = u.crm_user_id
     WHERE u.email = {_lit(email)} AND {_overdue_where(now)}"""
     return with_fixtures(body)
+
+
+# ---------------------------------------------------------------------------
+# loaders
+# ---------------------------------------------------------------------------
+
+APPS_COLS = ["id", "lender_id", "facility_code", "upload_legal_name", "accept", "accept_val", "decline",
+             "decline_val", "pending", "pending_val", "month", "year", "upload_date", "year_month"]
+PAIDS_COLS = ["id", "lender_id", "facility_code", "upload_legal_name", "product_code", "defer_by", "apr",
+              "term", "advance", "date", "return_rate", "month", "year", "upload_date", "year_month"]
+PAIDS_ORDER = ["advance", "date", "defer_by", "facility_code", "product_code", "apr", "term", "lender_id"]
+
+
+def _dedupe_sql(src: str) -> str:
+    rest = [c for c in PAIDS_COLS if c != "id"]
+    pack = ", ".join(f"{c} := {c}" for c in rest)
+    order = ", ".join(f"{c} := {c}" for c in PAIDS_ORDER)
+    return (f"SELECT id, {', '.join('r.' + c + ' AS ' + c for c in rest)} FROM ("
+            f"SELECT id, arg_max(struct_pack({pack}), struct_pack({order})) AS r FROM ({src}) x GROUP BY id) g")
+
+
+def _changed_sql(cols: list[str]) -> str:
+    return "(" + " OR ".join(f"COALESCE(t.{c} <> s.{c}, FALSE)" for c in cols) + ")"
+
+
+def upsert_ctes(kind: str, loaded: dt.date) -> dict[str, str]:
+    if kind == "apps":
+        return {"T": f"SELECT {', '.join(APPS_COLS)} FROM ({application_mth_sql(loaded)}) a",
+                "S": f"SELECT {', '.join(APPS_COLS)} FROM application_mth"}
+    return {"T": _dedupe_sql(f"SELECT {', '.join(PAIDS_COLS)} FROM ({paid_mth_sql(loaded, True)}) p"),
+            "S": _dedupe_sql(f"SELECT {', '.join(PAIDS_COLS)} FROM paid_mth_p")}
+
+
+def upsert_sql(kind: str, what: str, change_cols: list[str], loaded: dt.date) -> str:
+    cols = APPS_COLS if kind == "apps" else PAIDS_COLS
+    ctes = upsert_ctes(kind, loaded)
+    ch = _changed_sql(change_cols)
+    if what == "changed":
+        body = f"SELECT {', '.join('s.' + c for c in cols)} FROM S s JOIN T t ON t.id = s.id WHERE {ch}"
+    elif what == "new":
+        body = f"SELECT s.* FROM S s WHERE NOT EXISTS (SELECT 1 FROM T t WHERE t.id = s.id)"
+    else:
+        merged = f"""
+        SELECT {', '.join(f'CASE WHEN t.id IS NULL OR (s.id IS NOT NULL AND {ch}) THEN s.{c} ELSE t.{c} END AS {c}'
+                          for c in cols)},
+               CASE WHEN t.id IS NULL THEN 'inserted' WHEN s.id IS NOT NULL AND {ch} THEN 'updated'
+                    ELSE 'kept' END AS _op
+        FROM T t FULL OUTER JOIN S s ON t.id = s.id"""
+        if what == "merged":
+            body = merged
+        else:
+            body = f"""
+            SELECT '{what}' AS table_name,
+                   CAST(count(*) FILTER (WHERE _op = 'updated') AS BIGINT) AS rows_updated,
+                   CAST(count(*) FILTER (WHERE _op = 'inserted') AS BIGINT) AS rows_inserted,
+                   CAST(count(*) AS BIGINT) AS rows_total
+            FROM ({merged}) m"""
+    extra = dict(PAID_WITH_PRODUCT)
+    extra.update(ctes)
+    return with_fixtures(body, extra)
+
+
+def json_rows_sql(since: dt.date | None = None, until: dt.date | None = None) -> str:
+    conds = ["1 = 1"]
+    if since is not None:
+        conds.append(f"o.o_orderdate >= {_ts(since)}")
+    if until is not None:
+        conds.append(f"o.o_orderdate < {_ts(until)}")
+    return f"""
+    SELECT CAST(l.l_shipdate AS DATE) AS date, CAST(o.o_custkey AS VARCHAR) AS branch_id,
+           'Branch ' || CAST(o.o_custkey AS VARCHAR) AS branch_upload_name,
+           CAST(l.l_linenumber AS INTEGER) AS lender_id, CAST(l.l_quantity AS INTEGER) AS app,
+           CASE WHEN l.l_linestatus = 'F' THEN 1 ELSE 0 END AS accept,
+           CASE WHEN l.l_returnflag <> 'N' THEN CASE WHEN l.l_returnflag = 'A' THEN 1 ELSE 0 END END AS pending,
+           CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS decline,
+           CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(9,2)) AS advance
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+    WHERE {' AND '.join(conds)}"""
+
+
+def replace_slice_sql(cutoff: dt.date, overlap_days: int) -> str:
+    since = cutoff - dt.timedelta(days=overlap_days)
+    ctes = {"Tgt": json_rows_sql(until=cutoff), "Pay": json_rows_sql(since=since)}
+    body = """
+    SELECT t.* FROM Tgt t WHERE NOT EXISTS (
+        SELECT 1 FROM Pay p WHERE p.date = t.date AND p.lender_id = t.lender_id)
+    UNION ALL SELECT * FROM Pay"""
+    return with_fixtures(body, ctes)
