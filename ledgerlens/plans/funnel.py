@@ -77,6 +77,9 @@ class FunnelParams:
         return self
 
 
+_INPUTS: dict = {}
+
+
 @dataclasses.dataclass
 class FunnelInputs:
     """Lazy inputs of the funnel: calendar, account and the four fact views."""
@@ -90,6 +93,18 @@ class FunnelInputs:
 
     @classmethod
     def from_tables(cls, t: Tables, as_of: dt.date = domain.AS_OF) -> "FunnelInputs":
+        """Lazy plans only (no data is read here); memoised per session,
+        directory and as-of date so repeated reports skip re-analysis."""
+        key = (id(t.spark), t.sf_dir, as_of)
+        hit = _INPUTS.get(key)
+        if hit is not None and hit.spark is t.spark:
+            return hit
+        inp = cls._build(t, as_of)
+        _INPUTS[key] = inp
+        return inp
+
+    @classmethod
+    def _build(cls, t: Tables, as_of: dt.date) -> "FunnelInputs":
         cal = cal_fn.moment(t)
         acc = domain.account(t)
         return cls(
