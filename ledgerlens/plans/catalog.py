@@ -449,3 +449,51 @@ def _conversion(name, facility, compat):
 _conversion("lender_conversion", FACILITY, False)
 _conversion("lender_conversion_compat", FACILITY, True)
 _conversion("lender_conversion_all", None, False)
+
+
+# --------------------------------------------------------------------------
+# reconcile two report versions (J20-J22): group-sum version vs per-facility
+# version, on the reference's four test cases (group; facility; facility
+# with each of two lenders given in lower case)
+# --------------------------------------------------------------------------
+
+RECON_CASES = [
+    {"test_id": 1, "group": GROUP},
+    {"test_id": 2, "facility": FACILITY},
+    {"test_id": 3, "facility": FACILITY, "lender": "building"},
+    {"test_id": 4, "facility": FACILITY, "lender": "machinery"},
+]
+
+
+def _versions(spark, sf_dir):
+    inp = fn.FunnelInputs.from_tables(Tables(spark, sf_dir))
+
+    def older(**kw):
+        return fn.funnel(inp, fn.FunnelParams(per_facility=False, **kw))
+
+    def latest(**kw):
+        return fn.funnel(inp, fn.FunnelParams(per_facility=True, **kw))
+    return older, latest
+
+
+def _strip_order(sql: str) -> str:
+    return sql[: sql.rindex("ORDER BY")]
+
+
+@register("reconcile_rows", O.reconcile_rows_sql(_strip_order(O.funnel_sql(group=GROUP, per_facility=False)),
+                                                 _strip_order(O.funnel_sql(group=GROUP, per_facility=True))))
+def q_reconcile_rows(spark, sf_dir):
+    from ledgerlens.operators.reconcile import reconcile_rows
+    older, latest = _versions(spark, sf_dir)
+    return reconcile_rows(older(group=GROUP), latest(group=GROUP))
+
+
+@register("reconcile_summary", O.reconcile_summary_sql([
+    (c["test_id"],
+     _strip_order(O.funnel_sql(per_facility=False, **{k: v for k, v in c.items() if k != "test_id"})),
+     _strip_order(O.funnel_sql(per_facility=True, **{k: v for k, v in c.items() if k != "test_id"})))
+    for c in RECON_CASES]))
+def q_reconcile_summary(spark, sf_dir):
+    from ledgerlens.operators.reconcile import reconcile_cases
+    older, latest = _versions(spark, sf_dir)
+    return reconcile_cases(RECON_CASES, older, latest)

@@ -798,3 +798,52 @@ def lender_conversion_sql(months: list[str], facility: str | None = None, compat
          AND a.year = p.year AND a.month = p.month
     ORDER BY a.year_month, a.facility_lender"""
     return with_fixtures(body, ctes)
+
+
+# ---------------------------------------------------------------------------
+# reconcile
+# ---------------------------------------------------------------------------
+
+RECON_METRICS = ["budget", "budget_rate", "advance_val", "accept_rate"]
+
+
+def reconcile_rows_sql(a_sql: str, b_sql: str, metrics=RECON_METRICS) -> str:
+    def side(sql, tag):
+        cols = ", ".join(f"CAST({m} AS DECIMAL(38,6)) AS {tag}_{m}" for m in metrics)
+        return f"SELECT report_name, moment, {cols}, TRUE AS _{tag} FROM ({sql}) s"
+    cells = " UNION ALL ".join(
+        f"SELECT report_name, moment, in_a, in_b, '{m}' AS metric, a_{m} AS baseline, b_{m} AS comparison FROM J"
+        for m in metrics)
+    return f"""
+    WITH A AS ({side(a_sql, 'a')}), B AS ({side(b_sql, 'b')}),
+    J AS (SELECT COALESCE(A.report_name, B.report_name) AS report_name, COALESCE(A.moment, B.moment) AS moment,
+                 A._a IS NOT NULL AS in_a, B._b IS NOT NULL AS in_b, {', '.join(f'a_{m}, b_{m}' for m in metrics)}
+          FROM A FULL OUTER JOIN B ON A.report_name = B.report_name AND A.moment = B.moment),
+    X AS ({cells})
+    SELECT report_name, moment, metric, baseline, comparison,
+           CAST(round(comparison - baseline, 6) AS DECIMAL(38,6)) AS difference,
+           CASE WHEN baseline IS NULL OR baseline = 0 THEN NULL
+                ELSE CAST(round((comparison - baseline) / baseline * 100, 2) AS DECIMAL(38,2)) END AS percent_change,
+           CASE WHEN in_a AND in_b THEN 'Present' WHEN in_a THEN 'Missing in comparison' ELSE 'Missing in baseline' END
+             AS status
+    FROM X
+    WHERE NOT (in_a AND in_b) OR baseline IS DISTINCT FROM comparison"""
+
+
+def reconcile_summary_sql(cases: list[tuple[int, str, str]], metrics=RECON_METRICS) -> str:
+    parts = []
+    for tid, a_sql, b_sql in cases:
+        parts.append(f"""
+        SELECT {tid} AS test_id,
+               CAST((SELECT count(*) FROM ({a_sql}) a) AS BIGINT) AS baseline_rows,
+               CAST((SELECT count(*) FROM ({b_sql}) b) AS BIGINT) AS comparison_rows,
+               CAST(count(DISTINCT CASE WHEN status <> 'Present' THEN (report_name, moment) END) AS BIGINT) AS rows_missing,
+               CAST(count(*) FILTER (WHERE status = 'Present') AS BIGINT) AS value_diffs,
+               '' AS missing_columns, '' AS extra_columns
+        FROM ({reconcile_rows_sql(a_sql, b_sql, metrics)}) d""")
+    body = " UNION ALL ".join(parts)
+    return f"""SELECT test_id, baseline_rows, comparison_rows, rows_missing, value_diffs, missing_columns,
+                      extra_columns,
+                      CASE WHEN rows_missing = 0 AND value_diffs = 0 AND baseline_rows = comparison_rows
+                           THEN 'MATCH' ELSE 'DIFF' END AS verdict
+               FROM ({body}) u"""
