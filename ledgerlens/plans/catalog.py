@@ -497,3 +497,282 @@ def q_reconcile_summary(spark, sf_dir):
     from ledgerlens.operators.reconcile import reconcile_cases
     older, latest = _versions(spark, sf_dir)
     return reconcile_cases(RECON_CASES, older, latest)
+
+
+# --------------------------------------------------------------------------
+# single operators of the inventory (filters, joins, aggregates, scalars)
+# --------------------------------------------------------------------------
+
+def _inp(spark, sf_dir):
+    return fn.FunnelInputs.from_tables(Tables(spark, sf_dir))
+
+
+_PF_AGG_SQL = ("CAST(count(*) AS BIGINT) AS rows, CAST(SUM(advance) AS DECIMAL(18,2)) AS advance, "
+               "CAST(SUM(advance_count) AS BIGINT) AS advance_count")
+
+
+def _pf_agg(df, key):
+    from pyspark.sql import functions as F
+    return df.groupBy(key).agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                               F.sum("advance").cast("decimal(18,2)").alias("advance"),
+                               F.sum("advance_count").cast("bigint").alias("advance_count"))
+
+
+@register("filter_optional_loose", O.with_fixtures(
+    f"SELECT facility_used_by_id, {_PF_AGG_SQL} FROM paid_facts "
+    f"WHERE ({O._lit(None)} IS NULL OR facility_lender = {O._lit(None)}) "
+    f"AND facility_used_by_report_group_id = '{GROUP}' GROUP BY facility_used_by_id"))
+def q_filter_optional_loose(spark, sf_dir):
+    from ledgerlens.functions.filters import opt_eq
+    p = opt_eq(opt_eq(_inp(spark, sf_dir).paids, "facility_lender", None),
+               "facility_used_by_report_group_id", GROUP)
+    return _pf_agg(p, "facility_used_by_id")
+
+
+@register("filter_optional_strict", O.with_fixtures(
+    f"SELECT facility_used_by_id, {_PF_AGG_SQL} FROM paid_facts "
+    f"WHERE facility_lender = COALESCE(NULL, facility_lender) "
+    f"AND facility_used_by_report_group_id = COALESCE('{GROUP}', facility_used_by_report_group_id) "
+    f"GROUP BY facility_used_by_id"))
+def q_filter_optional_strict(spark, sf_dir):
+    from ledgerlens.functions.filters import opt_eq_strict
+    p = opt_eq_strict(opt_eq_strict(_inp(spark, sf_dir).paids, "facility_lender", None),
+                      "facility_used_by_report_group_id", GROUP)
+    return _pf_agg(p, "facility_used_by_id")
+
+
+@register("filter_lender_ci", O.with_fixtures(
+    f"SELECT facility_lender, {_PF_AGG_SQL} FROM paid_facts WHERE upper(facility_lender) = upper('{LENDER_LC}') "
+    f"GROUP BY facility_lender"))
+def q_filter_lender_ci(spark, sf_dir):
+    from ledgerlens.functions.filters import lender_ci
+    return _pf_agg(lender_ci(_inp(spark, sf_dir).paids, LENDER_LC), "facility_lender")
+
+
+@register("agg_by_facility_month", O.with_fixtures(
+    "SELECT facility_used_by_id, year_month, CAST(SUM(advance) AS DECIMAL(18,2)) AS advance, "
+    "CAST(SUM(advance_count) AS BIGINT) AS advance_count, CAST(SUM(commission) AS DECIMAL(18,2)) AS commission "
+    "FROM paid_facts GROUP BY facility_used_by_id, year_month"))
+def q_agg_by_facility_month(spark, sf_dir):
+    from pyspark.sql import functions as F
+    p = _inp(spark, sf_dir).paids
+    return p.groupBy("facility_used_by_id", "year_month").agg(
+        F.sum("advance").cast("decimal(18,2)").alias("advance"),
+        F.sum("advance_count").cast("bigint").alias("advance_count"),
+        F.sum("commission").cast("decimal(18,2)").alias("commission"))
+
+
+@register("activity_labels", O.with_fixtures(
+    f"SELECT {O._labels_case('activity_type')} AS activity_label, CAST(count(*) AS BIGINT) AS activities "
+    f"FROM crm_user_notification GROUP BY 1"))
+def q_activity_labels(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ledgerlens.functions.filters import activity_label
+    from ledgerlens.sources import domain
+    n = domain.crm_user_notification(Tables(spark, sf_dir))
+    return n.groupBy(activity_label("activity_type").alias("activity_label")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("activities"))
+
+
+@register("join_inner", O.with_fixtures(
+    "SELECT lpc.funding_option_uc, CAST(count(*) AS BIGINT) AS deals, CAST(SUM(p.advance) AS DECIMAL(18,2)) AS advance "
+    "FROM paid_mth_p p JOIN lender_product_code lpc ON p.product_code = lpc.product_code GROUP BY 1",
+    O.PAID_WITH_PRODUCT))
+def q_join_inner(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ledgerlens.sources import domain
+    t = Tables(spark, sf_dir)
+    j = domain.paid_mth(t, with_product=True).join(domain.lender_product_code(t), "product_code")
+    return j.groupBy("funding_option_uc").agg(F.count(F.lit(1)).cast("bigint").alias("deals"),
+                                              F.sum("advance").cast("decimal(18,2)").alias("advance"))
+
+
+# lenders as a nullable key: one segment is treated as "no lender recorded"
+_NULL_LENDER = "HOUSEHOLD"
+
+
+@register("join_null_safe", O.with_fixtures(f"""
+    SELECT a.year_month, a.lender_key, CAST(a.accept AS BIGINT) AS accept, CAST(p.advance AS DECIMAL(18,2)) AS advance
+    FROM (SELECT year_month, CASE WHEN facility_lender = '{_NULL_LENDER}' THEN NULL ELSE facility_lender END AS lender_key,
+                 SUM(accept) AS accept FROM application_facts GROUP BY 1, 2) a
+    LEFT JOIN (SELECT year_month, CASE WHEN facility_lender = '{_NULL_LENDER}' THEN NULL ELSE facility_lender END AS lender_key,
+                      SUM(advance) AS advance FROM paid_facts GROUP BY 1, 2) p
+      ON a.year_month = p.year_month AND (a.lender_key = p.lender_key OR (a.lender_key IS NULL AND p.lender_key IS NULL))"""))
+def q_join_null_safe(spark, sf_dir):
+    from pyspark.sql import functions as F
+    inp = _inp(spark, sf_dir)
+    key = F.when(F.col("facility_lender") == _NULL_LENDER, F.lit(None)).otherwise(F.col("facility_lender"))
+    a = inp.applications.groupBy("year_month", key.alias("lender_key")).agg(F.sum("accept").alias("accept"))
+    p = inp.paids.groupBy("year_month", key.alias("lender_key")).agg(F.sum("advance").alias("advance"))
+    j = a.alias("a").join(p.alias("p"), (F.col("a.year_month") == F.col("p.year_month"))
+                          & F.col("a.lender_key").eqNullSafe(F.col("p.lender_key")), "left")
+    return j.select(F.col("a.year_month").alias("year_month"), F.col("a.lender_key").alias("lender_key"),
+                    F.col("a.accept").cast("bigint").alias("accept"),
+                    F.col("p.advance").cast("decimal(18,2)").alias("advance"))
+
+
+@register("join_spine", O.with_fixtures(f"""
+    SELECT m.year_month, CAST(p.advance AS DECIMAL(18,2)) AS advance, CAST(p.advance_count AS BIGINT) AS advance_count
+    FROM ({O.period_sql('LAST4Y')}) m
+    LEFT JOIN (SELECT year_month, SUM(advance) AS advance, SUM(advance_count) AS advance_count FROM paid_facts
+               WHERE facility_used_by_id = '{FACILITY}' GROUP BY year_month) p ON m.year_month = p.year_month"""))
+def q_join_spine(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ledgerlens.functions import calendar as C
+    inp = _inp(spark, sf_dir)
+    m = C.last_4_years(inp.calendar, O.AS_OF).select("year_month")
+    p = (inp.paids.filter(F.col("facility_used_by_id") == FACILITY).groupBy("year_month")
+         .agg(F.sum("advance").alias("advance"), F.sum("advance_count").alias("advance_count")))
+    return m.join(p, "year_month", "left").select(
+        "year_month", F.col("advance").cast("decimal(18,2)").alias("advance"),
+        F.col("advance_count").cast("bigint").alias("advance_count"))
+
+
+@register("cross_facility_moment", O.funnel_sql(group=GROUP)[: O.funnel_sql(group=GROUP).rindex("\nSELECT ")]
+          + "\nSELECT f.facility_used_by_id, f.facility_used_by_name, m.g AS moment FROM Spine m CROSS JOIN Facilities f")
+def q_cross_facility_moment(spark, sf_dir):
+    from ledgerlens.functions import calendar as C
+    inp = _inp(spark, sf_dir)
+    p = fn.FunnelParams(group=GROUP)
+    rows = C.collect_months(fn.filtered_moments(inp, p))
+    vals = fn._spine_values(rows, p.group_by, False)
+    from pyspark.sql import functions as F
+    return fn.facilities(inp, p).select("facility_used_by_id", "facility_used_by_name",
+                                        F.explode(F.array(*[F.lit(v) for v in vals])).alias("moment"))
+
+
+@register("paid_by_lender_exists", O.with_fixtures(f"""
+    SELECT dl.facility_lender, dl.facility_used_by_id, m.ym AS year_month,
+           CAST(COALESCE(SUM(p.advance), 0) AS DECIMAL(18,2)) AS advance_total,
+           CAST(COUNT(DISTINCT p.id) AS BIGINT) AS advance_count
+    FROM (SELECT DISTINCT facility_lender, facility_used_by_id FROM account WHERE facility_used_by_id = '{FACILITY}') dl
+    CROSS JOIN (SELECT unnest(['1999-05', '1999-06']) AS ym) m
+    LEFT JOIN paid_mth p ON EXISTS (SELECT 1 FROM account a WHERE a.facility_code = p.facility_code
+                                    AND a.facility_lender = dl.facility_lender
+                                    AND a.facility_used_by_id = dl.facility_used_by_id)
+         AND p.year_month = m.ym
+    GROUP BY 1, 2, 3"""))
+def q_paid_by_lender_exists(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ledgerlens.sources import domain
+    t = Tables(spark, sf_dir)
+    acc = domain.account(t).filter(F.col("facility_used_by_id") == FACILITY)
+    months = ["1999-05", "1999-06"]
+    cmap = acc.select("facility_code", "facility_lender", "facility_used_by_id").distinct()
+    p = domain.paid_mth(t).filter(F.col("year_month").isin(months)).join(cmap, "facility_code")
+    g = p.groupBy("facility_lender", "facility_used_by_id", "year_month").agg(
+        F.sum("advance").alias("advance_total"), F.count_distinct("id").alias("advance_count"))
+    spine = acc.select("facility_lender", "facility_used_by_id").distinct() \
+        .select("*", F.explode(F.array(*[F.lit(m) for m in months])).alias("year_month"))
+    return spine.join(g, ["facility_lender", "facility_used_by_id", "year_month"], "left").select(
+        "facility_lender", "facility_used_by_id", "year_month",
+        F.coalesce(F.col("advance_total"), F.lit(0)).cast("decimal(18,2)").alias("advance_total"),
+        F.coalesce(F.col("advance_count"), F.lit(0)).cast("bigint").alias("advance_count"))
+
+
+@register("distinct_aggs", O.with_fixtures(f"""
+    SELECT p.year_month, CAST(SUM(p.advance) AS DECIMAL(18,2)) AS advance_sum,
+           CAST(SUM(DISTINCT p.advance) AS DECIMAL(18,2)) AS advance_sum_distinct,
+           CAST(COUNT(p.id) AS BIGINT) AS id_count, CAST(COUNT(DISTINCT p.id) AS BIGINT) AS id_count_distinct
+    FROM paid_mth p JOIN ({O.period_sql('L12M')}) m ON p.year_month = m.year_month GROUP BY p.year_month"""))
+def q_distinct_aggs(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ledgerlens.functions import calendar as C
+    from ledgerlens.sources import domain
+    inp = _inp(spark, sf_dir)
+    months = [r[0] for r in C.collect_months(C.period_l12m(inp.calendar, O.AS_OF))]
+    p = domain.paid_mth(Tables(spark, sf_dir)).filter(F.col("year_month").isin(months))
+    return p.groupBy("year_month").agg(
+        F.sum("advance").cast("decimal(18,2)").alias("advance_sum"),
+        F.sum_distinct("advance").cast("decimal(18,2)").alias("advance_sum_distinct"),
+        F.count("id").cast("bigint").alias("id_count"),
+        F.count_distinct("id").cast("bigint").alias("id_count_distinct"))
+
+
+@register("commission_avg_of_rates", O.with_fixtures(f"""
+    SELECT year_month, CAST(AVG(rate) AS DECIMAL(18,6)) AS commission_rate_avg_of_rates,
+           CAST(SUM(commission) / SUM(advance) AS DECIMAL(18,6)) AS commission_rate_of_sums
+    FROM (SELECT year_month, facility_used_by_id, SUM(commission) AS commission, SUM(advance) AS advance,
+                 CASE WHEN SUM(advance) > 0 THEN CAST(SUM(commission) / SUM(advance) AS DECIMAL(18,4)) END AS rate
+          FROM paid_facts WHERE facility_used_by_report_group_id = '{GROUP}' GROUP BY 1, 2) f
+    GROUP BY year_month"""))
+def q_commission_avg_of_rates(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ledgerlens.functions.measures import ratio
+    p = _inp(spark, sf_dir).paids.filter(F.col("facility_used_by_report_group_id") == GROUP)
+    f = p.groupBy("year_month", "facility_used_by_id").agg(F.sum("commission").alias("commission"),
+                                                          F.sum("advance").alias("advance"))
+    f = f.withColumn("rate", ratio("commission", "advance", "decimal(18,4)"))
+    return f.groupBy("year_month").agg(
+        F.avg("rate").cast("decimal(18,6)").alias("commission_rate_avg_of_rates"),
+        ratio(F.sum("commission"), F.sum("advance"), "decimal(18,6)").alias("commission_rate_of_sums"))
+
+
+_ratio_cols = ["report_name", "moment", "accept_avg", "accept_rate", "advance_avg", "commission_rate_avg",
+               "budget_rate"]
+
+
+@register("ratio_measures", "SELECT " + ", ".join(_ratio_cols) + " FROM ("
+          + _strip_order(O.funnel_sql(group="G2", per_facility=False)) + ") r")
+def q_ratio_measures(spark, sf_dir):
+    return fn.funnel(_inp(spark, sf_dir), fn.FunnelParams(group="G2", per_facility=False)).select(*_ratio_cols)
+
+
+# --------------------------------------------------------------------------
+# scalar function families (strings, dates, formats)
+# --------------------------------------------------------------------------
+
+@register("scalar_strings", O.with_fixtures("""
+    SELECT facility_code, left(upload_legal_name, 6) AS name_left, right(year_month, 2) AS ym_right,
+           lpad(CAST(month AS VARCHAR), 2, '0') AS month_padded, upper(upload_legal_name) AS name_upper,
+           CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS ym_concat,
+           printf('%d rows updated', accept) AS message
+    FROM application_mth"""))
+def q_scalar_strings(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ledgerlens.sources import domain
+    a = domain.application_mth(Tables(spark, sf_dir))
+    return a.select("facility_code", F.left("upload_legal_name", F.lit(6)).alias("name_left"),
+                    F.right("year_month", F.lit(2)).alias("ym_right"),
+                    F.lpad(F.col("month").cast("string"), 2, "0").alias("month_padded"),
+                    F.upper("upload_legal_name").alias("name_upper"),
+                    F.concat(F.col("year").cast("string"), F.lit("-"),
+                             F.lpad(F.col("month").cast("string"), 2, "0")).alias("ym_concat"),
+                    F.format_string("%d rows updated", F.col("accept")).alias("message"))
+
+
+@register("scalar_dates", O.with_fixtures("""
+    SELECT crm_user_id, scheduled_end, CAST(year(scheduled_end) AS INTEGER) AS y,
+           CAST(month(scheduled_end) AS INTEGER) AS m, CAST(dayofyear(scheduled_end) AS INTEGER) AS doy,
+           CAST(date_trunc('month', scheduled_end) AS DATE) AS month_start,
+           CAST(date_trunc('month', scheduled_end) - INTERVAL 12 MONTH AS DATE) AS minus_12m,
+           strftime(scheduled_end, '%d/%m/%Y') AS dmy, strftime(scheduled_end, '%Y-%m-%d %H:%M:%S') AS iso120,
+           strftime(scheduled_end, '%Y-%m') AS ym
+    FROM crm_user_notification"""))
+def q_scalar_dates(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ledgerlens.sources import domain
+    n = domain.crm_user_notification(Tables(spark, sf_dir))
+    ms = F.trunc(F.col("scheduled_end").cast("date"), "month")
+    return n.select("crm_user_id", "scheduled_end", F.year("scheduled_end").alias("y"),
+                    F.month("scheduled_end").alias("m"), F.dayofyear("scheduled_end").alias("doy"),
+                    ms.alias("month_start"), F.add_months(ms, -12).alias("minus_12m"),
+                    F.date_format("scheduled_end", "dd/MM/yyyy").alias("dmy"),
+                    F.date_format("scheduled_end", "yyyy-MM-dd HH:mm:ss").alias("iso120"),
+                    F.date_format("scheduled_end", "yyyy-MM").alias("ym"))
+
+
+@register("scalar_formats", O.with_fixtures(f"""
+    SELECT facility_used_by_id, year_month, {O.n0('advance')} AS advance_text,
+           {O.pct2('CASE WHEN advance > 0 THEN CAST(commission / advance AS DECIMAL(18,4)) END')} AS rate_text,
+           CAST((advance_count * 100) // NULLIF(advance_count + 1, 0) AS VARCHAR) || '%' AS int_pct_text,
+           CAST(round(advance, 0) AS DECIMAL(18,0)) AS advance_rounded
+    FROM paid_facts"""))
+def q_scalar_formats(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ledgerlens.functions.measures import int_div_pct, int_pct_text, money_text, pct2_text, ratio
+    p = _inp(spark, sf_dir).paids
+    return p.select("facility_used_by_id", "year_month", money_text("advance").alias("advance_text"),
+                    pct2_text(ratio("commission", "advance", "decimal(18,4)")).alias("rate_text"),
+                    int_pct_text(int_div_pct("advance_count", F.col("advance_count") + 1)).alias("int_pct_text"),
+                    F.round("advance", 0).cast("decimal(18,0)").alias("advance_rounded"))
