@@ -1,6 +1,7 @@
 """CSV sink/reader, parameter CSV runner, and the streaming feed upsert."""
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ def test_parameter_csv_nulls(spark):
 
 
 def test_report_csv_roundtrip(spark, tmp_path):
-    path = scratch_path(spark, f"csv-{tmp_path.name}")
+    path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
     df = spark.createDataFrame([("a, b", "2024-01", 3)], "report_name string, moment string, n int")
     files.write_report_csv(df, path)
     back = files.read_report_csv(spark, path, "report_name string, moment string, n int")
@@ -45,7 +46,7 @@ def test_run_cases_from_parameter_csv(spark, sf_small):
 
 def test_streaming_feed_upsert(spark, tmp_path):
     from ledgerlens.streaming.feeds import feed_stream, snapshot_path, upsert_stream
-    root = scratch_path(spark, f"stream-{tmp_path.name}")
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     init = os.path.join(root, "initial")
     spark.createDataFrame([(1, 10), (2, 20)], "id bigint, a int").write.parquet(init)
     feed_dir = os.path.join(root, "feed")

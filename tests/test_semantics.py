@@ -1,6 +1,7 @@
 """Hand-built frames for the reference's numeric, null and defect rules."""
 
 import datetime as dt
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -125,7 +126,7 @@ def test_activity_labels(spark):
 def test_summary_sink_replaces_only_given_months(spark, tmp_path):
     from ledgerlens.operators.summaries import replace_months
     from ledgerlens.session import scratch_path
-    path = scratch_path(spark, f"summary-{tmp_path.name}")
+    path = scratch_path(spark, f"summary-{uuid.uuid4().hex}")
     a = spark.createDataFrame([("2024-01", 1), ("2024-02", 2)], "year_month string, n int")
     replace_months(a, path)
     replace_months(spark.createDataFrame([("2024-02", 5)], "year_month string, n int"), path)
