@@ -46,23 +46,27 @@ def reconcile_rows(baseline: DataFrame, comparison: DataFrame, keys: list[str] |
 
 def reconcile_summary(baseline: DataFrame, comparison: DataFrame, keys: list[str] | None = None,
                       metrics: list[str] | None = None) -> DataFrame:
+    """Counts from one full outer join of the two versions (each version is
+    computed once): rows per side, keys on one side only, metric cells that
+    differ, and the verdict."""
     keys = keys or DEFAULT_KEYS
     metrics = metrics or DEFAULT_METRICS
     missing_cols = sorted(set(metrics) - set(comparison.columns))
     extra_cols = sorted(set(comparison.columns) - set(baseline.columns))
     shared = [m for m in metrics if m in comparison.columns and m in baseline.columns]
-    d = reconcile_rows(baseline, comparison, keys, shared)
-    na = baseline.agg(F.count(F.lit(1)).alias("n")).scalar()
-    nb = comparison.agg(F.count(F.lit(1)).alias("n")).scalar()
-    g = d.agg(F.count(F.when(F.col("status") == "Present", 1)).alias("value_diffs"),
-              F.count_distinct(F.when(F.col("status") != "Present", F.struct(*keys))).alias("rows_missing"))
+    j = _side(baseline, keys, shared, "a").join(_side(comparison, keys, shared, "b"), keys, "full_outer")
+    both = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    diffs = sum((F.when(both & ~F.col(f"a_{m}").eqNullSafe(F.col(f"b_{m}")), 1).otherwise(0)
+                 for m in shared), F.lit(0))
+    g = j.agg(F.count("_a").alias("na"), F.count("_b").alias("nb"),
+              F.count(F.when(~both, 1)).alias("rows_missing"), F.sum(diffs).alias("value_diffs"))
+    vd = F.coalesce(F.col("value_diffs"), F.lit(0))
     return g.select(
-        na.cast("bigint").alias("baseline_rows"), nb.cast("bigint").alias("comparison_rows"),
-        F.col("rows_missing").cast("bigint").alias("rows_missing"),
-        F.col("value_diffs").cast("bigint").alias("value_diffs"),
+        F.col("na").cast("bigint").alias("baseline_rows"), F.col("nb").cast("bigint").alias("comparison_rows"),
+        F.col("rows_missing").cast("bigint").alias("rows_missing"), vd.cast("bigint").alias("value_diffs"),
         F.lit(",".join(missing_cols)).alias("missing_columns"),
         F.lit(",".join(extra_cols)).alias("extra_columns"),
-        F.when((F.col("rows_missing") == 0) & (F.col("value_diffs") == 0) & (na == nb)
+        F.when((F.col("rows_missing") == 0) & (vd == 0) & (F.col("na") == F.col("nb"))
                & F.lit(not missing_cols), "MATCH").otherwise("DIFF").alias("verdict"))
 
 

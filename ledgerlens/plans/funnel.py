@@ -90,6 +90,8 @@ class FunnelInputs:
     paids: DataFrame
     ecof: DataFrame
     budget: DataFrame
+    # small planning results (month lists, EXISTS guards) of this input set
+    memo: dict = dataclasses.field(default_factory=dict)
 
     @classmethod
     def from_tables(cls, t: Tables, as_of: dt.date = domain.AS_OF) -> "FunnelInputs":
@@ -124,6 +126,14 @@ def filtered_moments(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
     return cal_fn.filtered_moments(inp.calendar, p.as_of, p.period, inp.applications, inp.paids)
 
 
+def report_months(inp: FunnelInputs, p: FunnelParams) -> list[tuple]:
+    """The period's month rows (bounded, size-checked), once per input set."""
+    key = ("months", p.period, p.as_of)
+    if key not in inp.memo:
+        inp.memo[key] = cal_fn.collect_months(filtered_moments(inp, p))
+    return inp.memo[key]
+
+
 def _group_mode(p: FunnelParams) -> bool:
     return p.per_facility and p.group is not None
 
@@ -142,8 +152,11 @@ def facilities(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
             f = f.filter(F.col("facility_used_by_id") == p.facility)
         f = f.select(F.col("facility_used_by_id").alias("fkey"), "facility_used_by_id",
                      F.col("facility_used_by_trading_style").alias("facility_used_by_name")).distinct()
-        # EXISTS guard: reads at most one row
-        if f.limit(1).count() == 0:
+        # EXISTS guard: reads at most one row (once per input set)
+        key = ("facilities_exist", p.group, p.facility)
+        if key not in inp.memo:
+            inp.memo[key] = f.limit(1).count() > 0
+        if not inp.memo[key]:
             return spark.createDataFrame([(ALL_KEY, None, UNKNOWN_GROUP)],
                                          "fkey string, facility_used_by_id string, facility_used_by_name string")
         return f
@@ -308,7 +321,7 @@ def assemble(inp: FunnelInputs, p: FunnelParams, month_rows: list[tuple]) -> Dat
 def funnel(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
     """The report; sorted by report name then moment (numeric grains as numbers)."""
     p.validate()
-    month_rows = cal_fn.collect_months(filtered_moments(inp, p))
+    month_rows = report_months(inp, p)
     res = assemble(inp, p, month_rows)
     return (res.orderBy("report_name", cal_fn.grain_sort_key(p.group_by), "_fid")
                .drop("_fid"))
