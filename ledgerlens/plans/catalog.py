@@ -776,3 +776,15 @@ def q_scalar_formats(spark, sf_dir):
                     pct2_text(ratio("commission", "advance", "decimal(18,4)")).alias("rate_text"),
                     int_pct_text(int_div_pct("advance_count", F.col("advance_count") + 1)).alias("int_pct_text"),
                     F.round("advance", 0).cast("decimal(18,0)").alias("advance_rounded"))
+
+
+# Funnel with text columns, by quarter and by month
+def _funnel_text_query(name, **kw):
+    @register(name, O.funnel_text_sql(**kw))
+    def q(spark, sf_dir):
+        return fn.funnel_text(_inp(spark, sf_dir), fn.FunnelParams(**kw))
+    return q
+
+
+_funnel_text_query("funnel_text", group=GROUP, per_facility=False, group_by="quarter")
+_funnel_text_query("funnel_text_month", facility=FACILITY, lender=LENDER, per_facility=False)

@@ -325,3 +325,30 @@ def funnel(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
     res = assemble(inp, p, month_rows)
     return (res.orderBy("report_name", cal_fn.grain_sort_key(p.group_by), "_fid")
                .drop("_fid"))
+
+
+def funnel_text(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
+    """Funnel with text columns (money as '£' + N0, rates as text).
+
+    Text is formatted from the report's sums (not from the rounded averages),
+    so '£' averages and the N2 commission rate round once."""
+    from ledgerlens.functions.measures import money_text, pct2_text
+
+    def q(n, d):
+        return F.when(F.col(d) > 0, F.col(n).cast("decimal(28,8)") / F.col(d).cast("decimal(28,8)"))
+
+    r = funnel(inp, dataclasses.replace(p, include_budget=False))
+    return r.select(
+        "report_name", F.col("moment").alias("group_by"), "ecof_count", "ecof_advance",
+        money_text("ecof_advance").alias("ecof_advance_text"),
+        "proposed_count", "accept_count", "accept_val",
+        money_text("accept_val").alias("accept_text"),
+        money_text(q("accept_val", "accept_count")).alias("accept_avg_text"),
+        F.concat((q("accept_count", "proposed_count") * 100).cast("decimal(18,6)").cast("string"),
+                 F.lit("%")).alias("accept_rate_text"),
+        "decline_count", "pending_count", "advance_count", "advance_val",
+        money_text("advance_val").alias("advance_text"),
+        money_text(q("advance_val", "advance_count")).alias("advance_avg_text"),
+        "commission_val", money_text("commission_val").alias("commission_text"),
+        "commission_rate_avg",
+        pct2_text(q("commission_val", "advance_val")).alias("commission_rate_avg_text"))

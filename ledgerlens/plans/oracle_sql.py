@@ -847,3 +847,19 @@ def reconcile_summary_sql(cases: list[tuple[int, str, str]], metrics=RECON_METRI
                       CASE WHEN rows_missing = 0 AND value_diffs = 0 AND baseline_rows = comparison_rows
                            THEN 'MATCH' ELSE 'DIFF' END AS verdict
                FROM ({body}) u"""
+
+
+def funnel_text_sql(**kw) -> str:
+    base = funnel_sql(include_budget=False, **kw)
+    base = base[: base.rindex("ORDER BY")]
+    return f"""
+    SELECT report_name, moment AS group_by, ecof_count, ecof_advance, {n0('ecof_advance')} AS ecof_advance_text,
+           proposed_count, accept_count, accept_val, {n0('accept_val')} AS accept_text,
+           {n0('CASE WHEN accept_count > 0 THEN accept_val / accept_count END')} AS accept_avg_text,
+           CASE WHEN proposed_count > 0 THEN
+                CAST(CAST(accept_count * 100.0 / proposed_count AS DECIMAL(18,6)) AS VARCHAR) || '%' END AS accept_rate_text,
+           decline_count, pending_count, advance_count, advance_val, {n0('advance_val')} AS advance_text,
+           {n0('CASE WHEN advance_count > 0 THEN advance_val / advance_count END')} AS advance_avg_text,
+           commission_val, {n0('commission_val')} AS commission_text, commission_rate_avg,
+           {pct2('CASE WHEN advance_val > 0 THEN commission_val / advance_val END')} AS commission_rate_avg_text
+    FROM ({base}) f"""
