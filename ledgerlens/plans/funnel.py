@@ -92,6 +92,28 @@ class FunnelInputs:
     budget: DataFrame
     # small planning results (month lists, EXISTS guards) of this input set
     memo: dict = dataclasses.field(default_factory=dict)
+    tables: Tables | None = None
+    as_of: dt.date = domain.AS_OF
+
+    def windowed(self, lo: dt.date, hi: dt.date) -> "FunnelInputs":
+        """Same inputs with applications, paid deals and quotes restricted to
+        ``lo <= date < hi`` on the raw date columns, so a 12-month report
+        reads 12 months of facts (pushed parquet filters; partition pruning
+        on date-partitioned storage). Budget stays whole: its quarterly
+        values are sums over whole years."""
+        if self.tables is None:
+            return self
+        key = ("window", lo, hi)
+        if key not in self.memo:
+            t, acc, cal = self.tables, self.account, self.calendar
+            w = (lo, hi)
+            self.memo[key] = FunnelInputs(
+                spark=self.spark, calendar=cal, account=acc,
+                applications=facts_op.application_facts(acc, domain.application_mth(t, window=w), cal, self.as_of),
+                paids=facts_op.paid_facts(acc, domain.paid_mth(t, window=w), cal, self.as_of),
+                ecof=facts_op.ecof_facts(acc, domain.vw_ecof_all(t, window=w), domain.account_ecof(t)),
+                budget=self.budget, memo=self.memo, tables=t, as_of=self.as_of)
+        return self.memo[key]
 
     @classmethod
     def from_tables(cls, t: Tables, as_of: dt.date = domain.AS_OF) -> "FunnelInputs":
@@ -115,6 +137,7 @@ class FunnelInputs:
             paids=facts_op.paid_facts(acc, domain.paid_mth(t), cal, as_of),
             ecof=facts_op.ecof_facts(acc, domain.vw_ecof_all(t), domain.account_ecof(t)),
             budget=facts_op.budget_facts(acc, domain.paid_budget(t)),
+            tables=t, as_of=as_of,
         )
 
 
@@ -322,6 +345,11 @@ def funnel(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
     """The report; sorted by report name then moment (numeric grains as numbers)."""
     p.validate()
     month_rows = report_months(inp, p)
+    if p.period is not None and month_rows:
+        first, last = month_rows[0], month_rows[-1]
+        lo = dt.date(first[1], first[2], 1)
+        hi = cal_fn.month_start(dt.date(last[1], last[2], 1), 1)
+        inp = inp.windowed(lo, hi)
     res = assemble(inp, p, month_rows)
     return (res.orderBy("report_name", cal_fn.grain_sort_key(p.group_by), "_fid")
                .drop("_fid"))

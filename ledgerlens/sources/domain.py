@@ -54,6 +54,14 @@ def year_month_of(year: Column, month: Column) -> Column:
     return F.format_string("%04d-%02d", year, month)
 
 
+def in_window(c: str, window: tuple[dt.date, dt.date] | None) -> Column | None:
+    """``lo <= c < hi`` on a raw date column, so it reaches the parquet scan."""
+    if window is None:
+        return None
+    lo, hi = window
+    return (F.col(c) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(c) < F.lit(hi).cast("timestamp_ntz"))
+
+
 # --------------------------------------------------------------------------
 # dimensions
 # --------------------------------------------------------------------------
@@ -111,13 +119,16 @@ def _orders_as_loaded(t: Tables, as_loaded: dt.date | None) -> DataFrame:
                           .otherwise(F.col("o_orderstatus"))))
 
 
-def application_mth(t: Tables, as_loaded: dt.date | None = None) -> DataFrame:
+def application_mth(t: Tables, as_loaded: dt.date | None = None,
+                    window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """Applications per facility code x business month.
 
     ``upload_date`` is three days after the month end, so the computed
     ``year_month`` (upload month) is the month after the business month.
     """
     o = _orders_as_loaded(t, as_loaded)
+    if window is not None:
+        o = o.filter(in_window("o_orderdate", window))
     st = F.col("o_orderstatus")
     amt = money("o_totalprice")
 
@@ -148,7 +159,7 @@ def application_mth(t: Tables, as_loaded: dt.date | None = None) -> DataFrame:
 
 
 def paid_mth(t: Tables, as_loaded: dt.date | None = None,
-             with_product: bool = False) -> DataFrame:
+             with_product: bool = False, window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """One paid deal per line item (``id`` is not unique in this data).
 
     ``commission`` is not in the reference's DDL; reports read it, so it is
@@ -159,6 +170,8 @@ def paid_mth(t: Tables, as_loaded: dt.date | None = None,
     if with_product:
         cols.append("l_partkey")
     li = t.lineitem.select(*cols)
+    if window is not None:
+        li = li.filter(in_window("l_shipdate", window))
     o = t.orders.select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     advance = money("l_extendedprice").cast("decimal(10,0)")
@@ -217,10 +230,12 @@ def paid_budget(t: Tables) -> DataFrame:
              .agg(qsum(1).alias("q1"), qsum(2).alias("q2"), qsum(3).alias("q3"), qsum(4).alias("q4")))
 
 
-def vw_ecof_all(t: Tables) -> DataFrame:
+def vw_ecof_all(t: Tables, window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """One quote (eCOF) document per order; '5-LOW' quotes are cash deals,
     '4-NOT SPECIFIED' have no funding option recorded."""
     o = t.orders.select("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    if window is not None:
+        o = o.filter(in_window("o_orderdate", window))
     c = t.customer.select("c_custkey", "c_mktsegment")
     j = o.join(c, o.o_custkey == c.c_custkey)
     pr = F.col("o_orderpriority")
