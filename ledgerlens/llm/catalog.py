@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from . import token_blocks
+from . import pair_index_bpe, suffix_decontamination, token_blocks
 
 QUERIES = {
     "op1_pfor_token_blocks": (token_blocks.op1_pfor_token_blocks, None),
+    "op6_suffix_decontamination": (suffix_decontamination.op6_suffix_decontamination, suffix_decontamination.OP6_SQL),
+    "op9_pair_index_bpe": (pair_index_bpe.op9_pair_index_bpe, None),
 }
