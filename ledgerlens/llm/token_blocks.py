@@ -38,6 +38,8 @@ from .common import scratch
 BLOCK = 128
 PERCENTILE = 90
 END_ID = 0
+#: Rows of 12 bytes that are broadcast at most.
+MAX_RANGES = 500_000
 SPECIAL = b"<|endoftext|>"
 _M = 0xFFFFFFFF
 
@@ -165,7 +167,7 @@ def _encoder(tokenizer: str):
     return _STATE[tokenizer]
 
 
-SEGMENT_SCHEMA = "part int, seq int, n_docs int, n_ids long, ids_of binary, lens binary, payload binary"
+SEGMENT_SCHEMA = "part int, seq int, n_docs int, in_part long, n_ids long, ids_of binary, lens binary, payload binary"
 
 
 def encode_table(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -177,7 +179,7 @@ def encode_table(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
 
     def run(batches):
         from pyspark import TaskContext
-        part, seq = TaskContext.get().partitionId(), 0
+        part, seq, in_part = TaskContext.get().partitionId(), 0, 0
         pool, encode = _encoder(tokenizer)
         for batch in batches:
             known, ids64 = batch.column(0).is_valid(), batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
@@ -191,10 +193,10 @@ def encode_table(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
                 who = known[a:b].astype(np.uint8).tobytes() + ids64[a:b].astype("<i8").tobytes()
                 yield pa.RecordBatch.from_pydict({
                     "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
-                    "n_docs": pa.array([b - a], pa.int32()), "n_ids": pa.array([len(out)], pa.int64()),
+                    "n_docs": pa.array([b - a], pa.int32()), "in_part": pa.array([in_part], pa.int64()), "n_ids": pa.array([len(out)], pa.int64()),
                     "ids_of": pa.array([who], pa.binary()), "lens": pa.array([encode_ids(lens + 1)], pa.binary()),
                     "payload": pa.array([encode_ids(out)], pa.binary())})
-                seq += 1
+                seq, in_part = seq + 1, in_part + len(out)
 
     (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
          .repartitionByRange(F.col("doc_id").asc_nulls_first())
@@ -203,17 +205,17 @@ def encode_table(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
-    """Segments with ``base``: the ids before the segment. Ranges are summed
-    first, so the only single-task window runs over one row per range."""
+    """Segments with ``base``: the ids before the segment. A segment knows the
+    ids before it in its range; the ranges' totals are one row per range, summed in
+    one task and sent to the segments, which stay where they are (up to
+    MAX_RANGES ranges; beyond that, an ordinary join)."""
     seg = spark.read.schema(SEGMENT_SCHEMA).parquet(path)
     parts = seg.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_base"))
-    within = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    place = seg.select("part", "seq", "n_ids").select(
-        "part", "seq", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("in_part"))
-    place = place.join(parts, "part").select("part", "seq", (F.col("in_part") + F.col("part_base")).alias("base"))
-    return seg.join(place, ["part", "seq"])
+    bases = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_base"))
+    if parts.count() <= MAX_RANGES:
+        bases = F.broadcast(bases)
+    return seg.join(bases, "part").withColumn("base", F.col("part_base") + F.col("in_part"))
 
 
 def digest(segments: DataFrame) -> DataFrame:
