@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import kdtree_shards, pair_index_bpe, suffix_decontamination, token_blocks, url_markov
+from . import cap_filters, kdtree_shards, pair_index_bpe, suffix_decontamination, token_blocks, toxicity_cnn, url_markov
 
 QUERIES = {
     "op1_pfor_token_blocks": (token_blocks.op1_pfor_token_blocks, None),
     "op2_kdtree_shards": (kdtree_shards.op2_kdtree_shards, None),
+    "op5_toxicity_cnn": (toxicity_cnn.op5_toxicity_cnn, None),
     "op6_suffix_decontamination": (suffix_decontamination.op6_suffix_decontamination, suffix_decontamination.OP6_SQL),
+    "op7_cap_filters": (cap_filters.op7_cap_filters, cap_filters.OP7_SQL),
     "op8_url_markov_ratio": (url_markov.op8_url_markov_ratio, url_markov.OP8_SQL),
     "op9_pair_index_bpe": (pair_index_bpe.op9_pair_index_bpe, None),
 }

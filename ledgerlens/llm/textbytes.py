@@ -87,8 +87,8 @@ def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table
 
 
 #: Hash values of bytes with A-Z lower-cased.
-_LOWER = _BYTE.copy()
-_LOWER[0x41:0x5B] = _BYTE[0x61:0x7B]
+LOWER = _BYTE.copy()
+LOWER[0x41:0x5B] = _BYTE[0x61:0x7B]
 #: Bytes of a word ``[^\x20\x09-\x0D]+``.
 SPACED = np.ones(256, bool)
 SPACED[0x20] = False
@@ -117,7 +117,7 @@ def word_spans(data: np.ndarray, offs: np.ndarray, kind: np.ndarray = SPACED) ->
 def word_hashes(data: np.ndarray, offs: np.ndarray, kind: np.ndarray = SPACED) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word (A-Z lower-cased), and words before each text."""
     starts, ends, first = word_spans(data, offs, kind)
-    return segment_hashes(data, starts, ends, _LOWER), first
+    return segment_hashes(data, starts, ends, LOWER), first
 
 
 # Chunks: stretches of text between which the byte-level pre-tokenizer always
