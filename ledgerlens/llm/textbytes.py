@@ -68,12 +68,12 @@ def spans(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0]:offs[-1]], offs - offs[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of consecutive rows."""
+def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of at most ``most`` consecutive rows."""
     data, offs = spans(batch.column(column))
     at, n = 0, len(offs) - 1
     while at < n:
-        end = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, "right")) - 1)
+        end = min(max(at + 1, int(np.searchsorted(offs, offs[at] + limit, "right")) - 1), at + most)
         yield at, end, data[offs[at]:offs[end]], offs[at:end + 1] - offs[at]
         at = end
 
