@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import cap_filters, hyperminhash, kdtree_shards, pair_index_bpe, suffix_decontamination, token_blocks, toxicity_cnn, url_markov
+from . import backoff_automaton, cap_filters, hyperminhash, kdtree_shards, pair_index_bpe, suffix_decontamination, token_blocks, toxicity_cnn, url_markov
 
 QUERIES = {
     "op1_pfor_token_blocks": (token_blocks.op1_pfor_token_blocks, None),
     "op2_kdtree_shards": (kdtree_shards.op2_kdtree_shards, None),
     "op3_hyperminhash": (hyperminhash.op3_hyperminhash, hyperminhash.OP3_SQL),
+    "op4_backoff_automaton": (backoff_automaton.op4_backoff_automaton, None),
     "op5_toxicity_cnn": (toxicity_cnn.op5_toxicity_cnn, None),
     "op6_suffix_decontamination": (suffix_decontamination.op6_suffix_decontamination, suffix_decontamination.OP6_SQL),
     "op7_cap_filters": (cap_filters.op7_cap_filters, cap_filters.OP7_SQL),
