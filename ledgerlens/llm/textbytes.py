@@ -175,8 +175,8 @@ def ragged(pool_start: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 class ChunkPool:
     """Values (small int arrays) of chunks by 64-bit hash, kept across the
-    batches a Python worker sees. Started anew beyond ``most`` entries, so
-    its memory is bounded; a chunk that is not in it is just computed again.
+    batches a Python worker sees. ``find_chunks`` starts it anew beyond ``most``
+    entries, so its memory is bounded; a chunk that is gone is just encoded again.
     """
 
     def __init__(self, most: int = 2_000_000):
@@ -197,8 +197,6 @@ class ChunkPool:
         return np.where(self.keys[at] == keys, at, -1)
 
     def add(self, keys: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
-        if len(self.keys) > self.most:
-            self.clear()
         start = len(self.pool) + np.cumsum(size) - size
         self.pool = np.concatenate((self.pool, flat.astype(np.promote_types(self.pool.dtype, flat.dtype))))
         order = np.argsort(keys := np.concatenate((self.keys, keys)), kind="stable")
@@ -207,25 +205,32 @@ class ChunkPool:
         self.size = np.concatenate((self.size, size))[order]
 
 
-def encode_slice(pool: ChunkPool, encode, data: np.ndarray, offs: np.ndarray, keep: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts, ids before each text). ``encode``: list of chunk
-    strings -> (ids per chunk, all ids)."""
+def find_chunks(pool: ChunkPool, encode, data: np.ndarray, offs: np.ndarray, keep: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+    """(starts of all chunks, their places in the pool); chunks that are new to the
+    pool are encoded. ``encode``: list of chunk strings -> (ids per chunk, all ids)."""
     starts = chunk_starts(data, offs, keep)
     if not len(starts):
-        return pool.pool[:0], np.zeros(len(offs), np.int64)
+        return starts, starts
     ends = np.append(starts[1:], len(data))
     keys, first, inverse = np.unique(segment_hashes(data, starts, ends), return_index=True, return_inverse=True)
     at = pool.find(keys)
     if len(new := np.flatnonzero(at < 0)):
+        if len(pool.keys) > pool.most:  # all of this slice must be there at once
+            pool.clear()
+            new = np.arange(len(keys))
         text = data.tobytes()
         own = first[new]
         size, flat = encode([text[a:b].decode("utf-8") for a, b in zip(starts[own].tolist(), ends[own].tolist())])
-        if len(pool.keys) > pool.most:  # all of this slice must be there at once
-            pool.clear()
-            return encode_slice(pool, encode, data, offs, keep)
         pool.add(keys[new], size, flat)
         at = pool.find(keys)
-    at = at[inverse]
+    return starts, at[inverse]
+
+
+def encode_slice(pool: ChunkPool, encode, data: np.ndarray, offs: np.ndarray, keep: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, ids before each text)."""
+    starts, at = find_chunks(pool, encode, data, offs, keep)
+    if not len(starts):
+        return pool.pool[:0], np.zeros(len(offs), np.int64)
     size = pool.size[at]
     ids = pool.pool[ragged(pool.start[at], size)]
     before = np.concatenate(([0], np.cumsum(size)))
