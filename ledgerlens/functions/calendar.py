@@ -1,14 +1,17 @@
 """Calendar ("moment") dimension and period selection.
 
-The calendar is daily, like the reference's ``moment`` table. We derive its
-span from the data (first order date to the last ship date, widened to whole
-years) so it always covers the facts. Periods are filters over it:
+Periods follow from the as-of date alone, so choosing them reads no fact table:
 
 * ``C12M``  every month of the as-of year (future months included)
-* ``L12M``  the 12 full months before the as-of month (half-open range)
+* ``L12M``  the 12 full months before the as-of month
 * ``P12M``  the 12 months before those
-* rolling   ``year_month`` between as-of minus 12 months and minus 1 month
-* last 4 years: ``year >= year(as_of) - 3``
+* rolling   ``year_month`` from as-of minus 12 months to minus 1 month
+* last 4 years: from January of ``year(as_of) - 3`` to the calendar's end
+
+A period is a half-open range of month starts (``period_bounds``); its months are
+available as a Python list (twelve entries) and as a DataFrame. The daily
+calendar is generated between explicit dates. ``period=None`` takes the months
+present in the facts, as a DataFrame (``months_from_data``).
 
 ``as_of`` is always an explicit argument: no operator reads the clock.
 """
@@ -17,17 +20,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.sources.tables import Tables
-
 PERIODS = ("L12M", "P12M", "C12M")
 GRAINS = ("year_month", "year", "month", "quarter", "year_quarter")
 MONTH_COLUMNS = ["year_month", "year", "month", "quarter", "year_quarter"]
-# The largest month list a report may pull to the driver to build its
-# facility x moment spine (100 years of months).
-MAX_SPINE_MONTHS = 1200
 
 
 def _quarter(month: Column) -> Column:
@@ -35,11 +33,6 @@ def _quarter(month: Column) -> Column:
     return F.floor((month - F.lit(1)) / F.lit(3)).cast("int") + F.lit(1)
 
 
-def year_quarter_of(year: Column, month: Column) -> Column:
-    """``YYYY-n`` label (the calendar's form, used for every grain)."""
-    return F.concat(year.cast("string"), F.lit("-"), _quarter(month).cast("string"))
-
-
 def month_fields(ym: Column) -> list[Column]:
     """``'YYYY-MM'`` -> year_month, year, month, quarter, year_quarter."""
     y = F.substring(ym, 1, 4).cast("int")
@@ -55,18 +48,16 @@ def parse_year_month(df: DataFrame, col: str = "year_month") -> DataFrame:
     return df.select("*", *fields)
 
 
-def data_span(t: Tables) -> DataFrame:
-    """One row (start, end): whole years around the order and ship dates."""
-    d = (t.orders.select(F.col("o_orderdate").alias("d"))
-         .unionByName(t.lineitem.select(F.col("l_shipdate").alias("d"))))
-    b = d.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    return b.select(F.trunc(F.col("lo").cast("date"), "year").alias("start"),
-                    F.make_date(F.year("hi"), F.lit(12), F.lit(31)).alias("end"))
+def month_start(d: dt.date, delta: int = 0) -> dt.date:
+    """First day of the month ``delta`` months from ``d``'s month."""
+    k = d.year * 12 + (d.month - 1) + delta
+    return dt.date(k // 12, k % 12 + 1, 1)
 
 
-def moment(t: Tables) -> DataFrame:
-    """Daily calendar: date, year, month, day, quarter, year_month, year_quarter."""
-    days = data_span(t).select(F.explode(F.sequence("start", "end", F.expr("INTERVAL 1 DAY"))).alias("date"))
+def calendar_days(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
+    """Daily calendar from ``start`` to ``end``, both included: date, year,
+    month, day, quarter, year_month, year_quarter."""
+    days = spark.range((end - start).days + 1).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date"))
     return days.select(
         "date",
         F.year("date").alias("year"), F.month("date").alias("month"),
@@ -77,38 +68,36 @@ def moment(t: Tables) -> DataFrame:
     )
 
 
-def _months(cal: DataFrame) -> DataFrame:
-    return cal.select(*MONTH_COLUMNS).distinct()
+def period_bounds(period: str, as_of: dt.date, until: dt.date | None = None) -> tuple[dt.date, dt.date]:
+    """[first month, first month after) of a period. ``until`` closes LAST4Y
+    (default: the end of the as-of year)."""
+    if period in ("L12M", "ROLLING"):
+        return month_start(as_of, -12), month_start(as_of)
+    if period == "P12M":
+        return month_start(as_of, -24), month_start(as_of, -12)
+    if period == "C12M":
+        return dt.date(as_of.year, 1, 1), dt.date(as_of.year + 1, 1, 1)
+    if period == "LAST4Y":
+        last = until or dt.date(as_of.year, 12, 31)
+        return dt.date(as_of.year - 3, 1, 1), month_start(last, 1)
+    raise ValueError("Invalid period. Valid values are L12M, P12M, C12M, or None.")
 
 
-def month_start(d: dt.date, delta: int = 0) -> dt.date:
-    """First day of the month ``delta`` months from ``d``'s month."""
-    k = d.year * 12 + (d.month - 1) + delta
-    return dt.date(k // 12, k % 12 + 1, 1)
+def month_list(lo: dt.date, hi: dt.date) -> list[tuple]:
+    """MONTH_COLUMNS of every month from ``lo`` up to ``hi``, excluded."""
+    out = []
+    while lo < hi:
+        q = (lo.month - 1) // 3 + 1
+        out.append((f"{lo:%Y-%m}", lo.year, lo.month, q, f"{lo.year}-{q}"))
+        lo = month_start(lo, 1)
+    return out
 
 
-def period_c12m(cal: DataFrame, as_of: dt.date) -> DataFrame:
-    return _months(cal.filter(F.col("year") == as_of.year))
-
-
-def period_l12m(cal: DataFrame, as_of: dt.date) -> DataFrame:
-    lo, hi = month_start(as_of, -12), month_start(as_of)
-    return _months(cal.filter((F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi))))
-
-
-def period_p12m(cal: DataFrame, as_of: dt.date) -> DataFrame:
-    lo, hi = month_start(as_of, -24), month_start(as_of, -12)
-    return _months(cal.filter((F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi))))
-
-
-def period_rolling(cal: DataFrame, as_of: dt.date) -> DataFrame:
-    lo = month_start(as_of, -12).strftime("%Y-%m")
-    hi = month_start(as_of, -1).strftime("%Y-%m")
-    return _months(cal.filter(F.col("year_month").between(lo, hi)))
-
-
-def last_4_years(cal: DataFrame, as_of: dt.date) -> DataFrame:
-    return _months(cal.filter(F.col("year") >= as_of.year - 3))
+def months_frame(spark: SparkSession, lo: dt.date, hi: dt.date) -> DataFrame:
+    """The same months as a DataFrame."""
+    n = (hi.year - lo.year) * 12 + hi.month - lo.month
+    first = F.add_months(F.lit(lo), F.col("id").cast("int"))
+    return spark.range(max(n, 0)).select(*month_fields(F.date_format(first, "yyyy-MM")))
 
 
 def previous_month_key(as_of: dt.date) -> str:
@@ -126,7 +115,7 @@ def months_from_data(*facts: DataFrame) -> DataFrame:
     return u.distinct().select(*month_fields(F.col("year_month")))
 
 
-def filtered_moments(cal: DataFrame, as_of: dt.date, period: str | None,
+def filtered_moments(spark: SparkSession, as_of: dt.date, period: str | None,
                      app_facts: DataFrame | None = None,
                      paid_facts: DataFrame | None = None) -> DataFrame:
     """Dispatcher: L12M / P12M / C12M / None (months present in the facts)."""
@@ -134,10 +123,9 @@ def filtered_moments(cal: DataFrame, as_of: dt.date, period: str | None,
         if app_facts is None or paid_facts is None:
             raise ValueError("period=None needs the application and paid facts")
         return months_from_data(app_facts, paid_facts)
-    fn = {"L12M": period_l12m, "P12M": period_p12m, "C12M": period_c12m}.get(period)
-    if fn is None:
+    if period not in PERIODS:
         raise ValueError("Invalid period. Valid values are L12M, P12M, C12M, or None.")
-    return fn(cal, as_of)
+    return months_frame(spark, *period_bounds(period, as_of))
 
 
 def check_grain(group_by: str) -> str:
@@ -156,15 +144,3 @@ def grain_sort_key(group_by: str, col: str = "moment") -> Column:
     if group_by in ("year", "month", "quarter"):
         return F.col(col).cast("int")
     return F.col(col)
-
-
-def collect_months(months: DataFrame) -> list[tuple]:
-    """Pull a month set to the driver for spine building.
-
-    The set is bounded by the calendar (12 rows per year), not by the facts;
-    the bound is enforced before anything is collected.
-    """
-    rows = months.select(*MONTH_COLUMNS).limit(MAX_SPINE_MONTHS + 1).collect()
-    if len(rows) > MAX_SPINE_MONTHS:
-        raise ValueError(f"more than {MAX_SPINE_MONTHS} months in the report period")
-    return sorted(tuple(r) for r in rows)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ACCOUNT_KEYS = ["account_id", "facility_used_by_id", "facility_used_by_business_manager_initials",
@@ -21,32 +21,32 @@ ACCOUNT_KEYS = ["account_id", "facility_used_by_id", "facility_used_by_business_
                 "facility_lender", "facility_code"]
 
 
-def calendar_months(cal: DataFrame) -> DataFrame:
-    """First-of-month calendar rows: (year, month, year_month).
+def business_month() -> Column:
+    """``YYYY-MM`` of a fact's own year and month."""
+    return F.format_string("%04d-%02d", F.col("year"), F.col("month"))
 
-    One row per month of the calendar span, so broadcasting it is bounded by
-    the span (12 rows a year) and never by the facts."""
-    return F.broadcast(cal.filter(F.col("day") == 1).select("year", "month", "year_month"))
 
+def on_calendar(facts: DataFrame, days: DataFrame, every_day: bool = False) -> DataFrame:
+    """Facts joined to the calendar on (year, month): to each month's first
+    day, or to every day of it (``every_day``: the fan-out of defect D2)."""
+    d = days if every_day else days.filter(F.col("day") == 1)
+    return facts.join(d.select("year", "month", F.col("date").alias("calendar_date")), ["year", "month"])
 
-def application_facts(account: DataFrame, application_mth: DataFrame, cal: DataFrame,
-                      as_of: dt.date) -> DataFrame:
+
+def application_facts(account: DataFrame, application_mth: DataFrame, as_of: dt.date) -> DataFrame:
     """Applications with account keys, last four years (incl. current year).
 
-    Joined to the calendar on (year, month, day = 1); ``year_month`` is the
-    business month from the calendar, not the upload month.
+    ``year_month`` is the business month, not the upload month.
     """
     a = application_mth.filter(F.col("year") >= as_of.year - 3).select(
         "facility_code", "accept", "accept_val", "decline", "decline_val",
         "pending", "pending_val", "month", "year")
-    acc = account.select(*ACCOUNT_KEYS)
-    j = acc.join(a, "facility_code").join(calendar_months(cal), ["year", "month"])
+    j = account.select(*ACCOUNT_KEYS).join(a, "facility_code")
     return j.select(*ACCOUNT_KEYS, "accept", "accept_val", "decline", "decline_val",
-                    "pending", "pending_val", "month", "year", "year_month")
+                    "pending", "pending_val", "month", "year", business_month().alias("year_month"))
 
 
-def paid_facts(account: DataFrame, paid_mth: DataFrame, cal: DataFrame,
-               as_of: dt.date) -> DataFrame:
+def paid_facts(account: DataFrame, paid_mth: DataFrame, as_of: dt.date) -> DataFrame:
     """Paid deals per account keys x month: SUM(advance), COUNT(advance),
     SUM(commission); last four years."""
     # the date range (not year(date)) reaches the parquet scan as a pushed filter
@@ -55,8 +55,7 @@ def paid_facts(account: DataFrame, paid_mth: DataFrame, cal: DataFrame,
          .groupBy("facility_code", "year", "month")
          .agg(F.sum("advance").alias("advance"), F.count("advance").alias("advance_count"),
               F.sum("commission").alias("commission")))
-    j = (account.select(*ACCOUNT_KEYS).join(p, "facility_code")
-         .join(calendar_months(cal), ["year", "month"]))
+    j = account.select(*ACCOUNT_KEYS).join(p, "facility_code").withColumn("year_month", business_month())
     g = j.groupBy(*ACCOUNT_KEYS, "month", "year", "year_month").agg(
         F.sum("advance").cast("decimal(18,2)").alias("advance"),
         F.sum("advance_count").cast("bigint").alias("advance_count"),

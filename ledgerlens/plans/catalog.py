@@ -25,6 +25,12 @@ LENDER = "BUILDING"
 LENDER_LC = "building"
 
 
+def first_day(month: str):
+    """First day of a ``YYYY-MM`` month."""
+    import datetime as dt
+    return dt.date(int(month[:4]), int(month[5:]), 1)
+
+
 def register(name: str, sql: str | None):
     def deco(f):
         QUERIES[name] = (f, sql)
@@ -60,57 +66,77 @@ _funnel_query("funnel_global")
 _funnel_query("funnel_p12m_quarter", group=GROUP, period="P12M", group_by="quarter")
 _funnel_query("funnel_c12m", facility=FACILITY, period="C12M")
 _funnel_query("funnel_all_months", group=GROUP, period=None)
-# eCOF funnel where the lender filter does not apply to quotes
-_funnel_query("ecof_period", group=GROUP, lender=LENDER, per_facility=False,
-              include_budget=False, lender_on_ecof=False)
+# the placeholder of an unknown group, with its empty rows kept
+_funnel_query("funnel_unknown_group_rows", group="G99", drop_empty=False)
+_funnel_query("funnel_spine_union", group=GROUP, lender=LENDER, period=None, spine="union")
+
+
+# Period reports with quotes; the lender filter does not apply to quotes
+def _ecof_query(name, fn_name, sql, extra=None, **kw):
+    @register(name, sql)
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ledgerlens.plans import ecof
+        return getattr(ecof, fn_name)(fn.FunnelInputs.from_tables(Tables(spark, sf_dir)), fn.FunnelParams(**kw), **(extra or {}))
+    return q
+
+
+_ecof_query("ecof_period", "ecof_period", O.ecof_period_sql(group=GROUP, lender=LENDER), group=GROUP, lender=LENDER)
+_ecof_query("ecof_period_all", "ecof_period", O.ecof_period_sql(period=None, facility=FACILITY), period=None, facility=FACILITY)
+_ecof_query("ecof_period_text", "ecof_period_text", O.ecof_period_sql("group_by", period="P12M", facility=FACILITY, lender=LENDER),
+            period="P12M", facility=FACILITY, lender=LENDER)
+_ecof_query("funnel_mapped", "funnel_mapped", O.funnel_mapped_sql("quarter", group=GROUP, lender=LENDER),
+            group_by="quarter", group=GROUP, lender=LENDER)
+_ecof_query("funnel_mapped_compat", "funnel_mapped",
+            O.funnel_mapped_sql("year", group=GROUP, lender=LENDER, compat_days=True, compat_widen=True),
+            extra={"compat_days": (O.D.CALENDAR_START, O.D.CALENDAR_END), "compat_widen": True},
+            group_by="year", group=GROUP, lender=LENDER)
 
 
 # --------------------------------------------------------------------------
 # modular steps of the latest report (group mode)
 # --------------------------------------------------------------------------
 
-def _step(name: str, step, sql_cte: str, cols: list[str]):
+def _funnel_cte(select: str, **kw) -> str:
+    """A query over the report's CTEs instead of its final SELECT."""
+    return O.with_fixtures(select, O.funnel_parts(**kw)[0])
+
+
+def _step(name: str, step, cols: dict[str, tuple[str, str]]):
+    """cols: output column -> (metric of the check SQL, type)."""
     p = fn.FunnelParams(group=GROUP)
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from ledgerlens.functions.calendar import collect_months, month_fields
+        from ledgerlens.functions.calendar import month_fields
         from pyspark.sql import functions as F
-        inp = fn.FunnelInputs.from_tables(Tables(spark, sf_dir))
-        months = [r[0] for r in collect_months(fn.filtered_moments(inp, p))]
-        s = step(inp, p, months)
+        inp = fn.report_inputs(fn.FunnelInputs.from_tables(Tables(spark, sf_dir)), p)
+        s = step(inp, p, [r[0] for r in fn.report_months(p)])
         return s.select(*month_fields(F.col("year_month")),
                         F.col("fkey").alias("facility_used_by_id"),
-                        *[F.col(c).cast(t).alias(c) for c, t in cols])
+                        *[F.col(c).cast(t).alias(c) for c, (_, t) in cols.items()])
 
-    body = (f"SELECT m.year_month, m.year, m.month, m.quarter, m.year_quarter, "
-            f"s.fkey AS facility_used_by_id, "
-            f"{', '.join(f'CAST(s.{c} AS {t}) AS {c}' for c, t in cols)} "
-            f"FROM {sql_cte} s JOIN FilteredMoments m ON s.year_month = m.year_month")
-    full = O.funnel_sql(group=GROUP)
-    # reuse the report's CTEs; replace its final SELECT with the step's
-    sql = full[: full.rindex("\nSELECT ")] + "\n" + body
-    register(name, sql)(q)
+    metrics = [m for m, _ in cols.values()]
+    register(name, _funnel_cte(
+        f"SELECT months.*, k AS facility_used_by_id, {', '.join(f'CAST({m} AS {t}) AS {c}' for c, (m, t) in cols.items())} "
+        f"FROM (SELECT k, ym, {O._turned(metrics)} FROM by_month WHERE metric IN ({', '.join(map(repr, metrics))}) GROUP BY k, ym) "
+        f"JOIN months ON months.year_month = ym", group=GROUP))(q)
 
 
-_step("step_applications", fn.step_applications, "Applications",
-      [("accept_val", "decimal(18,2)"), ("accept", "bigint"), ("decline", "bigint"),
-       ("pending", "bigint"), ("proposed", "bigint")])
-_step("step_paids", fn.step_paids, "Paids",
-      [("advance", "decimal(18,2)"), ("advance_count", "bigint"), ("commission", "decimal(18,2)")])
-_step("step_ecof", fn.step_ecof, "Ecof", [("ecof_count", "bigint"), ("ecof_advance", "decimal(18,2)")])
-_step("step_budget", fn.step_budget, "Budget", [("budget", "decimal(18,2)")])
+_step("step_applications", fn.step_applications,
+      {"accept_val": ("accept_val", "decimal(18,2)"), "accept": ("accept", "bigint"), "decline": ("decline", "bigint"),
+       "pending": ("pending", "bigint"), "proposed": ("proposed", "bigint")})
+_step("step_paids", fn.step_paids, {"advance": ("advance", "decimal(18,2)"), "advance_count": ("advance_count", "bigint"),
+                                    "commission": ("commission", "decimal(18,2)")})
+_step("step_ecof", fn.step_ecof, {"ecof_count": ("ecof_count", "bigint"), "ecof_advance": ("ecof_advance", "decimal(18,2)")})
+_step("step_budget", fn.step_budget, {"budget": ("budget", "decimal(18,2)")})
 
 
-@register("step_facilities", O.funnel_sql(group=GROUP)[: O.funnel_sql(group=GROUP).rindex("\nSELECT ")]
-          + "\nSELECT facility_used_by_id, facility_used_by_name FROM Facilities")
+@register("step_facilities", _funnel_cte("SELECT id AS facility_used_by_id, name AS facility_used_by_name FROM places", group=GROUP))
 def q_step_facilities(spark, sf_dir):
     inp = fn.FunnelInputs.from_tables(Tables(spark, sf_dir))
     return fn.facilities(inp, fn.FunnelParams(group=GROUP)).select("facility_used_by_id", "facility_used_by_name")
 
 
-@register("report_name", O.funnel_sql(facility=FACILITY, lender=LENDER)[
-    : O.funnel_sql(facility=FACILITY, lender=LENDER).rindex("\nSELECT ")]
-    + f"\nSELECT facility_used_by_name || ' : ' || '{LENDER}' AS report_name FROM Facilities")
+@register("report_name", _funnel_cte(f"SELECT name || ' : {LENDER}' AS report_name FROM places", facility=FACILITY, lender=LENDER))
 def q_report_name(spark, sf_dir):
     from pyspark.sql import functions as F
     inp = fn.FunnelInputs.from_tables(Tables(spark, sf_dir))
@@ -122,29 +148,47 @@ def q_report_name(spark, sf_dir):
 # calendar
 # --------------------------------------------------------------------------
 
-def _cal(spark, sf_dir):
-    from ledgerlens.functions import calendar as C
-    return C, C.moment(Tables(spark, sf_dir))
-
-
-@register("moment_calendar", O.with_fixtures("SELECT * FROM moment"))
+@register("moment_calendar", O.with_fixtures(
+    "SELECT m.*, CAST(coalesce(n, 0) AS BIGINT) AS orders FROM moment m "
+    "LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM orders GROUP BY 1) o USING (date)"))
 def q_moment_calendar(spark, sf_dir):
-    return _cal(spark, sf_dir)[1]
-
-
-def _period_query(name, period, fname):
-    @register(name, O.with_fixtures(O.period_sql(period) + " ORDER BY year_month"))
+    """Every day of the calendar with its orders."""
+    from pyspark.sql import functions as F
+    from ledgerlens.functions import calendar as C
+    D = O.D
+    o = D.in_window(Tables(spark, sf_dir).orders.select("o_orderdate"), "o_orderdate",
+                    (D.CALENDAR_START, C.month_start(D.CALENDAR_END, 1)))
+    o = o.groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count(F.lit(1)).alias("n"))
+    return (C.calendar_days(spark, D.CALENDAR_START, D.CALENDAR_END).join(o, "date", "left")
+            .select("date", "year", "month", "day", "quarter", "year_month", "year_quarter", F.coalesce("n", F.lit(0)).alias("orders")))
+
+
+def _period_query(name, period, as_of=O.AS_OF):
+    """Every month of the period with its orders."""
+    @register(name, O.with_fixtures(
+        f"SELECT m.*, CAST(coalesce(n, 0) AS BIGINT) AS orders FROM ({O.period_sql(period, as_of)}) m LEFT JOIN "
+        f"(SELECT strftime(o_orderdate, '%Y-%m') AS year_month, count(*) AS n FROM orders GROUP BY 1) o USING (year_month) "
+        f"ORDER BY year_month"))
     def q(spark, sf_dir):
-        C, cal = _cal(spark, sf_dir)
-        return getattr(C, fname)(cal, O.AS_OF).orderBy("year_month")
+        from pyspark.sql import functions as F
+        from ledgerlens.functions import calendar as C
+        bounds = C.period_bounds(period, as_of, O.D.CALENDAR_END)
+        o = O.D.in_window(Tables(spark, sf_dir).orders.select("o_orderdate"), "o_orderdate", bounds)
+        o = o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("year_month")).agg(F.count(F.lit(1)).alias("n"))
+        return (C.months_frame(spark, *bounds).join(o, "year_month", "left")
+                .select(*C.MONTH_COLUMNS, F.coalesce("n", F.lit(0)).alias("orders")).orderBy("year_month"))
     return q
 
 
-_period_query("moment_c12m", "C12M", "period_c12m")
-_period_query("moment_l12m", "L12M", "period_l12m")
-_period_query("moment_p12m", "P12M", "period_p12m")
-_period_query("moment_rolling", "ROLLING", "period_rolling")
-_period_query("moment_last4y", "LAST4Y", "last_4_years")
+_period_query("moment_c12m", "C12M")
+_period_query("moment_l12m", "L12M")
+_period_query("moment_p12m", "P12M")
+_period_query("moment_rolling", "ROLLING")
+_period_query("moment_last4y", "LAST4Y")
+# after the data's end: the months are there all the same
+_LATER = __import__("datetime").date(2002, 6, 15)
+_period_query("moment_l12m_later", "L12M", _LATER)
+_period_query("moment_c12m_later", "C12M", _LATER)
 
 
 @register("moment_from_data", O.with_fixtures(O.period_sql(None) + " ORDER BY year_month"))
@@ -165,12 +209,26 @@ def q_parse_year_month(spark, sf_dir):
 
 
 @register("grain_mapping", O.with_fixtures(
-    "SELECT DISTINCT year_month, year_quarter AS group_value FROM (" + O.period_sql("L12M") + ") m"))
+    "SELECT DISTINCT year_month, year_month[:4] || '-' || ((CAST(year_month[6:] AS INTEGER) + 2) // 3) AS group_value "
+    "FROM application_facts"))
 def q_grain_mapping(spark, sf_dir):
+    """Grain value of every month that has applications."""
+    from pyspark.sql import functions as F
+    from ledgerlens.functions import calendar as C
+    m = fn.FunnelInputs.from_tables(Tables(spark, sf_dir)).applications.select("year_month").distinct()
+    return m.select(*C.month_fields(F.col("year_month"))).select("year_month", C.grain_value("year_quarter").alias("group_value"))
+
+
+@register("join_calendar", O.with_fixtures(
+    "SELECT f.facility_used_by_id, m.date AS calendar_date, CAST(sum(f.accept) AS BIGINT) AS accept "
+    "FROM application_facts f JOIN moment m ON f.year = m.year AND f.month = m.month AND m.day = 1 GROUP BY ALL"))
+def q_join_calendar(spark, sf_dir):
     from pyspark.sql import functions as F
-    C, cal = _cal(spark, sf_dir)
-    m = C.period_l12m(cal, O.AS_OF)
-    return m.select("year_month", C.grain_value("year_quarter").alias("group_value")).distinct()
+    from ledgerlens.functions import calendar as C
+    from ledgerlens.operators.facts import on_calendar
+    a = fn.FunnelInputs.from_tables(Tables(spark, sf_dir)).applications
+    a = a.groupBy("facility_used_by_id", "year", "month").agg(F.sum("accept").cast("bigint").alias("accept"))
+    return on_calendar(a, C.calendar_days(spark, O.D.CALENDAR_START, O.D.CALENDAR_END)).select("facility_used_by_id", "calendar_date", "accept")
 
 
 # --------------------------------------------------------------------------
@@ -215,7 +273,7 @@ _monthly("rolling_12m", "rolling_12m", O.rolling_sql(facility=FACILITY, totals=F
 _monthly("rolling_12m_totals", "rolling_12m", O.rolling_sql(group=GROUP, lender=LENDER),
          group=GROUP, lender=LENDER)
 _monthly("rolling_last4y", "rolling_12m", O.rolling_sql(group=GROUP, rolling=False),
-         group=GROUP, rolling=False)
+         group=GROUP, rolling=False, until=O.D.CALENDAR_END)
 _monthly("monthly_applications", "monthly_applications", O.monthly_applications_sql(group=GROUP),
          group=GROUP)
 _monthly("monthly_applications_l12m", "monthly_applications",
@@ -240,7 +298,8 @@ def q_application_summary(spark, sf_dir):
     from ledgerlens.operators.summaries import application_summary
     from ledgerlens.sources import domain
     t = Tables(spark, sf_dir)
-    return application_summary(domain.account(t), domain.application_mth(t), O.AS_OF, _prev_month())
+    return application_summary(domain.account(t), domain.application_mth(t, window=domain.upload_window(_prev_month())),
+                               O.AS_OF, _prev_month())
 
 
 @register("application_summary_all", O.with_fixtures(O.application_summary_sql(None)))
@@ -255,7 +314,9 @@ def _paid_summary(spark, sf_dir):
     from ledgerlens.operators.summaries import paid_summary
     from ledgerlens.sources import domain
     t = Tables(spark, sf_dir)
-    return paid_summary(domain.account(t), domain.paid_mth(t, with_product=True),
+    from ledgerlens.functions.calendar import month_start
+    month = first_day(_prev_month())
+    return paid_summary(domain.account(t), domain.paid_mth(t, with_product=True, window=(month, month_start(month, 1))),
                         domain.lender_product_code(t), O.AS_OF, _prev_month())
 
 
@@ -361,9 +422,8 @@ def _apps_pair(spark, sf_dir):
 def _paids_pair(spark, sf_dir):
     L, D = _loaders()
     t = Tables(spark, sf_dir)
-    target = L.latest_per_key(D.paid_mth(t, D.FEED_CUTOFF, with_product=True).select(*O.PAIDS_COLS),
-                              "id", O.PAIDS_ORDER)
-    staged = L.latest_per_key(L.stage_paids(D.tb_paids_feed(t)).select(*O.PAIDS_COLS), "id", O.PAIDS_ORDER)
+    target = D.paid_mth(t, D.FEED_CUTOFF, with_product=True).select(*O.PAIDS_COLS)
+    staged = L.stage_paids(D.tb_paids_feed(t)).select(*O.PAIDS_COLS)
     return L, target, staged
 
 
@@ -620,7 +680,7 @@ def q_join_spine(spark, sf_dir):
     from pyspark.sql import functions as F
     from ledgerlens.functions import calendar as C
     inp = _inp(spark, sf_dir)
-    m = C.last_4_years(inp.calendar, O.AS_OF).select("year_month")
+    m = C.months_frame(spark, *C.period_bounds("LAST4Y", O.AS_OF, O.D.CALENDAR_END)).select("year_month")
     p = (inp.paids.filter(F.col("facility_used_by_id") == FACILITY).groupBy("year_month")
          .agg(F.sum("advance").alias("advance"), F.sum("advance_count").alias("advance_count")))
     return m.join(p, "year_month", "left").select(
@@ -628,38 +688,36 @@ def q_join_spine(spark, sf_dir):
         F.col("advance_count").cast("bigint").alias("advance_count"))
 
 
-@register("cross_facility_moment", O.funnel_sql(group=GROUP)[: O.funnel_sql(group=GROUP).rindex("\nSELECT ")]
-          + "\nSELECT f.facility_used_by_id, f.facility_used_by_name, m.g AS moment FROM Spine m CROSS JOIN Facilities f")
+@register("cross_facility_moment", _funnel_cte(
+    "SELECT id AS facility_used_by_id, name AS facility_used_by_name, g AS moment FROM places, shares", group=GROUP))
 def q_cross_facility_moment(spark, sf_dir):
-    from ledgerlens.functions import calendar as C
-    inp = _inp(spark, sf_dir)
-    p = fn.FunnelParams(group=GROUP)
-    rows = C.collect_months(fn.filtered_moments(inp, p))
-    vals = fn._spine_values(rows, p.group_by, False)
     from pyspark.sql import functions as F
-    return fn.facilities(inp, p).select("facility_used_by_id", "facility_used_by_name",
-                                        F.explode(F.array(*[F.lit(v) for v in vals])).alias("moment"))
+    inp, p = _inp(spark, sf_dir), fn.FunnelParams(group=GROUP)
+    return fn.facilities(inp, p).select("facility_used_by_id", "facility_used_by_name", F.explode(fn.spine_moments(inp, p)).alias("moment"))
+
+
+_TWO_MONTHS = ["1999-05", "1999-06"]
 
 
 @register("paid_by_lender_exists", O.with_fixtures(f"""
-    SELECT dl.facility_lender, dl.facility_used_by_id, m.ym AS year_month,
-           CAST(COALESCE(SUM(p.advance), 0) AS DECIMAL(18,2)) AS advance_total,
-           CAST(COUNT(DISTINCT p.id) AS BIGINT) AS advance_count
-    FROM (SELECT DISTINCT facility_lender, facility_used_by_id FROM account WHERE facility_used_by_id = '{FACILITY}') dl
-    CROSS JOIN (SELECT unnest(['1999-05', '1999-06']) AS ym) m
-    LEFT JOIN paid_mth p ON EXISTS (SELECT 1 FROM account a WHERE a.facility_code = p.facility_code
-                                    AND a.facility_lender = dl.facility_lender
-                                    AND a.facility_used_by_id = dl.facility_used_by_id)
-         AND p.year_month = m.ym
-    GROUP BY 1, 2, 3"""))
+    SELECT facility_lender, facility_used_by_id, year_month, CAST(coalesce(total, 0) AS DECIMAL(18,2)) AS advance_total,
+           CAST(coalesce(n, 0) AS BIGINT) AS advance_count
+    FROM (SELECT DISTINCT facility_lender, facility_used_by_id, unnest({_TWO_MONTHS}) AS year_month FROM account
+          WHERE facility_used_by_id = '{FACILITY}')
+    LEFT JOIN (
+      SELECT c.facility_lender, c.facility_used_by_id, p.year_month, sum(p.advance) AS total, count(DISTINCT p.id) AS n
+      FROM (SELECT facility_code, facility_lender, facility_used_by_id FROM account GROUP BY ALL) c JOIN paid_mth p USING (facility_code)
+      WHERE p.year_month IN ({', '.join(map(repr, _TWO_MONTHS))}) GROUP BY ALL) d USING (facility_lender, facility_used_by_id, year_month)"""))
 def q_paid_by_lender_exists(spark, sf_dir):
     from pyspark.sql import functions as F
     from ledgerlens.sources import domain
     t = Tables(spark, sf_dir)
     acc = domain.account(t).filter(F.col("facility_used_by_id") == FACILITY)
-    months = ["1999-05", "1999-06"]
+    from ledgerlens.functions.calendar import month_start
+    months = _TWO_MONTHS
+    window = (first_day(months[0]), month_start(first_day(months[-1]), 1))
     cmap = acc.select("facility_code", "facility_lender", "facility_used_by_id").distinct()
-    p = domain.paid_mth(t).filter(F.col("year_month").isin(months)).join(cmap, "facility_code")
+    p = domain.paid_mth(t, window=window).filter(F.col("year_month").isin(months)).join(cmap, "facility_code")
     g = p.groupBy("facility_lender", "facility_used_by_id", "year_month").agg(
         F.sum("advance").alias("advance_total"), F.count_distinct("id").alias("advance_count"))
     spine = acc.select("facility_lender", "facility_used_by_id").distinct() \
@@ -679,9 +737,7 @@ def q_distinct_aggs(spark, sf_dir):
     from pyspark.sql import functions as F
     from ledgerlens.functions import calendar as C
     from ledgerlens.sources import domain
-    inp = _inp(spark, sf_dir)
-    months = [r[0] for r in C.collect_months(C.period_l12m(inp.calendar, O.AS_OF))]
-    p = domain.paid_mth(Tables(spark, sf_dir)).filter(F.col("year_month").isin(months))
+    p = domain.paid_mth(Tables(spark, sf_dir), window=C.period_bounds("L12M", O.AS_OF))
     return p.groupBy("year_month").agg(
         F.sum("advance").cast("decimal(18,2)").alias("advance_sum"),
         F.sum_distinct("advance").cast("decimal(18,2)").alias("advance_sum_distinct"),

@@ -27,7 +27,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import calendar as cal_fn
@@ -67,6 +67,7 @@ class FunnelParams:
     compat_fanout: bool = False      # reproduce the grain fan-out literally
     lender_on_ecof: bool = True      # early versions ignored the lender for eCOF
     drop_empty: bool | None = None   # default: per-facility group mode
+    spine: str = "applications"      # "union": months with any fact, not only those with applications
 
     def validate(self) -> "FunnelParams":
         if self.period is not None and self.period not in cal_fn.PERIODS:
@@ -74,24 +75,20 @@ class FunnelParams:
         cal_fn.check_grain(self.group_by)
         if self.budget_agg not in ("sum", "max"):
             raise ValueError("budget_agg must be 'sum' or 'max'")
+        if self.spine not in ("applications", "union"):
+            raise ValueError("spine must be 'applications' or 'union'")
         return self
 
 
-_INPUTS: dict = {}
-
-
 @dataclasses.dataclass
 class FunnelInputs:
-    """Lazy inputs of the funnel: calendar, account and the four fact views."""
+    """Lazy inputs of the funnel: account and the four fact views."""
     spark: SparkSession
-    calendar: DataFrame
     account: DataFrame
     applications: DataFrame
     paids: DataFrame
     ecof: DataFrame
     budget: DataFrame
-    # small planning results (month lists, EXISTS guards) of this input set
-    memo: dict = dataclasses.field(default_factory=dict)
     tables: Tables | None = None
     as_of: dt.date = domain.AS_OF
 
@@ -103,39 +100,19 @@ class FunnelInputs:
         values are sums over whole years."""
         if self.tables is None:
             return self
-        key = ("window", lo, hi)
-        if key not in self.memo:
-            t, acc, cal = self.tables, self.account, self.calendar
-            w = (lo, hi)
-            self.memo[key] = FunnelInputs(
-                spark=self.spark, calendar=cal, account=acc,
-                applications=facts_op.application_facts(acc, domain.application_mth(t, window=w), cal, self.as_of),
-                paids=facts_op.paid_facts(acc, domain.paid_mth(t, window=w), cal, self.as_of),
-                ecof=facts_op.ecof_facts(acc, domain.vw_ecof_all(t, window=w), domain.account_ecof(t)),
-                budget=self.budget, memo=self.memo, tables=t, as_of=self.as_of)
-        return self.memo[key]
+        return FunnelInputs.from_tables(self.tables, self.as_of, (lo, hi))
 
     @classmethod
-    def from_tables(cls, t: Tables, as_of: dt.date = domain.AS_OF) -> "FunnelInputs":
-        """Lazy plans only (no data is read here); memoised per session,
-        directory and as-of date so repeated reports skip re-analysis."""
-        key = (id(t.spark), t.sf_dir, as_of)
-        hit = _INPUTS.get(key)
-        if hit is not None and hit.spark is t.spark:
-            return hit
-        inp = cls._build(t, as_of)
-        _INPUTS[key] = inp
-        return inp
-
-    @classmethod
-    def _build(cls, t: Tables, as_of: dt.date) -> "FunnelInputs":
-        cal = cal_fn.moment(t)
+    def from_tables(cls, t: Tables, as_of: dt.date = domain.AS_OF, window: domain.Window | None = None) -> "FunnelInputs":
+        """Lazy plans only (no data is read here). Facts start four years back
+        (from January of that year) unless ``window`` is narrower."""
         acc = domain.account(t)
+        w = window or (dt.date(as_of.year - 3, 1, 1), None)
         return cls(
-            spark=t.spark, calendar=cal, account=acc,
-            applications=facts_op.application_facts(acc, domain.application_mth(t), cal, as_of),
-            paids=facts_op.paid_facts(acc, domain.paid_mth(t), cal, as_of),
-            ecof=facts_op.ecof_facts(acc, domain.vw_ecof_all(t), domain.account_ecof(t)),
+            spark=t.spark, account=acc,
+            applications=facts_op.application_facts(acc, domain.application_mth(t, window=w), as_of),
+            paids=facts_op.paid_facts(acc, domain.paid_mth(t, window=w), as_of),
+            ecof=facts_op.ecof_facts(acc, domain.vw_ecof_all(t, window=window), domain.account_ecof(t)),
             budget=facts_op.budget_facts(acc, domain.paid_budget(t)),
             tables=t, as_of=as_of,
         )
@@ -146,15 +123,17 @@ class FunnelInputs:
 # --------------------------------------------------------------------------
 
 def filtered_moments(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
-    return cal_fn.filtered_moments(inp.calendar, p.as_of, p.period, inp.applications, inp.paids)
+    return cal_fn.filtered_moments(inp.spark, p.as_of, p.period, inp.applications, inp.paids)
+
 
+def report_months(p: FunnelParams) -> list[tuple] | None:
+    """The period's month rows, from its parameters; None: those in the data."""
+    return None if p.period is None else cal_fn.month_list(*cal_fn.period_bounds(p.period, p.as_of))
 
-def report_months(inp: FunnelInputs, p: FunnelParams) -> list[tuple]:
-    """The period's month rows (bounded, size-checked), once per input set."""
-    key = ("months", p.period, p.as_of)
-    if key not in inp.memo:
-        inp.memo[key] = cal_fn.collect_months(filtered_moments(inp, p))
-    return inp.memo[key]
+
+def report_inputs(inp: FunnelInputs, p: FunnelParams) -> FunnelInputs:
+    """The inputs, with the period's window on the fact scans."""
+    return inp if p.period is None else inp.windowed(*cal_fn.period_bounds(p.period, p.as_of))
 
 
 def _group_mode(p: FunnelParams) -> bool:
@@ -168,21 +147,18 @@ def facilities(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
     placeholder when the group is unknown. Otherwise one row: the facility's
     legal name, or the default company label.
     """
-    spark = inp.spark
     if _group_mode(p):
         f = inp.account.filter(F.col("facility_used_by_report_group_id") == p.group)
         if p.facility is not None:
             f = f.filter(F.col("facility_used_by_id") == p.facility)
         f = f.select(F.col("facility_used_by_id").alias("fkey"), "facility_used_by_id",
                      F.col("facility_used_by_trading_style").alias("facility_used_by_name")).distinct()
-        # EXISTS guard: reads at most one row (once per input set)
-        key = ("facilities_exist", p.group, p.facility)
-        if key not in inp.memo:
-            inp.memo[key] = f.limit(1).count() > 0
-        if not inp.memo[key]:
-            return spark.createDataFrame([(ALL_KEY, None, UNKNOWN_GROUP)],
-                                         "fkey string, facility_used_by_id string, facility_used_by_name string")
-        return f
+        # NOT EXISTS guard, in the plan: the placeholder stands where no row does
+        some = f.limit(1).agg(F.count(F.lit(1))).scalar()
+        placeholder = inp.spark.range(1).filter(some == 0).select(
+            F.lit(ALL_KEY).alias("fkey"), F.lit(None).cast("string").alias("facility_used_by_id"),
+            F.lit(UNKNOWN_GROUP).alias("facility_used_by_name"))
+        return f.unionByName(placeholder)
     return report_name_frame(inp, p).select(
         F.lit(ALL_KEY).alias("fkey"), F.lit(p.facility).cast("string").alias("facility_used_by_id"),
         F.col("name").alias("facility_used_by_name"))
@@ -224,11 +200,11 @@ def _fkey(p: FunnelParams):
     return F.col("facility_used_by_id") if _group_mode(p) else F.lit(ALL_KEY)
 
 
-def _in_months(df: DataFrame, months: list[str]) -> DataFrame:
-    return df.filter(F.col("year_month").isin(months))
+def _in_months(df: DataFrame, months: list[str] | None) -> DataFrame:
+    return df if months is None else df.filter(F.col("year_month").isin(months))
 
 
-def step_applications(inp: FunnelInputs, p: FunnelParams, months: list[str]) -> DataFrame:
+def step_applications(inp: FunnelInputs, p: FunnelParams, months: list[str] | None) -> DataFrame:
     a = _in_months(_scope(inp.applications, p, "facility_used_by_report_group_id"), months)
     return a.groupBy("year_month", _fkey(p).alias("fkey")).agg(
         F.sum("accept_val").cast("decimal(18,2)").alias("accept_val"),
@@ -238,7 +214,7 @@ def step_applications(inp: FunnelInputs, p: FunnelParams, months: list[str]) ->
         F.sum(F.col("accept") + F.col("decline")).cast("bigint").alias("proposed"))
 
 
-def step_paids(inp: FunnelInputs, p: FunnelParams, months: list[str]) -> DataFrame:
+def step_paids(inp: FunnelInputs, p: FunnelParams, months: list[str] | None) -> DataFrame:
     x = _in_months(_scope(inp.paids, p, "facility_used_by_report_group_id"), months)
     g = x.groupBy("year_month", _fkey(p).alias("fkey")).agg(
         F.sum("advance").cast("decimal(18,2)").alias("advance"),
@@ -247,29 +223,31 @@ def step_paids(inp: FunnelInputs, p: FunnelParams, months: list[str]) -> DataFra
     return g.withColumn("commission_rate_avg", ratio("commission", "advance", "decimal(18,4)"))
 
 
-def step_ecof(inp: FunnelInputs, p: FunnelParams, months: list[str]) -> DataFrame:
+def step_ecof(inp: FunnelInputs, p: FunnelParams, months: list[str] | None) -> DataFrame:
     e = _in_months(_scope(inp.ecof, p, "report_group_id", lender=p.lender_on_ecof), months)
     return e.groupBy("year_month", _fkey(p).alias("fkey")).agg(
         F.sum("ecof_count").cast("bigint").alias("ecof_count"),
         F.sum("ecof_advance").cast("decimal(18,2)").alias("ecof_advance"))
 
 
-def step_budget(inp: FunnelInputs, p: FunnelParams, months: list[str]) -> DataFrame:
+def step_budget(inp: FunnelInputs, p: FunnelParams, months: list[str] | None) -> DataFrame:
     b = _in_months(_scope(inp.budget, p, "facility_used_by_report_group_id"), months)
     agg = F.sum if p.budget_agg == "sum" else F.max
     return b.groupBy("year_month", _fkey(p).alias("fkey")).agg(
         agg("budget").cast("decimal(18,2)").alias("budget"))
 
 
-def monthly_result(inp: FunnelInputs, p: FunnelParams, months: list[str]) -> DataFrame:
+def monthly_result(inp: FunnelInputs, p: FunnelParams, months: list[str] | None) -> DataFrame:
     """Facts per (year_month, fkey), hanging off applications (months with
-    paid/eCOF/budget but no applications are absent, as in the reference)."""
+    paid/eCOF/budget but no applications are absent, as in the reference) or,
+    with ``spine="union"``, off whatever fact there is."""
     keys = ["year_month", "fkey"]
+    how = "left" if p.spine == "applications" else "full_outer"
     r = (step_applications(inp, p, months)
-         .join(step_paids(inp, p, months).drop("commission_rate_avg"), keys, "left")
-         .join(step_ecof(inp, p, months), keys, "left"))
+         .join(step_paids(inp, p, months).drop("commission_rate_avg"), keys, how)
+         .join(step_ecof(inp, p, months), keys, how))
     if p.include_budget:
-        r = r.join(step_budget(inp, p, months), keys, "left")
+        r = r.join(step_budget(inp, p, months), keys, how)
     return r
 
 
@@ -282,39 +260,25 @@ def _grain_of_month(group_by: str):
             "year_quarter": F.concat(y, F.lit("-"), q.cast("string"))}[group_by]
 
 
-def _spine_values(month_rows: list[tuple], group_by: str, fanout: bool) -> list[str]:
-    idx = cal_fn.MONTH_COLUMNS.index(group_by)
-    vals = [str(r[idx]) for r in month_rows]
-    if fanout:
-        return vals
-    return sorted(set(vals))
+def spine_moments(inp: FunnelInputs, p: FunnelParams) -> Column:
+    """Array of the report's grain values: each once, or (fan-out) once for
+    every month that has it. Months of the data come as a scalar subquery; there
+    are twelve of them a year."""
+    months = report_months(p)
+    if months is None:
+        every = F.collect_list if p.compat_fanout else F.collect_set
+        return filtered_moments(inp, p).agg(F.array_sort(every(cal_fn.grain_value(p.group_by)))).scalar()
+    values = [str(r[cal_fn.MONTH_COLUMNS.index(p.group_by)]) for r in months]
+    return F.array(*(F.lit(v) for v in (values if p.compat_fanout else sorted(set(values)))))
 
 
-def assemble(inp: FunnelInputs, p: FunnelParams, month_rows: list[tuple]) -> DataFrame:
-    """Spine (facility x moment) LEFT JOIN facts rolled up to the grain."""
-    months = [r[0] for r in month_rows]
-    r = monthly_result(inp, p, months).withColumn("moment", _grain_of_month(p.group_by))
-    sums = [F.sum(c).alias(c) for c in
-            ("ecof_count", "ecof_advance", "proposed", "accept", "accept_val", "decline",
-             "pending", "advance_count", "advance", "commission")]
-    sums.append(F.sum(F.col("accept") + F.col("decline")).alias("acc_dec"))
-    if p.include_budget:
-        sums.append(F.sum("budget").alias("budget"))
-    rg = r.groupBy("fkey", "moment").agg(*sums)
+SUMS = ["ecof_count", "ecof_advance", "proposed", "accept", "accept_val", "decline", "pending",
+        "advance_count", "advance", "commission"]
 
-    values = _spine_values(month_rows, p.group_by, p.compat_fanout)
-    fac = facilities(inp, p)
-    spine = fac.select("fkey", "facility_used_by_id", "facility_used_by_name",
-                       F.explode(F.array(*[F.lit(v) for v in values]) if values
-                                 else F.array().cast("array<string>")).alias("moment"))
-    j = spine.join(rg, ["fkey", "moment"], "left")
-    if p.compat_fanout:
-        # the spine repeats a grain value once per month: sums multiply
-        again = [F.sum(c).alias(c) for c in rg.columns if c not in ("fkey", "moment")]
-        j = j.groupBy("fkey", "facility_used_by_id", "facility_used_by_name", "moment").agg(*again)
 
+def report_measures(include_budget: bool) -> list[Column]:
+    """The report's columns from the summed facts, ``moment`` first."""
     out = [
-        report_name(F.col("facility_used_by_name"), p.lender).alias("report_name"),
         F.col("moment"),
         F.col("ecof_count").cast("bigint").alias("ecof_count"),
         F.col("ecof_advance").cast("decimal(18,2)").alias("ecof_advance"),
@@ -331,10 +295,34 @@ def assemble(inp: FunnelInputs, p: FunnelParams, month_rows: list[tuple]) -> Dat
         F.col("commission").cast("decimal(18,2)").alias("commission_val"),
         ratio("commission", "advance", "decimal(18,4)").alias("commission_rate_avg"),
     ]
-    if p.include_budget:
+    if include_budget:
         out += [F.col("budget").cast("decimal(18,2)").alias("budget"),
                 ratio("advance", "budget", "decimal(18,6)").alias("budget_rate")]
-    res = j.select(*out, F.col("facility_used_by_id").alias("_fid"))
+    return out
+
+
+def assemble(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
+    """Spine (facility x moment) LEFT JOIN facts rolled up to the grain."""
+    rows = report_months(p)
+    months = None if rows is None else [r[0] for r in rows]
+    r = monthly_result(inp, p, months).withColumn("moment", _grain_of_month(p.group_by))
+    sums = [F.sum(c).alias(c) for c in SUMS]
+    sums.append(F.sum(F.col("accept") + F.col("decline")).alias("acc_dec"))
+    if p.include_budget:
+        sums.append(F.sum("budget").alias("budget"))
+    rg = r.groupBy("fkey", "moment").agg(*sums)
+
+    fac = facilities(inp, p)
+    spine = fac.select("fkey", "facility_used_by_id", "facility_used_by_name",
+                       F.explode(spine_moments(inp, p)).alias("moment"))
+    j = spine.join(rg, ["fkey", "moment"], "left")
+    if p.compat_fanout:
+        # the spine repeats a grain value once per month: sums multiply
+        again = [F.sum(c).alias(c) for c in rg.columns if c not in ("fkey", "moment")]
+        j = j.groupBy("fkey", "facility_used_by_id", "facility_used_by_name", "moment").agg(*again)
+
+    res = j.select(report_name(F.col("facility_used_by_name"), p.lender).alias("report_name"),
+                   *report_measures(p.include_budget), F.col("facility_used_by_id").alias("_fid"))
     drop = p.drop_empty if p.drop_empty is not None else _group_mode(p)
     if drop:
         res = res.filter(any_positive([c for c in NONEMPTY if c in res.columns]))
@@ -344,19 +332,75 @@ def assemble(inp: FunnelInputs, p: FunnelParams, month_rows: list[tuple]) -> Dat
 def funnel(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
     """The report; sorted by report name then moment (numeric grains as numbers)."""
     p.validate()
-    month_rows = report_months(inp, p)
-    if p.period is not None and month_rows:
-        first, last = month_rows[0], month_rows[-1]
-        lo = dt.date(first[1], first[2], 1)
-        hi = cal_fn.month_start(dt.date(last[1], last[2], 1), 1)
-        inp = inp.windowed(lo, hi)
-    res = assemble(inp, p, month_rows)
+    res = assemble(report_inputs(inp, p), p)
     return (res.orderBy("report_name", cal_fn.grain_sort_key(p.group_by), "_fid")
                .drop("_fid"))
 
 
+def funnel_cases(inp: FunnelInputs, cases: dict[int, FunnelParams]) -> DataFrame:
+    """The reports of several parameter sets at once, tagged ``case_id``.
+
+    Each fact is scanned and summed to (month, facility, group, lender) once,
+    however many cases there are; the sums are then dealt out to the cases that
+    select them (an array of cases per row, exploded). Cases have budgets and a
+    period of their own; ``period=None`` and the fan-out are not supported here."""
+    for p in cases.values():
+        p.validate()
+        if p.period is None or p.compat_fanout or not p.include_budget or p.spine != "applications":
+            raise ValueError("funnel_cases needs a period, budgets, and neither fan-out nor the union spine")
+    bounds = [cal_fn.period_bounds(p.period, p.as_of) for p in cases.values()]
+    inp = inp.windowed(min(b[0] for b in bounds), max(b[1] for b in bounds))
+    month = F.col("year_month")
+
+    def dealt(facts: DataFrame, group_col: str, aggs: dict, ecof: bool = False) -> DataFrame:
+        keys = [F.col("year_month"), F.col("facility_used_by_id"), F.col(group_col).alias("grp"), F.upper("facility_lender").alias("lender")]
+        once = facts.groupBy(*keys).agg(*(f(c).alias(c) for c, f in aggs.items()))
+        takes = []
+        for k, p in cases.items():
+            own = month.isin([r[0] for r in report_months(p)])
+            if p.group is not None:
+                own &= F.col("grp") == p.group
+            if p.facility is not None:
+                own &= F.col("facility_used_by_id") == p.facility
+            if p.lender is not None and (p.lender_on_ecof or not ecof):
+                own &= F.col("lender") == F.upper(F.lit(p.lender))
+            takes.append(F.when(own, F.struct(F.lit(k).alias("case_id"), _fkey(p).alias("fkey"))))
+        some = F.filter(F.array(*takes), lambda x: x.isNotNull())
+        return once.withColumn("to", F.explode(some)).select("year_month", "to.case_id", "to.fkey", *aggs).groupBy(
+            "year_month", "case_id", "fkey").agg(*(f(c).alias(c) for c, f in aggs.items()))
+
+    keys = ["year_month", "case_id", "fkey"]
+    apps = inp.applications.withColumn("proposed", F.col("accept") + F.col("decline"))
+    r = (dealt(apps, "facility_used_by_report_group_id", dict.fromkeys(("accept_val", "accept", "decline", "pending", "proposed"), F.sum))
+         .join(dealt(inp.paids, "facility_used_by_report_group_id", dict.fromkeys(("advance", "advance_count", "commission"), F.sum)), keys, "left")
+         .join(dealt(inp.ecof, "report_group_id", dict.fromkeys(("ecof_count", "ecof_advance"), F.sum), ecof=True), keys, "left")
+         .join(dealt(inp.budget.withColumn("budget_max", F.col("budget")), "facility_used_by_report_group_id",
+                     {"budget": F.sum, "budget_max": F.max}), keys, "left"))
+
+    def per_case(value) -> Column:
+        out = F.lit(None)
+        for k, p in cases.items():
+            out = F.when(F.col("case_id") == k, value(p)).otherwise(out)
+        return out
+
+    r = r.withColumn("moment", per_case(lambda p: _grain_of_month(p.group_by)))
+    r = r.withColumn("budget", per_case(lambda p: F.col("budget" if p.budget_agg == "sum" else "budget_max").cast("decimal(18,2)")))
+    r = r.withColumn("acc_dec", F.col("accept") + F.col("decline"))
+    rg = r.groupBy("case_id", "fkey", "moment").agg(*(F.sum(c).alias(c) for c in (*SUMS, "acc_dec", "budget")))
+    spine = None
+    for k, p in cases.items():
+        own = facilities(inp, p).select(
+            F.lit(k).alias("case_id"), "fkey", "facility_used_by_id",
+            report_name(F.col("facility_used_by_name"), p.lender).alias("report_name"), F.explode(spine_moments(inp, p)).alias("moment"))
+        spine = own if spine is None else spine.unionByName(own)
+    res = spine.join(rg, ["case_id", "fkey", "moment"], "left").select("case_id", "report_name", *report_measures(True))
+    drop = [k for k, p in cases.items() if (p.drop_empty if p.drop_empty is not None else _group_mode(p))]
+    return res.filter(~F.col("case_id").isin(drop) | any_positive(NONEMPTY)) if drop else res
+
+
 def funnel_text(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
-    """Funnel with text columns (money as '£' + N0, rates as text).
+    """Funnel with text columns (money as '£' + N0, rates as text). The lender
+    filter does not apply to quotes in this version.
 
     Text is formatted from the report's sums (not from the rounded averages),
     so '£' averages and the N2 commission rate round once."""
@@ -365,7 +409,7 @@ def funnel_text(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
     def q(n, d):
         return F.when(F.col(d) > 0, F.col(n).cast("decimal(28,8)") / F.col(d).cast("decimal(28,8)"))
 
-    r = funnel(inp, dataclasses.replace(p, include_budget=False))
+    r = funnel(inp, dataclasses.replace(p, include_budget=False, lender_on_ecof=False))
     return r.select(
         "report_name", F.col("moment").alias("group_by"), "ecof_count", "ecof_advance",
         money_text("ecof_advance").alias("ecof_advance_text"),

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import calendar as cal_fn
@@ -87,58 +87,57 @@ def _paids_by_month(inp, facility, group, lender, lender_strict=False, loose=Fal
 
 
 def rolling_12m(inp: FunnelInputs, as_of: dt.date, facility=None, group=None, lender=None,
-                rolling: bool = True, totals: bool = True) -> DataFrame:
-    """Rolling 12 months (or last four years) with a TOTAL row."""
-    months = (cal_fn.period_rolling if rolling else cal_fn.last_4_years)(inp.calendar, as_of) \
-        .select("year_month")
+                rolling: bool = True, totals: bool = True, until: dt.date | None = None,
+                compat_totals: bool = False) -> DataFrame:
+    """Rolling 12 months (or last four years) with a TOTAL row.
+
+    The TOTAL row is a grouping set of the month-sized frame, so months and
+    total come of one pass. ``compat_totals``: without totals, the row is
+    there all the same, all NULL but its label (defect D9)."""
+    lo, hi = cal_fn.period_bounds("ROLLING" if rolling else "LAST4Y", as_of, until)
+    months = cal_fn.months_frame(inp.spark, lo, hi).select("year_month")
+    inp = inp.windowed(lo, hi)
     a = _apps_by_month(inp, facility, group, lender)
     p = _paids_by_month(inp, facility, group, lender)
     r = months.join(a, "year_month", "left").join(p.drop("commission", "commission_rate_avg"),
                                                    "year_month", "left")
-    r = r.select(
-        "year_month", "accept_val",
-        ratio("accept_val", "accept", "decimal(18,2)").alias("accept_average"),
-        (F.col("accept") + F.col("decline")).alias("proposed"), "accept",
-        pct_int("accept", F.col("accept") + F.col("decline")).alias("accept_rate"),
-        "advance", "advance_count",
-        ratio("advance", "advance_count", "decimal(18,2)").alias("advance_average"))
+    r = r.withColumn("proposed", F.col("accept") + F.col("decline"))
+    sums = [F.sum(c).cast(r.schema[c].dataType).alias(c) for c in ("proposed", "accept", "accept_val", "advance_count", "advance")]
+    grouped = r.rollup("year_month").agg(F.grouping("year_month").alias("is_total"), *sums)
+    total = F.col("is_total") == 1
+    if not totals:
+        grouped = grouped.filter(~total)
+
+    def average(value: str, count: str) -> Column:
+        of_sums = F.when(F.col(count) != 0, F.col(value).cast("decimal(28,8)") / F.col(count).cast("decimal(28,8)"))
+        return F.when(total, money_text(of_sums)).otherwise(money_text(ratio(value, count, "decimal(18,2)")))
+
     # one-row global aggregate used as a scalar subquery (computed once)
     name = report_name_any(inp, facility, group, lender).scalar()
-    detail = r.select(
-        name.alias("report_name"), "year_month", "proposed", "accept",
+    out = grouped.select(
+        name.alias("report_name"), F.when(total, F.lit(TOTAL_LABEL)).otherwise(F.col("year_month")).alias("year_month"),
+        "proposed", "accept",
         money_text("accept_val").alias("accept_val"),
-        money_text("accept_average").alias("accept_average"),
-        int_pct_text("accept_rate").alias("accept_rate"),
+        average("accept_val", "accept").alias("accept_average"),
+        F.when(total, int_pct_text(int_div_pct("accept", "proposed")))
+         .otherwise(int_pct_text(pct_int("accept", F.col("proposed")))).alias("accept_rate"),
         "advance_count",
         money_text("advance").alias("advance"),
-        money_text("advance_average").alias("advance_average"))
-    out = detail
-    if totals:
-        t = r.agg(F.sum("proposed").alias("proposed"), F.sum("accept").alias("accept"),
-                  F.sum("accept_val").alias("accept_val"), F.sum("advance_count").alias("advance_count"),
-                  F.sum("advance").alias("advance"))
-        tot = t.select(
-            name.alias("report_name"), F.lit(TOTAL_LABEL).alias("year_month"), "proposed", "accept",
-            money_text("accept_val").alias("accept_val"),
-            money_text(F.when(F.col("accept") != 0, F.col("accept_val").cast("decimal(28,8)")
-                              / F.col("accept").cast("decimal(28,8)"))).alias("accept_average"),
-            int_pct_text(int_div_pct("accept", "proposed")).alias("accept_rate"),
-            "advance_count",
-            money_text("advance").alias("advance"),
-            money_text(F.when(F.col("advance_count") != 0, F.col("advance").cast("decimal(28,8)")
-                              / F.col("advance_count").cast("decimal(28,8)"))).alias("advance_average"))
-        out = detail.unionByName(tot)
+        average("advance", "advance_count").alias("advance_average"))
+    if not totals and compat_totals:
+        empty = inp.spark.range(1).select(*(
+            (F.lit(TOTAL_LABEL) if f.name == "year_month" else F.lit(None)).cast(f.dataType).alias(f.name) for f in out.schema))
+        out = out.unionByName(empty)
     return out.orderBy("year_month")
 
 
 def monthly_applications(inp: FunnelInputs, as_of: dt.date, facility=None, group=None, lender=None,
                          l12m: bool = False) -> DataFrame:
     """Months present in both applications and paid deals."""
+    if l12m:  # whole months, so the window is the filter
+        inp = inp.windowed(*cal_fn.period_bounds("L12M", as_of))
     a = _apps_by_month(inp, facility, group, lender)
     p = _paids_by_month(inp, facility, group, lender, lender_strict=True)
-    if l12m:
-        m = cal_fn.period_l12m(inp.calendar, as_of).select("year_month")
-        a, p = a.join(m, "year_month"), p.join(m, "year_month")
     j = a.join(p, "year_month")
     name = report_name_any(inp, facility, group, lender).scalar()
     return j.select(
@@ -159,8 +158,9 @@ def monthly_period(inp: FunnelInputs, as_of: dt.date, period: str | None = "L12M
                    facility=None, group=None, lender=None) -> DataFrame:
     """Every month of the period, with commission and the average of the
     monthly commission rates (rates are averaged, not recomputed)."""
-    months = cal_fn.filtered_moments(inp.calendar, as_of, period, inp.applications, inp.paids) \
-        .select("year_month")
+    months = cal_fn.filtered_moments(inp.spark, as_of, period, inp.applications, inp.paids).select("year_month")
+    if period is not None:
+        inp = inp.windowed(*cal_fn.period_bounds(period, as_of))
     a = _apps_by_month(inp, facility, group, lender, loose=True).join(months, "year_month")
     p = _paids_by_month(inp, facility, group, lender, loose=True).join(months, "year_month")
     res = a.join(p, "year_month", "left").select(

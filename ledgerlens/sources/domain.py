@@ -33,7 +33,7 @@ from ledgerlens.sources.tables import Tables
 
 # Fixed parameters of the derived model (both engines use these).
 AS_OF = dt.date(1999, 7, 15)          # "today" for every period computation
-CALENDAR_START = dt.date(1995, 1, 1)   # daily calendar covers the data
+CALENDAR_START = dt.date(1995, 1, 1)   # bounds of the daily calendar
 CALENDAR_END = dt.date(2001, 12, 31)
 FEED_CUTOFF = dt.date(1999, 1, 1)      # date of the earlier load
 UNSETTLED_DAYS = 90                    # rows this recent were unsettled at load
@@ -54,12 +54,18 @@ def year_month_of(year: Column, month: Column) -> Column:
     return F.format_string("%04d-%02d", year, month)
 
 
-def in_window(c: str, window: tuple[dt.date, dt.date] | None) -> Column | None:
-    """``lo <= c < hi`` on a raw date column, so it reaches the parquet scan."""
-    if window is None:
-        return None
-    lo, hi = window
-    return (F.col(c) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(c) < F.lit(hi).cast("timestamp_ntz"))
+Window = tuple[dt.date | None, dt.date | None]
+
+
+def in_window(df: DataFrame, c: str, window: Window | None) -> DataFrame:
+    """Rows with ``lo <= c < hi`` of a raw date column (an open end is None),
+    so the bounds reach the parquet scan."""
+    lo, hi = window or (None, None)
+    if lo is not None:
+        df = df.filter(F.col(c) >= F.lit(lo).cast("timestamp_ntz"))
+    if hi is not None:
+        df = df.filter(F.col(c) < F.lit(hi).cast("timestamp_ntz"))
+    return df
 
 
 # --------------------------------------------------------------------------
@@ -119,16 +125,22 @@ def _orders_as_loaded(t: Tables, as_loaded: dt.date | None) -> DataFrame:
                           .otherwise(F.col("o_orderstatus"))))
 
 
+def upload_window(month: str) -> Window:
+    """Order dates of the applications uploaded in ``month`` (``YYYY-MM``):
+    those of the month before, as uploads follow a month's end by three days."""
+    from ledgerlens.functions.calendar import month_start
+    first = dt.date(int(month[:4]), int(month[5:]), 1)
+    return month_start(first, -1), first
+
+
 def application_mth(t: Tables, as_loaded: dt.date | None = None,
-                    window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+                    window: Window | None = None) -> DataFrame:
     """Applications per facility code x business month.
 
     ``upload_date`` is three days after the month end, so the computed
     ``year_month`` (upload month) is the month after the business month.
     """
-    o = _orders_as_loaded(t, as_loaded)
-    if window is not None:
-        o = o.filter(in_window("o_orderdate", window))
+    o = in_window(_orders_as_loaded(t, as_loaded), "o_orderdate", window)
     st = F.col("o_orderstatus")
     amt = money("o_totalprice")
 
@@ -159,19 +171,16 @@ def application_mth(t: Tables, as_loaded: dt.date | None = None,
 
 
 def paid_mth(t: Tables, as_loaded: dt.date | None = None,
-             with_product: bool = False, window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
-    """One paid deal per line item (``id`` is not unique in this data).
+             with_product: bool = False, window: Window | None = None) -> DataFrame:
+    """One paid deal per line item. Order and line number are not unique in
+    this data, so ``id`` is a digest of the whole row.
 
     ``commission`` is not in the reference's DDL; reports read it, so it is
     derived as ``advance * return_rate`` rounded to pence.
     """
-    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
-            "l_discount", "l_tax", "l_returnflag", "l_shipdate"]
-    if with_product:
-        cols.append("l_partkey")
-    li = t.lineitem.select(*cols)
-    if window is not None:
-        li = li.filter(in_window("l_shipdate", window))
+    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    li = in_window(t.lineitem.select(*cols), "l_shipdate", window)
     o = t.orders.select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     advance = money("l_extendedprice").cast("decimal(10,0)")
@@ -190,7 +199,10 @@ def paid_mth(t: Tables, as_loaded: dt.date | None = None,
     y = F.year("l_shipdate")
     m = F.month("l_shipdate")
     out = [
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        F.conv(F.left(F.md5(F.concat_ws(
+            "|", _s("l_orderkey"), _s("l_linenumber"), _s("l_partkey"), _s("l_suppkey"), _s(money("l_quantity")),
+            _s(money("l_extendedprice")), _s(money("l_discount")), _s(money("l_tax")), "l_returnflag", "l_linestatus",
+            F.date_format("l_shipdate", "yyyy-MM-dd")).cast("binary")), F.lit(15)), 16, 10).cast("bigint").alias("id"),
         F.col("l_linenumber").cast("smallint").alias("lender_id"),
         _s("o_custkey").alias("facility_code"),
         F.concat(F.lit("Branch "), _s("o_custkey")).alias("upload_legal_name"),
@@ -230,12 +242,11 @@ def paid_budget(t: Tables) -> DataFrame:
              .agg(qsum(1).alias("q1"), qsum(2).alias("q2"), qsum(3).alias("q3"), qsum(4).alias("q4")))
 
 
-def vw_ecof_all(t: Tables, window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+def vw_ecof_all(t: Tables, window: Window | None = None) -> DataFrame:
     """One quote (eCOF) document per order; '5-LOW' quotes are cash deals,
     '4-NOT SPECIFIED' have no funding option recorded."""
     o = t.orders.select("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    if window is not None:
-        o = o.filter(in_window("o_orderdate", window))
+    o = in_window(o, "o_orderdate", window)
     c = t.customer.select("c_custkey", "c_mktsegment")
     j = o.join(c, o.o_custkey == c.c_custkey)
     pr = F.col("o_orderpriority")
