@@ -2,15 +2,15 @@
 and upsert by id.
 
 Without a table format there is no MERGE on parquet; an upsert is one
-full-outer join on the key producing the next snapshot, written to a new
-path (``write_snapshot``) - readers switch to it only after it is complete.
+full-outer join on the key producing the next snapshot, to be written to a
+new path; readers switch to it only after it is complete.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # feed column -> (target column, type)
@@ -65,16 +65,6 @@ def stage_paids(tb_paids: DataFrame) -> DataFrame:
     return with_business_month(stage(tb_paids, PAIDS_MAPPING))
 
 
-def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row per key: the row with the greatest ``order`` tuple.
-
-    An aggregate (``max_by``) rather than a window, so it combines map-side
-    and a hot key is reduced before the shuffle."""
-    cols = [c for c in df.columns if c != key]
-    best = F.max_by(F.struct(*cols), F.struct(*order)).alias("_r")
-    return df.groupBy(key).agg(best).select(key, "_r.*").select(*df.columns)
-
-
 def changed(cols: list[str], null_safe: bool = False, t: str = "t", s: str = "s") -> Column:
     """Any listed column differs. With ``<>`` semantics (default) a
     NULL on either side is *not* a change."""
@@ -98,12 +88,27 @@ def upsert_new(target: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     return staged.join(target.select(key), key, "left_anti")
 
 
+def one_per_key(staged: DataFrame, key: str, latest: list[str] | None = None) -> DataFrame:
+    """Staged rows with one row per key. With ``latest``, that of the greatest
+    such columns stays (a redelivered row); without, a repeated key raises.
+    The window needs the partitioning and order that the join by key needs, so
+    it adds no shuffle."""
+    w = Window.partitionBy(key)
+    if latest is not None:
+        order = [F.col(c).desc_nulls_last() for c in latest]
+        return staged.withColumn("_n", F.row_number().over(w.orderBy(*order))).filter("_n = 1").drop("_n")
+    n = F.count(F.lit(1)).over(w)
+    guard = F.when(n > 1, F.raise_error(F.concat(F.lit(f"staged rows repeat {key} "), F.col(key).cast("string"))).cast("boolean"))
+    return staged.withColumn("_ok", F.coalesce(guard, F.lit(True))).filter("_ok").drop("_ok")
+
+
 def upsert(target: DataFrame, staged: DataFrame, key: str, cols: list[str],
-           null_safe: bool = False) -> DataFrame:
+           null_safe: bool = False, latest: list[str] | None = None) -> DataFrame:
     """Next snapshot: changed rows take the staged values, unchanged and
     target-only rows keep theirs, new keys are inserted. One full outer
-    join on the key, plus a ``_op`` column (updated/inserted/kept)."""
-    t, s = target.alias("t"), staged.alias("s")
+    join on the key, plus a ``_op`` column (updated/inserted/kept). Staged
+    rows that repeat a key: see ``one_per_key``."""
+    t, s = target.alias("t"), one_per_key(staged, key, latest).alias("s")
     j = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
     in_t, in_s = F.col(f"t.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
     upd = in_t & in_s & changed(cols, null_safe)
@@ -122,12 +127,6 @@ def upsert_counts(merged: DataFrame, table: str) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("rows_total"))
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
-    """Write the next snapshot to a fresh path (atomic for readers that
-    switch paths only after success)."""
-    df.write.mode("errorifexists").parquet(path)
-
-
 # --------------------------------------------------------------------------
 # JSON payloads of the older month loader
 # --------------------------------------------------------------------------
@@ -139,25 +138,34 @@ JSON_TYPES = [("date", "date"), ("branch_id", "string"), ("branch_upload_name",
               ("decline", "int"), ("advance", "decimal(9,2)")]
 
 
+BAD_HEADER = "Invalid JSON format: Date or Lender ID is missing or incorrect."
+
+
+def _elements(docs: DataFrame, col: str) -> DataFrame:
+    """Payloads as arrays; raises if a payload's first element has no date or lender."""
+    parsed = docs.select(F.from_json(F.col(col), JSON_ELEMENT).alias("es"))
+    first = F.get("es", F.lit(0))
+    ok = first.getField("date").cast("date").isNotNull() & first.getField("lender_id").cast("int").isNotNull()
+    return parsed.select(F.when(F.coalesce(ok, F.lit(False)), F.col("es")).otherwise(F.raise_error(F.lit(BAD_HEADER))).alias("es"))
+
+
 def json_rows(docs: DataFrame, col: str = "payload") -> DataFrame:
     """Explode JSON array payloads into typed rows (missing field -> NULL,
-    bad value -> error under ANSI casts)."""
-    e = docs.select(F.explode(F.from_json(F.col(col), JSON_ELEMENT)).alias("e"))
+    bad value or bad header -> error)."""
+    e = _elements(docs, col).select(F.explode("es").alias("e"))
     return e.select(*[F.col(f"e.{k}").cast(t).alias(k) for k, t in JSON_TYPES])
 
 
 def json_header(docs: DataFrame, col: str = "payload") -> DataFrame:
     """First element's (date, lender_id) per payload; raises if either is NULL."""
-    first = F.element_at(F.from_json(F.col(col), JSON_ELEMENT), 1)
-    d, lid = first.getField("date").cast("date"), first.getField("lender_id").cast("int")
-    ok = d.isNotNull() & lid.isNotNull()
-    return docs.select(F.when(ok, d).otherwise(F.raise_error(F.lit("JSON header has no date or lender_id"))
-                                               .cast("date")).alias("date"),
-                       lid.alias("lender_id"))
+    first = F.get("es", F.lit(0))
+    return _elements(docs, col).select(first.getField("date").cast("date").alias("date"),
+                                       first.getField("lender_id").cast("int").alias("lender_id"))
 
 
-def replace_slice(target: DataFrame, payload: DataFrame, keys: list[str]) -> DataFrame:
-    """Delete target rows whose keys appear in the payload, then insert the
+def replace_slice(target: DataFrame, payload: DataFrame, keys: list[str], named: DataFrame | None = None) -> DataFrame:
+    """Delete target rows whose keys appear in the payload (or only those
+    that ``named`` lists, as ``json_header`` gives them), then insert the
     payload (a key set, not the rows, is shuffled against the target)."""
-    k = payload.select(*keys).distinct()
+    k = (payload if named is None else named).select(*keys).distinct()
     return target.join(k, keys, "left_anti").unionByName(payload)

@@ -3,15 +3,13 @@
 ``reconcile_rows``: one row per (key, metric) that differs - or per key that
 only one version has - with baseline, comparison, difference (6 dp) and
 percent change (2 dp; NULL on a zero or missing base).
-``reconcile_summary``: row counts and difference counts per test case and a
-MATCH / DIFF verdict. Both are single Spark jobs (full outer join on the
-keys + generator unpivot); nothing is compared on the driver.
+``reconcile_summary``: row counts, difference counts over all shared columns and a
+MATCH / DIFF verdict. ``reconcile_except``: the symmetric difference of whole
+rows, duplicates counted. All are single Spark jobs; nothing is compared on the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,52 +42,54 @@ def reconcile_rows(baseline: DataFrame, comparison: DataFrame, keys: list[str] |
     return out.filter((F.col("status") != "Present") | ~b.eqNullSafe(c))
 
 
-def reconcile_summary(baseline: DataFrame, comparison: DataFrame, keys: list[str] | None = None,
-                      metrics: list[str] | None = None) -> DataFrame:
-    """Counts from one full outer join of the two versions (each version is
-    computed once): rows per side, keys on one side only, metric cells that
-    differ, and the verdict."""
-    keys = keys or DEFAULT_KEYS
-    metrics = metrics or DEFAULT_METRICS
-    missing_cols = sorted(set(metrics) - set(comparison.columns))
-    extra_cols = sorted(set(comparison.columns) - set(baseline.columns))
-    shared = [m for m in metrics if m in comparison.columns and m in baseline.columns]
-    j = _side(baseline, keys, shared, "a").join(_side(comparison, keys, shared, "b"), keys, "full_outer")
+def reconcile_except(baseline: DataFrame, comparison: DataFrame) -> DataFrame:
+    """Rows that one version has more often than the other, over all columns,
+    with ``source``: which one."""
+    cols = baseline.columns
+    tagged = lambda a, b, tag: a.select(*cols).exceptAll(b.select(*cols)).select("*", F.lit(tag).alias("source"))
+    return tagged(baseline, comparison, "baseline").unionByName(tagged(comparison, baseline, "comparison"))
+
+
+def _compared(baseline: list[str], comparison: list[str], keys: list[str]) -> tuple[list[str], list[str], list[str]]:
+    """(columns that both have, missing from the comparison, extra in it)."""
+    return ([c for c in baseline if c in comparison and c not in keys],
+            sorted(set(baseline) - set(comparison)), sorted(set(comparison) - set(baseline)))
+
+
+def summary_by(joined: DataFrame, shared: list[str], missing: list[str], extra: list[str], by: list[str]) -> DataFrame:
+    """Counts and verdict of a full outer join of two versions (columns a_*,
+    b_* and the flags _a, _b), per group of ``by``."""
     both = F.col("_a").isNotNull() & F.col("_b").isNotNull()
-    diffs = sum((F.when(both & ~F.col(f"a_{m}").eqNullSafe(F.col(f"b_{m}")), 1).otherwise(0)
-                 for m in shared), F.lit(0))
-    g = j.agg(F.count("_a").alias("na"), F.count("_b").alias("nb"),
-              F.count(F.when(~both, 1)).alias("rows_missing"), F.sum(diffs).alias("value_diffs"))
-    vd = F.coalesce(F.col("value_diffs"), F.lit(0))
-    return g.select(
-        F.col("na").cast("bigint").alias("baseline_rows"), F.col("nb").cast("bigint").alias("comparison_rows"),
-        F.col("rows_missing").cast("bigint").alias("rows_missing"), vd.cast("bigint").alias("value_diffs"),
-        F.lit(",".join(missing_cols)).alias("missing_columns"),
-        F.lit(",".join(extra_cols)).alias("extra_columns"),
-        F.when((F.col("rows_missing") == 0) & (vd == 0) & (F.col("na") == F.col("nb"))
-               & F.lit(not missing_cols), "MATCH").otherwise("DIFF").alias("verdict"))
-
-
-def run_cases(cases: list[dict], build: Callable[..., DataFrame], id_col: str = "test_id") -> DataFrame:
-    """Run a report once per parameter row and tag the results.
-
-    The loop is over the (small) parameter list only; each case is a lazy
-    plan and the union runs as one job."""
-    out = None
-    for case in cases:
-        params = {k: v for k, v in case.items() if k != id_col}
-        df = build(**params).withColumn(id_col, F.lit(case[id_col]))
-        out = df if out is None else out.unionByName(df)
-    return out
-
-
-def reconcile_cases(cases: list[dict], baseline: Callable[..., DataFrame],
-                    comparison: Callable[..., DataFrame], id_col: str = "test_id") -> DataFrame:
-    """One summary row per case: baseline version vs comparison version."""
-    out = None
-    for case in cases:
-        params = {k: v for k, v in case.items() if k != id_col}
-        s = reconcile_summary(baseline(**params), comparison(**params)).select(
-            F.lit(case[id_col]).alias(id_col), "*")
-        out = s if out is None else out.unionByName(s)
-    return out
+    differs = lambda cs: sum((F.when(both & ~F.col(f"a_{m}").eqNullSafe(F.col(f"b_{m}")), 1).otherwise(0) for m in cs), F.lit(0))
+    named = [m for m in DEFAULT_METRICS if m in shared]
+    g = joined.groupBy(*by).agg(
+        F.count("_a").alias("baseline_rows"), F.count("_b").alias("comparison_rows"), F.count(F.when(~both, 1)).alias("rows_missing"),
+        F.coalesce(F.sum(differs(named)), F.lit(0)).cast("bigint").alias("value_diffs"),
+        F.coalesce(F.sum(differs([m for m in shared if m not in named])), F.lit(0)).cast("bigint").alias("other_diffs"))
+    same = ((F.col("rows_missing") == 0) & (F.col("value_diffs") == 0) & (F.col("other_diffs") == 0)
+            & (F.col("baseline_rows") == F.col("comparison_rows")) & F.lit(not missing))
+    return g.select(*by, "baseline_rows", "comparison_rows", "rows_missing", "value_diffs", "other_diffs",
+                    F.lit(",".join(missing)).alias("missing_columns"), F.lit(",".join(extra)).alias("extra_columns"),
+                    F.when(same, "MATCH").otherwise("DIFF").alias("verdict"))
+
+
+def _flagged(df: DataFrame, keys: list[str], cols: list[str], tag: str) -> DataFrame:
+    return df.select(*keys, *(F.col(c).alias(f"{tag}_{c}") for c in cols), F.lit(True).alias(f"_{tag}"))
+
+
+def reconcile_summary(baseline: DataFrame, comparison: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """One row: rows per side, keys on one side only, cells that differ
+    (``value_diffs``: of the named metrics, ``other_diffs``: of all other shared columns),
+    columns only one side has, and the verdict over all of it."""
+    keys = keys or DEFAULT_KEYS
+    shared, missing, extra = _compared(baseline.columns, comparison.columns, keys)
+    j = _flagged(baseline, keys, shared, "a").join(_flagged(comparison, keys, shared, "b"), keys, "full_outer")
+    return summary_by(j, shared, missing, extra, [])
+
+
+def reconcile_cases(baseline: DataFrame, comparison: DataFrame, id_col: str = "case_id", keys: list[str] | None = None) -> DataFrame:
+    """One summary row per case, from two frames that hold all cases."""
+    keys = [id_col, *(keys or DEFAULT_KEYS)]
+    shared, missing, extra = _compared(baseline.columns, comparison.columns, keys)
+    j = _flagged(baseline, keys, shared, "a").join(_flagged(comparison, keys, shared, "b"), keys, "full_outer")
+    return summary_by(j, shared, missing, extra, [id_col])

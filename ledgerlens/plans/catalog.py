@@ -272,6 +272,8 @@ _monthly("rolling_12m", "rolling_12m", O.rolling_sql(facility=FACILITY, totals=F
          facility=FACILITY, totals=False)
 _monthly("rolling_12m_totals", "rolling_12m", O.rolling_sql(group=GROUP, lender=LENDER),
          group=GROUP, lender=LENDER)
+_monthly("rolling_12m_compat_totals", "rolling_12m", O.rolling_sql(facility=FACILITY, totals=False, compat_totals=True),
+         facility=FACILITY, totals=False, compat_totals=True)
 _monthly("rolling_last4y", "rolling_12m", O.rolling_sql(group=GROUP, rolling=False),
          group=GROUP, rolling=False, until=O.D.CALENDAR_END)
 _monthly("monthly_applications", "monthly_applications", O.monthly_applications_sql(group=GROUP),
@@ -310,6 +312,15 @@ def q_application_summary_all(spark, sf_dir):
     return application_summary(domain.account(t), domain.application_mth(t), O.AS_OF, None)
 
 
+@register("application_summary_sums", O.with_fixtures(O.application_summary_sql(_prev_month(), counts="SUM")))
+def q_application_summary_sums(spark, sf_dir):
+    from ledgerlens.operators.summaries import application_summary
+    from ledgerlens.sources import domain
+    t = Tables(spark, sf_dir)
+    return application_summary(domain.account(t), domain.application_mth(t, window=domain.upload_window(_prev_month())),
+                               O.AS_OF, _prev_month(), counts="sum")
+
+
 def _paid_summary(spark, sf_dir):
     from ledgerlens.operators.summaries import paid_summary
     from ledgerlens.sources import domain
@@ -325,34 +336,74 @@ def q_paid_summary(spark, sf_dir):
     return _paid_summary(spark, sf_dir)
 
 
-@register("paid_summary_phase", O.paid_phase_sql(_prev_month()))
-def q_paid_summary_phase(spark, sf_dir):
-    from ledgerlens.operators.summaries import paid_summary_phase
-    return paid_summary_phase(_paid_summary(spark, sf_dir), _prev_month())
+def _phase_query(name, product):
+    @register(name, O.paid_phase_sql(_prev_month(), product))
+    def q(spark, sf_dir):
+        from ledgerlens.operators.summaries import paid_summary_phase
+        return paid_summary_phase(_paid_summary(spark, sf_dir), _prev_month(), product)
+    return q
 
 
-@register("summary_gate", O.summary_gate_sql(_prev_month(), O.D.FEED_CUTOFF))
-def q_summary_gate(spark, sf_dir):
-    from ledgerlens.operators.summaries import application_summary, summary_gate
-    from ledgerlens.sources import domain
-    t = Tables(spark, sf_dir)
-    loaded = application_summary(domain.account(t), domain.application_mth(t, domain.FEED_CUTOFF),
-                                 O.AS_OF, None)
-    return summary_gate(domain.application_mth(t), loaded, _prev_month())
+_phase_query("paid_summary_phase", "FPP")            # no such product here: second phase
+_phase_query("paid_summary_phase_first", "Brand#13")
+
 
+def _gate(kind, spark, sf_dir, month, truncate_first=False):
+    """Gate of a loader whose summary holds the months of the earlier load."""
+    from ledgerlens.functions.calendar import month_start
+    from ledgerlens.operators.summaries import application_summary, paid_summary, summary_gate
+    D, t, first = O.D, Tables(spark, sf_dir), first_day(month)
+    acc = D.account(t)
+    if kind == "apps":
+        w = D.upload_window(month)
+        source, earlier = D.application_mth(t, window=w), D.application_mth(t, D.FEED_CUTOFF, window=w)
+        done = application_summary(acc, earlier, O.AS_OF, month)
+    else:
+        w = (first, month_start(first, 1))
+        source = D.paid_mth(t, window=w)
+        done = paid_summary(acc, D.paid_mth(t, D.FEED_CUTOFF, with_product=True, window=w), D.lender_product_code(t), O.AS_OF, month)
+    return summary_gate(source, done, month, truncate_first)
+
+
+def _gate_query(name, kind, month):
+    @register(name, O.summary_gate_sql(kind, month, O.D.FEED_CUTOFF))
+    def q(spark, sf_dir):
+        return _gate(kind, spark, sf_dir, month)
+    return q
 
-_LOG_APP = "set_application_mth_summary"
 
+_gate_query("summary_gate", "apps", _prev_month())
+_gate_query("summary_gate_done", "apps", "1998-06")
+_gate_query("summary_gate_no_source", "apps", "2010-01")
+_gate_query("paid_summary_gate", "paids", _prev_month())
+_gate_query("paid_summary_gate_done", "paids", "1998-06")
 
-@register("job_log", O.job_log_sql(_LOG_APP, _prev_month(),
-                                   __import__("datetime").datetime.combine(O.AS_OF, __import__("datetime").time())))
-def q_job_log(spark, sf_dir):
-    import datetime as dt
-    from ledgerlens.operators.summaries import application_summary, job_log
-    from ledgerlens.sources import domain
-    t = Tables(spark, sf_dir)
-    s = application_summary(domain.account(t), domain.application_mth(t), O.AS_OF, _prev_month())
-    return job_log(s, _LOG_APP, _prev_month(), dt.datetime.combine(O.AS_OF, dt.time()))
+_STARTED = __import__("datetime").datetime(1999, 7, 15, 2, 0, 0)
+_FINISHED = __import__("datetime").datetime(1999, 7, 15, 2, 3, 5)
+
+
+def _log_query(name, kind, month, **kw):
+    @register(name, O.job_log_sql(kind, month, _STARTED, _FINISHED, O.D.FEED_CUTOFF, **kw))
+    def q(spark, sf_dir):
+        from ledgerlens.operators import summaries as S
+        from ledgerlens.sources import domain as D
+        t = Tables(spark, sf_dir)
+        gate = _gate(kind, spark, sf_dir, month, kw.get("truncate_first", False))
+        if kind == "apps":
+            s = S.application_summary(D.account(t), D.application_mth(t, window=D.upload_window(month)), O.AS_OF, month)
+            return S.job_log(s, gate, "set_application_mth_summary", "application_mth_summary", month, _STARTED, _FINISHED, **kw)
+        s = _paid_summary(spark, sf_dir)
+        return S.job_log(s, gate, "set_paid_mth_summary", "paid_mth_summary", month, _STARTED, _FINISHED,
+                         phase=S.paid_summary_phase(s, month), **kw)
+    return q
+
+
+_log_query("job_log", "apps", _prev_month())
+_log_query("job_log_done", "apps", "1998-06")
+_log_query("job_log_no_source", "apps", "2010-01")
+_log_query("job_log_truncate", "apps", "1998-06", truncate_first=True)
+_log_query("job_log_error", "apps", _prev_month(), error="deadlock")
+_log_query("job_log_paid", "paids", _prev_month())
 
 
 # --------------------------------------------------------------------------
@@ -382,6 +433,13 @@ def q_notifications_user(spark, sf_dir):
     return notifications(n, u, O.D.NOTIFICATIONS_NOW, EMAIL)
 
 
+@register("notifications_flag_none", O.notifications_flag_sql(O.D.NOTIFICATIONS_NOW, None))
+def q_notifications_flag_none(spark, sf_dir):
+    from ledgerlens.plans.notifications import has_notifications
+    n, u = _crm(spark, sf_dir)
+    return has_notifications(n, u, O.D.NOTIFICATIONS_NOW, None)
+
+
 @register("notifications_flag", O.notifications_flag_sql(O.D.NOTIFICATIONS_NOW, EMAIL))
 def q_notifications_flag(spark, sf_dir):
     from ledgerlens.plans.notifications import has_notifications
@@ -472,8 +530,19 @@ def q_replace_slice(spark, sf_dir):
     L, D = _loaders()
     t = Tables(spark, sf_dir)
     target = L.json_rows(D.application_month_json(t, until=D.FEED_CUTOFF))
-    payload = L.json_rows(D.application_month_json(t, since=D.FEED_CUTOFF - dt.timedelta(days=_OVERLAP)))
-    return L.replace_slice(target, payload, ["date", "lender_id"])
+    docs = D.application_month_json(t, since=D.FEED_CUTOFF - dt.timedelta(days=_OVERLAP))
+    return L.replace_slice(target, L.json_rows(docs), ["date", "lender_id"])
+
+
+@register("replace_slice_first", O.replace_slice_sql(O.D.FEED_CUTOFF, _OVERLAP, first_only=True))
+def q_replace_slice_first(spark, sf_dir):
+    """Only the slice that each payload's first element names is replaced."""
+    import datetime as dt
+    L, D = _loaders()
+    t = Tables(spark, sf_dir)
+    target = L.json_rows(D.application_month_json(t, until=D.FEED_CUTOFF))
+    docs = D.application_month_json(t, since=D.FEED_CUTOFF - dt.timedelta(days=_OVERLAP))
+    return L.replace_slice(target, L.json_rows(docs), ["date", "lender_id"], named=L.json_header(docs))
 
 
 @register("year_month_columns", O.with_fixtures(
@@ -501,7 +570,9 @@ def _conversion(name, facility, compat):
         from ledgerlens.plans.conversion import lender_conversion
         from ledgerlens.sources import domain
         t = Tables(spark, sf_dir)
-        return lender_conversion(domain.account(t), domain.application_mth(t), domain.paid_mth(t),
+        from ledgerlens.functions.calendar import month_start
+        window = (first_day(min(CONVERSION_MONTHS)), month_start(first_day(max(CONVERSION_MONTHS)), 1))
+        return lender_conversion(domain.account(t), domain.application_mth(t, window=window), domain.paid_mth(t, window=window),
                                  CONVERSION_MONTHS, facility, compat)
     return q
 
@@ -517,12 +588,12 @@ _conversion("lender_conversion_all", None, False)
 # with each of two lenders given in lower case)
 # --------------------------------------------------------------------------
 
-RECON_CASES = [
-    {"test_id": 1, "group": GROUP},
-    {"test_id": 2, "facility": FACILITY},
-    {"test_id": 3, "facility": FACILITY, "lender": "building"},
-    {"test_id": 4, "facility": FACILITY, "lender": "machinery"},
-]
+RECON_CASES = {
+    1: {"group": GROUP},
+    2: {"facility": FACILITY},
+    3: {"facility": FACILITY, "lender": "building"},
+    4: {"facility": FACILITY, "lender": "machinery"},
+}
 
 
 def _versions(spark, sf_dir):
@@ -536,27 +607,45 @@ def _versions(spark, sf_dir):
     return older, latest
 
 
+def case_reports(spark, sf_dir, per_facility: bool, cases: dict[int, dict] = RECON_CASES):
+    """All cases' reports of a version, from one pass over the facts."""
+    inp = fn.FunnelInputs.from_tables(Tables(spark, sf_dir))
+    return fn.funnel_cases(inp, {k: fn.FunnelParams(per_facility=per_facility, **c) for k, c in cases.items()})
+
+
 def _strip_order(sql: str) -> str:
     return sql[: sql.rindex("ORDER BY")]
 
 
-@register("reconcile_rows", O.reconcile_rows_sql(_strip_order(O.funnel_sql(group=GROUP, per_facility=False)),
-                                                 _strip_order(O.funnel_sql(group=GROUP, per_facility=True))))
+def _both_sql(**case) -> tuple[str, str]:
+    return tuple(_strip_order(O.funnel_sql(per_facility=x, **case)) for x in (False, True))
+
+
+@register("reconcile_rows", O.reconcile_rows_sql(*_both_sql(group=GROUP)))
 def q_reconcile_rows(spark, sf_dir):
     from ledgerlens.operators.reconcile import reconcile_rows
     older, latest = _versions(spark, sf_dir)
     return reconcile_rows(older(group=GROUP), latest(group=GROUP))
 
 
-@register("reconcile_summary", O.reconcile_summary_sql([
-    (c["test_id"],
-     _strip_order(O.funnel_sql(per_facility=False, **{k: v for k, v in c.items() if k != "test_id"})),
-     _strip_order(O.funnel_sql(per_facility=True, **{k: v for k, v in c.items() if k != "test_id"})))
-    for c in RECON_CASES]))
+@register("reconcile_except", O.reconcile_except_sql(
+    *(_strip_order(O.funnel_sql(group=GROUP, lender=LENDER, per_facility=False, lender_on_ecof=x)) for x in (True, False))))
+def q_reconcile_except(spark, sf_dir):
+    """Versions that differ in whether the lender filters quotes."""
+    from ledgerlens.operators.reconcile import reconcile_except
+    older, _ = _versions(spark, sf_dir)
+    return reconcile_except(*(older(group=GROUP, lender=LENDER, lender_on_ecof=x) for x in (True, False)))
+
+
+@register("reconcile_summary", O.reconcile_summary_sql([(k, *_both_sql(**c)) for k, c in RECON_CASES.items()]))
 def q_reconcile_summary(spark, sf_dir):
     from ledgerlens.operators.reconcile import reconcile_cases
-    older, latest = _versions(spark, sf_dir)
-    return reconcile_cases(RECON_CASES, older, latest)
+    return reconcile_cases(case_reports(spark, sf_dir, False), case_reports(spark, sf_dir, True)).withColumnRenamed("case_id", "test_id")
+
+
+@register("run_cases", " UNION ALL ".join(f"SELECT {k} AS test_id, * FROM ({_both_sql(**c)[1]}) r{k}" for k, c in RECON_CASES.items()))
+def q_run_cases(spark, sf_dir):
+    return case_reports(spark, sf_dir, True).withColumnRenamed("case_id", "test_id")
 
 
 # --------------------------------------------------------------------------

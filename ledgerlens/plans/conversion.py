@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.filters import zero_if_null
 from ledgerlens.functions.measures import money_text
 
 
@@ -49,23 +50,21 @@ def lender_conversion(account: DataFrame, application_mth: DataFrame, paid_mth:
         c = (F.col("year") == y) & (F.col("month") == m)
         cond = c if cond is None else cond | c
 
-    # --- applications: account rows x months LEFT JOIN application_mth
-    a_rows = acc.select("facility_lender", "facility_used_by_id", "facility_code", "legal_name",
-                        "trading_style", "is_reporting",
-                        F.explode(_months_array(months)).alias("m")).select("*", "m.year", "m.month").drop("m")
+    # --- applications: summed through the code map, then put on the place x month spine
+    places = ["facility_lender", "facility_used_by_id", "legal_name", "trading_style", "is_reporting"]
+    codes = acc.select("facility_code", *places).distinct()
     apps = application_mth.filter(cond).select("facility_code", "year", "month", "decline", "accept",
                                                "accept_val", "pending")
-    j = a_rows.join(apps, ["facility_code", "year", "month"], "left")
-    vals = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("decline", "accept", "accept_val", "pending")]
-    keys = ["facility_lender", "facility_used_by_id", "year", "month", "legal_name", "trading_style",
-            "is_reporting"]
-    d = j.select(*keys, *vals)
+    d = apps.join(codes, "facility_code").drop("facility_code")
     if compat:
         d = d.distinct()
-    s = d.groupBy(*keys).agg(F.sum("decline").cast("bigint").alias("decline"),
-                             F.sum("accept").cast("bigint").alias("accept"),
-                             F.sum("accept_val").cast("decimal(18,2)").alias("accept_val"),
-                             F.sum("pending").cast("bigint").alias("pending"))
+    d = d.groupBy(*places, "year", "month").agg(*(F.sum(c).alias(c) for c in ("decline", "accept", "accept_val", "pending")))
+    place_months = acc.select(*places).distinct().select("*", F.explode(_months_array(months)).alias("m")) \
+        .select(*places, "m.year", "m.month")
+    s = place_months.join(d, [*places, "year", "month"], "left").select(
+        *places, "year", "month",
+        zero_if_null("decline").cast("bigint").alias("decline"), zero_if_null("accept").cast("bigint").alias("accept"),
+        zero_if_null("accept_val").cast("decimal(18,2)").alias("accept_val"), zero_if_null("pending").cast("bigint").alias("pending"))
     s = s.withColumn("proposed", F.col("accept") + F.col("decline"))
     a = s.select(
         "facility_lender", F.format_string("%04d-%02d", "year", "month").alias("year_month"),
@@ -95,8 +94,8 @@ def lender_conversion(account: DataFrame, application_mth: DataFrame, paid_mth:
     ps = spine.join(pg, pk, "left").select(
         "facility_lender", "facility_used_by_id",
         F.format_string("%04d-%02d", "year", "month").alias("year_month"),
-        F.coalesce(F.col("advance_total"), F.lit(0)).cast("decimal(18,2)").alias("advance_total"),
-        F.coalesce(F.col("advance_count"), F.lit(0)).cast("bigint").alias("advance_count"))
+        zero_if_null("advance_total").cast("decimal(18,2)").alias("advance_total"),
+        zero_if_null("advance_count").cast("bigint").alias("advance_count"))
     ps = ps.withColumn("advance_text", money_text("advance_total"))
 
     out = a.join(ps, ["facility_lender", "facility_used_by_id", "year_month"], "left")

@@ -413,7 +413,8 @@ def _apps_pays(facility, group, lender, lender_strict_paid=False, loose=False) -
     }
 
 
-def rolling_sql(facility=None, group=None, lender=None, rolling=True, totals=True, as_of=AS_OF) -> str:
+def rolling_sql(facility=None, group=None, lender=None, rolling=True, totals=True, as_of=AS_OF, until=None,
+                compat_totals=False) -> str:
     ctes = {"RN": _name_sql(facility, group, lender), **_apps_pays(facility, group, lender)}
     ctes["M"] = f"SELECT DISTINCT year_month FROM ({period_sql('ROLLING' if rolling else 'LAST4Y', as_of)}) x"
     ctes["R"] = """
@@ -439,7 +440,9 @@ def rolling_sql(facility=None, group=None, lender=None, rolling=True, totals=Tru
                CAST(SUM(advance_count) AS BIGINT), {n0('SUM(advance)')},
                {n0('SUM(advance) / NULLIF(SUM(advance_count), 0)')}
         FROM R"""
-    body = detail + ("\nUNION ALL\n" + total if totals else "") + "\nORDER BY year_month"
+    if compat_totals:
+        total = "SELECT NULL, 'TOTAL'" + ", NULL" * 8
+    body = detail + ("\nUNION ALL\n" + total if totals or compat_totals else "") + "\nORDER BY year_month"
     return with_fixtures(body, ctes)
 
 
@@ -500,15 +503,15 @@ SUMMARY_ACC = ("a.facility_used_by_id, a.facility_used_by_legal_name, a.facility
                "a.facility_used_by_business_manager_email")
 
 
-def application_summary_sql(month: str | None, as_of=AS_OF, source: str = "application_mth") -> str:
+def application_summary_sql(month: str | None, as_of=AS_OF, source: str = "application_mth", counts: str = "COUNT") -> str:
     where = f"WHERE app.year_month = '{month}'" if month is not None else ""
     return f"""
     SELECT {SUMMARY_ACC}, app.facility_code,
            CAST(SUM(app.accept) AS BIGINT) AS accept_count,
            CAST(SUM(COALESCE(app.accept_val, 0)) AS DECIMAL(18,2)) AS accept_total,
-           CAST(COUNT(app.decline) AS BIGINT) AS decline_count,
+           CAST({counts}(app.decline) AS BIGINT) AS decline_count,
            CAST(SUM(COALESCE(app.decline_val, 0)) AS DECIMAL(18,2)) AS decline_total,
-           CAST(COUNT(app.pending) AS BIGINT) AS pending_count,
+           CAST({counts}(app.pending) AS BIGINT) AS pending_count,
            CAST(SUM(COALESCE(app.pending_val, 0)) AS DECIMAL(18,2)) AS pending_total,
            app.year_month, {_ts(as_of)} AS last_updated
     FROM {source} app JOIN account a ON app.facility_code = a.facility_code
@@ -531,16 +534,26 @@ def paid_summary_sql(month: str, as_of=AS_OF) -> str:
 PAID_WITH_PRODUCT = {"paid_mth_p": paid_mth_sql(with_product=True)}
 
 
-def summary_gate_sql(month: str, loaded: dt.date) -> str:
-    extra = {"app_loaded": application_mth_sql(loaded)}
-    summary = application_summary_sql(None, source="app_loaded")
-    body = f"""
-    SELECT '{month}' AS year_month, src = 1 AS source_has_month, dst = 1 AS summary_has_month,
-           CASE WHEN src <> 1 THEN 'skip: no source rows for month'
-                WHEN dst = 1 THEN 'skip: summary already has month' ELSE 'load' END AS action
-    FROM (SELECT COALESCE((SELECT max(CASE WHEN year_month = '{month}' THEN 1 ELSE 0 END) FROM application_mth), 0) AS src,
-                 COALESCE((SELECT max(CASE WHEN year_month = '{month}' THEN 1 ELSE 0 END) FROM ({summary}) s), 0) AS dst) g"""
-    return with_fixtures(body, extra)
+def _gate_ctes(kind: str, month: str, loaded: dt.date) -> dict[str, str]:
+    """``gate``: the month, what source and summary have, the action."""
+    earlier = application_mth_sql(loaded) if kind == "apps" else paid_mth_sql(loaded, True)
+    source = "application_mth" if kind == "apps" else "paid_mth"
+    known = "JOIN account USING (facility_code)" + (" JOIN lender_product_code USING (product_code)" if kind == "paids" else "")
+    return {"gate": f"""
+    SELECT '{month}' AS year_month, bool_or(src) AS source_has_month, bool_or(NOT src) AS summary_has_month
+    FROM (SELECT TRUE AS src FROM {source} WHERE year_month = '{month}'
+          UNION ALL SELECT FALSE FROM ({earlier}) e {known} WHERE e.year_month = '{month}')"""}
+
+
+def _gate_action(truncate_first: bool = False) -> str:
+    done = "" if truncate_first else "WHEN summary_has_month THEN 'skip: summary already has month'"
+    return f"CASE WHEN NOT coalesce(source_has_month, FALSE) THEN 'skip: no source rows for month' {done} ELSE 'load' END"
+
+
+def summary_gate_sql(kind: str, month: str, loaded: dt.date) -> str:
+    return with_fixtures(
+        f"SELECT year_month, coalesce(source_has_month, FALSE) AS source_has_month, coalesce(summary_has_month, FALSE) AS summary_has_month, "
+        f"{_gate_action()} AS action FROM gate", _gate_ctes(kind, month, loaded))
 
 
 def paid_phase_sql(month: str, product: str = "FPP", as_of=AS_OF) -> str:
@@ -553,17 +566,31 @@ def paid_phase_sql(month: str, product: str = "FPP", as_of=AS_OF) -> str:
     return with_fixtures(body, PAID_WITH_PRODUCT)
 
 
-def job_log_sql(app: str, month: str, now: dt.datetime, as_of=AS_OF) -> str:
-    day = now.timetuple().tm_yday
-    ts = _ts(now)
+def job_log_sql(kind: str, month: str, started: dt.datetime, finished: dt.datetime, loaded: dt.date,
+                truncate_first: bool = False, error: str | None = None, as_of=AS_OF) -> str:
+    """Candidate log lines with the action they belong to; those of the gate's
+    action are shown."""
+    proc, table = (("set_application_mth_summary", "application_mth_summary") if kind == "apps"
+                   else ("set_paid_mth_summary", "paid_mth_summary"))
+    rows = application_summary_sql(month, as_of) if kind == "apps" else paid_summary_sql(month, as_of)
+    time = f"'. Execution time: {(finished - started).seconds} seconds'"
+    end = (f"('load', 'Error', 'Error occurred: {error}', {_ts(finished)})" if error else
+           f"('load', 'Success', concat('{proc} completed successfully. Rows inserted: ', (SELECT count(*) FROM made), {time}), {_ts(finished)})"
+           if kind == "apps" else
+           f"('load', 'Success', concat('{proc} ', (SELECT if(count(*) FILTER (product_code = 'FPP') > 0, 'first', 'second') FROM made), "
+           f"' phase completed successfully. Rows inserted for {month}: ', (SELECT count(*) FROM made), {time}), {_ts(finished)})")
+    change = f"Table [dbo].[{table}] truncated." if truncate_first else f"Deleted existing data for year_month: {month}"
+    ctes = _gate_ctes(kind, month, loaded) | {"made": rows}
     body = f"""
-    SELECT '{app}' AS applicationName, 'Information' AS logType, '{app} started' AS message,
-           {ts} AS dateCreated, {day} AS day, {now.month} AS month, {now.year} AS year
-    UNION ALL SELECT '{app}', 'Information', 'Deleted existing data for year_month: {month}', {ts}, {day}, {now.month}, {now.year}
-    UNION ALL SELECT '{app}', 'Success', '{app} completed successfully. Rows inserted for {month}: ' || CAST(count(1) AS VARCHAR),
-           {ts}, {day}, {now.month}, {now.year}
-    FROM ({application_summary_sql(month, as_of)}) s WHERE year_month = '{month}'"""
-    return with_fixtures(body)
+    SELECT 'Database.StoredProcedure.{proc}' AS applicationName, kind AS logType, message, ts AS dateCreated,
+           CAST(day(ts) AS INTEGER) AS day, CAST(month(ts) AS INTEGER) AS month, CAST(year(ts) AS INTEGER) AS year
+    FROM (VALUES ('', 'Information', 'Execution started at {started:%Y-%m-%d %H:%M:%S}', {_ts(started)}),
+                 ('skip: no source rows for month', 'Warning', 'No source data found for previous month: {month}. Procedure execution canceled.', {_ts(finished)}),
+                 ('skip: summary already has month', 'Information', 'Summary data already exists for previous month: {month}', {_ts(finished)}),
+                 ('load', 'Information', 'Processing data for previous month: {month}', {_ts(finished)}),
+                 ('load', 'Information', '{change}', {_ts(finished)}), {end}) lines(own, kind, message, ts), gate
+    WHERE own IN ('', {_gate_action(truncate_first)})"""
+    return with_fixtures(body, (PAID_WITH_PRODUCT if kind == "paids" else {}) | ctes)
 
 
 def _labels_case(col: str) -> str:
@@ -666,12 +693,16 @@ def json_rows_sql(since: dt.date | None = None, until: dt.date | None = None) ->
     WHERE {' AND '.join(conds)}"""
 
 
-def replace_slice_sql(cutoff: dt.date, overlap_days: int) -> str:
+def replace_slice_sql(cutoff: dt.date, overlap_days: int, first_only: bool = False) -> str:
     since = cutoff - dt.timedelta(days=overlap_days)
     ctes = {"Tgt": json_rows_sql(until=cutoff), "Pay": json_rows_sql(since=since)}
-    body = """
-    SELECT t.* FROM Tgt t WHERE NOT EXISTS (
-        SELECT 1 FROM Pay p WHERE p.date = t.date AND p.lender_id = t.lender_id)
+    named = "SELECT DISTINCT date, lender_id FROM Pay"
+    if first_only:  # a payload is an order's lines, in order of all their fields as text
+        elements = "struct_pack(date, branch_id, branch_upload_name, lender_id := lender_id::VARCHAR, app := app::VARCHAR, accept := accept::VARCHAR, pending := pending::VARCHAR, decline := decline::VARCHAR, advance := advance::VARCHAR)"
+        keyed = json_rows_sql(since=since).replace("SELECT ", "SELECT o.o_orderkey AS k, ", 1)
+        named = f"SELECT DISTINCT f.date, f.lender_id::INTEGER AS lender_id FROM (SELECT k, min({elements}) AS f FROM ({keyed}) GROUP BY k)"
+    body = f"""
+    SELECT t.* FROM Tgt t ANTI JOIN ({named}) n ON n.date = t.date AND n.lender_id = t.lender_id
     UNION ALL SELECT * FROM Pay"""
     return with_fixtures(body, ctes)
 
@@ -750,23 +781,41 @@ def reconcile_rows_sql(a_sql: str, b_sql: str, metrics=RECON_METRICS) -> str:
     WHERE NOT (in_a AND in_b) OR baseline IS DISTINCT FROM comparison"""
 
 
+REPORT_COLS = ["report_name", "moment", "ecof_count", "ecof_advance", "proposed_count", "accept_count", "accept_val",
+               "accept_avg", "accept_rate", "decline_count", "pending_count", "advance_count", "advance_val", "advance_avg",
+               "commission_val", "commission_rate_avg", "budget", "budget_rate"]
+
+
+def reconcile_except_sql(a_sql: str, b_sql: str) -> str:
+    """Rows by how often either side has them; the difference is what remains."""
+    cols = ", ".join(REPORT_COLS)
+    return f"""
+    SELECT {cols}, source FROM (
+      SELECT {cols}, CASE WHEN balance > 0 THEN 'baseline' ELSE 'comparison' END AS source, unnest(range(abs(balance)))
+      FROM (SELECT {cols}, CAST(sum(side) AS BIGINT) AS balance
+            FROM (SELECT *, 1 AS side FROM ({a_sql}) a UNION ALL SELECT *, -1 FROM ({b_sql}) b) GROUP BY {cols}) WHERE balance <> 0)"""
+
+
 def reconcile_summary_sql(cases: list[tuple[int, str, str]], metrics=RECON_METRICS) -> str:
-    parts = []
-    for tid, a_sql, b_sql in cases:
-        parts.append(f"""
-        SELECT {tid} AS test_id,
-               CAST((SELECT count(*) FROM ({a_sql}) a) AS BIGINT) AS baseline_rows,
-               CAST((SELECT count(*) FROM ({b_sql}) b) AS BIGINT) AS comparison_rows,
-               CAST(count(DISTINCT CASE WHEN status <> 'Present' THEN (report_name, moment) END) AS BIGINT) AS rows_missing,
-               CAST(count(*) FILTER (WHERE status = 'Present') AS BIGINT) AS value_diffs,
-               '' AS missing_columns, '' AS extra_columns
-        FROM ({reconcile_rows_sql(a_sql, b_sql, metrics)}) d""")
-    body = " UNION ALL ".join(parts)
-    return f"""SELECT test_id, baseline_rows, comparison_rows, rows_missing, value_diffs, missing_columns,
-                      extra_columns,
-                      CASE WHEN rows_missing = 0 AND value_diffs = 0 AND baseline_rows = comparison_rows
-                           THEN 'MATCH' ELSE 'DIFF' END AS verdict
-               FROM ({body}) u"""
+    """Counts over one cell per (case, side, key, column)."""
+    cols = [c for c in REPORT_COLS if c not in ("report_name", "moment")]
+    rows = " UNION ALL ".join(f"SELECT {tid} AS test_id, {k} AS side, * FROM ({sql}) r" for tid, *both in cases for k, sql in enumerate(both))
+    cells = (f"SELECT test_id, side, report_name, moment, unnest({cols}) AS col, "
+             f"unnest([{', '.join(f'CAST({c} AS DECIMAL(38,6))' for c in cols)}]) AS v FROM rows")
+    named = f"col IN ({', '.join(map(repr, metrics))})"
+    return f"""
+    WITH rows AS ({rows}), cells AS ({cells}),
+    met AS (SELECT test_id, report_name, moment, col, count(*) AS sides,
+                   any_value(v) FILTER (side = 0) IS DISTINCT FROM any_value(v) FILTER (side = 1) AS differs
+            FROM cells GROUP BY ALL),
+    sums AS (SELECT test_id, count(*) FILTER (sides = 1) // {len(cols)} AS rows_missing,
+                    count(*) FILTER (sides = 2 AND differs AND {named}) AS value_diffs,
+                    count(*) FILTER (sides = 2 AND differs AND NOT {named}) AS other_diffs FROM met GROUP BY 1),
+    sizes AS (SELECT test_id, count(*) FILTER (side = 0) AS baseline_rows, count(*) FILTER (side = 1) AS comparison_rows FROM rows GROUP BY 1)
+    SELECT test_id, baseline_rows, comparison_rows, CAST(rows_missing AS BIGINT) AS rows_missing, value_diffs, other_diffs,
+           '' AS missing_columns, '' AS extra_columns,
+           CASE WHEN rows_missing + value_diffs + other_diffs = 0 AND baseline_rows = comparison_rows THEN 'MATCH' ELSE 'DIFF' END AS verdict
+    FROM sums JOIN sizes USING (test_id)"""
 
 
 def ecof_period_sql(label: str = "year_month", period="L12M", facility=None, group=None, lender=None, as_of=AS_OF) -> str:

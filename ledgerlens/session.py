@@ -40,24 +40,18 @@ def get_session(master: str | None = None, app: str = "ledgerlens",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
-    """Shared folder for lineage cuts and snapshot tables.
-
-    Read ``spark.checkpoint.dir`` from the session (the cluster names it);
-    only when it is unset (local tests) fall back to ``default``.
-    """
+def checkpoint_dir(spark: SparkSession) -> str:
+    """Shared folder for lineage cuts and snapshot tables: the session's
+    ``spark.checkpoint.dir`` (the cluster names it; tests set their own)."""
     conf = spark.sparkContext.getConf()
     d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if default is None:
-            raise RuntimeError("spark.checkpoint.dir is not set and no default was given")
-        d = default
-        spark.conf.set("spark.checkpoint.dir", d)
+        raise RuntimeError("spark.checkpoint.dir is not set")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-def scratch_path(spark: SparkSession, *parts: str, default: str | None = None) -> str:
+def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark, default), *parts)
+    return os.path.join(checkpoint_dir(spark), *parts)

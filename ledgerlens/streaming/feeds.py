@@ -32,13 +32,13 @@ def feed_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet
 
 def upsert_stream(feed: DataFrame, stage: Callable[[DataFrame], DataFrame], key: str,
                   change_cols: list[str], initial_path: str, snapshots_root: str,
-                  checkpoint: str, available_now: bool = True) -> StreamingQuery:
+                  checkpoint: str, available_now: bool = True, latest: list[str] | None = None) -> StreamingQuery:
     spark = feed.sparkSession
 
     def batch(df: DataFrame, batch_id: int) -> None:
         prev = initial_path if batch_id == 0 else snapshot_path(snapshots_root, batch_id - 1)
         current = spark.read.parquet(prev)
-        merged = upsert(current, stage(df).select(*current.columns), key, change_cols).drop("_op")
+        merged = upsert(current, stage(df).select(*current.columns), key, change_cols, latest=latest).drop("_op")
         merged.write.mode("overwrite").parquet(snapshot_path(snapshots_root, batch_id))
 
     w = feed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

@@ -36,9 +36,9 @@ def test_run_cases_from_parameter_csv(spark, sf_small):
               "lender": r.facility_lender, "period": r.period, "group_by": r.group_by}
              for r in p.collect()]                     # a 4-row parameter file, not data
     inp = fn.FunnelInputs.from_tables(Tables(spark, sf_small))
-    out = reconcile_cases(cases,
-                          lambda **kw: fn.funnel(inp, fn.FunnelParams(per_facility=False, **kw)),
-                          lambda **kw: fn.funnel(inp, fn.FunnelParams(per_facility=True, **kw)))
+    version = lambda split: fn.funnel_cases(inp, {c["test_id"]: fn.FunnelParams(
+        per_facility=split, **{k: v for k, v in c.items() if k != "test_id"}) for c in cases})
+    out = reconcile_cases(version(False), version(True)).withColumnRenamed("case_id", "test_id")
     verdicts = {r.test_id: r.verdict for r in out.collect()}
     assert verdicts[2] == verdicts[3] == verdicts[4] == "MATCH"   # single facility: versions agree
     assert verdicts[1] == "DIFF"                                  # group: one row per facility vs summed

@@ -4,6 +4,8 @@ import datetime as dt
 import uuid
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import calendar as C
@@ -69,10 +71,13 @@ def test_upsert_idempotent(spark):
     assert twice.filter("_op != 'kept'").count() == 0
 
 
-def test_latest_per_key(spark):
-    df = spark.createDataFrame([(1, 5, "x"), (1, 9, "y"), (2, 1, "z")], "id int, k int, v string")
-    got = sorted(tuple(r) for r in L.latest_per_key(df, "id", ["k"]).collect())
-    assert got == [(1, 9, "y"), (2, 1, "z")]
+def test_upsert_repeated_staged_key(spark):
+    t = spark.createDataFrame([(1, 1, 0), (2, 2, 0)], "id int, a int, at int")
+    s = spark.createDataFrame([(2, 5, 1), (2, 6, 2), (3, 3, 1), (3, 4, 2)], "id int, a int, at int")
+    with pytest.raises(Exception, match="staged rows repeat id"):
+        L.upsert(t, s, "id", ["a"]).collect()
+    got = sorted((r.id, r.a, r._op) for r in L.upsert(t, s, "id", ["a"], latest=["at"]).collect())
+    assert got == [(1, 1, "kept"), (2, 6, "updated"), (3, 4, "inserted")]
 
 
 def test_json_rows_missing_field_and_header(spark):
@@ -85,6 +90,20 @@ def test_json_rows_missing_field_and_header(spark):
     assert h.date == dt.date(2024, 1, 31) and h.lender_id == 3
 
 
+def test_json_bad_header_raises(spark):
+    for text in ('[{"branch_id":"7","lender_id":"3"}]', '[{"date":"2024-01-31"}]', "[]"):
+        docs = spark.createDataFrame([(text,)], "payload string")
+        with pytest.raises(Exception, match="Invalid JSON format"):
+            L.json_rows(docs).collect()
+
+
+def test_replace_slice_named_only(spark):
+    t = spark.createDataFrame([("d1", 1, 10), ("d2", 1, 30)], "date string, lender_id int, v int")
+    p = spark.createDataFrame([("d1", 1, 99), ("d2", 1, 98)], "date string, lender_id int, v int")
+    got = sorted(tuple(r) for r in L.replace_slice(t, p, ["date", "lender_id"], named=p.filter("date = 'd1'")).collect())
+    assert got == [("d1", 1, 99), ("d2", 1, 30), ("d2", 1, 98)]
+
+
 def test_replace_slice(spark):
     t = spark.createDataFrame([("d1", 1, 10), ("d1", 2, 20), ("d2", 1, 30)], "date string, lender_id int, v int")
     p = spark.createDataFrame([("d1", 1, 99)], "date string, lender_id int, v int")
@@ -114,6 +133,7 @@ def test_reconcile_self_is_match(spark):
     s = R.reconcile_summary(df, df).first()
     assert s.verdict == "MATCH" and s.value_diffs == 0
     other = df.withColumn("budget", F.lit(Decimal("3.0")).cast("decimal(18,2)"))
+    assert R.reconcile_summary(df, other).first().verdict == "DIFF"
     rows = R.reconcile_rows(df, other).collect()
     assert len(rows) == 1 and rows[0].metric == "budget" and rows[0].percent_change == Decimal("100.00")
 
@@ -132,3 +152,135 @@ def test_summary_sink_replaces_only_given_months(spark, tmp_path):
     replace_months(spark.createDataFrame([("2024-02", 5)], "year_month string, n int"), path)
     got = sorted((r.year_month, r.n) for r in spark.read.parquet(path).collect())
     assert got == [("2024-01", 1), ("2024-02", 5)]
+
+
+def test_reconcile_sees_every_column(spark):
+    cols = "report_name string, moment string, ecof_count bigint, budget decimal(18,2)"
+    a = spark.createDataFrame([("r", "2024-01", 5, Decimal("1.00"))], cols)
+    b = spark.createDataFrame([("r", "2024-01", 99, Decimal("1.00"))], cols)
+    s = R.reconcile_summary(a, b).first()
+    assert (s.verdict, s.value_diffs, s.other_diffs) == ("DIFF", 0, 1)
+    s = R.reconcile_summary(a, a.drop("ecof_count").withColumn("more", F.lit(1))).first()
+    assert (s.verdict, s.missing_columns, s.extra_columns) == ("DIFF", "ecof_count", "more")
+    got = sorted((r.ecof_count, r.source) for r in R.reconcile_except(a, b).collect())
+    assert got == [(5, "baseline"), (99, "comparison")]
+    assert R.reconcile_except(a.union(a), a).count() == 1      # how often a row stands counts
+
+
+def test_months_follow_from_the_as_of_date(spark):
+    later = dt.date(2002, 6, 15)
+    for period, first in (("L12M", "2001-06"), ("P12M", "2000-06"), ("C12M", "2002-01"), ("ROLLING", "2001-06")):
+        months = C.month_list(*C.period_bounds(period, later))
+        assert len(months) == 12 and months[0][0] == first
+        frame = sorted(tuple(r) for r in C.months_frame(spark, *C.period_bounds(period, later)).collect())
+        assert frame == months
+    assert C.month_list(*C.period_bounds("LAST4Y", later))[0][0] == "1999-01"
+    days = C.calendar_days(spark, dt.date(2024, 2, 28), dt.date(2024, 3, 1)).collect()
+    assert [str(r.date) for r in days] == ["2024-02-28", "2024-02-29", "2024-03-01"] and days[0].year_quarter == "2024-1"
+
+
+def _small_tables(spark, path, years):
+    """Driver-shaped tables: two customers of one nation; an order with a line a year."""
+    ts = lambda y, m=3: dt.datetime(y, m, 5)
+    rows = {
+        "region": ([(1, "R1")], "r_regionkey bigint, r_name string"),
+        "nation": ([(7, "N7", 1)], "n_nationkey bigint, n_name string, n_regionkey bigint"),
+        "customer": ([(1, "C1", 7, "BUILDING"), (2, "C2", 7, "MACHINERY")],
+                     "c_custkey bigint, c_name string, c_nationkey bigint, c_mktsegment string"),
+        "orders": ([(10 * y + c, c, "F" if c == 1 else "O", 100.0 * c, ts(y), "1-URGENT") for y in years for c in (1, 2)],
+                   "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": ([(10 * y + c, 5, 6, 1, 3.0, 50.0 * c, 0.1, 0.0, "N", "O", ts(y)) for y in years for c in (1, 2)],
+                     "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")}
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).write.mode("append" if name in ("orders", "lineitem") else "overwrite").parquet(f"{path}/{name}.parquet")
+
+
+def test_months_that_arrive_later_are_seen(spark, tmp_path):
+    from ledgerlens.plans import funnel as fn
+    from ledgerlens.sources.tables import Tables
+    p = fn.FunnelParams(group="G1", period=None, per_facility=False)
+    run = lambda: [r.moment for r in fn.funnel(fn.FunnelInputs.from_tables(Tables(spark, str(tmp_path))), p).collect()]
+    _small_tables(spark, str(tmp_path), [1997])
+    assert run() == ["1997-03"]
+    _small_tables(spark, str(tmp_path), [1998, 2004])
+    assert run() == ["1997-03", "1998-03", "2004-03"]
+
+
+def test_quotes_ignore_the_lender_in_text_and_period_reports(spark, tmp_path):
+    from ledgerlens.plans import ecof, funnel as fn
+    from ledgerlens.sources.tables import Tables
+    _small_tables(spark, str(tmp_path), [1999])
+    inp = fn.FunnelInputs.from_tables(Tables(spark, str(tmp_path)))
+    p = fn.FunnelParams(facility="U7", lender="building", per_facility=False)
+    pick = lambda df, key: {r[key]: r for r in df.collect()}["1999-03"]
+    text, period = pick(fn.funnel_text(inp, p), "group_by"), pick(ecof.ecof_period(inp, p), "year_month")
+    numeric = pick(fn.funnel(inp, p), "moment")
+    assert (text.ecof_count, period.ecof_count, numeric.ecof_count) == (2, 2, 1)
+    assert (text.accept_count, period.accept_rate_text, period.ecof_advance_text) == (1, "100%", "£300")
+    mapped = {r.group_by: r for r in ecof.funnel_mapped(inp, fn.FunnelParams(group="G1", group_by="quarter")).collect()}
+    assert mapped["1"].ecof_count == 2 and mapped["1"].accept_rate == Decimal("0.5000") and mapped["2"].ecof_count is None
+    days = ecof.funnel_mapped(inp, fn.FunnelParams(group="G1", group_by="quarter"), compat_days=(dt.date(1999, 1, 1), dt.date(1999, 12, 31)))
+    assert {r.group_by: r.ecof_count for r in days.collect()}["1"] == 2 * 31      # March has 31 days (D2)
+
+
+def test_cases_at_once_equal_single_reports(spark, tmp_path):
+    from ledgerlens.plans import funnel as fn
+    from ledgerlens.sources.tables import Tables
+    _small_tables(spark, str(tmp_path), [1998, 1999])
+    inp = fn.FunnelInputs.from_tables(Tables(spark, str(tmp_path)))
+    cases = {1: fn.FunnelParams(group="G1"), 2: fn.FunnelParams(facility="U7", lender="machinery", period="P12M", group_by="quarter"),
+             3: fn.FunnelParams(group="G99", drop_empty=False), 4: fn.FunnelParams(budget_agg="max", lender_on_ecof=False, lender="building")}
+    both = fn.funnel_cases(inp, cases)
+    for k, p in cases.items():
+        one = sorted(map(str, (tuple(r) for r in fn.funnel(inp, p).collect())))
+        assert sorted(map(str, (tuple(r)[1:] for r in both.filter(F.col("case_id") == k).collect()))) == one and one
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("lineitem.parquet")
+    assert both is not None and scans(both) == scans(fn.funnel_cases(inp, {1: cases[1]}))
+
+
+def test_placeholder_of_an_unknown_group(spark, tmp_path):
+    from ledgerlens.plans import funnel as fn
+    from ledgerlens.sources.tables import Tables
+    _small_tables(spark, str(tmp_path), [1999])
+    inp = fn.FunnelInputs.from_tables(Tables(spark, str(tmp_path)))
+    rows = fn.funnel(inp, fn.FunnelParams(group="G99", drop_empty=False)).collect()
+    assert len(rows) == 12 and {r.report_name for r in rows} == {"Unknown Group : All"}
+    assert fn.funnel(inp, fn.FunnelParams(group="G99")).count() == 0
+
+
+def test_summary_sink_modes_and_log(spark, tmp_path):
+    from ledgerlens.operators import summaries as S
+    path, log = str(tmp_path / "summary"), str(tmp_path / "log")
+    df = lambda *rows: spark.createDataFrame(rows, "year_month string, n int")
+    read = lambda: sorted((r.year_month, r.n) for r in spark.read.parquet(path).collect())
+    assert S.load_summary(df(("2024-01", 1), ("2024-02", 2)), path, "truncate_first") == 2
+    S.load_summary(df(("2024-02", 5)), path)
+    assert read() == [("2024-01", 1), ("2024-02", 5)]
+    S.load_summary(df(("2024-02", 6)), path, "append")
+    assert read() == [("2024-01", 1), ("2024-02", 5), ("2024-02", 6)]
+    S.load_summary(df(("2024-03", 7)), path, "truncate_first")
+    assert read() == [("2024-03", 7)]
+    with pytest.raises(ValueError):
+        S.load_summary(df(("2024-03", 7)), path, "other")
+    now = dt.datetime(2024, 4, 1, 3)
+    gate = S.summary_gate(df(("2024-03", 1)), df(("2024-02", 1)), "2024-03")
+    rows = S.job_log(df(("2024-03", 1), ("2024-03", 2)), gate, "p", "t", "2024-03", now, now + dt.timedelta(seconds=61.5))
+    S.append_log(rows, log)
+    S.append_log(S.job_log(df(), gate, "p", "t", "2024-03", now, now, error="boom"), log)
+    said = [r.message for r in spark.read.parquet(log).collect()]
+    assert "p completed successfully. Rows inserted: 2. Execution time: 61 seconds" in said and "Error occurred: boom" in said
+
+
+def test_month_windows_reach_the_scans(spark, sf_small):
+    import re
+    from ledgerlens.plans.catalog import QUERIES
+    for name in ("funnel_group_facilities", "rolling_12m", "monthly_applications_l12m", "monthly_period_l12m", "application_summary",
+                 "paid_summary", "lender_conversion", "distinct_aggs", "step_applications", "step_paids", "ecof_period", "moment_l12m"):
+        plan = QUERIES[name][0](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+        scans = re.findall(r"FileScan parquet \[[^\]]*(?:o_orderdate|l_shipdate)[^\n]*", plan)
+        assert scans, name
+        for s in scans:
+            if "o_totalprice" in s and name in ("funnel_group_facilities",) and "GreaterThanOrEqual" not in s:
+                continue  # budgets are sums over whole years
+            assert "LessThan(" in s and "GreaterThanOrEqual(" in s, (name, s[:300])
