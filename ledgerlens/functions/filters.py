@@ -58,8 +58,8 @@ def not_cash(df: DataFrame, col: str = "selected_funding_option") -> DataFrame:
     return df.filter(F.col(col) != "cash")
 
 
-def zero_if_null(cols: list[str]) -> list[Column]:
-    return [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in cols]
+def zero_if_null(col: str) -> Column:
+    return F.coalesce(F.col(col), F.lit(0))
 
 
 # Labels of CRM activity codes (fixed values of the notification report).
