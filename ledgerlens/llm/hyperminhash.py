@@ -18,7 +18,9 @@ Steps:
    estimate is not MARGIN below it are verified on the full sets.
 5. Links found make components. Buckets whose members are not yet all in one
    component go on: there, all pairs across components are estimated inside of a
-   task, in cells of CELL members at most, sketch by sketch, and those that pass are verified.
+   task, in cells of CELL members at most, sketch by sketch, and those that pass are compared
+   there as sets of 32-bit hashes (equal hashes can only raise the intersection). The best pair
+   of each two components is verified; should one fail, all that pass are.
    So each pair that meets in a band is linked, joined by a path already, or refuted.
 
 At similarity 0.8 a pair meets in no band with probability (1 - 0.8**6)**42 = 3e-6.
@@ -177,16 +179,27 @@ def signatures(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str
     return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_shingles long, key binary, reg binary")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame:
-    """Of the pairs (a, b: class ids), those whose full sets link. The sets are
-    built again, for the documents that are in a pair."""
-    def sets_of(batches):
+def _sets(ids: DataFrame, docs: DataFrame, size: int, short: bool = False) -> DataFrame:
+    """doc_id, hashes (sorted, packed) of the documents in ``ids``; ``short``:
+    the upper 32 bits of the hashes only."""
+    def run(batches):
         for batch in batches:
             for a, b, data, offs in tb.slices(batch, "text"):
                 sets, before = shingle_sets(data, offs, size)
+                if short:
+                    sets = (sets >> _U(32)).astype("<u4")
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).slice(a, b - a), "hashes": pa.array(
                     [sets[x:y].tobytes() for x, y in zip(before[:-1].tolist(), before[1:].tolist())], pa.binary())})
 
+    ids = written(ids.distinct(), "set_ids")
+    if ids.count() <= MAX_IDS:
+        ids = F.broadcast(ids)
+    return written(docs.join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, hashes binary").dropDuplicates(["doc_id"]), "shingle_sets")
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame:
+    """Of the pairs (a, b: class ids), those whose full sets link. The sets are
+    built again, for the documents that are in a pair."""
     def check(batches):
         for batch in batches:
             keep = []
@@ -196,10 +209,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) -> D
                 keep.append(bool(len(p)) and linked(int((p[at] == q).sum()), len(p), len(q), threshold))
             yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("a", "b")}).filter(pa.array(keep, pa.bool_()))
 
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair_ids")
-    if ids.count() <= MAX_IDS:
-        ids = F.broadcast(ids)
-    sets = written(docs.join(ids, "doc_id", "left_semi").mapInArrow(sets_of, "doc_id long, hashes binary").dropDuplicates(["doc_id"]), "shingle_sets")
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, size)
     both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("sa")), "a")
                  .join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("sb")), "b"))
     return both.select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
@@ -220,35 +230,56 @@ def _estimated(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFr
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(fits).select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
 
 
-def _cells(open_rows: DataFrame, threshold: float) -> DataFrame:
-    """Pairs across components, in the buckets that are still open. Rows: band, cid,
-    root, n, reg and m, the bucket's members. A bucket of more than CELL
-    members is cut into chunks; each pair of chunks is a cell of its own."""
+def _cells(open_rows: DataFrame, threshold: float, best: int | None) -> DataFrame:
+    """Pairs across components, in the buckets that are still open: those whose
+    estimate and whose sets of 32-bit hashes pass; all of them, or the ``best``
+    of each two components that meet in a cell. Rows: band, cid, root, n, reg,
+    hashes and m, the bucket's members. A bucket of more than CELL members is cut
+    into chunks; each pair of chunks is a cell of its own."""
     rows = open_rows.withColumn("k", F.ceil(F.col("m") / CELL).cast("int")).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("k")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     key = ["band", "i", "j"]
-    rows = rows.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "root", "n", "reg")
+    rows = rows.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "root", "n", "reg", "hashes")
 
-    def cell(t: pa.Table, a: int, b: int, cols: dict) -> list[tuple[np.ndarray, np.ndarray]]:
+    def cell(a: int, b: int, cols: dict) -> tuple[np.ndarray, np.ndarray]:
         cid, root, n, own = (cols[c][a:b] for c in ("cid", "root", "n", "own"))
         reg = np.frombuffer(b"".join(cols["reg"][a:b]), "<u2").reshape(-1, REGISTERS)
-        out, inner = [], cols["i"][a] == cols["j"][a]
+        inner, out = cols["i"][a] == cols["j"][a], []
+        sizes = np.array([len(h) // 4 for h in cols["hashes"][a:b]])
+        names, flat = np.unique(np.frombuffer(b"".join(cols["hashes"][a:b]), "<u4"), return_inverse=True)
+        start, mark = np.cumsum(sizes) - sizes, np.zeros(len(names), bool)
         for x in range(b - a):
             y = np.flatnonzero((root != root[x]) & ((np.arange(b - a) > x) if inner else ((own[x] == cols["i"][a]) & (own == cols["j"][a]))))
             y = y[np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * round(100 * threshold)]
             if len(y):
-                y = y[estimate(reg[y], reg[x], n[y].astype(np.float64), np.float64(n[x])) >= threshold - MARGIN]
-                out.append((np.minimum(cid[x], cid[y]), np.maximum(cid[x], cid[y])))
-        return out
+                e = estimate(reg[y], reg[x], n[y].astype(np.float64), np.float64(n[x]))
+                y = y[e >= threshold - MARGIN]
+            if len(y):
+                mine = flat[start[x]:start[x] + sizes[x]]
+                mark[mine] = True
+                both = np.add.reduceat(mark[flat[tb.ragged(start[y], sizes[y])]], np.cumsum(sizes[y]) - sizes[y], dtype=np.int64)
+                mark[mine] = False
+                union = n[y] + n[x] - both
+                ok = 100 * both >= round(100 * threshold) * union
+                out.append((np.full(int(ok.sum()), x), y[ok], both[ok] / np.maximum(union[ok], 1)))
+        if not out:
+            return cid[:0], cid[:0]
+        x, y, e = (np.concatenate(v) for v in zip(*out))
+        if best is not None:
+            lo, hi = np.minimum(root[x], root[y]), np.maximum(root[x], root[y])
+            order = np.lexsort((-e, hi, lo))
+            new = np.concatenate(([True], (lo[order][1:] != lo[order][:-1]) | (hi[order][1:] != hi[order][:-1])))
+            place = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+            x, y = x[order][place < best], y[order][place < best]
+        return np.minimum(cid[x], cid[y]), np.maximum(cid[x], cid[y])
 
     def run(batches):
         held: list[pa.RecordBatch] = []
 
         def work(t: pa.Table, cuts: list[int]):
-            cols = {c: t.column(c).to_numpy() for c in ("cid", "root", "n", "own", "i", "j")} | {"reg": t.column("reg").to_pylist()}
-            out = [p for a, b in zip(cuts[:-1], cuts[1:]) for p in cell(t, a, b, cols)]
-            if out:
-                a, b = (np.concatenate(v) for v in zip(*out))
+            cols = {c: t.column(c).to_numpy() for c in ("cid", "root", "n", "own", "i", "j")} | {c: t.column(c).to_pylist() for c in ("reg", "hashes")}
+            a, b = (np.concatenate(v) for v in zip(*(cell(x, y, cols) for x, y in zip(cuts[:-1], cuts[1:])))) if len(cuts) > 1 else ((), ())
+            if len(a):
                 both = np.unique(np.stack((a, b), axis=1), axis=0)
                 yield pa.RecordBatch.from_pydict({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
 
@@ -296,16 +327,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = THRESHOLD
     links = written(_verify(written(_estimated(star, by_id, threshold), "star_pairs"), texts, size, threshold), "star_links")
     roots = components(links)
 
-    placed = met.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("band", "cid", "hub", "m", F.coalesce("root", "cid").alias("root"))
-    placed = written(placed, "placed")
-    still = placed.filter("m > 2").groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("band")
-    # a bucket's pairs with its smallest member are done; so is the bucket if the others are of one component
-    rest = placed.filter("m > 2 and cid <> hub").join(still, "band")
-    split = rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("others")).filter("lo <> hi").select("band", "others")
-    open_rows = rest.drop("m").join(split, "band").withColumnRenamed("others", "m").join(by_id, "cid")
-    more = written(_cells(open_rows, threshold), "cross_pairs")
-    more = _verify(more, texts, size, threshold)
-    roots = components(links.union(written(more, "cross_links")))
+    # the best pairs of each two components; should one of them fail in full, all pairs that are left
+    for best in (1, None):
+        placed = met.filter("m > 2").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
+            "band", "cid", "hub", F.coalesce("root", "cid").alias("root"))
+        # a bucket's pairs with its smallest member are done; so is the bucket if the others are of one component
+        rest = written(placed.filter("cid <> hub").drop("hub"), "placed")
+        split = rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).filter("lo <> hi").select("band", "m")
+        still = written(rest.join(split, "band"), "open_buckets")
+        sets = _sets(still.select(F.col("cid").alias("doc_id")), texts, size, short=True).withColumnRenamed("doc_id", "cid")
+        more = written(_cells(still.join(by_id, "cid").join(sets, "cid"), threshold, best), "cross_pairs")
+        found = written(_verify(more, texts, size, threshold), "cross_links")
+        links = links.union(found)
+        roots = components(links)
+        if found.count() == more.count():
+            break
 
     of_class = classes.select("key", "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("key", F.coalesce("root", "cid").alias("root"))
     out = sig.select("doc_id", "n_shingles", "key").join(of_class, "key", "left")
