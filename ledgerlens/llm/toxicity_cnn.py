@@ -16,7 +16,7 @@ logit's distance from that language's threshold, so 0.5 is the threshold everywh
 
 Scoring has no shuffle: the model (its size is bounded by the sample) is
 broadcast, each text is scored where it is read. Null and empty texts score as
-no words. Rows with null doc_id or label teach nothing; a document with several
+no words. Rows with null doc_id are not held out; those and null labels teach nothing; a document with several
 labels counts as toxic if one says so; without examples of both classes every score
 is the share of toxic ones. Repeated rows are scored each; empty tables give no rows.
 """
@@ -277,7 +277,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                                                   "score": pa.array(s), "predicted": pa.array((s >= 0.5).astype(np.int32))})
 
     key = F.col(id_col).cast("string").cast("binary")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.crc32(key) % FOLDS == 0).alias("held_out"),
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.crc32(key) % FOLDS == 0, F.lit(False)).alias("held_out"),
                        F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, "doc_id long, held_out boolean, score double, predicted int")
 
