@@ -127,15 +127,25 @@ def sketch(sets: np.ndarray, before: np.ndarray) -> np.ndarray:
     return reg
 
 
+def _chances() -> tuple[np.ndarray, np.ndarray]:
+    """(log2 of the ratio of two sets' loads of a bucket, probability that a
+    register of two disjoint such sets is equal): the same leading zeros, then
+    the same mantissa. It depends on the ratio alone, but for a ripple that is averaged out."""
+    z = 2.0 ** -np.arange(64)[:, None, None]
+    ratio = np.linspace(0, 24, 97)
+    load = 64 * 2.0 ** np.linspace(0, 1, 16, endpoint=False)[:, None]
+    cell = lambda x: np.exp(-x * z / 2) - np.exp(-x * z)
+    return ratio, (cell(load) * cell(load * 2.0 ** ratio)).sum(axis=0).mean(axis=0) * 2.0 ** -MANTISSA
+
+
+_CHANCES = _chances()
+
+
 def chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Probability that a register of two disjoint sets of n and m elements
-    is equal by chance: the same leading zeros, then the same mantissa."""
+    is equal by chance; a borrowed register counts as one of a full bucket."""
     a, b = np.maximum(n / REGISTERS, 1.0), np.maximum(m / REGISTERS, 1.0)
-    out = np.zeros(np.broadcast(a, b).shape)
-    for z in range(40):
-        hi, lo = 2.0 ** -z, 2.0 ** -(z + 1)
-        out += (np.exp(-a * lo) - np.exp(-a * hi)) * (np.exp(-b * lo) - np.exp(-b * hi))
-    return out * 2.0 ** -MANTISSA
+    return np.interp(np.abs(np.log2(a / b)), *_CHANCES)
 
 
 def estimate(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -245,12 +255,15 @@ def _cells(open_rows: DataFrame, threshold: float, best: int | None) -> DataFram
         cid, root, n, own = (cols[c][a:b] for c in ("cid", "root", "n", "own"))
         reg = np.frombuffer(b"".join(cols["reg"][a:b]), "<u2").reshape(-1, REGISTERS)
         inner, out = cols["i"][a] == cols["j"][a], []
+        bands = _bands(reg)
+        earlier = bands[:, :int(np.flatnonzero(bands[0] == cols["band"][a])[0])]  # a pair is judged where it first meets
         sizes = np.array([len(h) // 4 for h in cols["hashes"][a:b]])
         names, flat = np.unique(np.frombuffer(b"".join(cols["hashes"][a:b]), "<u4"), return_inverse=True)
         start, mark = np.cumsum(sizes) - sizes, np.zeros(len(names), bool)
         for x in range(b - a):
             y = np.flatnonzero((root != root[x]) & ((np.arange(b - a) > x) if inner else ((own[x] == cols["i"][a]) & (own == cols["j"][a]))))
             y = y[np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * round(100 * threshold)]
+            y = y[~(earlier[y] == earlier[x]).any(axis=1)]
             if len(y):
                 e = estimate(reg[y], reg[x], n[y].astype(np.float64), np.float64(n[x]))
                 y = y[e >= threshold - MARGIN]
@@ -277,7 +290,7 @@ def _cells(open_rows: DataFrame, threshold: float, best: int | None) -> DataFram
         held: list[pa.RecordBatch] = []
 
         def work(t: pa.Table, cuts: list[int]):
-            cols = {c: t.column(c).to_numpy() for c in ("cid", "root", "n", "own", "i", "j")} | {c: t.column(c).to_pylist() for c in ("reg", "hashes")}
+            cols = {c: t.column(c).to_numpy() for c in ("band", "cid", "root", "n", "own", "i", "j")} | {c: t.column(c).to_pylist() for c in ("reg", "hashes")}
             a, b = (np.concatenate(v) for v in zip(*(cell(x, y, cols) for x, y in zip(cuts[:-1], cuts[1:])))) if len(cuts) > 1 else ((), ())
             if len(a):
                 both = np.unique(np.stack((a, b), axis=1), axis=0)
