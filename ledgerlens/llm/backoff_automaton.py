@@ -15,7 +15,7 @@ text is scored in one traversal from left to right that carries the state and
 adds up the weights.
 
 The automaton grows with the corpus and is never in one place. Texts are taken in *blocks*
-(8 MB); a block asks for the counts of the distinct n-grams it holds, which
+(4 MB); a block asks for the counts of the distinct n-grams it holds, which
 is the part of the automaton that its texts can reach:
 
 1. Each block is written: document ids, distinct words, word numbers.
@@ -44,9 +44,9 @@ from . import textbytes as tb
 from .common import read_table, written
 
 ORDER = 2
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Text bytes a partition of the hash space stands for.
-PARTITION_BYTES = 16 << 20
+PARTITION_BYTES = 8 << 20
 FOLDS, HELD_FOLD = 5, 1
 _U = np.uint64
 START, END = _U(0x5354415254), _U(0x454E44)
@@ -175,7 +175,7 @@ def answers(blocks: DataFrame, order: int, partitions: int) -> tuple[DataFrame,
                         "block": pa.array([block] * len(raws), pa.int64()), "k": pa.array([k] * len(raws), pa.int32()),
                         "part": pa.array(part[cuts[:-1]], pa.int32()), "raw": pa.array(raws, pa.binary())})
 
-    def add_up(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def add_up(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         k, part = key
         asked = [_split(r) for r in rows.raw]
         keys = [np.cumsum(unpack(a, _U)) for a, _ in asked]
@@ -239,7 +239,7 @@ def score(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id", text_col:
     got, sums = answers(blocks, order, partitions)
     tokens = sums.get(1, (0, 0, 0))[0]
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         g = Grams(rows.raw[rows.k == 0].iloc[0], order)
         counts = []
         for k in range(1, order + 1):
