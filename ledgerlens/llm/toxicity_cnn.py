@@ -7,9 +7,13 @@ two training texts at least; all others share a row of zeros, so rare words
 cannot collide with a learnt one. Filters of widths WIDTHS run over the whole text, each is max-
 pooled, a logistic layer weighs them.
 
-Training takes at most TRAIN_DOCS labelled documents of either class of at most
-TRAIN_BYTES bytes each, lowest hashes of doc_id first, of those whose
-crc32(doc_id as text) mod 5 is not 0; a quarter of them calibrates. The threshold
+Only documents whose crc32(doc_id as text) mod 5 is not 0 teach. The weights come
+from a sample: at most TRAIN_DOCS labelled documents of either class of at most
+TRAIN_BYTES bytes each, lowest hashes of doc_id first, without a quarter of them.
+All other labelled documents, whole texts of any length, are scored where they are
+read and calibrate by counts of logit bins; short ones are weighted by class for
+those that the weights were learnt from, so that the classes keep the shares they
+have in the labels. The threshold
 is calibrated by language: a text's language is the one most of whose function words
 it holds (the ``lang`` column is never read); the score is the logistic of the
 logit's distance from that language's threshold, so 0.5 is the threshold everywhere.
@@ -40,6 +44,8 @@ FILTERS = 12
 EPOCHS = 8
 BATCH = 64
 FOLDS = 5
+#: Calibration: bins of this width, up to LIMIT.
+BIN, LIMIT = 0.02, 50.0
 #: Frequent function words by language.
 FUNCTION_WORDS = {
     "en": "the of and to in is that it was for on are with as his they be at this have from or had by not but what all were we when".split(),
@@ -201,24 +207,26 @@ class Model:
                     vq += 0.01 * (gq * gq - vq)
                     q -= 0.01 * (mq / (1 - 0.9 ** step)) / (np.sqrt(vq / (1 - 0.99 ** step)) + 1e-7)
 
-    def calibrate(self, z: np.ndarray, y: np.ndarray, lang: np.ndarray) -> None:
-        """Threshold of each language: the middle of the best stretch by F1 over
-        that language's examples and, with the weight of few, over all."""
-        def best(weight: np.ndarray) -> float:
-            order = np.argsort(z, kind="stable")
-            s, w, t = z[order], weight[order], y[order]
-            tp = np.cumsum((w * t)[::-1])[::-1]
-            fp = np.cumsum((w * (1 - t))[::-1])[::-1]
-            f1 = 2 * tp / np.maximum(tp + fp + (w * t).sum(), 1e-12)
-            k = int(f1.argmax())
-            return float((s[k] + s[k - 1]) / 2) if k else float(s[0] - 1)
+    def calibrate(self, bins: np.ndarray, y: np.ndarray, lang: np.ndarray, n: np.ndarray) -> None:
+        """Threshold of each language: the middle of the best stretch of logit
+        bins by F1 over that language's examples and, with the weight of few, over
+        all; 0 without examples of both classes. ``n``: examples (weighted) of each
+        (bin, class, language)."""
+        if not n[y == 1].sum() or not n[y == 0].sum():
+            return
+        names, at = np.unique(bins, return_inverse=True)
         for k in range(len(LANGS)):
-            self.limits[k] = best(np.where(lang == k, 1.0, 0.05))
+            w = n * np.where(lang == k, 1.0, 0.05)
+            pos, neg = (np.bincount(at, w * (y == c), len(names)) for c in (1, 0))
+            tp, fp = np.cumsum(pos[::-1])[::-1], np.cumsum(neg[::-1])[::-1]
+            i = int((2 * tp / np.maximum(tp + fp + pos.sum(), 1e-12)).argmax())
+            self.limits[k] = (names[i] + names[i - 1] + 1) / 2 * BIN if i else names[0] * BIN - 1
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Train on labelled rows of the learning folds; only their word hashes
-    reach the driver (2 * TRAIN_DOCS * TRAIN_BYTES bytes of text at most)."""
+    """Train and calibrate on labelled rows of the learning folds; only the sample's
+    word hashes (2 * TRAIN_DOCS * TRAIN_BYTES bytes of text at most) and counts of
+    logit bins reach the driver."""
     key = F.col(id_col).cast("string")
     marks = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & (F.crc32(key.cast("binary")) % FOLDS != 0))
                    .groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.max(label_col).cast("int").alias("y")))
@@ -247,7 +255,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 .drop_duplicates("doc_id").sort_values("doc_id"))
     texts = [np.frombuffer(w, np.uint64).reshape(-1, 1 + len(PREFIXES)) for w in rows.words]
     y = np.array([chosen[i] for i in rows.doc_id], np.float32)
-    part = rng.permutation(len(texts)) % 4 == 0  # calibrates
+    part = rng.permutation(len(texts)) % 4 == 0  # calibrates, with all documents outside of the sample
     learn = np.flatnonzero(~part)
     every, of = np.concatenate([np.unique(texts[i]) for i in learn]), np.repeat(y[learn], [len(np.unique(texts[i])) for i in learn])
     vocab, inverse, df = np.unique(every, return_inverse=True, return_counts=True)
@@ -258,13 +266,44 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = Model(vocab[use], rng, lean[use])
     ids = [word_ids(model.vocab, model.bits, t) for t in texts]
     model.train([ids[i] for i in learn], y[learn], rng)
-    held = np.flatnonzero(part)
-    first = np.concatenate(([0], np.cumsum([len(ids[i]) for i in held])))
-    words = np.concatenate([texts[i] for i in held])
-    model.calibrate(model.logits(np.concatenate([ids[i] for i in held]), first), y[held], languages(words[:, 0], first))
+    trained = rows.doc_id.to_numpy()[learn]
+    taught = np.bincount(y[learn].astype(int), minlength=2)
+    del rows, texts, ids, every, of, vocab, inverse
+    counts = logit_bins(docs, marks, model, trained, id_col, text_col).toPandas()
+    cls, n = counts.y.to_numpy(), counts.n.to_numpy(np.float64)
+    for c in (0, 1):  # short texts stand for those that the weights were learnt from as well
+        own = counts["short"].to_numpy(bool) & (cls == c)
+        if own.any():
+            n[own] *= 1 + taught[c] / n[own].sum()
+    model.calibrate(counts.bin.to_numpy(), cls, counts.lang.to_numpy(), n)
     return model
 
 
+def logit_bins(docs: DataFrame, marks: DataFrame, model: Model, trained: np.ndarray, id_col: str, text_col: str) -> DataFrame:
+    """lang, bin, y, short, n: rows of the learning folds with a label (``marks``:
+    doc_id, y) whose doc_id is not in ``trained``. Texts are scored before they meet
+    their labels, so no text is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, np.sort(trained)))
+
+    def run(batches):
+        model, trained = shared.value
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(trained[np.minimum(np.searchsorted(trained, ids), len(trained) - 1)] != ids))
+            for a, b, data, offs in tb.slices(batch, "text"):
+                words, first = word_features(data, offs)
+                z = np.clip(model.logits(word_ids(model.vocab, model.bits, words), first), -LIMIT, LIMIT)
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": batch.column("doc_id").slice(a, b - a), "lang": pa.array(languages(words[:, 0], first), pa.int32()),
+                    "bin": pa.array(np.floor(z / BIN), pa.int64()), "short": pa.array(np.diff(offs) <= TRAIN_BYTES)})
+
+    key = F.col(id_col).cast("string").cast("binary")
+    binned = (docs.filter(F.crc32(key) % FOLDS != 0)
+                  .select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+                  .filter("doc_id is not null").mapInArrow(run, "doc_id long, lang int, bin long, short boolean"))
+    return binned.join(marks, "doc_id").groupBy("lang", "bin", "y", "short").agg(F.count("*").alias("n"))
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -122,6 +122,35 @@ def test_op5_without_both_classes(spark):
         assert {r.score for r in tox.score(edge.documents(spark, rows), model).collect()} == {share}
 
 
+def test_op5_thresholds_at_the_shares_of_the_labels(spark, monkeypatch):
+    """5 % toxic; more labelled documents than the sample takes. A seventh of the clean
+    ones hold a weak mark, which only pays as a rule where half are toxic."""
+    monkeypatch.setattr(tox, "TRAIN_DOCS", 60)
+    r, rows, labels = random.Random(3), [], []
+    for i in range(2400):
+        y = i % 20 == 0
+        w = [f"word{r.randrange(40)}" for _ in range(12)]
+        w += ["mildly"] if y or r.random() < 0.15 else []
+        w += ["grobian"] if y and r.random() < 0.5 else []
+        rows.append((i, " ".join(w) + (" word1" * 2000 if i % 7 == 0 else "")))        # some over TRAIN_BYTES
+        labels.append((i, 1, int(y)))
+    docs = edge.documents(spark, rows, clash=False)
+    model = tox.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {x.doc_id: x.predicted for x in tox.score(docs, model).collect()}
+    assert sum(p for i, p in got.items() if i % 20) < 0.05 * 2280
+    assert all(got[i] for i, t in rows if "grobian" in t)
+
+
+def test_op5_counts_every_other_labelled_row(spark):
+    rows = [(i, f"word{i % 9} " * (3 if i % 4 else 2500)) for i in range(200)]       # every fourth is over TRAIN_BYTES
+    model = tox.Model(tox.hash_words(["word1"]), np.random.default_rng(0), np.ones(1))
+    docs, trained = edge.documents(spark, rows), np.array([3, 1, 12])
+    marks = spark.createDataFrame([(i, i % 2) for i in range(150)], "doc_id long, y int")
+    got = tox.logit_bins(docs, marks, model, trained, "doc_id", "text").toPandas()
+    own = [i for i in range(150) if zlib.crc32(str(i).encode()) % 5 and i not in (3, 1, 12)]
+    assert got.n.sum() == len(own) and got[~got.short].n.sum() == sum(i % 4 == 0 for i in own)
+
+
 def test_op5_gradients():
     """Training lowers the loss on a task that needs two words in order."""
     r = np.random.default_rng(3)
