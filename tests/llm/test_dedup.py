@@ -183,3 +183,34 @@ def test_op7_filters_that_pairs_share():
     a, b = cf._codes(64, cf.CODE)
     whole = ((x[:5, :32] @ a.T)[:, :, None] + (x[:5, 32:] @ b.T)[:, None, :]).reshape(5, -1)
     assert (np.sort(np.argsort(-whole, axis=1)[:, :cf.LIST], axis=1) == cf.decode_list(x[:5])).all()
+
+
+def _pairs(dim, kind, n, seed, cosine=0.981):
+    """Vectors whose weight lies in one half or in few dimensions: ``n`` pairs of that cosine."""
+    r = np.random.default_rng(seed)
+    x, z = r.standard_normal((2, n, dim))
+    for k in range(n):
+        at = np.arange(dim // 2) if kind == "first" else np.arange(dim // 2, dim) if kind == "last" else r.permutation(dim)[:8]
+        off = np.ones(dim, bool)
+        off[at] = False
+        x[k, off] = z[k, off] = 0
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(1, keepdims=True) * x
+    return x, cosine * x + np.sqrt(1 - cosine ** 2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("kind", ["first", "last", "sparse"])
+def test_op7_weight_in_few_dimensions(spark, kind):
+    x, y = _pairs(64, kind, 400, 5)
+    rows = [(i, [float(q) for q in v], 1) for i, v in enumerate(np.concatenate((x, y)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert sorted(tuple(r) for r in cf.near_duplicates(df).collect()) == brute_vectors(rows)
+
+
+def test_op7_ties_at_the_cap_height_are_decoded_in_full():
+    x = np.random.default_rng(3).standard_normal((50, 64))
+    x[:30, 32:] = 0
+    a, b = cf._codes(64, cf.CODE)
+    for v, f in zip(x, cf.decode_list(x)):
+        whole = ((a @ v[:32])[:, None] + b @ v[32:]).ravel()
+        assert set(f[f >= 0]) == set(np.flatnonzero(whole >= np.sort(whole)[-cf.LIST] - cf.TIE))
