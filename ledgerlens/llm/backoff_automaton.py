@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from . import textbytes as tb
 from .common import read_table, written
 
-ORDER = 2
+ORDER = 3
 BLOCK_BYTES = 4 << 20
 #: Text bytes a partition of the hash space stands for.
 PARTITION_BYTES = 8 << 20
@@ -167,6 +167,8 @@ def answers(blocks: DataFrame, order: int, partitions: int) -> tuple[DataFrame,
                 g = Grams(raw, order)
                 for k in range(1, order + 1):
                     by = np.argsort(g.hash[k - 1], kind="stable")
+                    if not len(by):  # no text of the block is that long
+                        continue
                     keys, own = g.hash[k - 1][by], g.training(k)[by].astype(np.uint32)
                     part = _part(keys, partitions)
                     cuts = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]))
@@ -259,5 +261,5 @@ def score(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id", text_col:
 
 
 def op4_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All of ``documents``, bigram automaton."""
+    """All of ``documents``, trigram automaton."""
     return score(read_table(spark, sf_dir, "documents"))

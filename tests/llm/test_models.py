@@ -66,6 +66,14 @@ def test_op4_beats_the_base(spark, sf_small):
     assert len(held) and held.score.sum() > held.base_score.sum() and (got.n_known <= got.n_tokens).all()
 
 
+def test_op4_query_uses_trigrams(spark, sf_small):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()]
+    key = lambda r: (r.doc_id, r.score)
+    got = sorted(lm.op4_backoff_automaton(spark, sf_small).collect(), key=key)
+    want = sorted(lm.score(edge.documents(spark, rows, clash=False), 3).collect(), key=key)
+    assert [r.score for r in got] == pytest.approx([r.score for r in want])
+
+
 def test_op5_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     got = tox.op5_toxicity_cnn(spark, sf).toPandas()
