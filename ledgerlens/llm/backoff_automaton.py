@@ -10,9 +10,9 @@ end. The model interpolates n-grams of orders 1 to ``order``:
 l_k is the Good-Turing mass of unseen events: of the training k-grams, the
 share that occurs once. As an automaton: a state is a context that training
 has seen; an arc of a state is a k-gram that training has seen and weighs
-log10 Pk; a failure arc leads to the shorter context and weighs log10 l_k. A
-text is scored in one traversal from left to right that carries the state and
-adds up the weights.
+log10 Pk; a failure arc leads to the shorter context and weighs log10 l_k. The
+arcs are not stored and no state is carried: ``traverse`` looks up the counts of
+the n-grams at all positions of a block at once, which gives the same scores.
 
 The automaton grows with the corpus and is never in one place. Texts are taken in *blocks*
 (4 MB); a block asks for the counts of the distinct n-grams it holds, which
