@@ -17,27 +17,6 @@ import pyarrow.compute as pc
 SLICE_BYTES = 2 << 20
 
 _U = np.uint64
-_P = 0x9E3779B97F4A7C15 | 1
-_PINV = pow(_P, -1, 1 << 64)
-_BYTE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) | _U(1)
-_pow = np.ones(1, _U)
-_inv = np.ones(1, _U)
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n-1 of the hash base and of its inverse modulo 2**64."""
-    global _pow, _inv
-    if len(_pow) >= n:
-        return _pow[:n], _inv[:n]
-    size = max(n, SLICE_BYTES + 1)
-    out = []
-    for base in (_P, _PINV):
-        steps = np.full(size, base, _U)
-        steps[0] = 1
-        out.append(np.multiply.accumulate(steps))
-    if size == SLICE_BYTES + 1:  # those of a very long text are not kept
-        _pow, _inv = out
-    return out[0][:n], out[1][:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -78,17 +57,34 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, most: i
         at = end
 
 
-def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _BYTE) -> np.ndarray:
-    """64-bit hash of every byte segment; equal bytes give equal hashes."""
-    p, inv = _powers(len(data) + 1)
-    h = np.zeros(len(data) + 1, _U)
-    np.cumsum(table[data] * p[:-1], out=h[1:])
-    return mix((h[ends] - h[starts]) * inv[starts] + (ends - starts).astype(_U))
-
-
-#: Hash values of bytes with A-Z lower-cased.
-LOWER = _BYTE.copy()
-LOWER[0x41:0x5B] = _BYTE[0x61:0x7B]
+def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hash of every byte segment, its bytes put through ``table`` first.
+
+    Groups of eight bytes are mixed one by one, each with its place in the
+    segment, before they are summed, so no structure of a text makes segments
+    collide; of segments of one length up to eight bytes none do. Equal hashes
+    of longer ones stay a matter of chance (2**-64 a pair)."""
+    size = ends - starts
+    out = mix(size.astype(_U) + _U(0x9E3779B97F4A7C15))
+    own = np.flatnonzero(size > 0)
+    if not len(own):
+        return out
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data if table is None else table[data]
+    at = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    groups = (size[own] + 7) >> 3
+    first = np.cumsum(groups) - groups
+    place = np.arange(int(groups.sum())) - np.repeat(first, groups)
+    word = at[np.repeat(starts[own], groups) + 8 * place]
+    last = first + groups - 1
+    word[last] &= _U(0xFFFFFFFFFFFFFFFF) >> (_U(8) * (_U(8) - (size[own] - 8 * (groups - 1)).astype(_U)))
+    out[own] = mix(out[own] + np.add.reduceat(mix(word ^ mix(place.astype(_U) + _U(1))), first))
+    return out
+
+
+#: Bytes with A-Z lower-cased.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
 #: Bytes of a word ``[^\x20\x09-\x0D]+``.
 SPACED = np.ones(256, bool)
 SPACED[0x20] = False
@@ -174,61 +170,91 @@ def ragged(pool_start: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 class ChunkPool:
-    """Values (small int arrays) of chunks by 64-bit hash, kept across the
-    batches a Python worker sees. ``find_chunks`` starts it anew beyond ``most``
-    entries, so its memory is bounded; a chunk that is gone is just encoded again.
+    """Values (small int arrays) of chunks, kept across the batches a Python
+    worker sees, with the chunks' bytes. They are looked up by 64-bit hash; a
+    hash never decides, ``find_chunks`` compares the bytes. It starts the pool anew
+    beyond ``most`` entries or ``most_bytes`` of chunks, so its memory is bounded; a
+    chunk that is gone is just encoded again.
     """
 
-    def __init__(self, most: int = 2_000_000):
-        self.most = most
+    def __init__(self, most: int = 2_000_000, most_bytes: int = 64 << 20):
+        self.most, self.most_bytes = most, most_bytes
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, _U)
+        self.keys = np.zeros(0, _U)       # ascending
+        self.slot = np.zeros(0, np.int64)  # entry of each key
         self.start = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint16)
+        self.text_start = np.zeros(0, np.int64)
+        self.text_size = np.zeros(0, np.int64)
+        self.text = np.zeros(0, np.uint8)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """Index of each key, -1 if absent."""
+        """Entry of each key, -1 if absent."""
         if not len(self.keys):
             return np.full(len(keys), -1)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at, -1)
-
-    def add(self, keys: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
-        start = len(self.pool) + np.cumsum(size) - size
+        return np.where(self.keys[at] == keys, self.slot[at], -1)
+
+    def add(self, text: list[bytes], size: np.ndarray, flat: np.ndarray, keys: np.ndarray | None = None) -> np.ndarray:
+        """New entries, which ``find`` sees if they have keys."""
+        own = np.fromiter(map(len, text), np.int64, len(text))
+        entry = len(self.start) + np.arange(len(text))
+        self.start = np.concatenate((self.start, len(self.pool) + np.cumsum(size) - size))
+        self.text_start = np.concatenate((self.text_start, len(self.text) + np.cumsum(own) - own))
+        self.size, self.text_size = np.concatenate((self.size, size)), np.concatenate((self.text_size, own))
         self.pool = np.concatenate((self.pool, flat.astype(np.promote_types(self.pool.dtype, flat.dtype))))
-        order = np.argsort(keys := np.concatenate((self.keys, keys)), kind="stable")
-        self.keys = keys[order]
-        self.start = np.concatenate((self.start, start))[order]
-        self.size = np.concatenate((self.size, size))[order]
-
-
-def find_chunks(pool: ChunkPool, encode, data: np.ndarray, offs: np.ndarray, keep: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
-    """(starts of all chunks, their places in the pool); chunks that are new to the
-    pool are encoded. ``encode``: list of chunk strings -> (ids per chunk, all ids)."""
-    starts = chunk_starts(data, offs, keep)
+        self.text = np.concatenate((self.text, np.frombuffer(b"".join(text), np.uint8)))
+        if keys is not None:
+            order = np.argsort(keys := np.concatenate((self.keys, keys)), kind="stable")
+            self.keys, self.slot = keys[order], np.concatenate((self.slot, entry))[order]
+        return entry
+
+    def other(self, entry: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Segments whose bytes differ from those of their entries."""
+        size = ends - starts
+        same = self.text_size[entry] == size
+        at = np.flatnonzero(same & (size > 0))
+        if len(at):
+            n = size[at]
+            equal = self.text[ragged(self.text_start[entry[at]], n)] == data[ragged(starts[at], n)]
+            same[at] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
+        return np.flatnonzero(~same)
+
+
+def find_chunks(pool: ChunkPool, encode, data: np.ndarray, offs: np.ndarray, keep: bytes = b"", cut=None) -> tuple[np.ndarray, np.ndarray]:
+    """(starts of all chunks, their entries in the pool); chunks that are new to the
+    pool are encoded. ``encode``: list of chunk strings -> (ids per chunk, all ids).
+    ``cut``: (data, offs) -> starts of chunks, if not ``chunk_starts``."""
+    starts = cut(data, offs) if cut else chunk_starts(data, offs, keep)
     if not len(starts):
         return starts, starts
     ends = np.append(starts[1:], len(data))
     keys, first, inverse = np.unique(segment_hashes(data, starts, ends), return_index=True, return_inverse=True)
     at = pool.find(keys)
+    text = None
     if len(new := np.flatnonzero(at < 0)):
-        if len(pool.keys) > pool.most:  # all of this slice must be there at once
+        if len(pool.start) > pool.most or len(pool.text) > pool.most_bytes:  # all of this slice must be there at once
             pool.clear()
             new = np.arange(len(keys))
         text = data.tobytes()
-        own = first[new]
-        size, flat = encode([text[a:b].decode("utf-8") for a, b in zip(starts[own].tolist(), ends[own].tolist())])
-        pool.add(keys[new], size, flat)
-        at = pool.find(keys)
-    return starts, at[inverse]
-
-
-def encode_slice(pool: ChunkPool, encode, data: np.ndarray, offs: np.ndarray, keep: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        own = [text[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
+        at[new] = pool.add(own, *encode([t.decode("utf-8") for t in own]), keys[new])
+    at = at[inverse]
+    if len(odd := pool.other(at, data, starts, ends)):  # an equal hash of other bytes: encoded by itself
+        text = text or data.tobytes()
+        own = [text[a:b] for a, b in zip(starts[odd].tolist(), ends[odd].tolist())]
+        each = list(dict.fromkeys(own))
+        entries = dict(zip(each, pool.add(each, *encode([t.decode("utf-8") for t in each])).tolist()))
+        at[odd] = [entries[t] for t in own]
+    return starts, at
+
+
+def encode_slice(pool: ChunkPool, encode, data: np.ndarray, offs: np.ndarray, keep: bytes = b"", cut=None) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, ids before each text)."""
-    starts, at = find_chunks(pool, encode, data, offs, keep)
+    starts, at = find_chunks(pool, encode, data, offs, keep, cut)
     if not len(starts):
         return pool.pool[:0], np.zeros(len(offs), np.int64)
     size = pool.size[at]

@@ -70,6 +70,31 @@ def test_pool_starts_anew_and_stays_right(lib):
     assert len(pool.keys) < 500
 
 
+def _thue_morse(n: int = 1024) -> tuple[str, str]:
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_structured_words_have_hashes_of_their_own():
+    texts = [*_thue_morse(), *_thue_morse(2048), "a" * 1024, "a" * 1023, "a" * 8 + "b" * 8, "b" * 8 + "a" * 8, "\x01", "\x01\x00"]
+    data, offs = tb.spans(pa.array(texts))
+    assert len(set(tb.segment_hashes(data, offs[:-1], offs[1:]).tolist())) == len(texts)
+    assert len(set(tb.word_hashes(data, offs)[0].tolist())) == len(texts)
+
+
+@pytest.mark.parametrize("state", [pair_index_bpe.state(PATH)[1:3], token_blocks._encoder(PATH)])
+def test_equal_hashes_of_other_chunks_do_not_decide(lib, state, monkeypatch):
+    texts = [*_thue_morse(), *_odd_texts(60)] * 2
+    whole = tb.segment_hashes
+    for bits in (64, 5, 0):
+        monkeypatch.setattr(tb, "segment_hashes", lambda *a, **k: whole(*a, **k) & np.uint64(2 ** bits - 1))
+        pool = tb.ChunkPool()
+        batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+        for a, b, data, offs in tb.slices(batch, "text", limit=3000):
+            ids, at = tb.encode_slice(pool, state[1], data, offs, token_blocks.SPECIAL)
+            assert [ids[x:y].tolist() for x, y in zip(at[:-1], at[1:])] == [lib(t) for t in texts[a:b]]
+
+
 def test_words_as_the_patterns():
     texts = [*_odd_texts(300), "", "A", "zZ9 é-ü"]
     data, offs = tb.spans(pa.array(texts))
