@@ -9,6 +9,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 
@@ -48,3 +49,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Rows that ``lookup`` broadcasts at most, and rows a key must have to be split off.
+LOOKUP_ROWS = 1_000_000
+HOT_ROWS = 100_000
+
+
+def lookup(rows: DataFrame, table: DataFrame, key: str, held: str, limit: int = LOOKUP_ROWS, hot: int = HOT_ROWS) -> DataFrame:
+    """``rows`` left joined with ``table``, which is unique by ``key`` and says in ``held``
+    how many of ``rows`` hold the key.
+
+    A table of at most ``limit`` rows is broadcast. Beyond that only the keys of more
+    than ``hot`` rows are (sum(held) / hot of them at most, and ``hot`` is raised until
+    that is no more than ``limit``); the rows of all others meet by a shuffle, in which
+    no key has more than ``hot`` rows. ``table`` should be written: it is read
+    more than once. ``rows`` holds no null keys."""
+    n, total = table.agg(F.count("*"), F.coalesce(F.sum(held), F.lit(0))).first()
+    if n <= limit:
+        return rows.join(F.broadcast(table), key, "left")
+    hot = max(hot, -(-total // limit))
+    many = F.broadcast(table.filter(F.col(held) > hot))
+    rest = rows.join(many.select(key), key, "left_anti").join(table.filter(F.col(held) <= hot), key, "left")
+    return rows.join(many, key).unionByName(rest)
