@@ -14,7 +14,7 @@ is counted over the whole corpus, each text's distinct pairs being summed first.
 pairs is small, else pairs of many texts by broadcast (their number is
 bounded by the number of links over HOT) and the rest by a shuffle.
 
-Memory follows the slice (2 MB of text, or one longer text).
+Memory follows the slice (BLOCK_BYTES of text, or one longer text).
 """
 
 from __future__ import annotations
@@ -33,7 +33,11 @@ from .common import lookup, read_table, written
 from .pair_index_bpe import byte_letters
 
 #: Tokens whose decimal ids are written out at once for a digest.
-PIECE = 1 << 20
+PIECE = 1 << 18
+#: Bytes of text that are aligned at once (a longer text is taken whole).
+BLOCK_BYTES = 512 << 10
+#: A tokens of an interval that is not divided any more.
+SHORT = 16
 
 
 @dataclass
@@ -109,16 +113,30 @@ def pieces(path: str) -> Side:
     return _side(encode, _space_cut, out)
 
 
-def shared_cuts(ea: np.ndarray, eb: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shared_cuts(ea: np.ndarray, eb: np.ndarray, na: np.ndarray, nb: np.ndarray, short: int = SHORT) -> tuple[np.ndarray, np.ndarray]:
     """(A indices, B indices) of all tokens that end together, ascending.
 
     ``ea``, ``eb``: ends of all tokens, ascending over all texts; ``na``, ``nb``:
-    tokens before each text. The last tokens of a text end together."""
+    tokens before each text. The last tokens of a text end together. Intervals of at most
+    ``short`` A tokens are not divided: all of their ends are bisected."""
     some = np.flatnonzero(na[1:] > na[:-1])
     a0, a1, b0, b1 = na[some], na[some + 1], nb[some], nb[some + 1]
     cut_a, cut_b = [a1 - 1], [b1 - 1]
+
+    def shared(probe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(B index at or behind each A end, those that are equal)"""
+        place = np.searchsorted(eb, ea[probe])
+        return place, np.flatnonzero(eb[np.minimum(place, len(eb) - 1)] == ea[probe])
+
     while len(open_ := np.flatnonzero((a1 - a0 > 1) & (b1 - b0 > 1))):
         a0, a1, b0, b1 = a0[open_], a1[open_], b0[open_], b1[open_]
+        few = a1 - a0 <= short
+        if few.any():
+            probe = tb.ragged(a0[few], a1[few] - a0[few] - 1)
+            place, hit = shared(probe)
+            cut_a.append(probe[hit])
+            cut_b.append(place[hit])
+            a0, a1, b0, b1 = (x[~few] for x in (a0, a1, b0, b1))
         mid = (a0 + a1 - 2) >> 1
         at_a, at_b = np.full(len(mid), -1), np.full(len(mid), -1)
         look, near, far = np.arange(len(mid)), 0, 1
@@ -130,11 +148,9 @@ def shared_cuts(ea: np.ndarray, eb: np.ndarray, na: np.ndarray, nb: np.ndarray)
             n_left, n_right = left1 - left0, np.maximum(right1 - right0, 0)
             who = np.concatenate((np.repeat(np.arange(len(look)), n_left), np.repeat(np.arange(len(look)), n_right)))
             probe = np.concatenate((tb.ragged(left0, n_left), tb.ragged(right0, n_right)))
-            place = np.searchsorted(eb, ea[probe])
-            hit = np.flatnonzero(eb[np.minimum(place, len(eb) - 1)] == ea[probe])
+            place, hit = shared(probe)
             if len(hit):
-                order = np.lexsort((probe[hit], np.abs(probe[hit] - m[who[hit]]), who[hit]))
-                hit = hit[order]
+                hit = hit[np.lexsort((probe[hit], np.abs(probe[hit] - m[who[hit]]), who[hit]))]
                 first = hit[np.concatenate(([True], who[hit][1:] != who[hit][:-1]))]
                 at_a[look[who[first]]], at_b[look[who[first]]] = probe[first], place[first]
             look = look[(at_a[look] < 0) & ((m - far >= low) | (m + far <= high))]
@@ -143,8 +159,9 @@ def shared_cuts(ea: np.ndarray, eb: np.ndarray, na: np.ndarray, nb: np.ndarray)
         a0, a1, b0, b1, at_a, at_b = (x[found] for x in (a0, a1, b0, b1, at_a, at_b))
         cut_a.append(at_a)
         cut_b.append(at_b)
-        a0, a1 = np.concatenate((a0, at_a + 1)), np.concatenate((at_a + 1, a1))
-        b0, b1 = np.concatenate((b0, at_b + 1)), np.concatenate((at_b + 1, b1))
+        halves = lambda lo, cut, hi: (np.stack((lo, cut + 1), 1).ravel(), np.stack((cut + 1, hi), 1).ravel())
+        a0, a1 = halves(a0, at_a, a1)              # in order, so that bisecting runs through B's ends once
+        b0, b1 = halves(b0, at_b, b1)
     return np.sort(np.concatenate(cut_a)), np.sort(np.concatenate(cut_b))
 
 
@@ -212,7 +229,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False,
         a_side, b_side, digits = _state(path_a, path_b)
         n_b = len(b_side.size)
         for batch in batches:
-            for x, y, text, offs in tb.slices(batch, "text"):
+            for x, y, text, offs in tb.slices(batch, "text", BLOCK_BYTES):
                 n = y - x
                 data = np.full(len(text) + n, 0x20, np.uint8)      # a space before each text
                 doc = np.repeat(np.arange(n), np.diff(offs))

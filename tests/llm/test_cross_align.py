@@ -60,7 +60,8 @@ def plain():
 COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
-def test_shared_cuts_of_random_ends():
+@pytest.mark.parametrize("short", [1, 2, 16])
+def test_shared_cuts_of_random_ends(short):
     r = random.Random(4)
     for _ in range(300):
         ea, eb, na, nb, want, at = [], [], [0], [0], [], 0
@@ -76,7 +77,7 @@ def test_shared_cuts_of_random_ends():
             na.append(len(ea))
             nb.append(len(eb))
         ea, eb = np.array(ea, np.int64), np.array(eb, np.int64)
-        x, y = ca.shared_cuts(ea, eb, np.array(na), np.array(nb))
+        x, y = ca.shared_cuts(ea, eb, np.array(na), np.array(nb), short)
         assert ea[x].tolist() == want and eb[y].tolist() == want
 
 
