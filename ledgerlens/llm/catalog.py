@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import backoff_automaton, cap_filters, cross_align, edit_counts, fill_in_middle, hyperminhash, kdtree_shards, pair_index_bpe, suffix_decontamination, token_blocks, toxicity_cnn, url_markov
+from . import backoff_automaton, cap_filters, cross_align, edit_counts, fill_in_middle, hyperminhash, kdtree_shards, pair_index_bpe, suffix_decontamination, token_blocks, toxicity_cnn, url_markov, warc
 
 QUERIES = {
     "op1_pfor_token_blocks": (token_blocks.op1_pfor_token_blocks, None),
@@ -17,4 +17,5 @@ QUERIES = {
     "op10_edit_counts": (edit_counts.op10_edit_counts, None),
     "op11_fenwick_fim": (fill_in_middle.op11_fenwick_fim, fill_in_middle.OP11_SQL),
     "op12_shared_cut_alignment": (cross_align.op12_shared_cut_alignment, None),
+    "op13_warc_transactions": (warc.op13_warc_transactions, warc.OP13_SQL),
 }
