@@ -643,6 +643,20 @@ def q_reconcile_summary(spark, sf_dir):
     return reconcile_cases(case_reports(spark, sf_dir, False), case_reports(spark, sf_dir, True)).withColumnRenamed("case_id", "test_id")
 
 
+# a baseline without quotes against a comparison without the average rate
+_LESS, _MORE = ("ecof_count", "ecof_advance"), ("commission_rate_avg",)
+
+
+@register("reconcile_columns", O.reconcile_summary_sql(
+    [(1, *(f"SELECT * EXCLUDE ({', '.join(gone)}) FROM ({sql})" for sql, gone in zip(_both_sql(group=GROUP), (_LESS, _MORE))))], unshared=_LESS + _MORE))
+def q_reconcile_columns(spark, sf_dir):
+    """Versions that do not have the same columns."""
+    from pyspark.sql import functions as F
+    from ledgerlens.operators.reconcile import reconcile_summary
+    older, latest = _versions(spark, sf_dir)
+    return reconcile_summary(older(group=GROUP).drop(*_LESS), latest(group=GROUP).drop(*_MORE)).select(F.lit(1).alias("test_id"), "*")
+
+
 @register("run_cases", " UNION ALL ".join(f"SELECT {k} AS test_id, * FROM ({_both_sql(**c)[1]}) r{k}" for k, c in RECON_CASES.items()))
 def q_run_cases(spark, sf_dir):
     return case_reports(spark, sf_dir, True).withColumnRenamed("case_id", "test_id")
@@ -712,7 +726,7 @@ def q_agg_by_facility_month(spark, sf_dir):
 
 
 @register("activity_labels", O.with_fixtures(
-    f"SELECT {O._labels_case('activity_type')} AS activity_label, CAST(count(*) AS BIGINT) AS activities "
+    f"SELECT {O._labelled('activity_type')} AS activity_label, CAST(count(*) AS BIGINT) AS activities "
     f"FROM crm_user_notification GROUP BY 1"))
 def q_activity_labels(spark, sf_dir):
     from pyspark.sql import functions as F

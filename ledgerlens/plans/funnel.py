@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,17 +81,43 @@ class FunnelParams:
         return self
 
 
-@dataclasses.dataclass
 class FunnelInputs:
-    """Lazy inputs of the funnel: account and the four fact views."""
-    spark: SparkSession
-    account: DataFrame
-    applications: DataFrame
-    paids: DataFrame
-    ecof: DataFrame
-    budget: DataFrame
-    tables: Tables | None = None
-    as_of: dt.date = domain.AS_OF
+    """Inputs of the funnel: account and the four fact views, each planned when
+    it is first asked for, so a report of one fact opens that fact's tables only.
+
+    Facts start four years back (from January of that year) unless ``window``
+    is narrower. Frames that are given stand for those of ``tables``."""
+
+    def __init__(self, spark: SparkSession, account: DataFrame | None = None, applications: DataFrame | None = None,
+                 paids: DataFrame | None = None, ecof: DataFrame | None = None, budget: DataFrame | None = None,
+                 tables: Tables | None = None, as_of: dt.date = domain.AS_OF, window: domain.Window | None = None):
+        self.spark, self.tables, self.as_of, self.window = spark, tables, as_of, window
+        given = {"account": account, "applications": applications, "paids": paids, "ecof": ecof, "budget": budget}
+        self.__dict__.update({k: v for k, v in given.items() if v is not None})
+
+    @functools.cached_property
+    def account(self) -> DataFrame:
+        return domain.account(self.tables)
+
+    @property
+    def _since(self) -> domain.Window:
+        return self.window or (dt.date(self.as_of.year - 3, 1, 1), None)
+
+    @functools.cached_property
+    def applications(self) -> DataFrame:
+        return facts_op.application_facts(self.account, domain.application_mth(self.tables, window=self._since), self.as_of)
+
+    @functools.cached_property
+    def paids(self) -> DataFrame:
+        return facts_op.paid_facts(self.account, domain.paid_mth(self.tables, window=self._since), self.as_of)
+
+    @functools.cached_property
+    def ecof(self) -> DataFrame:
+        return facts_op.ecof_facts(self.account, domain.vw_ecof_all(self.tables, window=self.window), domain.account_ecof(self.tables))
+
+    @functools.cached_property
+    def budget(self) -> DataFrame:
+        return facts_op.budget_facts(self.account, domain.paid_budget(self.tables))
 
     def windowed(self, lo: dt.date, hi: dt.date) -> "FunnelInputs":
         """Same inputs with applications, paid deals and quotes restricted to
@@ -100,22 +127,11 @@ class FunnelInputs:
         values are sums over whole years."""
         if self.tables is None:
             return self
-        return FunnelInputs.from_tables(self.tables, self.as_of, (lo, hi))
+        return FunnelInputs(self.spark, tables=self.tables, as_of=self.as_of, window=(lo, hi))
 
     @classmethod
     def from_tables(cls, t: Tables, as_of: dt.date = domain.AS_OF, window: domain.Window | None = None) -> "FunnelInputs":
-        """Lazy plans only (no data is read here). Facts start four years back
-        (from January of that year) unless ``window`` is narrower."""
-        acc = domain.account(t)
-        w = window or (dt.date(as_of.year - 3, 1, 1), None)
-        return cls(
-            spark=t.spark, account=acc,
-            applications=facts_op.application_facts(acc, domain.application_mth(t, window=w), as_of),
-            paids=facts_op.paid_facts(acc, domain.paid_mth(t, window=w), as_of),
-            ecof=facts_op.ecof_facts(acc, domain.vw_ecof_all(t, window=window), domain.account_ecof(t)),
-            budget=facts_op.budget_facts(acc, domain.paid_budget(t)),
-            tables=t, as_of=as_of,
-        )
+        return cls(t.spark, tables=t, as_of=as_of, window=window)
 
 
 # --------------------------------------------------------------------------

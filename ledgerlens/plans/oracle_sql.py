@@ -199,18 +199,16 @@ FIXTURES: dict[str, str] = {
                 FROM (UNPIVOT (SELECT * FROM paid_budget) ON q1, q2, q3, q4 INTO NAME slot VALUE amount))) q
     JOIN (SELECT facility_used_by_id AS fid, any_value(facility_used_by_report_group_id) AS grp FROM account GROUP BY 1) g
       ON g.fid = q.account_id""",
+    # quotes summed by company key, then placed
     "ecof_facts": """
-    SELECT a.facility_used_by_report_group_id AS report_group_id, a.facility_used_by_report_group,
-           a.facility_used_by_id, a.facility_used_by_legal_name, v.selected_lender AS facility_lender,
-           CAST(COUNT(v.doc_type) AS BIGINT) AS ecof_count,
-           CAST(SUM(v.selected_balance) AS DECIMAL(18,2)) AS ecof_advance,
-           CAST(v.year AS VARCHAR) || '-' || lpad(CAST(v.month AS VARCHAR), 2, '0') AS year_month
-    FROM vw_ecof_all v JOIN account_ecof ae ON v.company_key = ae.ecof_key
-    JOIN (SELECT DISTINCT account_id, facility_used_by_report_group_id, facility_used_by_report_group,
-                 facility_used_by_id, facility_used_by_legal_name FROM account) a ON ae.account_id = a.account_id
-    WHERE v.selected_funding_option <> 'cash'
-    GROUP BY 8, a.facility_used_by_id, a.facility_used_by_legal_name, a.facility_used_by_report_group_id,
-             a.facility_used_by_report_group, v.selected_lender""",
+    SELECT grp AS report_group_id, facility_used_by_report_group, facility_used_by_id, facility_used_by_legal_name, facility_lender,
+           CAST(sum(quotes) AS BIGINT) AS ecof_count, CAST(sum(worth) AS DECIMAL(18,2)) AS ecof_advance, year_month
+    FROM (SELECT company_key AS ecof_key, selected_lender AS facility_lender, printf('%04d-%02d', year, month) AS year_month,
+                 count(doc_type) AS quotes, sum(selected_balance) AS worth
+          FROM vw_ecof_all WHERE coalesce(selected_funding_option, 'cash') != 'cash' GROUP BY ALL)
+    JOIN (SELECT ecof_key, facility_used_by_report_group_id AS grp, facility_used_by_report_group, facility_used_by_id, facility_used_by_legal_name
+          FROM account_ecof JOIN account USING (account_id) GROUP BY ALL) USING (ecof_key)
+    GROUP BY ALL""",
 }
 
 
@@ -498,37 +496,40 @@ def monthly_period_sql(period="L12M", facility=None, group=None, lender=None, as
 # summaries, job log, notifications
 # ---------------------------------------------------------------------------
 
-SUMMARY_ACC = ("a.facility_used_by_id, a.facility_used_by_legal_name, a.facility_used_by_trading_style, "
-               "a.facility_used_by_report_group_id, a.account_report_group, "
-               "a.facility_used_by_business_manager_email")
+PLACE = ("facility_used_by_id, facility_used_by_legal_name, facility_used_by_trading_style, facility_used_by_report_group_id, "
+         "account_report_group, facility_used_by_business_manager_email")
+
+
+def _long_rows(measures: dict[str, str], keys: str, source: str, month: str | None) -> str:
+    """One row per key and measure."""
+    own = f"WHERE year_month = '{month}'" if month is not None else ""
+    return (f"SELECT {keys}, year_month, unnest([{', '.join(map(_lit, measures))}]) AS measure, "
+            f"unnest([{', '.join(f'CAST({v} AS DECIMAL(28,2))' for v in measures.values())}]) AS v FROM {source} {own}")
+
+
+def _measure(name: str, kind: str) -> str:
+    return f"CAST(sum(v) FILTER (measure = '{name}') AS {kind}) AS {name}"
 
 
 def application_summary_sql(month: str | None, as_of=AS_OF, source: str = "application_mth", counts: str = "COUNT") -> str:
-    where = f"WHERE app.year_month = '{month}'" if month is not None else ""
+    n = (lambda c: f"{c} IS NOT NULL") if counts == "COUNT" else (lambda c: c)
+    long = {"accept_count": "accept", "accept_total": "coalesce(accept_val, 0)", "decline_count": n("decline"),
+            "decline_total": "coalesce(decline_val, 0)", "pending_count": n("pending"), "pending_total": "coalesce(pending_val, 0)"}
+    turned = ", ".join(_measure(m, "BIGINT" if m.endswith("count") else "DECIMAL(18,2)") for m in long)
     return f"""
-    SELECT {SUMMARY_ACC}, app.facility_code,
-           CAST(SUM(app.accept) AS BIGINT) AS accept_count,
-           CAST(SUM(COALESCE(app.accept_val, 0)) AS DECIMAL(18,2)) AS accept_total,
-           CAST({counts}(app.decline) AS BIGINT) AS decline_count,
-           CAST(SUM(COALESCE(app.decline_val, 0)) AS DECIMAL(18,2)) AS decline_total,
-           CAST({counts}(app.pending) AS BIGINT) AS pending_count,
-           CAST(SUM(COALESCE(app.pending_val, 0)) AS DECIMAL(18,2)) AS pending_total,
-           app.year_month, {_ts(as_of)} AS last_updated
-    FROM {source} app JOIN account a ON app.facility_code = a.facility_code
-    {where}
-    GROUP BY app.facility_code, {SUMMARY_ACC}, app.year_month"""
+    SELECT {PLACE}, facility_code, {turned}, year_month, {_ts(as_of)} AS last_updated
+    FROM ({_long_rows(long, 'facility_code', source, month)}) rows
+    JOIN (SELECT facility_code, {PLACE} FROM account) USING (facility_code) GROUP BY ALL"""
 
 
 def paid_summary_sql(month: str, as_of=AS_OF) -> str:
+    long = {"advance_count": "advance IS NOT NULL", "advance_total": "advance"}
     return f"""
-    SELECT {SUMMARY_ACC}, p.facility_code, p.product_code, lpc.funding_option_uc,
-           CAST(COUNT(p.advance) AS BIGINT) AS advance_count,
-           CAST(SUM(p.advance) AS DECIMAL(18,2)) AS advance_total, p.year_month,
-           {_ts(as_of)} AS last_updated
-    FROM paid_mth_p p JOIN account a ON p.facility_code = a.facility_code
-    JOIN lender_product_code lpc ON p.product_code = lpc.product_code
-    WHERE p.year_month = '{month}'
-    GROUP BY p.facility_code, p.product_code, {SUMMARY_ACC}, lpc.funding_option_uc, p.year_month"""
+    SELECT {PLACE}, facility_code, product_code, funding_option_uc, {_measure('advance_count', 'BIGINT')},
+           {_measure('advance_total', 'DECIMAL(18,2)')}, year_month, {_ts(as_of)} AS last_updated
+    FROM ({_long_rows(long, 'facility_code, product_code', 'paid_mth_p', month)}) rows
+    JOIN lender_product_code USING (product_code)
+    JOIN (SELECT facility_code, {PLACE} FROM account) USING (facility_code) GROUP BY ALL"""
 
 
 PAID_WITH_PRODUCT = {"paid_mth_p": paid_mth_sql(with_product=True)}
@@ -593,35 +594,31 @@ def job_log_sql(kind: str, month: str, started: dt.datetime, finished: dt.dateti
     return with_fixtures(body, (PAID_WITH_PRODUCT if kind == "paids" else {}) | ctes)
 
 
-def _labels_case(col: str) -> str:
-    from ledgerlens.functions.filters import ACTIVITY_LABELS, NOT_FOUND_LABEL
-    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ACTIVITY_LABELS.items())
-    return f"CASE {col} {whens} ELSE '{NOT_FOUND_LABEL}' END"
+def _overdue(now: dt.datetime) -> str:
+    """What was due before ``now``, less what is done or cannot be shown."""
+    return (f"SELECT * FROM crm_user_notification WHERE scheduled_end < {_ts(now)} EXCEPT ALL "
+            f"SELECT * FROM crm_user_notification WHERE actual_end IS NOT NULL OR activity_type IS NULL OR coalesce(regarding, '') = ''")
 
 
-def _overdue_where(now: dt.datetime) -> str:
-    return (f"un.scheduled_end < {_ts(now)} AND un.actual_end IS NULL AND un.activity_type IS NOT NULL "
-            f"AND un.regarding IS NOT NULL AND un.regarding <> ''")
+def _labelled(col: str) -> str:
+    from ledgerlens.functions.filters import ACTIVITY_LABELS, NOT_FOUND_LABEL
+    known = ", ".join(f"{_lit(k)}: {_lit(v)}" for k, v in ACTIVITY_LABELS.items())
+    return f"coalesce(MAP {{{known}}}[{col}], {_lit(NOT_FOUND_LABEL)})"
 
 
 def notifications_sql(now: dt.datetime, email: str | None = None) -> str:
-    extra = f" AND u.email = {_lit(email)}" if email is not None else ""
+    whose = f"WHERE email = {_lit(email)}" if email is not None else ""
     body = f"""
-    SELECT un.scheduled_end, strftime(un.scheduled_end, '%d/%m/%Y') AS scheduled_end_date,
-           {_labels_case('un.activity_type')} AS activity_type, un.subject, un.regarding, un.link,
-           u.initials, u.name
-    FROM crm_user_notification un LEFT JOIN crm_user u ON un.crm_user_id = u.crm_user_id
-    WHERE {_overdue_where(now)}{extra}
-    ORDER BY un.scheduled_end"""
+    SELECT scheduled_end, strftime(scheduled_end, '%d/%m/%Y') AS scheduled_end_date, {_labelled('activity_type')} AS activity_type,
+           subject, regarding, link, initials, name
+    FROM ({_overdue(now)}) due LEFT JOIN crm_user USING (crm_user_id) {whose} ORDER BY scheduled_end"""
     return with_fixtures(body)
 
 
 def notifications_flag_sql(now: dt.datetime, email: str | None) -> str:
-    body = f"""
-    SELECT CASE WHEN count(1) > 0 THEN 1 ELSE 0 END AS flag
-    FROM crm_user_notification un LEFT JOIN crm_user u ON un.crm_user_id = u.crm_user_id
-    WHERE u.email = {_lit(email)} AND {_overdue_where(now)}"""
-    return with_fixtures(body)
+    return with_fixtures(f"""
+    SELECT CAST(EXISTS (FROM ({_overdue(now)}) due SEMI JOIN (SELECT crm_user_id FROM crm_user WHERE email = {_lit(email)}) who USING (crm_user_id))
+                AS INTEGER) AS flag""")
 
 
 # ---------------------------------------------------------------------------
@@ -796,10 +793,14 @@ def reconcile_except_sql(a_sql: str, b_sql: str) -> str:
             FROM (SELECT *, 1 AS side FROM ({a_sql}) a UNION ALL SELECT *, -1 FROM ({b_sql}) b) GROUP BY {cols}) WHERE balance <> 0)"""
 
 
-def reconcile_summary_sql(cases: list[tuple[int, str, str]], metrics=RECON_METRICS) -> str:
-    """Counts over one cell per (case, side, key, column)."""
-    cols = [c for c in REPORT_COLS if c not in ("report_name", "moment")]
-    rows = " UNION ALL ".join(f"SELECT {tid} AS test_id, {k} AS side, * FROM ({sql}) r" for tid, *both in cases for k, sql in enumerate(both))
+def reconcile_summary_sql(cases: list[tuple[int, str, str]], metrics=RECON_METRICS, unshared: tuple[str, ...] = ()) -> str:
+    """Counts over one cell per (case, side, key, column); ``unshared``: report columns
+    that only one side has."""
+    cols = [c for c in REPORT_COLS if c not in ("report_name", "moment", *unshared)]
+    rows = " UNION ALL ".join(f"SELECT {tid} AS test_id, {k} AS side, {', '.join(['report_name', 'moment', *cols])} FROM ({sql}) r"
+                              for tid, *both in cases for k, sql in enumerate(both))
+    own = [f"SELECT column_name AS c FROM (DESCRIBE {sql})" for sql in cases[0][1:]]
+    only = lambda a, b, name: f"(SELECT coalesce(string_agg(c, ',' ORDER BY c), '') FROM ({a} EXCEPT {b})) AS {name}"
     cells = (f"SELECT test_id, side, report_name, moment, unnest({cols}) AS col, "
              f"unnest([{', '.join(f'CAST({c} AS DECIMAL(38,6))' for c in cols)}]) AS v FROM rows")
     named = f"col IN ({', '.join(map(repr, metrics))})"
@@ -811,11 +812,13 @@ def reconcile_summary_sql(cases: list[tuple[int, str, str]], metrics=RECON_METRI
     sums AS (SELECT test_id, count(*) FILTER (sides = 1) // {len(cols)} AS rows_missing,
                     count(*) FILTER (sides = 2 AND differs AND {named}) AS value_diffs,
                     count(*) FILTER (sides = 2 AND differs AND NOT {named}) AS other_diffs FROM met GROUP BY 1),
-    sizes AS (SELECT test_id, count(*) FILTER (side = 0) AS baseline_rows, count(*) FILTER (side = 1) AS comparison_rows FROM rows GROUP BY 1)
+    sizes AS (SELECT test_id, count(*) FILTER (side = 0) AS baseline_rows, count(*) FILTER (side = 1) AS comparison_rows FROM rows GROUP BY 1),
+    lists AS (SELECT {only(*own, 'missing_columns')}, {only(*own[::-1], 'extra_columns')})
     SELECT test_id, baseline_rows, comparison_rows, CAST(rows_missing AS BIGINT) AS rows_missing, value_diffs, other_diffs,
-           '' AS missing_columns, '' AS extra_columns,
-           CASE WHEN rows_missing + value_diffs + other_diffs = 0 AND baseline_rows = comparison_rows THEN 'MATCH' ELSE 'DIFF' END AS verdict
-    FROM sums JOIN sizes USING (test_id)"""
+           missing_columns, extra_columns,
+           CASE WHEN rows_missing + value_diffs + other_diffs = 0 AND baseline_rows = comparison_rows AND missing_columns = ''
+                THEN 'MATCH' ELSE 'DIFF' END AS verdict
+    FROM sums JOIN sizes USING (test_id), lists"""
 
 
 def ecof_period_sql(label: str = "year_month", period="L12M", facility=None, group=None, lender=None, as_of=AS_OF) -> str:
@@ -832,7 +835,7 @@ def ecof_period_sql(label: str = "year_month", period="L12M", facility=None, gro
            CAST(proposed AS BIGINT) AS proposed_count, CAST(accept AS BIGINT) AS accept_count,
            CAST(accept_val AS DECIMAL(18,2)) AS accept_val, {n0('accept_val')} AS accept_text,
            {n0('CASE WHEN accept > 0 THEN accept_val / accept END')} AS accept_avg_text,
-           CASE WHEN proposed > 0 THEN concat(CAST(accept * 100 // proposed AS BIGINT), '%') END AS accept_rate_text,
+           CASE WHEN proposed > 0 THEN concat(CAST(accept AS BIGINT) * 100 // CAST(proposed AS BIGINT), '%') END AS accept_rate_text,
            CAST(decline AS BIGINT) AS decline_count, CAST(pending AS BIGINT) AS pending_count,
            CAST(advance_count AS BIGINT) AS advance_count, CAST(advance AS DECIMAL(18,2)) AS advance_val, {n0('advance')} AS advance_text,
            {n0('CASE WHEN advance_count > 0 THEN advance / advance_count END')} AS advance_avg_text,

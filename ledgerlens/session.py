@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -40,18 +44,30 @@ def get_session(master: str | None = None, app: str = "ledgerlens",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and snapshot tables: the session's
-    ``spark.checkpoint.dir`` (the cluster names it; tests set their own)."""
+_LOCAL: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """Folder that driver and executors share, for lineage cuts and tables:
+    ``spark.checkpoint.dir`` (the cluster names it). Only a single-process ``local[...]``
+    session may leave it unset; it gets a temporary folder of its own, removed at exit."""
     conf = spark.sparkContext.getConf()
-    d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if path:
+        return path
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if "dir" not in _LOCAL:
+        _LOCAL["dir"] = tempfile.mkdtemp(prefix="ledgerlens-")
+        atexit.register(shutil.rmtree, _LOCAL["dir"], True)
+    return _LOCAL["dir"]
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of its own under the shared folder."""
+    return os.path.join(shared_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), *parts)
+    """A named path under the shared folder."""
+    return os.path.join(shared_dir(spark), *parts)

@@ -1,8 +1,9 @@
 """Driver tables (parquet) as lazily-read DataFrames.
 
-Each attribute access re-reads the parquet file lazily; Catalyst prunes
-columns and pushes filters into the scan, so callers simply ``select``
-what they need.
+A ``Tables`` object opens a table (one file listing, one footer) when it is first
+asked for and keeps that reader; a report makes an object of its own, so nothing goes
+stale between reports. Catalyst prunes columns and pushes filters into the scan, so
+callers simply ``select`` what they need.
 """
 
 from __future__ import annotations
@@ -30,4 +31,5 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLE_NAMES:
             raise AttributeError(name)
-        return read_table(self.spark, self.sf_dir, name)
+        self.__dict__[name] = df = read_table(self.spark, self.sf_dir, name)
+        return df
