@@ -36,6 +36,8 @@ from .pair_index_bpe import byte_letters
 PIECE = 1 << 18
 #: Bytes of text that are aligned at once (a longer text is taken whole).
 BLOCK_BYTES = 512 << 10
+#: Chunks that each side keeps encoded, in a Python worker.
+POOL = 300_000
 #: A tokens of an interval that is not divided any more.
 SHORT = 16
 
@@ -53,7 +55,7 @@ class Side:
 
 def _side(encode, cut, pieces: list[bytes]) -> Side:
     size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    return Side(encode, cut, tb.ChunkPool(), np.cumsum(size) - size, size, np.frombuffer(b"".join(pieces), np.uint8))
+    return Side(encode, cut, tb.ChunkPool(most=POOL), np.cumsum(size) - size, size, np.frombuffer(b"".join(pieces), np.uint8))
 
 
 def _flat(ids: list[list[int]], n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -177,7 +177,7 @@ class ChunkPool:
     chunk that is gone is just encoded again.
     """
 
-    def __init__(self, most: int = 2_000_000, most_bytes: int = 64 << 20):
+    def __init__(self, most: int = 500_000, most_bytes: int = 32 << 20):
         self.most, self.most_bytes = most, most_bytes
         self.clear()
 
