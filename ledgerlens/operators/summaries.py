@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 SUMMARY_ACCOUNT_COLS = ["facility_used_by_id", "facility_used_by_legal_name",
@@ -109,16 +109,6 @@ def _log(df: DataFrame, app: str, kind: str, message, now: dt.datetime, day_of_y
                      F.lit(day).alias("day"), F.lit(now.month).alias("month"), F.lit(now.year).alias("year"))
 
 
-def log_rows(spark: SparkSession, app: str, entries: list[tuple[str, str]], now: dt.datetime,
-             day_of_year: bool = True) -> DataFrame:
-    """Job-log rows ``(applicationName, logType, message, dateCreated, day,
-    month, year)``; ``day`` is day-of-year by default (table default),
-    day-of-month with ``day_of_year=False``."""
-    day = now.timetuple().tm_yday if day_of_year else now.day
-    return spark.createDataFrame([(app, t, m, now, day, now.month, now.year) for t, m in entries],
-                                 LOG_SCHEMA)
-
-
 def job_log(summary: DataFrame, gate: DataFrame, procedure: str, table: str, month: str, started: dt.datetime,
             finished: dt.datetime, truncate_first: bool = False, phase: DataFrame | None = None,
             error: str | None = None, day_of_year: bool = False) -> DataFrame:
@@ -165,7 +155,10 @@ def load_summary(df: DataFrame, path: str, mode: str = "replace_months") -> int:
 
     ``replace_months``: the months of ``df`` are replaced, others stay;
     ``truncate_first``: the table holds ``df`` alone; ``append``: rows are added (a
-    repeated load then repeats its rows, as in the reference)."""
+    repeated load then repeats its rows, as in the reference). The count is observed
+    on the write, so the plan runs once, and ``df`` may derive from the files replaced."""
+    seen = Observation()
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if mode == "replace_months":
         replace_months(df, path)
     elif mode == "truncate_first":
@@ -174,7 +167,7 @@ def load_summary(df: DataFrame, path: str, mode: str = "replace_months") -> int:
         df.write.mode("append").partitionBy("year_month").parquet(path)
     else:
         raise ValueError("mode must be replace_months, truncate_first or append")
-    return df.count()
+    return seen.get["rows"]
 
 
 def replace_months(df: DataFrame, path: str, month_col: str = "year_month") -> None:

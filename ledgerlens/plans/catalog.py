@@ -290,18 +290,18 @@ for _p, _k in (("L12M", "l12m"), ("P12M", "p12m"), ("C12M", "c12m"), (None, "all
 # summaries, guards, job log
 # --------------------------------------------------------------------------
 
-def _prev_month():
+def prev_month():
     from ledgerlens.functions.calendar import previous_month_key
     return previous_month_key(O.AS_OF)
 
 
-@register("application_summary", O.with_fixtures(O.application_summary_sql(_prev_month())))
+@register("application_summary", O.with_fixtures(O.application_summary_sql(prev_month())))
 def q_application_summary(spark, sf_dir):
     from ledgerlens.operators.summaries import application_summary
     from ledgerlens.sources import domain
     t = Tables(spark, sf_dir)
-    return application_summary(domain.account(t), domain.application_mth(t, window=domain.upload_window(_prev_month())),
-                               O.AS_OF, _prev_month())
+    return application_summary(domain.account(t), domain.application_mth(t, window=domain.upload_window(prev_month())),
+                               O.AS_OF, prev_month())
 
 
 @register("application_summary_all", O.with_fixtures(O.application_summary_sql(None)))
@@ -312,13 +312,13 @@ def q_application_summary_all(spark, sf_dir):
     return application_summary(domain.account(t), domain.application_mth(t), O.AS_OF, None)
 
 
-@register("application_summary_sums", O.with_fixtures(O.application_summary_sql(_prev_month(), counts="SUM")))
+@register("application_summary_sums", O.with_fixtures(O.application_summary_sql(prev_month(), counts="SUM")))
 def q_application_summary_sums(spark, sf_dir):
     from ledgerlens.operators.summaries import application_summary
     from ledgerlens.sources import domain
     t = Tables(spark, sf_dir)
-    return application_summary(domain.account(t), domain.application_mth(t, window=domain.upload_window(_prev_month())),
-                               O.AS_OF, _prev_month(), counts="sum")
+    return application_summary(domain.account(t), domain.application_mth(t, window=domain.upload_window(prev_month())),
+                               O.AS_OF, prev_month(), counts="sum")
 
 
 def _paid_summary(spark, sf_dir):
@@ -326,21 +326,21 @@ def _paid_summary(spark, sf_dir):
     from ledgerlens.sources import domain
     t = Tables(spark, sf_dir)
     from ledgerlens.functions.calendar import month_start
-    month = first_day(_prev_month())
+    month = first_day(prev_month())
     return paid_summary(domain.account(t), domain.paid_mth(t, with_product=True, window=(month, month_start(month, 1))),
-                        domain.lender_product_code(t), O.AS_OF, _prev_month())
+                        domain.lender_product_code(t), O.AS_OF, prev_month())
 
 
-@register("paid_summary", O.with_fixtures(O.paid_summary_sql(_prev_month()), O.PAID_WITH_PRODUCT))
+@register("paid_summary", O.with_fixtures(O.paid_summary_sql(prev_month()), O.PAID_WITH_PRODUCT))
 def q_paid_summary(spark, sf_dir):
     return _paid_summary(spark, sf_dir)
 
 
 def _phase_query(name, product):
-    @register(name, O.paid_phase_sql(_prev_month(), product))
+    @register(name, O.paid_phase_sql(prev_month(), product))
     def q(spark, sf_dir):
         from ledgerlens.operators.summaries import paid_summary_phase
-        return paid_summary_phase(_paid_summary(spark, sf_dir), _prev_month(), product)
+        return paid_summary_phase(_paid_summary(spark, sf_dir), prev_month(), product)
     return q
 
 
@@ -372,18 +372,18 @@ def _gate_query(name, kind, month):
     return q
 
 
-_gate_query("summary_gate", "apps", _prev_month())
+_gate_query("summary_gate", "apps", prev_month())
 _gate_query("summary_gate_done", "apps", "1998-06")
 _gate_query("summary_gate_no_source", "apps", "2010-01")
-_gate_query("paid_summary_gate", "paids", _prev_month())
+_gate_query("paid_summary_gate", "paids", prev_month())
 _gate_query("paid_summary_gate_done", "paids", "1998-06")
 
-_STARTED = __import__("datetime").datetime(1999, 7, 15, 2, 0, 0)
-_FINISHED = __import__("datetime").datetime(1999, 7, 15, 2, 3, 5)
+STARTED = __import__("datetime").datetime(1999, 7, 15, 2, 0, 0)
+FINISHED = __import__("datetime").datetime(1999, 7, 15, 2, 3, 5)
 
 
 def _log_query(name, kind, month, **kw):
-    @register(name, O.job_log_sql(kind, month, _STARTED, _FINISHED, O.D.FEED_CUTOFF, **kw))
+    @register(name, O.job_log_sql(kind, month, STARTED, FINISHED, O.D.FEED_CUTOFF, **kw))
     def q(spark, sf_dir):
         from ledgerlens.operators import summaries as S
         from ledgerlens.sources import domain as D
@@ -391,19 +391,19 @@ def _log_query(name, kind, month, **kw):
         gate = _gate(kind, spark, sf_dir, month, kw.get("truncate_first", False))
         if kind == "apps":
             s = S.application_summary(D.account(t), D.application_mth(t, window=D.upload_window(month)), O.AS_OF, month)
-            return S.job_log(s, gate, "set_application_mth_summary", "application_mth_summary", month, _STARTED, _FINISHED, **kw)
+            return S.job_log(s, gate, "set_application_mth_summary", "application_mth_summary", month, STARTED, FINISHED, **kw)
         s = _paid_summary(spark, sf_dir)
-        return S.job_log(s, gate, "set_paid_mth_summary", "paid_mth_summary", month, _STARTED, _FINISHED,
+        return S.job_log(s, gate, "set_paid_mth_summary", "paid_mth_summary", month, STARTED, FINISHED,
                          phase=S.paid_summary_phase(s, month), **kw)
     return q
 
 
-_log_query("job_log", "apps", _prev_month())
+_log_query("job_log", "apps", prev_month())
 _log_query("job_log_done", "apps", "1998-06")
 _log_query("job_log_no_source", "apps", "2010-01")
 _log_query("job_log_truncate", "apps", "1998-06", truncate_first=True)
-_log_query("job_log_error", "apps", _prev_month(), error="deadlock")
-_log_query("job_log_paid", "paids", _prev_month())
+_log_query("job_log_error", "apps", prev_month(), error="deadlock")
+_log_query("job_log_paid", "paids", prev_month())
 
 
 # --------------------------------------------------------------------------
@@ -469,7 +469,7 @@ def q_stage_paids(spark, sf_dir):
     return L.stage_paids(D.tb_paids_feed(Tables(spark, sf_dir)))
 
 
-def _apps_pair(spark, sf_dir):
+def apps_pair(spark, sf_dir):
     L, D = _loaders()
     t = Tables(spark, sf_dir)
     target = D.application_mth(t, D.FEED_CUTOFF).select(*O.APPS_COLS)
@@ -477,7 +477,7 @@ def _apps_pair(spark, sf_dir):
     return L, target, staged
 
 
-def _paids_pair(spark, sf_dir):
+def paids_pair(spark, sf_dir):
     L, D = _loaders()
     t = Tables(spark, sf_dir)
     target = D.paid_mth(t, D.FEED_CUTOFF, with_product=True).select(*O.PAIDS_COLS)
@@ -511,8 +511,8 @@ def _upsert_queries(prefix, pair, kind, table):
         return L.upsert_counts(L.upsert(t, s, "id", cols), table)
 
 
-_upsert_queries("upsert_applications", _apps_pair, "apps", "application_mth")
-_upsert_queries("upsert_paids", _paids_pair, "paids", "paid_mth")
+_upsert_queries("upsert_applications", apps_pair, "apps", "application_mth")
+_upsert_queries("upsert_paids", paids_pair, "paids", "paid_mth")
 
 
 @register("json_applications", O.with_fixtures(O.json_rows_sql()))
@@ -613,15 +613,15 @@ def case_reports(spark, sf_dir, per_facility: bool, cases: dict[int, dict] = REC
     return fn.funnel_cases(inp, {k: fn.FunnelParams(per_facility=per_facility, **c) for k, c in cases.items()})
 
 
-def _strip_order(sql: str) -> str:
+def strip_order(sql: str) -> str:
     return sql[: sql.rindex("ORDER BY")]
 
 
-def _both_sql(**case) -> tuple[str, str]:
-    return tuple(_strip_order(O.funnel_sql(per_facility=x, **case)) for x in (False, True))
+def both_sql(**case) -> tuple[str, str]:
+    return tuple(strip_order(O.funnel_sql(per_facility=x, **case)) for x in (False, True))
 
 
-@register("reconcile_rows", O.reconcile_rows_sql(*_both_sql(group=GROUP)))
+@register("reconcile_rows", O.reconcile_rows_sql(*both_sql(group=GROUP)))
 def q_reconcile_rows(spark, sf_dir):
     from ledgerlens.operators.reconcile import reconcile_rows
     older, latest = _versions(spark, sf_dir)
@@ -629,7 +629,7 @@ def q_reconcile_rows(spark, sf_dir):
 
 
 @register("reconcile_except", O.reconcile_except_sql(
-    *(_strip_order(O.funnel_sql(group=GROUP, lender=LENDER, per_facility=False, lender_on_ecof=x)) for x in (True, False))))
+    *(strip_order(O.funnel_sql(group=GROUP, lender=LENDER, per_facility=False, lender_on_ecof=x)) for x in (True, False))))
 def q_reconcile_except(spark, sf_dir):
     """Versions that differ in whether the lender filters quotes."""
     from ledgerlens.operators.reconcile import reconcile_except
@@ -637,7 +637,7 @@ def q_reconcile_except(spark, sf_dir):
     return reconcile_except(*(older(group=GROUP, lender=LENDER, lender_on_ecof=x) for x in (True, False)))
 
 
-@register("reconcile_summary", O.reconcile_summary_sql([(k, *_both_sql(**c)) for k, c in RECON_CASES.items()]))
+@register("reconcile_summary", O.reconcile_summary_sql([(k, *both_sql(**c)) for k, c in RECON_CASES.items()]))
 def q_reconcile_summary(spark, sf_dir):
     from ledgerlens.operators.reconcile import reconcile_cases
     return reconcile_cases(case_reports(spark, sf_dir, False), case_reports(spark, sf_dir, True)).withColumnRenamed("case_id", "test_id")
@@ -648,7 +648,7 @@ _LESS, _MORE = ("ecof_count", "ecof_advance"), ("commission_rate_avg",)
 
 
 @register("reconcile_columns", O.reconcile_summary_sql(
-    [(1, *(f"SELECT * EXCLUDE ({', '.join(gone)}) FROM ({sql})" for sql, gone in zip(_both_sql(group=GROUP), (_LESS, _MORE))))], unshared=_LESS + _MORE))
+    [(1, *(f"SELECT * EXCLUDE ({', '.join(gone)}) FROM ({sql})" for sql, gone in zip(both_sql(group=GROUP), (_LESS, _MORE))))], unshared=_LESS + _MORE))
 def q_reconcile_columns(spark, sf_dir):
     """Versions that do not have the same columns."""
     from pyspark.sql import functions as F
@@ -657,7 +657,7 @@ def q_reconcile_columns(spark, sf_dir):
     return reconcile_summary(older(group=GROUP).drop(*_LESS), latest(group=GROUP).drop(*_MORE)).select(F.lit(1).alias("test_id"), "*")
 
 
-@register("run_cases", " UNION ALL ".join(f"SELECT {k} AS test_id, * FROM ({_both_sql(**c)[1]}) r{k}" for k, c in RECON_CASES.items()))
+@register("run_cases", " UNION ALL ".join(f"SELECT {k} AS test_id, * FROM ({both_sql(**c)[1]}) r{k}" for k, c in RECON_CASES.items()))
 def q_run_cases(spark, sf_dir):
     return case_reports(spark, sf_dir, True).withColumnRenamed("case_id", "test_id")
 
@@ -872,7 +872,7 @@ _ratio_cols = ["report_name", "moment", "accept_avg", "accept_rate", "advance_av
 
 
 @register("ratio_measures", "SELECT " + ", ".join(_ratio_cols) + " FROM ("
-          + _strip_order(O.funnel_sql(group="G2", per_facility=False)) + ") r")
+          + strip_order(O.funnel_sql(group="G2", per_facility=False)) + ") r")
 def q_ratio_measures(spark, sf_dir):
     return fn.funnel(_inp(spark, sf_dir), fn.FunnelParams(group="G2", per_facility=False)).select(*_ratio_cols)
 
@@ -947,3 +947,6 @@ def _funnel_text_query(name, **kw):
 
 _funnel_text_query("funnel_text", group=GROUP, per_facility=False, group_by="quarter")
 _funnel_text_query("funnel_text_month", facility=FACILITY, lender=LENDER, per_facility=False)
+
+
+from ledgerlens.plans import catalog_tables  # noqa: E402,F401  (registers its queries here)

@@ -414,6 +414,13 @@ def funnel_cases(inp: FunnelInputs, cases: dict[int, FunnelParams]) -> DataFrame
     return res.filter(~F.col("case_id").isin(drop) | any_positive(NONEMPTY)) if drop else res
 
 
+def cases_of(parameters: DataFrame, **common) -> dict[int, FunnelParams]:
+    """Cases that a parameter file lists (see ``sources.files.PARAMETER_SCHEMA``); an empty
+    period means the months of the data. Its rows are parameters, read on the driver."""
+    return {r.test_id: FunnelParams(facility=r.facility_used_by_id, group=r.report_group_id, lender=r.facility_lender,
+                                    period=r.period, group_by=r.group_by, **common) for r in parameters.collect()}
+
+
 def funnel_text(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
     """Funnel with text columns (money as '£' + N0, rates as text). The lender
     filter does not apply to quotes in this version.

@@ -45,6 +45,12 @@ def month_key(column: str = MONTH) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def of_months(parts: DataFrame, months: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Parts of the listed months, or (left_anti) of all others."""
+    listed = months.select(month_key().alias("_m")).distinct()
+    return parts.withColumn("_m", month_key()).join(listed, "_m", how).drop("_m")
+
+
 class CommitConflict(RuntimeError):
     """Another writer has committed the version this one was to become."""
 
@@ -122,6 +128,8 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str, key: str | None = None, buckets: int = 8):
         self.spark, self.root, self.key, self.buckets = spark, root, key, buckets
         self.files = Files(spark)
+        #: What the last write saw of its rows: ``rows``, and the measures it was given.
+        self.observed: dict = {}
 
     # -- versions ------------------------------------------------------------
 
@@ -175,14 +183,16 @@ class SnapshotTable:
     def _bucket(self, columns: list[str]) -> Column:
         return F.pmod(F.xxhash64(*([self.key] if self.key else columns)), F.lit(self.buckets)).cast("int")
 
-    def _write(self, rows: DataFrame) -> tuple[str, int]:
-        """Write a batch of whole parts and their filters; (batch, rows written)."""
+    def _write(self, rows: DataFrame, measures: dict[str, Column] | None = None) -> tuple[str, int]:
+        """Write a batch of whole parts and their filters; (batch, rows written). The count and
+        the ``measures`` (aggregates) are observed on the write: the plan runs once."""
         batch, seen = uuid.uuid4().hex, Observation()
         order = [MONTH, BUCKET] + ([self.key] if self.key else [])
         (rows.withColumn(BUCKET, self._bucket(rows.columns)).repartition(MONTH, BUCKET).sortWithinPartitions(*order)
-             .observe(seen, F.count(F.lit(1)).alias("rows"))
+             .observe(seen, F.count(F.lit(1)).alias("rows"), *(m.alias(k) for k, m in (measures or {}).items()))
              .write.partitionBy(MONTH, BUCKET).parquet(self._at("data", f"{BATCH}={batch}")))
-        n = seen.get["rows"]
+        self.observed = dict(seen.get)
+        n = self.observed["rows"]
         if n:
             self._write_index(batch, rows.schema)
         return batch, n
@@ -231,31 +241,30 @@ class SnapshotTable:
             rows = rows.select(*StructType.fromJson(json.loads(v.schema)).names)
         return rows
 
-    def replace(self, rows: DataFrame, made_by: dict | None = None) -> int:
+    def replace(self, rows: DataFrame, made_by: dict | None = None, measures: dict[str, Column] | None = None) -> int:
         """The table holds ``rows`` alone. Returns their number, as all writers here do."""
         v, rows = self.version(), self._checked(rows)
-        batch, n = self._write(rows)
+        batch, n = self._write(rows, measures)
         self._commit(v, None, batch if n else None, rows.schema, made_by or {"by": "replace"})
         return n
 
-    def append(self, rows: DataFrame, made_by: dict | None = None) -> int:
+    def append(self, rows: DataFrame, made_by: dict | None = None, measures: dict[str, Column] | None = None) -> int:
         """Rows are added; a part may then have files of several batches."""
         v, rows = self.version(), self._checked(rows)
-        batch, n = self._write(rows)
+        batch, n = self._write(rows, measures)
         self._commit(v, self.parts(v) if v else None, batch if n else None, rows.schema, made_by or {"by": "append"})
         return n
 
-    def replace_months(self, rows: DataFrame, made_by: dict | None = None) -> int:
-        """The months of ``rows`` are replaced, others stay as they are. Running a load again
-        gives the same rows again."""
+    def replace_months(self, rows: DataFrame, made_by: dict | None = None, measures: dict[str, Column] | None = None, months: DataFrame | None = None) -> int:
+        """The months of ``rows``, and those listed in ``months``, are replaced; others stay as they
+        are. Running a load again gives the same rows again."""
         v, rows = self.version(), self._checked(rows)
-        batch, n = self._write(rows)
-        kept = None
-        if v is not None:
-            kept = self.parts(v)
-            if n:
-                mine = self.spark.read.schema(f"{MONTH} string").parquet(self._at("index", batch)).select(month_key().alias("_m")).distinct()
-                kept = kept.withColumn("_m", month_key()).join(mine, "_m", "left_anti")
+        batch, n = self._write(rows, measures)
+        kept = self.parts(v) if v else None
+        if v and n:
+            kept = of_months(kept, self.spark.read.schema(f"{MONTH} string").parquet(self._at("index", batch)), "left_anti")
+        if v and months is not None:
+            kept = of_months(kept, months, "left_anti")
         self._commit(v, kept, batch if n else None, rows.schema, made_by or {"by": "replace_months"})
         return n
 
@@ -264,15 +273,14 @@ class SnapshotTable:
         ``year_month`` must follow from the keys: only the months of the slices and of the
         payload are read and rewritten. ``payload`` should be written: it is read more than once."""
         v, payload = self.version(), self._checked(payload)
-        slices = (payload if named is None else named).select(*keys, MONTH).distinct()
-        touched = slices.select(MONTH).union(payload.select(MONTH)).distinct()
         if v is None:
             return self.replace(payload, made_by)
+        slices = (payload if named is None else named).select(*keys, MONTH).distinct()
+        touched = slices.select(MONTH).union(payload.select(MONTH))
         live = self.parts(v)
-        mine = live.join(touched, MONTH, "left_semi")
-        stay = self.read(v, mine).join(slices, [*keys, MONTH], "left_anti").select(*payload.columns)
+        stay = self.read(v, of_months(live, touched, "left_semi")).join(slices.drop(MONTH).distinct(), keys, "left_anti").select(*payload.columns)
         batch, n = self._write(stay.unionByName(payload))
-        self._commit(v, live.join(touched, MONTH, "left_anti"), batch if n else None, payload.schema, made_by or {"by": "replace_slice"})
+        self._commit(v, of_months(live, touched, "left_anti"), batch if n else None, payload.schema, made_by or {"by": "replace_slice"})
         return n
 
     # -- upsert --------------------------------------------------------------
