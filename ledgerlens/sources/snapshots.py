@@ -201,13 +201,14 @@ class SnapshotTable:
         """Rows of each part of a batch, and the Bloom filter of its keys as an array of
         64-bit words. Reads the key column of what was written, no other."""
         known = StructType([f for f in schema if f.name in (MONTH, self.key)]).add(BUCKET, "integer")
-        rows = self.spark.read.schema(known).parquet(self._at("data", f"{BATCH}={batch}")).withColumn("_m", month_key())
+        rows = self.spark.read.schema(known).parquet(self._at("data", f"{BATCH}={batch}")).select(
+            MONTH, month_key().alias("_m"), BUCKET, (F.col(self.key) if self.key else F.lit(None)).alias("_key"))
         parts = rows.groupBy(MONTH, "_m", BUCKET).agg(F.count(F.lit(1)).alias("rows")).withColumn("n", F.ceil(F.col("rows") * BITS / 64).cast("int"))
         if self.key is None:
             words = parts.select("_m", BUCKET, F.array().cast("array<bigint>").alias("words"))
         else:
             sized = rows.join(parts.select("_m", BUCKET, "n"), ["_m", BUCKET])
-            at = sized.select("_m", BUCKET, F.explode(F.array(*self._places(F.col(self.key), F.col("n")))).alias("at"))
+            at = sized.select("_m", BUCKET, F.explode(F.array(*self._places(F.col("_key"), F.col("n")))).alias("at"))
             bits = at.select("_m", BUCKET, F.expr("cast(at div 64 as int)").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bits"))
             zero = parts.select("_m", BUCKET, F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("word"), F.lit(0).cast("long").alias("bits"))
             words = (bits.unionByName(zero).groupBy("_m", BUCKET, "word").agg(F.bit_or("bits").alias("bits"))
