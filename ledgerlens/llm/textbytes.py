@@ -57,6 +57,13 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, most: i
         at = end
 
 
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; zeros follow the end."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
 def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
     """64-bit hash of every byte segment, its bytes put through ``table`` first.
 
@@ -69,9 +76,7 @@ def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table
     own = np.flatnonzero(size > 0)
     if not len(own):
         return out
-    padded = np.zeros(len(data) + 8, np.uint8)
-    padded[:len(data)] = data if table is None else table[data]
-    at = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    at = eight_bytes(data if table is None else table[data])
     groups = (size[own] + 7) >> 3
     first = np.cumsum(groups) - groups
     place = np.arange(int(groups.sum())) - np.repeat(first, groups)
@@ -177,7 +182,7 @@ class ChunkPool:
     chunk that is gone is just encoded again.
     """
 
-    def __init__(self, most: int = 500_000, most_bytes: int = 32 << 20):
+    def __init__(self, most: int = 2_000_000, most_bytes: int = 64 << 20):
         self.most, self.most_bytes = most, most_bytes
         self.clear()
 
@@ -213,14 +218,24 @@ class ChunkPool:
         return entry
 
     def other(self, entry: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Segments whose bytes differ from those of their entries."""
+        """Segments (none empty) whose bytes differ from those of their entries: the first
+        eight bytes, the last eight and, of longer ones, those between are compared."""
         size = ends - starts
         same = self.text_size[entry] == size
-        at = np.flatnonzero(same & (size > 0))
-        if len(at):
-            n = size[at]
-            equal = self.text[ragged(self.text_start[entry[at]], n)] == data[ragged(starts[at], n)]
-            same[at] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
+        k = np.flatnonzero(same)
+        a, b, n = starts[k], self.text_start[entry[k]], size[k]
+        mine, theirs = eight_bytes(data), eight_bytes(self.text)
+        apart = mine[a] ^ theirs[b]
+        few = np.flatnonzero(n < 8)
+        apart[few] &= (_U(1) << (n[few] * 8).astype(_U)) - _U(1)
+        ok = apart == 0
+        more = np.flatnonzero(n > 8)
+        ok[more] &= mine[a[more] + n[more] - 8] == theirs[b[more] + n[more] - 8]
+        if len(more := np.flatnonzero(n > 16)):
+            mid = n[more] - 16
+            equal = data[ragged(a[more] + 8, mid)] == self.text[ragged(b[more] + 8, mid)]
+            ok[more] &= np.logical_and.reduceat(equal, np.cumsum(mid) - mid)
+        same[k] = ok
         return np.flatnonzero(~same)
 
 
