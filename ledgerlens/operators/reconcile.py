@@ -10,7 +10,7 @@ rows, duplicates counted. All are single Spark jobs; nothing is compared on the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Metrics the comparison looks at (fixed list of the reference's comparer).
@@ -44,10 +44,13 @@ def reconcile_rows(baseline: DataFrame, comparison: DataFrame, keys: list[str] |
 
 def reconcile_except(baseline: DataFrame, comparison: DataFrame) -> DataFrame:
     """Rows that one version has more often than the other, over all columns,
-    with ``source``: which one."""
+    with ``source``: which one. Each version is read once: its rows count +1 or -1, and
+    what a row's sum leaves over is repeated that often."""
     cols = baseline.columns
-    tagged = lambda a, b, tag: a.select(*cols).exceptAll(b.select(*cols)).select("*", F.lit(tag).alias("source"))
-    return tagged(baseline, comparison, "baseline").unionByName(tagged(comparison, baseline, "comparison"))
+    signed = lambda df, n: df.select(*cols, F.lit(n).alias("_n"))
+    over = signed(baseline, 1).unionByName(signed(comparison, -1)).groupBy(*cols).agg(F.sum("_n").alias("_n")).filter("_n != 0")
+    return over.select(*cols, F.when(F.col("_n") > 0, "baseline").otherwise("comparison").alias("source"),
+                       F.explode(F.sequence(F.lit(1), F.abs("_n"))).alias("_k")).drop("_k")
 
 
 def _compared(baseline: list[str], comparison: list[str], keys: list[str]) -> tuple[list[str], list[str], list[str]]:
@@ -93,3 +96,66 @@ def reconcile_cases(baseline: DataFrame, comparison: DataFrame, id_col: str = "c
     shared, missing, extra = _compared(baseline.columns, comparison.columns, keys)
     j = _flagged(baseline, keys, shared, "a").join(_flagged(comparison, keys, shared, "b"), keys, "full_outer")
     return summary_by(j, shared, missing, extra, [id_col])
+
+
+def reconcile_tagged(both: DataFrame, second: Column, case: Column, keys: list[str] | None = None) -> DataFrame:
+    """``reconcile_cases`` of one frame that holds both versions; ``case``: a row's case, under its
+    name, ``second``: whether it is of the comparison (both replace the first column). The
+    versions meet in one aggregate, so the frame is made once. A key stands at most
+    once in a version."""
+    keys = keys or DEFAULT_KEYS
+    shared = [c for c in both.columns[1:] if c not in keys]
+    side = both.select(case, second.alias("_second"), *both.columns[1:])
+    of = lambda c, tag: F.max(F.when(F.col("_second") == (tag == "b"), F.col(c))).alias(f"{tag}_{c}")
+    flag = lambda tag: F.max(F.when(F.col("_second") == (tag == "b"), True)).alias(f"_{tag}")
+    met = side.groupBy(side.columns[0], *keys).agg(*(of(c, tag) for c in shared for tag in "ab"), flag("a"), flag("b"))
+    return summary_by(met, shared, [], [], [side.columns[0]])
+
+
+def digests(report: DataFrame, by: list[str], cols: list[str]) -> DataFrame:
+    """Per ``by`` (a month, say): number of rows and the sum of their 64-bit hashes over ``cols``, which
+    does not depend on their order. Two hashes, so that equal sums mean equal rows but for a
+    chance of 2**-128."""
+    h = lambda *extra: F.sum(F.xxhash64(*cols, *extra).cast("decimal(38,0)"))
+    return report.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), h().alias("h1"), h(F.lit(1)).alias("h2"))
+
+
+def months_that_differ(baseline: DataFrame, comparison: DataFrame, by: list[str], cols: list[str] | None = None) -> DataFrame:
+    """The ``by`` groups whose rows are not the same in both versions."""
+    cols = cols or baseline.columns
+    a, b = (digests(x, by, cols).withColumn("_side", F.lit(k)) for k, x in enumerate((baseline, comparison)))
+    sums = a.unionByName(b).groupBy(*by).agg(F.count(F.lit(1)).alias("_sides"), *(F.min(c).alias(f"_low_{c}") for c in ("n", "h1", "h2")),
+                                             *(F.max(c).alias(f"_high_{c}") for c in ("n", "h1", "h2")))
+    same = F.col("_sides") == 2
+    for c in ("n", "h1", "h2"):
+        same &= F.col(f"_low_{c}") == F.col(f"_high_{c}")
+    return sums.filter(~same).select(*by)
+
+
+def reconcile_stored(baseline: DataFrame, comparison: DataFrame, by: list[str], id_col: str = "case_id", keys: list[str] | None = None) -> DataFrame:
+    """``reconcile_cases`` of two stored versions: digests by ``by`` (some of the keys) first; only groups that
+    differ are compared cell by cell, and versions that are equal by all digests never are.
+    Both frames should be written: they are read twice."""
+    keys = [id_col, *(keys or DEFAULT_KEYS)]
+    if not set(by) <= set(keys):
+        raise ValueError("digests go by keys of the comparison")
+    shared, missing, extra = _compared(baseline.columns, comparison.columns, keys)
+    whole = [*keys, *shared]
+    differ = months_that_differ(baseline, comparison, [id_col, *(c for c in by if c != id_col)], whole)
+    rows = lambda df, name: df.groupBy(id_col).agg(F.count(F.lit(1)).alias(name))
+    counts = rows(baseline, "baseline_rows").join(rows(comparison, "comparison_rows"), id_col, "full_outer")
+    listed = differ.collect()              # one row a case and month, at most
+    none = [F.lit(0).cast("bigint").alias(c) for c in ("rows_missing", "value_diffs", "other_diffs")]
+    found = counts.select(id_col, *none).limit(0)
+    if listed:
+        differ = F.broadcast(baseline.sparkSession.createDataFrame(listed, differ.schema))
+        part = lambda df, tag: _flagged(df.join(differ, differ.columns, "left_semi"), keys, shared, tag)
+        j = part(baseline, "a").join(part(comparison, "b"), keys, "full_outer")
+        found = summary_by(j, shared, missing, extra, [id_col]).select(id_col, "rows_missing", "value_diffs", "other_diffs")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+    out = counts.join(found, id_col, "left").select(id_col, *(zero(c) for c in ("baseline_rows", "comparison_rows", "rows_missing", "value_diffs", "other_diffs")))
+    same = F.lit(not missing) & (F.col("baseline_rows") == F.col("comparison_rows"))
+    for c in ("rows_missing", "value_diffs", "other_diffs"):
+        same &= F.col(c) == 0
+    return out.select("*", F.lit(",".join(missing)).alias("missing_columns"), F.lit(",".join(extra)).alias("extra_columns"),
+                      F.when(same, "MATCH").otherwise("DIFF").alias("verdict"))

@@ -637,10 +637,22 @@ def q_reconcile_except(spark, sf_dir):
     return reconcile_except(*(older(group=GROUP, lender=LENDER, lender_on_ecof=x) for x in (True, False)))
 
 
-@register("reconcile_summary", O.reconcile_summary_sql([(k, *both_sql(**c)) for k, c in RECON_CASES.items()]))
+def both_versions(spark, sf_dir, cases: dict[int, dict] = RECON_CASES):
+    """All cases of both versions from one pass over the facts; the latest one's ids are
+    negative."""
+    inp = fn.FunnelInputs.from_tables(Tables(spark, sf_dir))
+    return fn.funnel_cases(inp, {k: fn.FunnelParams(per_facility=False, **c) for k, c in cases.items()}
+                           | {-k: fn.FunnelParams(per_facility=True, **c) for k, c in cases.items()})
+
+
+RECON_SQL = O.reconcile_summary_sql([(k, *both_sql(**c)) for k, c in RECON_CASES.items()])
+
+
+@register("reconcile_summary", RECON_SQL)
 def q_reconcile_summary(spark, sf_dir):
-    from ledgerlens.operators.reconcile import reconcile_cases
-    return reconcile_cases(case_reports(spark, sf_dir, False), case_reports(spark, sf_dir, True)).withColumnRenamed("case_id", "test_id")
+    from pyspark.sql import functions as F
+    from ledgerlens.operators.reconcile import reconcile_tagged
+    return reconcile_tagged(both_versions(spark, sf_dir).withColumnRenamed("case_id", "version"), F.col("version") < 0, F.abs("version").alias("test_id"))
 
 
 # a baseline without quotes against a comparison without the average rate

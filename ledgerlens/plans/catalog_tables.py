@@ -8,7 +8,8 @@ import datetime as dt
 
 from ledgerlens.plans import funnel as fn
 from ledgerlens.plans import oracle_sql as O
-from ledgerlens.plans.catalog import FINISHED, GROUP, RECON_CASES, STARTED, apps_pair, both_sql, paids_pair, prev_month, register, strip_order
+from ledgerlens.plans.catalog import (FINISHED, GROUP, RECON_CASES, RECON_SQL, STARTED, apps_pair, both_sql, case_reports, paids_pair, prev_month,
+                                      register, strip_order)
 from ledgerlens.session import new_path
 from ledgerlens.sources import domain as D
 from ledgerlens.sources.snapshots import SnapshotTable
@@ -182,6 +183,21 @@ def q_summary_incremental(spark, sf_dir):
     return deltas.summary(D.account(Tables(spark, sf_dir)), stored.read(), O.AS_OF)
 
 
+# --------------------------------------------------------------------------
+# stored versions of a report
+# --------------------------------------------------------------------------
+
+@register("reconcile_stored", RECON_SQL)
+def q_reconcile_stored(spark, sf_dir):
+    """Two stored versions, compared by digests first."""
+    from ledgerlens.operators.reconcile import reconcile_stored
+    paths = {x: new_path(spark, "version") for x in (False, True)}
+    for x, path in paths.items():
+        case_reports(spark, sf_dir, x).write.parquet(path)
+    older, latest = (spark.read.parquet(p) for p in paths.values())
+    return reconcile_stored(older, latest, ["moment"]).withColumnRenamed("case_id", "test_id")
+
+
 # --------------------------------------------------------------------------
 # report files
 # --------------------------------------------------------------------------

@@ -353,27 +353,63 @@ def funnel(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
                .drop("_fid"))
 
 
+def _case_places(inp: FunnelInputs, cases: dict[int, FunnelParams]) -> DataFrame:
+    """(case_id, fkey, facility_used_by_id, facility_used_by_name) of all cases, as ``facilities``
+    gives them case by case: the distinct places are dealt out to the cases that name them, and a
+    case that no place answers gets its placeholder."""
+    names = {"facility": "facility_used_by_legal_name", "group": "facility_used_by_report_group", "each": "facility_used_by_trading_style"}
+    places = inp.account.select("facility_used_by_id", "facility_used_by_report_group_id", *names.values()).distinct()
+    takes, labels = [], []
+    for k, p in cases.items():
+        each = _group_mode(p)
+        own = F.lit(True)
+        if p.group is not None:
+            own &= F.col("facility_used_by_report_group_id") == p.group
+        if p.facility is not None and (each or p.group is None):
+            own &= F.col("facility_used_by_id") == p.facility
+        labels.append((k, UNKNOWN_GROUP if each else DEFAULT_COMPANY, None if each else p.facility))
+        if p.group is None and p.facility is None:
+            continue
+        name = F.col(names["each" if each else "group" if p.group is not None else "facility"])
+        takes.append(F.when(own, F.struct(
+            F.lit(k).alias("case_id"), (F.col("facility_used_by_id") if each else F.lit(ALL_KEY)).alias("fkey"),
+            (F.col("facility_used_by_id") if each else F.lit(p.facility).cast("string")).alias("facility_used_by_id"),
+            (name if each else F.lit(None).cast("string")).alias("own_name"), name.alias("name"))))
+    case_rows = inp.spark.createDataFrame(labels, "case_id int, label string, named string")
+    if not takes:
+        return case_rows.select("case_id", F.lit(ALL_KEY).alias("fkey"), F.col("named").alias("facility_used_by_id"), F.col("label").alias("facility_used_by_name"))
+    dealt = (places.select(F.explode(F.array_compact(F.array(*takes))).alias("c")).select("c.*")
+             .groupBy("case_id", "fkey", "facility_used_by_id", "own_name").agg(F.min("name").alias("name")))
+    return F.broadcast(case_rows).join(dealt, "case_id", "right").unionByName(
+        case_rows.join(dealt.select("case_id").distinct(), "case_id", "left_anti").select(
+            "*", F.lit(ALL_KEY).alias("fkey"), F.col("named").alias("facility_used_by_id"), F.lit(None).cast("string").alias("own_name"),
+            F.lit(None).cast("string").alias("name"))).select(
+        "case_id", "fkey", "facility_used_by_id", F.coalesce("own_name", "name", "label").alias("facility_used_by_name"))
+
+
 def funnel_cases(inp: FunnelInputs, cases: dict[int, FunnelParams]) -> DataFrame:
-    """The reports of several parameter sets at once, tagged ``case_id``.
+    """The reports of several parameter sets at once, tagged ``case_id``; whatever
+    parameters ``funnel`` takes, each case may have. The budget columns of a case without budgets
+    are null.
 
-    Each fact is scanned and summed to (month, facility, group, lender) once,
-    however many cases there are; the sums are then dealt out to the cases that
-    select them (an array of cases per row, exploded). Cases have budgets and a
-    period of their own; ``period=None`` and the fan-out are not supported here."""
+    Each fact is scanned and summed to (month, facility, group, lender) once, however many
+    cases there are; the sums are then dealt out to the cases that select them (an array of cases
+    per row, exploded)."""
     for p in cases.values():
         p.validate()
-        if p.period is None or p.compat_fanout or not p.include_budget or p.spine != "applications":
-            raise ValueError("funnel_cases needs a period, budgets, and neither fan-out nor the union spine")
-    bounds = [cal_fn.period_bounds(p.period, p.as_of) for p in cases.values()]
-    inp = inp.windowed(min(b[0] for b in bounds), max(b[1] for b in bounds))
+    if all(p.period is not None for p in cases.values()):
+        bounds = [cal_fn.period_bounds(p.period, p.as_of) for p in cases.values()]
+        inp = inp.windowed(min(b[0] for b in bounds), max(b[1] for b in bounds))
     month = F.col("year_month")
 
-    def dealt(facts: DataFrame, group_col: str, aggs: dict, ecof: bool = False) -> DataFrame:
+    def dealt(facts: DataFrame, group_col: str, aggs: dict, ecof: bool = False, wanted=lambda p: True) -> DataFrame:
         keys = [F.col("year_month"), F.col("facility_used_by_id"), F.col(group_col).alias("grp"), F.upper("facility_lender").alias("lender")]
         once = facts.groupBy(*keys).agg(*(f(c).alias(c) for c, f in aggs.items()))
         takes = []
         for k, p in cases.items():
-            own = month.isin([r[0] for r in report_months(p)])
+            if not wanted(p):
+                continue
+            own = F.lit(True) if p.period is None else month.isin([r[0] for r in report_months(p)])
             if p.group is not None:
                 own &= F.col("grp") == p.group
             if p.facility is not None:
@@ -381,17 +417,22 @@ def funnel_cases(inp: FunnelInputs, cases: dict[int, FunnelParams]) -> DataFrame
             if p.lender is not None and (p.lender_on_ecof or not ecof):
                 own &= F.col("lender") == F.upper(F.lit(p.lender))
             takes.append(F.when(own, F.struct(F.lit(k).alias("case_id"), _fkey(p).alias("fkey"))))
-        some = F.filter(F.array(*takes), lambda x: x.isNotNull())
-        return once.withColumn("to", F.explode(some)).select("year_month", "to.case_id", "to.fkey", *aggs).groupBy(
+        return once.withColumn("to", F.explode(F.array_compact(F.array(*takes)))).select("year_month", "to.case_id", "to.fkey", *aggs).groupBy(
             "year_month", "case_id", "fkey").agg(*(f(c).alias(c) for c, f in aggs.items()))
 
-    keys = ["year_month", "case_id", "fkey"]
-    apps = inp.applications.withColumn("proposed", F.col("accept") + F.col("decline"))
-    r = (dealt(apps, "facility_used_by_report_group_id", dict.fromkeys(("accept_val", "accept", "decline", "pending", "proposed"), F.sum))
-         .join(dealt(inp.paids, "facility_used_by_report_group_id", dict.fromkeys(("advance", "advance_count", "commission"), F.sum)), keys, "left")
-         .join(dealt(inp.ecof, "report_group_id", dict.fromkeys(("ecof_count", "ecof_advance"), F.sum), ecof=True), keys, "left")
-         .join(dealt(inp.budget.withColumn("budget_max", F.col("budget")), "facility_used_by_report_group_id",
-                     {"budget": F.sum, "budget_max": F.max}), keys, "left"))
+    union = [k for k, p in cases.items() if p.spine == "union"]
+    keys, how = ["year_month", "case_id", "fkey"], "full_outer" if union else "left"
+    apps = inp.applications.withColumn("proposed", F.col("accept") + F.col("decline")).withColumn("seen", F.lit(1))
+    r = (dealt(apps, "facility_used_by_report_group_id", dict.fromkeys(("accept_val", "accept", "decline", "pending", "proposed"), F.sum) | {"seen": F.max})
+         .join(dealt(inp.paids, "facility_used_by_report_group_id", dict.fromkeys(("advance", "advance_count", "commission"), F.sum)), keys, how)
+         .join(dealt(inp.ecof, "report_group_id", dict.fromkeys(("ecof_count", "ecof_advance"), F.sum), ecof=True), keys, how))
+    if any(p.include_budget for p in cases.values()):
+        r = r.join(dealt(inp.budget.withColumn("budget_max", F.col("budget")), "facility_used_by_report_group_id",
+                         {"budget": F.sum, "budget_max": F.max}, wanted=lambda p: p.include_budget), keys, how)
+    else:
+        r = r.withColumn("budget", F.lit(None).cast("decimal(18,6)")).withColumn("budget_max", F.col("budget"))
+    if union:
+        r = r.filter(F.col("seen").isNotNull() | F.col("case_id").isin(union))
 
     def per_case(value) -> Column:
         out = F.lit(None)
@@ -402,14 +443,19 @@ def funnel_cases(inp: FunnelInputs, cases: dict[int, FunnelParams]) -> DataFrame
     r = r.withColumn("moment", per_case(lambda p: _grain_of_month(p.group_by)))
     r = r.withColumn("budget", per_case(lambda p: F.col("budget" if p.budget_agg == "sum" else "budget_max").cast("decimal(18,2)")))
     r = r.withColumn("acc_dec", F.col("accept") + F.col("decline"))
-    rg = r.groupBy("case_id", "fkey", "moment").agg(*(F.sum(c).alias(c) for c in (*SUMS, "acc_dec", "budget")))
-    spine = None
-    for k, p in cases.items():
-        own = facilities(inp, p).select(
-            F.lit(k).alias("case_id"), "fkey", "facility_used_by_id",
-            report_name(F.col("facility_used_by_name"), p.lender).alias("report_name"), F.explode(spine_moments(inp, p)).alias("moment"))
-        spine = own if spine is None else spine.unionByName(own)
-    res = spine.join(rg, ["case_id", "fkey", "moment"], "left").select("case_id", "report_name", *report_measures(True))
+    sums = [*SUMS, "acc_dec", "budget"]
+    rg = r.groupBy("case_id", "fkey", "moment").agg(*(F.sum(c).alias(c) for c in sums))
+    spine = _case_places(inp, cases).select(
+        "case_id", "fkey", "facility_used_by_id",
+        per_case(lambda p: report_name(F.col("facility_used_by_name"), p.lender)).alias("report_name"),
+        F.explode(per_case(lambda p: spine_moments(inp, p))).alias("moment"))
+    if any(p.compat_fanout for p in cases.values()):      # a grain value counts once for every month that has it
+        spine = spine.groupBy(*spine.columns).agg(F.count(F.lit(1)).alias("times"))
+        rg = spine.join(rg, ["case_id", "fkey", "moment"], "left").select(
+            "case_id", "report_name", "moment", *((F.col(c) * F.col("times")).alias(c) for c in sums))
+    else:
+        rg = spine.join(rg, ["case_id", "fkey", "moment"], "left")
+    res = rg.select("case_id", "report_name", *report_measures(True))
     drop = [k for k, p in cases.items() if (p.drop_empty if p.drop_empty is not None else _group_mode(p))]
     return res.filter(~F.col("case_id").isin(drop) | any_positive(NONEMPTY)) if drop else res
 
