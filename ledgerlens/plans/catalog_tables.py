@@ -8,7 +8,7 @@ import datetime as dt
 
 from ledgerlens.plans import funnel as fn
 from ledgerlens.plans import oracle_sql as O
-from ledgerlens.plans.catalog import (FINISHED, GROUP, RECON_CASES, RECON_SQL, STARTED, apps_pair, both_sql, case_reports, paids_pair, prev_month,
+from ledgerlens.plans.catalog import (FACILITY, FINISHED, GROUP, LENDER, RECON_CASES, RECON_SQL, STARTED, apps_pair, both_sql, case_reports, paids_pair, prev_month,
                                       register, strip_order)
 from ledgerlens.session import new_path
 from ledgerlens.sources import domain as D
@@ -183,6 +183,57 @@ def q_summary_incremental(spark, sf_dir):
     return deltas.summary(D.account(Tables(spark, sf_dir)), stored.read(), O.AS_OF)
 
 
+# --------------------------------------------------------------------------
+# facts by month and bucket, month cube
+# --------------------------------------------------------------------------
+
+def _store(spark, sf_dir):
+    """A store with all facts; quotes by account."""
+    from pyspark.sql import functions as F
+    from ledgerlens.sources.fact_store import FactStore
+    t = Tables(spark, sf_dir)
+    store = FactStore(spark, new_path(spark, "facts"), 2)
+    quotes = D.vw_ecof_all(t).join(D.account_ecof(t), F.col("company_key") == F.col("ecof_key")).withColumn("company_key", F.col("account_id"))
+    store.load(applications=D.application_mth(t), paids=D.paid_mth(t), quotes=quotes.drop("ecof_key", "account_id"), budgets=D.paid_budget(t))
+    return t, store
+
+
+def _stored_funnel(name, cube=False, **kw):
+    @register(name, O.funnel_sql(**kw))
+    def q(spark, sf_dir):
+        from ledgerlens.plans.stored import StoredInputs
+        from ledgerlens.sources.fact_store import MonthCube
+        t, store = _store(spark, sf_dir)
+        made = MonthCube(spark, new_path(spark, "cube")) if cube else None
+        if cube:
+            made.refresh(store, D.account(t))
+        return fn.funnel(StoredInputs(store, D.account(t), O.AS_OF, made), fn.FunnelParams(**kw))
+    return q
+
+
+_stored_funnel("stored_funnel_group", group=GROUP)
+_stored_funnel("stored_funnel_all_months", group=GROUP, period=None)
+_stored_funnel("cube_funnel_group", cube=True, group=GROUP)
+_stored_funnel("cube_funnel_lender", cube=True, facility=FACILITY, lender=LENDER, period=None, group_by="year")
+
+
+@register("bucketed_paids", O.with_fixtures(
+    "SELECT facility_used_by_id, year_month, CAST(sum(advance) AS DECIMAL(18,2)) AS advance, CAST(count(*) AS BIGINT) AS deals "
+    "FROM paid_mth JOIN account USING (facility_code) GROUP BY ALL"))
+def q_bucketed_paids(spark, sf_dir):
+    """Paid deals joined to their accounts, both bucketed by facility code."""
+    import os
+    from pyspark.sql import functions as F
+    from ledgerlens.sources.fact_store import BucketedTable
+    t = Tables(spark, sf_dir)
+    made = {}
+    for name, rows in (("paids", D.paid_mth(t).select("facility_code", "advance", "year_month")), ("accounts", D.account(t).select("facility_code", "facility_used_by_id"))):
+        path = new_path(spark, name)
+        made[name] = BucketedTable(spark, os.path.basename(path).replace("-", "_"), path, buckets=4).write(rows).read()
+    return made["paids"].join(made["accounts"], "facility_code").groupBy("facility_used_by_id", "year_month").agg(
+        F.sum("advance").cast("decimal(18,2)").alias("advance"), F.count(F.lit(1)).alias("deals"))
+
+
 # --------------------------------------------------------------------------
 # stored versions of a report
 # --------------------------------------------------------------------------

@@ -129,6 +129,10 @@ class FunnelInputs:
             return self
         return FunnelInputs(self.spark, tables=self.tables, as_of=self.as_of, window=(lo, hi))
 
+    def months(self) -> DataFrame | None:
+        """Months that have applications or paid deals, if they are known without a scan of the facts."""
+        return None
+
     @classmethod
     def from_tables(cls, t: Tables, as_of: dt.date = domain.AS_OF, window: domain.Window | None = None) -> "FunnelInputs":
         return cls(t.spark, tables=t, as_of=as_of, window=window)
@@ -139,6 +143,8 @@ class FunnelInputs:
 # --------------------------------------------------------------------------
 
 def filtered_moments(inp: FunnelInputs, p: FunnelParams) -> DataFrame:
+    if p.period is None and (months := inp.months()) is not None:
+        return months.select(*cal_fn.month_fields(F.col("year_month")))
     return cal_fn.filtered_moments(inp.spark, p.as_of, p.period, inp.applications, inp.paids)
 
 
