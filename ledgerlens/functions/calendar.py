@@ -10,7 +10,7 @@ Periods follow from the as-of date alone, so choosing them reads no fact table:
 
 A period is a half-open range of month starts (``period_bounds``); its months are
 available as a Python list (twelve entries) and as a DataFrame. The daily
-calendar is generated between explicit dates. ``period=None`` takes the months
+calendar is generated between explicit dates, or over the years that the facts span. ``period=None`` takes the months
 present in the facts, as a DataFrame (``months_from_data``).
 
 ``as_of`` is always an explicit argument: no operator reads the clock.
@@ -54,18 +54,24 @@ def month_start(d: dt.date, delta: int = 0) -> dt.date:
     return dt.date(k // 12, k % 12 + 1, 1)
 
 
+def _day_fields() -> list[Column]:
+    return ["date", F.year("date").alias("year"), F.month("date").alias("month"), F.dayofmonth("date").alias("day"),
+            F.quarter("date").alias("quarter"), F.date_format("date", "yyyy-MM").alias("year_month"),
+            F.concat(F.year("date").cast("string"), F.lit("-"), F.quarter("date").cast("string")).alias("year_quarter")]
+
+
 def calendar_days(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """Daily calendar from ``start`` to ``end``, both included: date, year,
     month, day, quarter, year_month, year_quarter."""
     days = spark.range((end - start).days + 1).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date"))
-    return days.select(
-        "date",
-        F.year("date").alias("year"), F.month("date").alias("month"),
-        F.dayofmonth("date").alias("day"), F.quarter("date").alias("quarter"),
-        F.date_format("date", "yyyy-MM").alias("year_month"),
-        F.concat(F.year("date").cast("string"), F.lit("-"), F.quarter("date").cast("string"))
-         .alias("year_quarter"),
-    )
+    return days.select(*_day_fields())
+
+
+def calendar_over(bounds: DataFrame) -> DataFrame:
+    """Daily calendar of the whole years from ``lo`` to ``hi`` of a one-row frame: it ends
+    where the facts end, not at a constant. No bounds, no days."""
+    day = lambda c, m, d: F.make_date(F.year(c), F.lit(m), F.lit(d))
+    return bounds.select(F.explode(F.sequence(day("lo", 1, 1), day("hi", 12, 31))).alias("date")).select(*_day_fields())
 
 
 def period_bounds(period: str, as_of: dt.date, until: dt.date | None = None) -> tuple[dt.date, dt.date]:

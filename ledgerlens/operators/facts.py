@@ -26,11 +26,18 @@ def business_month() -> Column:
     return F.format_string("%04d-%02d", F.col("year"), F.col("month"))
 
 
+OUTSIDE = "facts outside of the calendar: "
+
+
 def on_calendar(facts: DataFrame, days: DataFrame, every_day: bool = False) -> DataFrame:
     """Facts joined to the calendar on (year, month): to each month's first
-    day, or to every day of it (``every_day``: the fan-out of defect D2)."""
+    day, or to every day of it (``every_day``: the fan-out of defect D2). A fact whose month
+    the calendar does not have is an error, not a row less."""
     d = days if every_day else days.filter(F.col("day") == 1)
-    return facts.join(d.select("year", "month", F.col("date").alias("calendar_date")), ["year", "month"])
+    j = facts.join(d.select("year", "month", F.col("date").alias("calendar_date")), ["year", "month"], "left")
+    lost = F.raise_error(F.concat(F.lit(OUTSIDE), F.coalesce(F.col("year").cast("string"), F.lit("?")), F.lit("-"),
+                                  F.coalesce(F.col("month").cast("string"), F.lit("?")))).cast("date")
+    return j.withColumn("calendar_date", F.coalesce("calendar_date", lost))
 
 
 def application_facts(account: DataFrame, application_mth: DataFrame, as_of: dt.date) -> DataFrame:

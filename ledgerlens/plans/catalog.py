@@ -155,11 +155,9 @@ def q_moment_calendar(spark, sf_dir):
     """Every day of the calendar with its orders."""
     from pyspark.sql import functions as F
     from ledgerlens.functions import calendar as C
-    D = O.D
-    o = D.in_window(Tables(spark, sf_dir).orders.select("o_orderdate"), "o_orderdate",
-                    (D.CALENDAR_START, C.month_start(D.CALENDAR_END, 1)))
-    o = o.groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count(F.lit(1)).alias("n"))
-    return (C.calendar_days(spark, D.CALENDAR_START, D.CALENDAR_END).join(o, "date", "left")
+    t = Tables(spark, sf_dir)
+    o = t.orders.groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count(F.lit(1)).alias("n"))
+    return (C.calendar_over(O.D.date_bounds(t)).join(o, "date", "left")
             .select("date", "year", "month", "day", "quarter", "year_month", "year_quarter", F.coalesce("n", F.lit(0)).alias("orders")))
 
 
@@ -226,9 +224,10 @@ def q_join_calendar(spark, sf_dir):
     from pyspark.sql import functions as F
     from ledgerlens.functions import calendar as C
     from ledgerlens.operators.facts import on_calendar
-    a = fn.FunnelInputs.from_tables(Tables(spark, sf_dir)).applications
+    t = Tables(spark, sf_dir)
+    a = fn.FunnelInputs.from_tables(t).applications
     a = a.groupBy("facility_used_by_id", "year", "month").agg(F.sum("accept").cast("bigint").alias("accept"))
-    return on_calendar(a, C.calendar_days(spark, O.D.CALENDAR_START, O.D.CALENDAR_END)).select("facility_used_by_id", "calendar_date", "accept")
+    return on_calendar(a, C.calendar_over(O.D.date_bounds(t))).select("facility_used_by_id", "calendar_date", "accept")
 
 
 # --------------------------------------------------------------------------

@@ -128,12 +128,13 @@ FIXTURES: dict[str, str] = {
            n.n_regionkey <> 4 AS is_reporting
     FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
     JOIN region r ON n.n_regionkey = r.r_regionkey""",
-    "moment": f"""
+    "moment": """
     SELECT CAST(d AS DATE) AS date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
            CAST(day(d) AS INTEGER) AS day, CAST(quarter(d) AS INTEGER) AS quarter,
            strftime(d, '%Y-%m') AS year_month,
            CAST(year(d) AS VARCHAR) || '-' || CAST(quarter(d) AS VARCHAR) AS year_quarter
-    FROM (SELECT unnest(generate_series({_ts(D.CALENDAR_START)}, {_ts(D.CALENDAR_END)}, INTERVAL 1 DAY)) AS d) s""",
+    FROM (SELECT unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi) + INTERVAL 1 YEAR - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d
+          FROM (SELECT min(d) AS lo, max(d) AS hi FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem)))""",
     "application_mth": application_mth_sql(),
     "paid_mth": paid_mth_sql(),
     "paid_budget": """

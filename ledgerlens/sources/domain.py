@@ -112,6 +112,12 @@ def lender_product_code(t: Tables) -> DataFrame:
 # facts
 # --------------------------------------------------------------------------
 
+def date_bounds(t: Tables) -> DataFrame:
+    """First and last date of the facts, one row (lo, hi)."""
+    dates = t.orders.select(F.col("o_orderdate").alias("d")).unionByName(t.lineitem.select(F.col("l_shipdate").alias("d")))
+    return dates.agg(F.min("d").cast("date").alias("lo"), F.max("d").cast("date").alias("hi"))
+
+
 def _orders_as_loaded(t: Tables, as_loaded: dt.date | None) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                         "o_orderdate", "o_orderpriority")
