@@ -20,7 +20,7 @@ from ledgerlens.sources.tables import Tables
 # --------------------------------------------------------------------------
 
 
-def _loaded(spark, target, name: str, key: str | None = "id", buckets: int = 2) -> SnapshotTable:
+def _loaded(spark, target, name: str, key: str | None = "id", buckets: int = 1) -> SnapshotTable:
     """A table that holds ``target``."""
     table = SnapshotTable(spark, new_path(spark, name), key, buckets)
     table.replace(target)
@@ -192,7 +192,7 @@ def _store(spark, sf_dir):
     from pyspark.sql import functions as F
     from ledgerlens.sources.fact_store import FactStore
     t = Tables(spark, sf_dir)
-    store = FactStore(spark, new_path(spark, "facts"), 2)
+    store = FactStore(spark, new_path(spark, "facts"), 1)
     quotes = D.vw_ecof_all(t).join(D.account_ecof(t), F.col("company_key") == F.col("ecof_key")).withColumn("company_key", F.col("account_id"))
     store.load(applications=D.application_mth(t), paids=D.paid_mth(t), quotes=quotes.drop("ecof_key", "account_id"), budgets=D.paid_budget(t))
     return t, store

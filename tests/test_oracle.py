@@ -1,11 +1,11 @@
-"""Every registered query against its SQL oracle (DuckDB) on sf0.001."""
+"""Every registered query against its SQL oracle (DuckDB) on sf0.01."""
 
 import pytest
 
 from ledgerlens.plans.catalog import QUERIES
 from tests.compare import compare, duck
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
