@@ -8,21 +8,25 @@ end. The model interpolates n-grams of orders 1 to ``order``:
               = Pk-1(w | shorter h)                                  otherwise
 
 l_k is the Good-Turing mass of unseen events: of the training k-grams, the
-share that occurs once. As an automaton: a state is a context that training
-has seen; an arc of a state is a k-gram that training has seen and weighs
-log10 Pk; a failure arc leads to the shorter context and weighs log10 l_k. The
-arcs are not stored and no state is carried: ``traverse`` looks up the counts of
-the n-grams at all positions of a block at once, which gives the same scores.
+share that occurs once. As an automaton (``Automaton``): a state is a context that
+training has seen, of 0 to order - 1 words; an arc of a state is a k-gram that training has
+seen, weighs log10 Pk and leads to the state of the longest context it ends with; a failure
+arc leads to the shorter context and weighs log10 l_k. A text is walked once from left to right
+with a state in hand: failure arcs are followed until the state has an arc for the
+token. All texts of a block are walked side by side. Longer ones are cut every STRETCH tokens; a piece
+starts in the state to which the order - 1 tokens before it lead, as no state knows more than these.
 
 The automaton grows with the corpus and is never in one place. Texts are taken in *blocks*
 (4 MB); a block asks for the counts of the distinct n-grams it holds, which
 is the part of the automaton that its texts can reach:
 
 1. Each block is written: document ids, distinct words, word numbers.
-2. Each block sends its distinct n-grams (64-bit hashes, sorted, packed) with its own training counts
-   to the partitions of the hash space; a partition adds the blocks' counts up and
+2. Each block sends its distinct words and bigrams (64-bit hashes, sorted, packed) with its own counts to the partitions of the hash space; a partition adds the blocks' counts up and
    answers each block with the totals. A hot n-gram is one entry a block.
-3. Each block builds its part of the automaton from the answers and scores its texts.
+3. Longer n-grams are asked for order by order. An answer also says whether all occurrences, held-out
+   texts included, are the block's own. If those of a gram's context, or of the gram without its first word,
+   are, so are the gram's: its total is the block's own count, and no block asks for it.
+4. Each block builds its part of the automaton from the answers and walks its texts.
 
 Null text counts as empty (the end alone). Null doc_id learns. Rows that repeat
 learn and are scored each. An empty table gives no rows; without training rows
@@ -48,6 +52,8 @@ BLOCK_BYTES = 4 << 20
 #: Text bytes a partition of the hash space stands for.
 PARTITION_BYTES = 8 << 20
 FOLDS, HELD_FOLD = 5, 1
+#: Tokens of a text that are walked in one piece.
+STRETCH = 128
 _U = np.uint64
 START, END = _U(0x5354415254), _U(0x454E44)
 
@@ -98,7 +104,7 @@ def _block(ids: list, known: list, held: list, words: list[np.ndarray], counts:
 class Grams:
     """N-grams of a block: for each order the number of the k-gram that ends at each
     token (-1: none), and of each distinct k-gram its hash, its context's number
-    among the (k-1)-grams and its last word."""
+    among the (k-1)-grams, that of its suffix (the gram without its first word) and its last word."""
 
     def __init__(self, raw: bytes, order: int):
         ids, known, held, n, names, seq = _split(raw)
@@ -109,7 +115,7 @@ class Grams:
         self.learn = np.repeat(~self.held, self.n)
         self.first = np.zeros(len(seq), bool)
         self.first[self.end - self.n] = True
-        self.at, self.hash, self.context, self.word = [seq], [names], [None], [np.arange(len(names))]
+        self.at, self.hash, self.context, self.suffix, self.word = [seq], [names], [None], [None], [np.arange(len(names))]
         for k in range(2, order + 1):
             prev = np.concatenate(([-1], self.at[-1][:-1]))
             prev[self.first] = -1
@@ -118,6 +124,9 @@ class Grams:
             at = np.full(len(seq), -1)
             at[some] = number
             context, word = key // len(names), key % len(names)
+            suffix = np.zeros(len(key), np.int64)
+            suffix[number] = self.at[-1][some]
+            self.suffix.append(suffix)
             self.at.append(at)
             self.hash.append(tb.pair_hash(self.hash[-1][context], names[word]) + _U(k))
             self.context.append(context)
@@ -128,6 +137,28 @@ class Grams:
         at = self.at[k - 1]
         return np.bincount(at[self.learn & (at >= 0)], minlength=len(self.hash[k - 1]))
 
+    def everywhere(self, k: int) -> np.ndarray:
+        """Occurrences of each distinct k-gram in all texts of the block."""
+        at = self.at[k - 1]
+        return np.bincount(at[at >= 0], minlength=len(self.hash[k - 1]))
+
+    def inferred(self, k: int, alone: np.ndarray) -> np.ndarray:
+        """The k-grams that no other block can hold; ``alone``: the (k-1)-grams that
+        no other block holds."""
+        return alone[self.context[k - 1]] | alone[self.suffix[k - 1]]
+
+    def totals(self, k: int, raws: list[bytes], before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """(training totals of the k-grams, whether no other block holds them) from the answers, by
+        partition. ``before``: the latter of order k - 1, where what follows from it has not been asked."""
+        out = self.training(k).astype(np.int64)
+        alone = self.inferred(k, before) if before is not None else np.zeros(len(out), bool)
+        asked = np.flatnonzero(~alone)
+        by = asked[np.argsort(self.hash[k - 1][asked], kind="stable")]
+        if len(by):
+            told = np.concatenate([unpack(r, _U) for r in raws])
+            out[by], alone[by] = (told >> _U(1)).astype(np.int64), (told & _U(1)).astype(bool)
+        return out, alone
+
 
 def write_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Table of blocks: block (number), raw."""
@@ -158,42 +189,100 @@ def write_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return written(rows.mapInArrow(run, "block long, raw binary"), "lm_blocks")
 
 
-def answers(blocks: DataFrame, order: int, partitions: int) -> tuple[DataFrame, dict[int, tuple[int, int, int]]]:
-    """Totals of the n-grams that each block holds: a table of block, k, part, raw,
-    and by order (training tokens, distinct in training, that occur once)."""
-    def ask(batches):
-        for batch in batches:
-            for block, raw in zip(batch.column("block").to_pylist(), batch.column("raw").to_pylist()):
-                g = Grams(raw, order)
-                for k in range(1, order + 1):
-                    by = np.argsort(g.hash[k - 1], kind="stable")
-                    if not len(by):  # no text of the block is that long
-                        continue
-                    keys, own = g.hash[k - 1][by], g.training(k)[by].astype(np.uint32)
-                    part = _part(keys, partitions)
-                    cuts = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]))
-                    raws = [_join([pack(np.diff(keys[a:b], prepend=_U(0))), pack(own[a:b])]) for a, b in zip(cuts[:-1], cuts[1:])]
-                    yield pa.RecordBatch.from_pydict({
-                        "block": pa.array([block] * len(raws), pa.int64()), "k": pa.array([k] * len(raws), pa.int32()),
-                        "part": pa.array(part[cuts[:-1]], pa.int32()), "raw": pa.array(raws, pa.binary())})
+ASKED = "block long, k int, part int, raw binary, tokens long, distinct long, once long"
+
 
+def _ask(block: int, g: Grams, k: int, some: np.ndarray, partitions: int) -> list[tuple]:
+    """Questions (ASKED) for the k-grams ``some`` of a block, one a partition."""
+    by = some[np.argsort(g.hash[k - 1][some], kind="stable")]
+    if not len(by):
+        return []
+    keys, own, held = g.hash[k - 1][by], g.training(k)[by].astype(np.uint32), g.everywhere(k)[by].astype(np.uint32)
+    part = _part(keys, partitions)
+    cuts = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]))
+    return [(block, k, int(part[a]), _join([pack(np.diff(keys[a:b], prepend=_U(0))), pack(own[a:b]), pack(held[a:b])]), None, None, None) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def _answered(asked: DataFrame, partitions: int) -> DataFrame:
+    """Questions answered with twice the training total, plus one if all occurrences are the
+    asking block's own; rows of block -1 hold the sums of a partition."""
     def add_up(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         k, part = key
-        asked = [_split(r) for r in rows.raw]
-        keys = [np.cumsum(unpack(a, _U)) for a, _ in asked]
-        names, number = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(number, np.concatenate([unpack(c, np.uint32) for _, c in asked]), len(names)).astype(np.int64)
-        cut = np.cumsum([len(x) for x in keys])
-        out = [pack(total[x].astype(np.uint64)) for x in np.split(number, cut[:-1])]
-        counted = total[names != START] if k == 1 else total
-        return pd.DataFrame({"block": [*rows.block, -1], "k": k, "part": part, "raw": [*out, None], "tokens": [None] * len(out) + [int(counted.sum())],
-                             "distinct": [None] * len(out) + [int((counted > 0).sum())], "once": [None] * len(out) + [int((counted == 1).sum())]}).astype(
+        told, rows = rows[rows.raw.isna()], rows[rows.raw.notna()]      # counted by a block itself
+        sums = np.array([int(told[c].sum()) for c in ("tokens", "distinct", "once")])
+        out = []
+        if len(rows):
+            asked = [_split(r) for r in rows.raw]
+            keys = [np.cumsum(unpack(a, _U)) for a, _, _ in asked]
+            names, number = np.unique(np.concatenate(keys), return_inverse=True)
+            held = np.concatenate([unpack(h, np.uint32) for _, _, h in asked])
+            total = np.bincount(number, np.concatenate([unpack(c, np.uint32) for _, c, _ in asked]), len(names)).astype(np.int64)
+            alone = held == np.bincount(number, held, len(names))[number]
+            told_all = (total[number].astype(_U) << _U(1)) | alone.astype(_U)
+            out = [pack(x) for x in np.split(told_all, np.cumsum([len(x) for x in keys])[:-1])]
+            sums += _sums(total[names != START] if k == 1 else total)
+        return pd.DataFrame({"block": [*rows.block, -1], "k": k, "part": part, "raw": [*out, None], "tokens": [None] * len(out) + [sums[0]],
+                             "distinct": [None] * len(out) + [sums[1]], "once": [None] * len(out) + [sums[2]]}).astype(
+            {"tokens": "Int64", "distinct": "Int64", "once": "Int64"})
+
+    return written(asked.repartition(partitions, "k", "part").groupBy("k", "part").applyInPandas(add_up, ASKED), "lm_answers")
+
+
+def _sums(counts: np.ndarray) -> np.ndarray:
+    """(tokens, distinct, that occur once)"""
+    return np.array([int(counts.sum()), int((counts > 0).sum()), int((counts == 1).sum())])
+
+
+def _gathered(blocks: DataFrame, got: DataFrame | None, partitions: int):
+    """Each block's raw row (k = 0) and its answers, grouped by block."""
+    rows = blocks.select("block", F.lit(0).alias("k"), F.lit(0).alias("part"), "raw")
+    if got is not None:
+        rows = rows.union(got.filter("block <> -1").select("block", "k", "part", "raw"))
+    return rows.repartition(partitions, "block").groupBy("block")
+
+
+def _totals(rows: pd.DataFrame, order: int, known: int) -> tuple[Grams, list[np.ndarray], np.ndarray]:
+    """A block's n-grams, the totals of orders 1 to ``known``, and which of the last order no other
+    block holds."""
+    g, totals, alone = Grams(rows.raw[rows.k == 0].iloc[0], order), [], None
+    for k in range(1, known + 1):
+        total, alone = g.totals(k, rows[rows.k == k].sort_values("part").raw.tolist(), alone if k > 2 else None)
+        totals.append(total)
+    return g, totals, alone
+
+
+def _further(k: int, partitions: int):
+    """Function of a block's group: its questions of order k, and the sums of what it need not ask."""
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        block = int(key[0])
+        g, _, alone = _totals(rows, k, k - 1)
+        told = g.inferred(k, alone)
+        out = _ask(block, g, k, np.flatnonzero(~told), partitions)
+        out.append((block, k, block % partitions, None, *_sums(g.training(k)[told]).tolist()))
+        return pd.DataFrame(out, columns=["block", "k", "part", "raw", "tokens", "distinct", "once"]).astype(
             {"tokens": "Int64", "distinct": "Int64", "once": "Int64"})
 
-    asked = blocks.mapInArrow(ask, "block long, k int, part int, raw binary")
-    out = written(asked.groupBy("k", "part").applyInPandas(add_up, "block long, k int, part int, raw binary, tokens long, distinct long, once long"), "lm_answers")
-    sums = out.filter("block = -1").groupBy("k").agg(*(F.sum(c).alias(c) for c in ("tokens", "distinct", "once"))).collect()
-    return out.filter("block <> -1").select("block", "k", "part", "raw"), {r.k: (r.tokens, r.distinct, r.once) for r in sums}
+    return run
+
+
+def answers(blocks: DataFrame, order: int, partitions: int) -> tuple[DataFrame, dict[int, tuple[int, int, int]]]:
+    """Totals of the n-grams that each block has asked for: a table of block, k, part, raw,
+    and by order (training tokens, distinct in training, that occur once)."""
+    def first(batches):
+        for batch in batches:
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("raw").to_pylist()):
+                g = Grams(raw, min(order, 2))
+                for k in range(1, min(order, 2) + 1):
+                    if out := _ask(block, g, k, np.arange(len(g.hash[k - 1])), partitions):
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
+                            pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))],
+                            names=["block", "k", "part", "raw", "tokens", "distinct", "once"])
+
+    got = _answered(blocks.mapInArrow(first, ASKED), partitions)
+    for k in range(3, order + 1):
+        got = got.union(_answered(_gathered(blocks, got, partitions).applyInPandas(_further(k, partitions), ASKED), partitions))
+    sums = got.filter("block = -1").groupBy("k").agg(*(F.sum(c).alias(c) for c in ("tokens", "distinct", "once"))).collect()
+    return got, {r.k: (r.tokens, r.distinct, r.once) for r in sums}
 
 
 def _part(keys: np.ndarray, partitions: int) -> np.ndarray:
@@ -201,36 +290,83 @@ def _part(keys: np.ndarray, partitions: int) -> np.ndarray:
     return ((keys >> _U(32)) * _U(partitions) >> _U(32)).astype(np.int32)
 
 
-def traverse(g: Grams, counts: list[np.ndarray], sums: dict[int, tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(known tokens, base score, score) of each text. ``counts``: training
-    count of each distinct k-gram, by order."""
-    total, distinct, _ = sums.get(1, (0, 0, 0))
-    low = np.log10((counts[0] + 0.5) / (total + 0.5 * (distinct + 1)))
-    weight = low  # of each distinct k-gram: log10 Pk of its last word
-    token = ~g.first
-    word = g.at[0]
-    arc = low[word]  # of each token, at the highest order so far
-    for k in range(2, len(counts) + 1):
-        n, _, once = sums.get(k, (0, 0, 0))
-        fail = min(max(once / n, 1e-3), 0.999) if n else 0.5
-        context, last = g.context[k - 1], g.word[k - 1]
-        seen, state = counts[k - 1], counts[k - 2][context]
-        # the last word after the shorter context: for k = 2 the word alone, else the (k-1)-gram without its first word
-        if k == 2:
-            shorter = low[last]
-        else:
-            shorter = np.zeros(len(seen))
-            at = np.flatnonzero(g.at[k - 1] >= 0)
-            shorter[g.at[k - 1][at]] = weight[g.at[k - 2][at]]
-        p = 10.0 ** shorter
-        own = np.where(state > 0, np.where(seen > 0, (1 - fail) * seen / np.maximum(state, 1) + fail * p, fail * p), p)
-        weight = np.log10(own)
-        at = np.flatnonzero(g.at[k - 1] >= 0)
-        arc = arc.copy()
-        arc[at] = weight[g.at[k - 1][at]]
-    start = g.end - g.n
-    add = lambda x: np.add.reduceat(np.where(token, x, 0), start)
-    return add((counts[0][word] > 0).astype(np.int64)), add(low[word]), add(arc)
+class Automaton:
+    """A block's part of the automaton. State 0 is the empty context; ``fail_to`` and
+    ``fail`` are each state's failure arc and its weight; arcs are sorted by ``keys``
+    (state * words + word), with ``weight`` and ``target``."""
+
+    def __init__(self, g: Grams, totals: list[np.ndarray], sums: dict[int, tuple[int, int, int]]):
+        order, self.words = len(totals), len(g.hash[0])
+        total, distinct, _ = sums.get(1, (0, 0, 0))
+        self.low = np.log10((totals[0] + 0.5) / (total + 0.5 * (distinct + 1)))
+        none = np.zeros(1, np.int64)
+        state_of, n = [none], 1                        # of each j-gram: its state, -1 if training has not seen it
+        fail_to, fail = [none], [np.zeros(1)]
+        for j in range(1, order):
+            seen = np.flatnonzero(totals[j - 1] > 0)
+            state = np.full(len(totals[j - 1]), -1)
+            state[seen] = n + np.arange(len(seen))
+            n += len(seen)
+            fail_to.append(state_of[-1][g.suffix[j - 1][seen]] if j > 1 else np.zeros(len(seen), np.int64))
+            events, _, once = sums.get(j + 1, (0, 0, 0))
+            fail.append(np.full(len(seen), np.log10(min(max(once / events, 1e-3), 0.999) if events else 0.5)))
+            state_of.append(state)
+        self.fail_to, self.fail = np.concatenate(fail_to), np.concatenate(fail)
+        # the empty context has an arc for every word; a word that training has not seen leads back to it
+        keys, weights = [np.arange(self.words)], [self.low]
+        targets = [np.maximum(state_of[1], 0) if order > 1 else np.zeros(self.words, np.int64)]
+        weight = self.low
+        for k in range(2, order + 1):
+            seen = np.flatnonzero(totals[k - 1] > 0)
+            context, suffix = g.context[k - 1][seen], g.suffix[k - 1][seen]
+            l_k = 10.0 ** fail[k - 1][0]
+            own = np.zeros(len(totals[k - 1]))
+            own[seen] = np.log10((1 - l_k) * totals[k - 1][seen] / totals[k - 2][context] + l_k * 10.0 ** weight[suffix])
+            keys.append(state_of[k - 1][context] * self.words + g.word[k - 1][seen])
+            weights.append(own[seen])
+            targets.append(state_of[k][seen] if k < order else state_of[k - 1][suffix])
+            weight = own
+        key = np.concatenate(keys)
+        by = np.argsort(key, kind="stable")
+        self.keys, self.weight, self.target = key[by], np.concatenate(weights)[by], np.concatenate(targets)[by]
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next state, log10 probability) of reading a word in each state."""
+        state, at, logp = state.copy(), np.empty(len(state), np.int64), np.zeros(len(state))
+        look = np.arange(len(state))
+        while len(look):
+            key = state[look] * self.words + word[look]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            found = self.keys[place] == key
+            at[look[found]] = place[found]
+            look = look[~found]
+            logp[look] += self.fail[state[look]]
+            state[look] = self.fail_to[state[look]]
+        return self.target[at], logp + self.weight[at]
+
+    def walk(self, seq: np.ndarray, first: np.ndarray, end: np.ndarray, order: int, stretch: int = STRETCH) -> np.ndarray:
+        """log10 probability of each text: tokens ``first`` + 1 to ``end`` - 1 of ``seq``, after
+        the start at ``first``."""
+        pieces = -(-(end - first - 1) // stretch)
+        text = np.repeat(np.arange(len(first)), pieces)
+        begin = first[text] + 1 + tb.ragged(np.zeros(len(first), np.int64), pieces) * stretch
+        stop = np.minimum(begin + stretch, end[text])
+        state, logp = np.zeros(len(text), np.int64), np.zeros(len(text))
+        back = max(order - 1, 1)
+        for t in range(-back, int((stop - begin).max(initial=0))):
+            at = begin + t
+            own = np.flatnonzero((at >= first[text]) & (at < stop))
+            state[own], p = self.step(state[own], seq[at[own]])
+            if t >= 0:
+                logp[own] += p
+        return np.bincount(text, logp, len(first))
+
+
+def traverse(g: Grams, totals: list[np.ndarray], sums: dict[int, tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(known tokens, base score, score) of each text."""
+    machine, start = Automaton(g, totals, sums), g.end - g.n
+    add = lambda x: np.add.reduceat(np.where(g.first, 0, x), start)
+    return add((totals[0][g.at[0]] > 0).astype(np.int64)), add(machine.low[g.at[0]]), machine.walk(g.at[0], start, g.end, len(totals))
 
 
 def score(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,21 +378,13 @@ def score(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id", text_col:
     tokens = sums.get(1, (0, 0, 0))[0]
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        g = Grams(rows.raw[rows.k == 0].iloc[0], order)
-        counts = []
-        for k in range(1, order + 1):
-            own = rows[rows.k == k].sort_values("part")
-            by = np.argsort(g.hash[k - 1], kind="stable")
-            c = np.zeros(len(by))
-            c[by] = np.concatenate([unpack(r, _U) for r in own.raw]) if len(own) else 0
-            counts.append(c)
-        known, base, full = traverse(g, counts, sums)
+        g, totals, _ = _totals(rows, order, order)
+        known, base, full = traverse(g, totals, sums)
         return pd.DataFrame({"doc_id": pd.array(np.where(g.known, g.ids, 0), "Int64").copy(), "held_out": g.held, "n_tokens": g.n - 1, "n_known": known,
                              "train_tokens": tokens, "base_score": base, "score": full}).assign(
             doc_id=lambda f: f.doc_id.mask(~g.known))
 
-    rows = blocks.select("block", F.lit(0).alias("k"), F.lit(0).alias("part"), "raw").union(got)
-    return rows.groupBy("block").applyInPandas(
+    return _gathered(blocks, got, partitions).applyInPandas(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

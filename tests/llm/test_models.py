@@ -45,7 +45,7 @@ def plain_lm(rows, order):
     return sorted(map(str, out))
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_op4_against_brute_force(spark, order, monkeypatch):
     monkeypatch.setattr(lm, "BLOCK_BYTES", 500)
     rows = [x for x in edge.texts() if x[0] != 43]
@@ -53,6 +53,58 @@ def test_op4_against_brute_force(spark, order, monkeypatch):
     assert sorted(str((*r[:5], round(r.base_score, 6), round(r.score, 6))) for r in got) == plain_lm(rows, order)
 
 
+def _automaton(texts, order=3):
+    """Automaton of one block that holds all texts, and its n-grams."""
+    import pyarrow as pa
+    data, offs = lm.tb.spans(pa.array(texts))
+    words, first = lm.tb.word_hashes(data, offs, lm.tb.SPACED)
+    n = len(texts)
+    g = lm.Grams(lm._block([np.arange(n)], [np.ones(n, bool)], [np.arange(n) % 4 == 3], [words], [np.diff(first)]), order)
+    totals = [g.training(k) for k in range(1, order + 1)]
+    sums = {k: tuple(lm._sums(t if k > 1 else t[g.hash[0] != lm.START]).tolist()) for k, t in enumerate(totals, 1)}
+    return g, totals, lm.Automaton(g, totals, sums)
+
+
+def test_op4_states_arcs_and_failures():
+    g, totals, m = _automaton(["a b a b c", "a b d", "b c", "x y z a b"])
+    seen = sum(int((t > 0).sum()) for t in totals[:-1])
+    assert len(m.fail_to) == 1 + seen                       # a state for each seen context, and the empty one
+    assert (np.diff(m.keys) > 0).all() and len(m.keys) == m.words + sum(int((t > 0).sum()) for t in totals[1:])
+    assert (m.fail_to[1:] < np.arange(1, len(m.fail_to))).all()
+    state, depth = np.arange(len(m.fail_to)), 0
+    while state.any():
+        state, depth = m.fail_to[state], depth + 1
+    assert depth == 2                                       # two words, one word, none
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_op4_pieces_of_a_text_walk_as_the_whole(order):
+    r = random.Random(order)
+    g, _, m = _automaton([" ".join(r.choice("abcde") for _ in range(r.choice([0, 1, 5, 40, 300]))) for _ in range(40)], order)
+    whole = m.walk(g.at[0], g.end - g.n, g.end, order, 10 ** 6)
+    for stretch in (1, 2, 7, 128):
+        assert np.allclose(m.walk(g.at[0], g.end - g.n, g.end, order, stretch), whole)
+
+
+def test_op4_grams_of_one_block_are_not_asked_for():
+    g, _, _ = _automaton(["a b c d", "a b e"])
+    alone = np.ones(len(g.hash[1]), bool)
+    assert g.inferred(3, alone).all() and not g.inferred(3, ~alone).any()
+    alone[:] = False
+    alone[g.at[1][2]] = True                                 # "a b" (the second word of the first text)
+    tri = g.inferred(3, alone)
+    assert tri[g.at[2][2]] and tri[g.at[2][3]] and not tri[g.at[2][4]]
+
+
+def test_op4_words_with_structured_bytes(spark):
+    """Words that a sum of byte powers would take for one."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(i, f"{word} x" if i % 2 else f"{other} y") for i in range(12)] + [(20, f"{word} {other}")]
+    got = lm.score(edge.documents(spark, rows), 3).collect()
+    assert sorted(str((*r[:5], round(r.base_score, 6), round(r.score, 6))) for r in got) == plain_lm(rows, 3)
+
+
 def test_op4_long_text_and_empty_table(spark):
     rows = [(i, t) for i, t in edge.texts() if i in (40, 41, 43, 46)]
     got = {r.doc_id: r for r in lm.score(edge.documents(spark, rows)).collect()}
