@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import read_table, written
+from .common import lookup, read_table, written
 from .components import components
 
 THRESHOLD = 0.8
@@ -314,17 +314,62 @@ def _cells(open_rows: DataFrame, threshold: float, best: int | None) -> DataFram
     return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long").distinct()
 
 
+def identified(docs: DataFrame, id_col: str, taken: list[str]) -> tuple[DataFrame, str]:
+    """(``docs``, a column that numbers their rows): ``id_col`` itself where no row repeats or lacks
+    it, else a row number in a copy that is written once."""
+    ids = docs.groupBy(F.col(id_col).cast("long").alias("id")).count().filter("count > 1 or id is null")
+    if ids.isEmpty():
+        return docs, id_col
+    name = "row"
+    while name in taken:
+        name += "_"
+    return written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest
     doc_id that links reach, itself included), kept (doc_id = component_id).
 
     Null text and texts without words: 0 shingles, a component of their own.
-    Rows with null doc_id cannot be named: component null, kept. Rows that
-    repeat a doc_id with another text count as that document's too. An empty table gives no rows."""
+    Rows with null doc_id cannot be named: component null, kept, no link. Rows that
+    repeat a doc_id are compared each with its own text. An empty table gives no rows."""
     texts = _texts(docs, id_col, text_col)
-    sig = written(signatures(docs, size, id_col, text_col), "signatures")
-    named = sig.filter("doc_id is not null and key is not null")
-    classes = written(named.groupBy("key").agg(F.min("doc_id").alias("cid"), F.first("n_shingles").alias("n"), F.first("reg").alias("reg")), "set_classes")
+    rows, number = identified(texts, "doc_id", texts.columns)
+    if number == "doc_id":
+        return _linked(texts, size, threshold)
+    named, nameless = rows.filter("doc_id is not null"), rows.filter("doc_id is null")
+    found = written(_linked(named.select(F.col(number).alias("doc_id"), "text"), size, threshold).join(
+        named.select(F.col(number).alias("doc_id"), F.col("doc_id").alias("name")), "doc_id"), "row_components")
+    least = found.groupBy("component_id").agg(F.min("name").alias("least"), F.count("*").alias("held"))
+    out = lookup(found, written(least, "least_names"), "component_id", "held").select(
+        F.col("name").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"), (F.col("name") == F.col("least")).alias("kept"))
+    none = signatures(nameless, size).select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
+    return out.unionByName(none)
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 5, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, but for near copies: one row of each component stays, that
+    of the smallest ``id_col`` (null last). Where rows repeat or lack it, each row is a document
+    of its own; of a component's rows with the smallest id one stays. Rows without words stay."""
+    rows, number = identified(docs, id_col, docs.columns)
+    found = _linked(_texts(rows, number, text_col), size, threshold)
+    if number == id_col:
+        gone = found.filter("not kept").select(F.col("doc_id").alias("_gone"))
+    else:
+        named = written(found.select("component_id", F.col("doc_id").alias("row")).join(
+            rows.select(F.col(number).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("id")), "row"), "row_components")
+        stays = named.groupBy("component_id").agg(F.min_by("row", "id").alias("stays"), F.count("*").alias("held")).filter("held > 1")
+        gone = lookup(named, written(stays, "staying_rows"), "component_id", "held").filter("row <> stays").select(F.col("row").alias("_gone"))
+    gone = written(gone, "near_copies")
+    few = gone.count() <= MAX_IDS
+    return rows.join(F.broadcast(gone) if few else gone, F.col(number).cast("long") == F.col("_gone"), "left_anti").select(*docs.columns)
+
+
+def _linked(texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    """``near_duplicates`` of texts whose doc_id is unique and never null."""
+    sig = written(signatures(texts, size), "signatures")
+    named = sig.filter("key is not null")
+    classes = written(named.groupBy("key").agg(F.min("doc_id").alias("cid"), F.first("n_shingles").alias("n"), F.first("reg").alias("reg"), F.count("*").alias("held")), "set_classes")
 
     def bands(batches):
         for batch in batches:
@@ -333,8 +378,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = THRESHOLD
             yield pa.RecordBatch.from_pydict({"cid": pa.array(np.repeat(batch.column("cid").to_numpy(), BANDS), pa.int64()), "band": pa.array(h.reshape(-1), pa.int64())})
 
     banded = classes.select("cid", "reg").mapInArrow(bands, "cid long, band long")
-    hubs = banded.groupBy("band").agg(F.min("cid").alias("hub"), F.count("*").alias("m")).filter("m > 1")
-    met = written(banded.join(hubs, "band"), "met")  # members of shared buckets
+    hubs = written(banded.groupBy("band").agg(F.min("cid").alias("hub"), F.count("*").alias("m")).filter("m > 1"), "shared_buckets")
+    met = written(lookup(banded, hubs, "band", "m").filter("hub is not null"), "met")  # members of shared buckets
     star = met.filter("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
     by_id = classes.select("cid", "n", "reg")
     links = written(_verify(written(_estimated(star, by_id, threshold), "star_pairs"), texts, size, threshold), "star_links")
@@ -346,8 +391,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = THRESHOLD
             "band", "cid", "hub", F.coalesce("root", "cid").alias("root"))
         # a bucket's pairs with its smallest member are done; so is the bucket if the others are of one component
         rest = written(placed.filter("cid <> hub").drop("hub"), "placed")
-        split = rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).filter("lo <> hi").select("band", "m")
-        still = written(rest.join(split, "band"), "open_buckets")
+        split = written(rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).filter("lo <> hi").select("band", "m"), "open_bands")
+        still = written(lookup(rest, split.withColumn("held", F.col("m")), "band", "held").filter("m is not null").drop("held"), "open_buckets")
         sets = _sets(still.select(F.col("cid").alias("doc_id")), texts, size, short=True).withColumnRenamed("doc_id", "cid")
         more = written(_cells(still.join(by_id, "cid").join(sets, "cid"), threshold, best), "cross_pairs")
         found = written(_verify(more, texts, size, threshold), "cross_links")
@@ -356,10 +401,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = THRESHOLD
         if found.count() == more.count():
             break
 
-    of_class = classes.select("key", "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("key", F.coalesce("root", "cid").alias("root"))
-    out = sig.select("doc_id", "n_shingles", "key").join(of_class, "key", "left")
-    comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
-    return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
+    of_class = written(classes.select("key", "cid", "held").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
+        "key", F.coalesce("root", "cid").alias("root"), "held"), "class_roots")
+    slim = sig.select("doc_id", "n_shingles", "key")
+    out = lookup(slim.filter("key is not null"), of_class, "key", "held").drop("held").unionByName(
+        slim.filter("key is null").withColumn("root", F.col("doc_id")))
+    return out.select("doc_id", "n_shingles", F.col("root").alias("component_id"), (F.col("doc_id") == F.col("root")).alias("kept"))
 
 
 def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

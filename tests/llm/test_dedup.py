@@ -92,6 +92,24 @@ def test_op3_large_group_of_near_copies(spark):
     assert got == brute(rows, 2)
 
 
+def test_op3_texts_of_one_doc_id(spark):
+    """A doc_id that repeats links by each of its texts, and no text is lost."""
+    r = random.Random(9)
+    t = [" ".join(f"w{r.randrange(50)}" for _ in range(25)) for _ in range(4)]
+    rows = [(5, t[0]), (5, t[1]), (9, t[0]), (4, t[1]), (6, t[2]), (6, t[2]), (None, t[3]), (7, t[3])]
+    got = sorted(str(tuple(x)) for x in hm.near_duplicates(edge.documents(spark, rows), 2).collect())
+    n = [len(shingles(x, 2)) for x in t]
+    assert got == sorted(map(str, [(5, n[0], 5, True), (9, n[0], 5, False), (5, n[1], 4, False), (4, n[1], 4, True), (6, n[2], 6, True), (6, n[2], 6, True),
+                                   (None, n[3], None, True), (7, n[3], 7, True)]))
+
+
+def test_op3_words_with_structured_bytes(spark):
+    """Words that a sum of byte powers would take for one."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, f"x {word}"), (4, "x " + word.translate(str.maketrans("ab", "ba")))]
+    assert sorted(tuple(x) for x in hm.near_duplicates(edge.documents(spark, rows), 2).collect()) == brute(rows, 2)
+
+
 def test_op3_odd_documents(spark):
     rows = edge.texts()
     got = hm.near_duplicates(edge.documents(spark), 2).collect()
