@@ -3,22 +3,18 @@ group of near copies stays, documents with benchmark passages go, the rest is
 encoded. Each stage's rows are written and read again as the next one's
 ``docs``; all but the last return the columns they were given.
 
-Null text has no words: such rows pass the filters. Rows with null doc_id cannot
-be named as a copy of another and pass near-dedup; of rows that share a doc_id, one
-passes it. An empty table gives no rows.
+Null text has no words: such rows pass the filters. Where rows repeat or lack a doc_id,
+near-dedup takes each row for a document of its own: different texts of one doc_id
+all pass, of equal ones one does. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerlens.llm import hyperminhash, pair_index_bpe, suffix_decontamination, toxicity_cnn
 from ledgerlens.llm.common import read_table, written
 
-#: Ids (8 bytes each) that are broadcast at most; more are joined by a shuffle.
-MAX_IDS = 1_000_000
-
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the classifier, trained on ``labels``, does not reject."""
@@ -26,15 +22,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each component of five-word similarity 0.8."""
-    gone = written(hyperminhash.near_duplicates(docs).filter("not kept").select("doc_id").distinct(), "near_copies")
-    few = gone.count() <= MAX_IDS
-    out = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
-    again = written(docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id"), "repeated_ids")
-    if again.isEmpty():
-        return out
-    return out.join(again, "doc_id", "left_anti").select(*docs.columns).union(
-        out.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    """One document of each component of five-word similarity 0.8: that of the smallest doc_id."""
+    return hyperminhash.drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
