@@ -58,10 +58,10 @@ _U = np.uint64
 START, END = _U(0x5354415254), _U(0x454E44)
 
 
-def pack(a: np.ndarray) -> bytes:
+def pack(a: np.ndarray, level: int = 1) -> bytes:
     """Integers, byte plane by byte plane, compressed."""
     planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=level).compress(planes.tobytes())
 
 
 def unpack(raw: bytes, dtype) -> np.ndarray:
@@ -84,8 +84,8 @@ def _split(raw: bytes) -> list[bytes]:
 
 
 def _block(ids: list, known: list, held: list, words: list[np.ndarray], counts: list[np.ndarray]) -> bytes:
-    """Packed block: documents, distinct token hashes by falling frequency, and
-    every document's tokens as numbers in that list: start, words, end."""
+    """Packed block: documents, distinct token hashes (ascending) with their frequencies, and
+    every document's tokens as ranks by falling frequency: start, words, end."""
     n = np.concatenate(counts)
     seq = np.empty(int(n.sum()) + 2 * len(n), _U)
     first = np.cumsum(n + 2) - (n + 2)
@@ -98,7 +98,7 @@ def _block(ids: list, known: list, held: list, words: list[np.ndarray], counts:
     place = np.empty(len(order), np.uint32)
     place[order] = np.arange(len(order))
     return _join([np.concatenate(ids).astype("<i8").tobytes(), np.concatenate(known).tobytes(), np.concatenate(held).tobytes(),
-                  pack((n + 2).astype(np.uint32)), pack(names[order]), pack(place[number])])
+                  pack((n + 2).astype(np.uint32)), pack(np.diff(names, prepend=_U(0))), pack(freq.astype(np.uint32)), pack(place[number], 6)])
 
 
 class Grams:
@@ -107,10 +107,11 @@ class Grams:
     among the (k-1)-grams, that of its suffix (the gram without its first word) and its last word."""
 
     def __init__(self, raw: bytes, order: int):
-        ids, known, held, n, names, seq = _split(raw)
+        ids, known, held, n, names, freq, seq = _split(raw)
         self.ids, self.known, self.held = np.frombuffer(ids, "<i8"), np.frombuffer(known, bool), np.frombuffer(held, bool)
         self.n = unpack(n, np.uint32).astype(np.int64)
-        names, seq = unpack(names, _U), unpack(seq, np.uint32).astype(np.int64)
+        names = np.cumsum(unpack(names, _U))[np.argsort(-unpack(freq, np.uint32).astype(np.int64), kind="stable")]
+        seq = unpack(seq, np.uint32).astype(np.int64)
         self.end = np.cumsum(self.n)
         self.learn = np.repeat(~self.held, self.n)
         self.first = np.zeros(len(seq), bool)
@@ -192,15 +193,16 @@ def write_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 ASKED = "block long, k int, part int, raw binary, tokens long, distinct long, once long"
 
 
-def _ask(block: int, g: Grams, k: int, some: np.ndarray, partitions: int) -> list[tuple]:
-    """Questions (ASKED) for the k-grams ``some`` of a block, one a partition."""
+def _ask(block: int, g: Grams, k: int, some: np.ndarray, partitions: int, last: bool) -> list[tuple]:
+    """Questions (ASKED) for the k-grams ``some`` of a block, one a partition; of the ``last``
+    order nobody needs to know who else holds them."""
     by = some[np.argsort(g.hash[k - 1][some], kind="stable")]
     if not len(by):
         return []
     keys, own, held = g.hash[k - 1][by], g.training(k)[by].astype(np.uint32), g.everywhere(k)[by].astype(np.uint32)
     part = _part(keys, partitions)
     cuts = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]))
-    return [(block, k, int(part[a]), _join([pack(np.diff(keys[a:b], prepend=_U(0))), pack(own[a:b]), pack(held[a:b])]), None, None, None) for a, b in zip(cuts[:-1], cuts[1:])]
+    return [(block, k, int(part[a]), _join([pack(np.diff(keys[a:b], prepend=_U(0))), pack(own[a:b]), *([] if last else [pack(held[a:b])])]), None, None, None) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def _answered(asked: DataFrame, partitions: int) -> DataFrame:
@@ -213,11 +215,13 @@ def _answered(asked: DataFrame, partitions: int) -> DataFrame:
         out = []
         if len(rows):
             asked = [_split(r) for r in rows.raw]
-            keys = [np.cumsum(unpack(a, _U)) for a, _, _ in asked]
+            keys = [np.cumsum(unpack(q[0], _U)) for q in asked]
             names, number = np.unique(np.concatenate(keys), return_inverse=True)
-            held = np.concatenate([unpack(h, np.uint32) for _, _, h in asked])
-            total = np.bincount(number, np.concatenate([unpack(c, np.uint32) for _, c, _ in asked]), len(names)).astype(np.int64)
-            alone = held == np.bincount(number, held, len(names))[number]
+            total = np.bincount(number, np.concatenate([unpack(q[1], np.uint32) for q in asked]), len(names)).astype(np.int64)
+            alone = np.zeros(len(number), bool)
+            if len(asked[0]) > 2:
+                held = np.concatenate([unpack(q[2], np.uint32) for q in asked])
+                alone = held == np.bincount(number, held, len(names))[number]
             told_all = (total[number].astype(_U) << _U(1)) | alone.astype(_U)
             out = [pack(x) for x in np.split(told_all, np.cumsum([len(x) for x in keys])[:-1])]
             sums += _sums(total[names != START] if k == 1 else total)
@@ -251,13 +255,13 @@ def _totals(rows: pd.DataFrame, order: int, known: int) -> tuple[Grams, list[np.
     return g, totals, alone
 
 
-def _further(k: int, partitions: int):
+def _further(k: int, partitions: int, last: bool):
     """Function of a block's group: its questions of order k, and the sums of what it need not ask."""
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         block = int(key[0])
         g, _, alone = _totals(rows, k, k - 1)
         told = g.inferred(k, alone)
-        out = _ask(block, g, k, np.flatnonzero(~told), partitions)
+        out = _ask(block, g, k, np.flatnonzero(~told), partitions, last)
         out.append((block, k, block % partitions, None, *_sums(g.training(k)[told]).tolist()))
         return pd.DataFrame(out, columns=["block", "k", "part", "raw", "tokens", "distinct", "once"]).astype(
             {"tokens": "Int64", "distinct": "Int64", "once": "Int64"})
@@ -273,14 +277,14 @@ def answers(blocks: DataFrame, order: int, partitions: int) -> tuple[DataFrame,
             for block, raw in zip(batch.column("block").to_pylist(), batch.column("raw").to_pylist()):
                 g = Grams(raw, min(order, 2))
                 for k in range(1, min(order, 2) + 1):
-                    if out := _ask(block, g, k, np.arange(len(g.hash[k - 1])), partitions):
+                    if out := _ask(block, g, k, np.arange(len(g.hash[k - 1])), partitions, k == order):
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
                             pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))],
                             names=["block", "k", "part", "raw", "tokens", "distinct", "once"])
 
     got = _answered(blocks.mapInArrow(first, ASKED), partitions)
     for k in range(3, order + 1):
-        got = got.union(_answered(_gathered(blocks, got, partitions).applyInPandas(_further(k, partitions), ASKED), partitions))
+        got = got.union(_answered(_gathered(blocks, got, partitions).applyInPandas(_further(k, partitions, k == order), ASKED), partitions))
     sums = got.filter("block = -1").groupBy("k").agg(*(F.sum(c).alias(c) for c in ("tokens", "distinct", "once"))).collect()
     return got, {r.k: (r.tokens, r.distinct, r.once) for r in sums}
 
