@@ -9,7 +9,8 @@ pooled, a logistic layer weighs them.
 
 Only documents whose crc32(doc_id as text) mod 5 is not 0 teach. The weights come
 from a sample: at most TRAIN_DOCS labelled documents of either class of at most
-TRAIN_BYTES bytes each, lowest hashes of doc_id first, without a quarter of them.
+TRAIN_BYTES bytes each, lowest hashes of doc_id first, without a quarter of them; where a class has fewer
+than LEAST_SHORT such documents, its next longer ones too, up to TRAIN_DOCS * TRAIN_BYTES bytes in all.
 All other labelled documents, whole texts of any length, are scored where they are
 read and calibrate by counts of logit bins; short ones are weighted by class for
 those that the weights were learnt from, so that the classes keep the shares they
@@ -37,6 +38,7 @@ from .common import read_table
 
 TRAIN_DOCS = 2000
 TRAIN_BYTES = 8 << 10
+LEAST_SHORT = 50
 WIDTHS = (1, 2, 3)
 PREFIXES = (4, 5, 6)
 DIM = 16
@@ -102,12 +104,14 @@ def languages(words: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _laid_out(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word rows with a gap of zeros before each text, and the texts' places."""
+    """Word rows with a gap of zeros before, between and after the texts, and the places of their
+    first words: no filter that ends in a text, or in the gap behind it, reaches another text."""
     gap = max(WIDTHS) - 1
     n = np.diff(first)
-    out = np.zeros((len(ids) + gap * len(n) + gap, ids.shape[1]), np.int64)
-    out[np.arange(len(ids)) + np.repeat((np.arange(len(n)) + 2) * gap, n)] = ids
-    return out, gap + first[:-1] + gap * np.arange(len(n))
+    out = np.zeros((len(ids) + gap * (len(n) + 2), ids.shape[1]), np.int64)
+    before = gap * (np.arange(len(n)) + 2)
+    out[np.arange(len(ids)) + np.repeat(before, n)] = ids
+    return out, first[:-1] + before
 
 
 class Model:
@@ -231,10 +235,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marks = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & (F.crc32(key.cast("binary")) % FOLDS != 0))
                    .groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.max(label_col).cast("int").alias("y")))
     sizes = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).alias("size"))
-    fit_rows = sizes.filter(F.col("size") <= TRAIN_BYTES).join(marks, "doc_id")
-    chosen = {}
+    fit_rows = sizes.join(marks, "doc_id").groupBy("doc_id", "y").agg(F.min("size").alias("size"))
+    chosen, longest = {}, TRAIN_BYTES
     for y in (0, 1):
-        chosen |= {r.doc_id: y for r in fit_rows.filter(F.col("y") == y).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS).collect()}
+        of_class = fit_rows.filter(F.col("y") == y)
+        short = of_class.filter(F.col("size") <= TRAIN_BYTES).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS).collect()
+        chosen |= {r.doc_id: y for r in short}
+        if len(short) < LEAST_SHORT:           # a class must not vanish because its texts are long
+            left = TRAIN_DOCS * TRAIN_BYTES
+            for r in of_class.filter(F.col("size") > TRAIN_BYTES).orderBy("size", F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS).collect():
+                if (left := left - r.size) < 0:
+                    break
+                chosen[r.doc_id], longest = y, max(longest, r.size)
+            if y not in chosen.values() and not of_class.isEmpty():
+                raise ValueError(f"every labelled text of class {y} is longer than {TRAIN_DOCS * TRAIN_BYTES} bytes")
     rng = np.random.default_rng(11)
     if len(set(chosen.values())) < 2:
         model = Model(np.zeros(0, np.uint64), rng, np.zeros(0))
@@ -250,9 +264,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     [words[x:y].tobytes() for x, y in zip(first[:-1].tolist(), first[1:].tolist())], pa.binary())})
 
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-                .filter(F.col("doc_id").isin(list(chosen))).filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_BYTES)
-                .mapInArrow(hashes, "doc_id long, words binary").toPandas()
-                .drop_duplicates("doc_id").sort_values("doc_id"))
+                .filter(F.col("doc_id").isin(list(chosen))).filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)
+                .mapInArrow(hashes, "doc_id long, words binary").groupBy("doc_id").agg(F.min("words").alias("words"))  # rows that repeat an id stay on Spark
+                .toPandas().sort_values("doc_id"))
     texts = [np.frombuffer(w, np.uint64).reshape(-1, 1 + len(PREFIXES)) for w in rows.words]
     y = np.array([chosen[i] for i in rows.doc_id], np.float32)
     part = rng.permutation(len(texts)) % 4 == 0  # calibrates, with all documents outside of the sample

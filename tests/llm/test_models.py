@@ -211,6 +211,71 @@ def test_op5_counts_every_other_labelled_row(spark):
     assert got.n.sum() == len(own) and got[~got.short].n.sum() == sum(i % 4 == 0 for i in own)
 
 
+def test_op5_a_class_of_long_texts_only(spark):
+    """Toxic documents are all over TRAIN_BYTES: they teach all the same."""
+    r, rows, labels = random.Random(4), [], []
+    for i in range(160):
+        y = i % 4 == 0
+        w = [f"word{r.randrange(60)}" for _ in range(1500 if y else 30)]
+        rows.append((i, " ".join(w + ["grobian"] * (40 if y else 0))))
+        labels.append((i, 1, int(y)))
+    assert min(len(t) for i, t in rows if i % 4 == 0) > tox.TRAIN_BYTES
+    rows += [rows[0]] * 50                                   # a row that repeats
+    docs = edge.documents(spark, rows, clash=False)
+    model = tox.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert getattr(model, "constant", None) is None
+    got = {x.doc_id: x.predicted for x in tox.score(docs, model).collect()}
+    assert all(got[i] == (i % 4 == 0) for i in range(160))
+
+
+def plain_logit(model, vectors):
+    """Loops over filters, places and words; zeros stand before and after the text."""
+    gap, dim = max(tox.WIDTHS) - 1, model.emb.shape[1]
+    rows = [[0.0] * dim] * gap + [list(map(float, v)) for v in vectors] + [[0.0] * dim] * gap
+    z = float(model.out_bias)
+    for k, width in enumerate(tox.WIDTHS):
+        for f in range(tox.FILTERS):
+            best = max(float(model.bias[k][f]) + sum(rows[p - j][d] * float(model.filters[k][j][d][f]) for j in range(width) for d in range(dim))
+                       for p in range(gap, len(rows)))
+            z += max(best, 0.0) * float(model.out[k * tox.FILTERS + f])
+    return z
+
+
+def test_op5_thresholds_against_plain_counts():
+    """The best F1 over all cuts between bins, counted example by example."""
+    r = np.random.default_rng(5)
+    n = 300
+    y, lang = (r.random(n) < 0.3).astype(int), r.integers(0, 2, n)
+    bins = np.floor((r.normal(size=n) + 1.5 * y) / tox.BIN).astype(int)
+    model = tox.Model(np.array([1], np.uint64), r, np.zeros(1))
+    model.calibrate(bins, y, lang, np.ones(n))
+    for k in (0, 1):
+        w = [1.0 if x == k else 0.05 for x in lang]
+        f1 = lambda cut: 2 * sum(a for a, b, c in zip(w, bins, y) if b >= cut and c) / max(
+            sum(a for a, b in zip(w, bins) if b >= cut) + sum(a for a, c in zip(w, y) if c), 1e-12)
+        cuts = sorted(set(bins.tolist()))
+        mine = f1(next(c for c in cuts if c * tox.BIN + tox.BIN / 2 >= model.limits[k]))
+        assert abs(mine - max(map(f1, cuts))) < 1e-9
+
+
+def test_op5_against_plain_loops():
+    """Embedding, filters, pooling, logistic layer and threshold of a few texts, in plain Python."""
+    r = np.random.default_rng(8)
+    words = ["alpha", "betas", "the", "gammas", "und"]
+    vocab = np.unique(np.concatenate([tox.word_features(*lm.tb.spans(lm.pa.array([w])))[0].ravel() for w in words]))
+    model = tox.Model(vocab[vocab != 0], r, r.normal(size=(vocab != 0).sum()))
+    texts = ["alpha betas the gammas", "und", "", "betas unknownword betas the alpha alpha gammas und", "the"]
+    data, offs = lm.tb.spans(lm.pa.array(texts))
+    features, first = tox.word_features(data, offs)
+    got = model.logits(tox.word_ids(model.vocab, model.bits, features), first)
+    row = {int(v): i + 1 for i, v in enumerate(model.vocab)}
+    want = []
+    for a, b in zip(first[:-1], first[1:]):
+        vectors = [sum((model.emb[row.get(int(h), 0)] for h in features[p]), np.zeros(model.emb.shape[1])) for p in range(a, b)]
+        want.append(plain_logit(model, vectors))
+    assert np.allclose(got, want, atol=1e-4)
+
+
 def test_op5_gradients():
     """Training lowers the loss on a task that needs two words in order."""
     r = np.random.default_rng(3)
