@@ -183,6 +183,8 @@ def encode_chunks(v: Vocabulary, chunks: list[str]) -> tuple[np.ndarray, np.ndar
 
 
 _STATE: dict[str, tuple] = {}
+#: Chunks that a Python worker keeps encoded.
+POOL = 1_000_000
 
 
 def state(path: str) -> tuple[Vocabulary, tb.ChunkPool, object, bytes]:
@@ -191,7 +193,7 @@ def state(path: str) -> tuple[Vocabulary, tb.ChunkPool, object, bytes]:
         v = Vocabulary(path)
         if len(v.special) > 1:
             raise ValueError("one special token at most is supported")
-        _STATE[path] = v, tb.ChunkPool(), lambda chunks: encode_chunks(v, chunks), next(iter(v.special), "").encode()
+        _STATE[path] = v, tb.ChunkPool(POOL), lambda chunks: encode_chunks(v, chunks), next(iter(v.special), "").encode()
     return _STATE[path]
 
 
