@@ -523,24 +523,27 @@ def q_json_applications(spark, sf_dir):
 _OVERLAP = 90
 
 
-@register("replace_slice", O.replace_slice_sql(O.D.FEED_CUTOFF, _OVERLAP))
-def q_replace_slice(spark, sf_dir):
+def _slice_inputs(spark, sf_dir):
+    """(loader functions, target, delivered payloads as a written table)"""
     import datetime as dt
+    from ledgerlens.session import new_path
     L, D = _loaders()
     t = Tables(spark, sf_dir)
-    target = L.json_rows(D.application_month_json(t, until=D.FEED_CUTOFF))
-    docs = D.application_month_json(t, since=D.FEED_CUTOFF - dt.timedelta(days=_OVERLAP))
+    docs, path = D.application_month_json(t, since=D.FEED_CUTOFF - dt.timedelta(days=_OVERLAP)), new_path(spark, "payloads")
+    docs.write.parquet(path)
+    return L, L.json_rows(D.application_month_json(t, until=D.FEED_CUTOFF)), spark.read.schema(docs.schema).parquet(path)
+
+
+@register("replace_slice", O.replace_slice_sql(O.D.FEED_CUTOFF, _OVERLAP))
+def q_replace_slice(spark, sf_dir):
+    L, target, docs = _slice_inputs(spark, sf_dir)
     return L.replace_slice(target, L.json_rows(docs), ["date", "lender_id"])
 
 
 @register("replace_slice_first", O.replace_slice_sql(O.D.FEED_CUTOFF, _OVERLAP, first_only=True))
 def q_replace_slice_first(spark, sf_dir):
     """Only the slice that each payload's first element names is replaced."""
-    import datetime as dt
-    L, D = _loaders()
-    t = Tables(spark, sf_dir)
-    target = L.json_rows(D.application_month_json(t, until=D.FEED_CUTOFF))
-    docs = D.application_month_json(t, since=D.FEED_CUTOFF - dt.timedelta(days=_OVERLAP))
+    L, target, docs = _slice_inputs(spark, sf_dir)
     return L.replace_slice(target, L.json_rows(docs), ["date", "lender_id"], named=L.json_header(docs))
 
 

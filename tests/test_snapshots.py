@@ -156,3 +156,17 @@ def test_month_filters_prune_parts(spark):
     t = _table(spark, BASE)
     plan = t.read().filter("year_month = '1999-02'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year_month" in plan and plan.count("FileScan") == 1
+
+
+def test_a_stream_upserts_once_a_batch(spark):
+    from ledgerlens.streaming.feeds import feed_stream, last_batch, upsert_stream_into
+    t, root = _table(spark, BASE), new_path(spark, "feed")
+    stage = lambda df: df.select("id", "v", "year_month")
+    for k in range(2):
+        _rows(spark, [(4, 100 + k, "1999-01"), (2000 + k, 1, "1999-05")]).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    for _ in range(2):                  # the second run finds nothing new
+        upsert_stream_into(feed_stream(spark, f"{root}/in", SCHEMA, max_files_per_trigger=1), stage, t, ["v"], f"{root}/checkpoint", "feed").awaitTermination()
+    assert last_batch(t, "feed") == 1 and t.versions() == [0, 1, 2] and t.rows_total() == 402
+    # a batch that has been committed is not run again, even if the stream forgets it
+    upsert_stream_into(feed_stream(spark, f"{root}/in", SCHEMA, max_files_per_trigger=1), stage, t, ["v"], f"{root}/other", "feed").awaitTermination()
+    assert t.versions() == [0, 1, 2]
