@@ -17,7 +17,7 @@ token. All texts of a block are walked side by side. Longer ones are cut every S
 starts in the state to which the order - 1 tokens before it lead, as no state knows more than these.
 
 The automaton grows with the corpus and is never in one place. Texts are taken in *blocks*
-(4 MB); a block asks for the counts of the distinct n-grams it holds, which
+(2 MB); a block asks for the counts of the distinct n-grams it holds, which
 is the part of the automaton that its texts can reach:
 
 1. Each block is written: document ids, distinct words, word numbers.
@@ -48,7 +48,7 @@ from . import textbytes as tb
 from .common import read_table, written
 
 ORDER = 3
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Text bytes a partition of the hash space stands for.
 PARTITION_BYTES = 8 << 20
 FOLDS, HELD_FOLD = 5, 1
@@ -331,8 +331,8 @@ class Automaton:
             targets.append(state_of[k][seen] if k < order else state_of[k - 1][suffix])
             weight = own
         key = np.concatenate(keys)
-        by = np.argsort(key, kind="stable")
-        self.keys, self.weight, self.target = key[by], np.concatenate(weights)[by], np.concatenate(targets)[by]
+        by = np.argsort(key, kind="stable").astype(np.int32)
+        self.keys, self.weight, self.target = key[by], np.concatenate(weights)[by], np.concatenate(targets).astype(np.int32)[by]
 
     def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(next state, log10 probability) of reading a word in each state."""
