@@ -4,12 +4,14 @@ Documents are taken a shard (slice of 2 MB of text) at a time. A shard's
 suffix array covers every stretch of words that all occur in the benchmark; a
 suffix that starts anywhere else cannot match. Every benchmark suffix that
 holds a whole window is binary-searched in it; the range found gives all
-verbatim occurrences, each extended to its longest match. No shuffle: a
-document is judged where it is read.
+verbatim occurrences. Each is then looked up among the block's suffixes that start with its
+window, in their own suffix order: the longest match is with one of its two
+neighbours there. Common prefixes are measured by names of stretches of 1, 2, 4, ... words, so neither a passage
+that many items and documents share nor a long match costs more than its occurrences, but
+for logarithms. No shuffle: a document is judged where it is read.
 
-The benchmark is the query set. It is taken in blocks of at most BLOCK_BYTES
-of text; each block is broadcast by itself and is one stage over the documents,
-so neither the driver nor a task ever holds more than a block.
+The benchmark is the query set. It is taken in blocks of about BLOCK_BYTES of text (items that repeat as a
+whole count once), collected one at a time and broadcast; a worker searches them one after the other.
 
 Words: A-Z lower-cased, ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``. A window is
 ``window`` consecutive words of an item; an item of fewer words, but not none,
@@ -32,7 +34,7 @@ from . import textbytes as tb
 from .common import read_table
 
 WINDOW = 10
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 
 
 class Block:
@@ -53,23 +55,47 @@ class Block:
         self.window, self.least = window, int(span[span > 0].min()) if (span > 0).any() else 0
         at = tb.ragged(first[:-1], count)
         item = np.repeat(np.arange(len(items)), count)
-        room = first[1:][item] - at  # words from here to the item's end
         size = span[item]
-        self.seq = np.concatenate((seq, np.full(window, -2)))
-        self.opens = np.zeros(len(self.seq) + 1, bool)  # first words of items
-        self.opens[first] = True
-        rows = self.seq[at[:, None] + np.arange(window)]
+        rows = np.concatenate((seq, np.full(window, -2)))[at[:, None] + np.arange(window)]
         rows[np.arange(window) >= size[:, None]] = -2
         self.rows, inverse = np.unique(rows, axis=0, return_inverse=True) if len(rows) else (rows, np.zeros(0, np.int64))
         inverse = inverse.reshape(-1)
         self.size = (self.rows != -2).sum(axis=1)
-        # suffixes and items of each distinct window
-        order = np.argsort(inverse, kind="stable")
+        # names of all stretches of 1, 2, 4, ... words: equal names, equal words; -1 across an item's end
+        n, item_of = len(seq), np.repeat(np.arange(len(items)), length)
+        self.place = np.arange(n) + item_of                 # with a separator behind each item
+        flat = np.full(n + len(items) + 1, -1, np.int64)
+        flat[self.place] = seq
+        self.names_at, self.keys, h = [flat.astype(np.int32)], [], 1
+        while 2 * h <= int(length.max(initial=0)):
+            key = _pairs(self.names_at[-1], h)
+            self.keys.append(np.unique(key[key >= 0]))
+            self.names_at.append(_name(self.keys[-1], key))
+            h *= 2
+        # suffixes and items of each distinct window, the suffixes in their own order
+        rank = np.empty(len(flat), np.int64)
+        rank[suffix_array(flat, int(length.max(initial=0)) + 1)] = np.arange(len(flat))
+        order = np.lexsort((rank[self.place[at]], inverse)) if len(at) else np.zeros(0, np.int64)
         self.suffix_at = np.searchsorted(inverse[order], np.arange(len(self.rows) + 1))
-        self.suffix, self.room = at[order], room[order]
+        self.suffix = self.place[at[order]]
         self.item = np.array([place.get(items[k][0], -1) for k in item[order].tolist()], np.int64)
 
 
+def _pairs(names: np.ndarray, h: int) -> np.ndarray:
+    """Key of the names at each place and ``h`` places on; -1 where either is missing."""
+    a, b = names.astype(np.int64), np.full(len(names), -1, np.int64)
+    b[:max(len(names) - h, 0)] = names[h:]
+    return np.where((a >= 0) & (b >= 0), a << 32 | np.maximum(b, 0), -1)
+
+
+def _name(keys: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Place of each key among ``keys``, -1 if absent."""
+    if not len(keys):
+        return np.full(len(key), -1, np.int32)
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    return np.where((key >= 0) & (keys[at] == key), at, -1).astype(np.int32)
+
+
 def suffix_array(s: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of ``s`` in order of their first ``depth`` symbols at least
     (prefix doubling)."""
@@ -115,14 +141,44 @@ def _bounds(s: np.ndarray, sa: np.ndarray, rows: np.ndarray, size: np.ndarray) -
     return lo, hi
 
 
-def search(block: Block, data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
+def _common(block: Block, text: list[np.ndarray], p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Words that the shard from place ``p`` and the block from place ``q`` have in common."""
+    n = np.zeros(len(p), np.int64)
+    for k in range(len(text) - 1, -1, -1):
+        a = text[k][np.minimum(p + n, len(text[k]) - 1)]
+        n += (1 << k) * ((a >= 0) & (a == block.names_at[k][np.minimum(q + n, len(block.names_at[k]) - 1)]))
+    return n
+
+
+def longest(block: Block, s: np.ndarray, p: np.ndarray, win: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, suffix) of a longest match of each occurrence ``p`` of a window ``win`` in the shard ``s``."""
+    text = [s.astype(np.int32)]
+    for k, keys in enumerate(block.keys):
+        text.append(_name(keys, _pairs(text[-1], 1 << k)))
+    lo, hi = block.suffix_at[win].copy(), block.suffix_at[win + 1].copy()
+    least, most = lo.copy(), hi - 1
+    act = np.flatnonzero(lo < hi)
+    while len(act):                                # first suffix of the group that is not below the text
+        mid = (lo[act] + hi[act]) // 2
+        q = block.suffix[mid]
+        n = _common(block, text, p[act], q)
+        below = block.names_at[0][q + n] < s[np.minimum(p[act] + n, len(s) - 1)]
+        lo[act] = np.where(below, mid + 1, lo[act])
+        hi[act] = np.where(below, hi[act], mid)
+        act = act[lo[act] < hi[act]]
+    one, two = np.maximum(lo - 1, least), np.minimum(lo, most)
+    a, b = _common(block, text, p, block.suffix[one]), _common(block, text, p, block.suffix[two])
+    return np.maximum(a, b), np.where(a > b, one, two)
+
+
+def search(block: Block, data: np.ndarray, offs: np.ndarray, hits_only: bool = False) -> dict[str, np.ndarray]:
     """One shard against one block. ``words``: words before each text;
-    ``hit``: the words inside of an occurrence; ``doc``, ``item``: distinct
-    pairs; ``long_doc``, ``long_n``, ``long_at``, ``long_item``: a longest match of each text
-    that has one (the earliest place, then the lowest name)."""
+    ``hit``: the words inside of an occurrence; ``set_doc``, ``set_of``: the texts that hold windows, and
+    which of ``sets`` (arrays of items) each has; ``long_doc``, ``long_n``, ``long_at``, ``long_item``: a
+    longest match of each text that has one (at its earliest place). ``hits_only``: the first two."""
     words, first = tb.word_hashes(data, offs, tb.ALNUM)
     none = np.zeros(0, np.int64)
-    out = {"words": first, "hit": np.zeros(len(words), bool), "doc": none, "item": none,
+    out = {"words": first, "hit": np.zeros(len(words), bool), "set_doc": none, "set_of": none, "sets": [],
            "long_doc": none, "long_n": none, "long_at": none, "long_item": none}
     if not block.least or not len(words):
         return out
@@ -159,38 +215,35 @@ def search(block: Block, data: np.ndarray, offs: np.ndarray) -> dict[str, np.nda
     np.add.at(cover, pos + block.size[win], -1)
     covered = np.cumsum(cover)[:len(place)] > 0
     out["hit"][place[covered]] = True
-    # documents of each window, then items
+    if hits_only:
+        return out
+    # the windows of each document; documents with the same windows have the same items
     doc = np.searchsorted(first, place[pos], "right") - 1
-    pairs = np.unique(np.stack((win, doc), axis=1), axis=0)
-    many = block.suffix_at[pairs[:, 0] + 1] - block.suffix_at[pairs[:, 0]]
-    item = block.item[tb.ragged(block.suffix_at[pairs[:, 0]], many)]
-    both = np.unique(np.stack((np.repeat(pairs[:, 1], many), item), axis=1)[item >= 0], axis=0)
-    out["doc"], out["item"] = both[:, 0], both[:, 1]
-    # longest match: extend each occurrence that does not already go on to its left
-    many = block.suffix_at[win + 1] - block.suffix_at[win]
-    suf = tb.ragged(block.suffix_at[win], many)
-    p, q, d = np.repeat(pos, many), block.suffix[suf], np.repeat(doc, many)
-    use = block.opens[q] | (p == 0) | (s[p - 1] != block.seq[q - 1])
-    suf, p, q, d = suf[use], p[use], q[use], d[use]
-    room = block.room[suf]
-    n = np.zeros(len(p), np.int64)
-    live = np.arange(len(p))
-    while len(live):
-        ok = (n[live] < room[live]) & (s[np.minimum(p[live] + n[live], len(s) - 1)] == block.seq[q[live] + np.minimum(n[live], room[live])])
-        live = live[ok]
-        n[live] += 1
-    name = np.where(block.item[suf] < 0, np.iinfo(np.int64).max, block.item[suf])
-    at = place[p] - first[d]
-    order = np.lexsort((name, at, -n, d))
-    best = order[np.concatenate(([True], d[order][1:] != d[order][:-1]))] if len(order) else order
-    out["long_doc"], out["long_n"], out["long_at"], out["long_item"] = d[best], n[best], at[best], block.item[suf][best]
+    pairs = np.unique(np.stack((doc, win), axis=1), axis=0)
+    cut = np.flatnonzero(np.concatenate(([True], pairs[1:, 0] != pairs[:-1, 0])))
+    known: dict[bytes, int] = {}
+    of = []
+    for own in np.split(pairs[:, 1], cut[1:]):
+        key = own.tobytes()
+        if key not in known:
+            known[key] = len(known)
+            items = block.item[tb.ragged(block.suffix_at[own], block.suffix_at[own + 1] - block.suffix_at[own])]
+            out["sets"].append(np.unique(items[items >= 0]))
+        of.append(known[key])
+    out["set_doc"], out["set_of"] = pairs[cut, 0], np.array(of)
+    n, suf = longest(block, s, pos, win)
+    at = place[pos] - first[doc]
+    order = np.lexsort((at, -n, doc))
+    best = order[np.concatenate(([True], doc[order][1:] != doc[order][:-1]))]
+    out["long_doc"], out["long_n"], out["long_at"], out["long_item"] = doc[best], n[best], at[best], block.item[suf][best]
     return out
 
 
 def blocks(benchmark: DataFrame, window: int = WINDOW, limit: int = BLOCK_BYTES, id_col: str = "item_id", text_col: str = "text") -> list:
-    """The benchmark as broadcast blocks, one collected at a time."""
+    """The benchmark as broadcast blocks, one collected at a time. Rows that repeat count once,
+    so they cannot fill a block."""
     spark = benchmark.sparkSession
-    rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
+    rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).distinct()
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-total // limit)
     rows = rows.withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(max(n, 1))))
@@ -212,15 +265,17 @@ def judge(docs: DataFrame, parts: list, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             for a, b, data, offs in tb.slices(batch, "text"):
                 n = b - a
-                hit, names = None, [set() for _ in range(n)]
+                hit, held = None, [()] * n                      # of each text: (block, item set)
+                found: list[list[np.ndarray]] = []
                 long = [(0, None, None)] * n
                 first = None
-                for part in parts:
+                for b_at, part in enumerate(parts):
                     block = part.value
                     r = search(block, data, offs)
+                    found.append(r["sets"])
                     first, hit = r["words"], r["hit"] if hit is None else hit | r["hit"]
-                    for d, i in zip(r["doc"].tolist(), r["item"].tolist()):
-                        names[d].add(block.names[i])
+                    for d, i in zip(r["set_doc"].tolist(), r["set_of"].tolist()):
+                        held[d] += ((b_at, i),)
                     for d, m, at, i in zip(*(r[k].tolist() for k in ("long_doc", "long_n", "long_at", "long_item"))):
                         mine = (m, at, block.names[i] if i >= 0 else None)
                         if (-mine[0], mine[1], mine[2] or "") < (-long[d][0], long[d][1] or 0, long[d][2] or ""):
@@ -230,11 +285,14 @@ def judge(docs: DataFrame, parts: list, id_col: str = "doc_id", text_col: str =
                     hit = np.zeros(int(first[-1]), bool)
                 before = np.concatenate(([0], np.cumsum(hit)))
                 n_hit = np.diff(before[first])
-                sha = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in names]
+                listed = {}                                     # items of texts with the same sets are hashed once
+                for key in set(held):
+                    names = sorted({parts[k].value.names[x] for k, i in key for x in found[k][i].tolist()})
+                    listed[key] = len(names), hashlib.sha256(",".join(names).encode()).hexdigest()
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column(0).slice(a, n), "n_words": pa.array(np.diff(first), pa.int64()),
-                    "n_hit": pa.array(n_hit, pa.int64()), "n_items": pa.array(map(len, names), pa.int64()),
-                    "items_sha256": pa.array(sha, pa.string()), "contaminated": pa.array(n_hit > 0),
+                    "n_hit": pa.array(n_hit, pa.int64()), "n_items": pa.array([listed[k][0] for k in held], pa.int64()),
+                    "items_sha256": pa.array([listed[k][1] for k in held], pa.string()), "contaminated": pa.array(n_hit > 0),
                     "longest": pa.array([x[0] for x in long], pa.int64()), "longest_at": pa.array([x[1] for x in long], pa.int64()),
                     "longest_item": pa.array([x[2] for x in long], pa.string())})
 
@@ -251,7 +309,7 @@ def remove_contaminated(docs: DataFrame, parts: list, text_col: str = "text") ->
             for a, b, data, offs in tb.slices(batch, text_col):
                 keep = np.ones(b - a, bool)
                 for part in parts:
-                    r = search(part.value, data, offs)
+                    r = search(part.value, data, offs, hits_only=True)
                     keep &= np.diff(np.concatenate(([0], np.cumsum(r["hit"])))[r["words"]]) == 0
                 yield batch.slice(a, b - a).filter(pa.array(keep))
 

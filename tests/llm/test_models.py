@@ -365,6 +365,60 @@ def test_op6_matches_its_sql_and_empty_tables(spark, sf_small):
     assert sd.judge(edge.empty(spark), bench).count() == 0
 
 
+def test_op6_longest_match_of_every_occurrence():
+    r = random.Random(12)
+    import pyarrow as pa
+    for trial in range(40):
+        word = lambda: r.choice(["a", "b", "c", "dd"][:r.choice([2, 4])])  # noqa: E731,B023
+        items = [(str(k), " ".join(word() for _ in range(r.choice([2, 3, 5, 9, 30])))) for k in range(r.randint(1, 12))]
+        texts = [" ".join(word() for _ in range(r.randint(0, 30))) for _ in range(6)] + [items[0][1] + " zz " + items[-1][1]]
+        block = sd.Block(items, 3)
+        got = sd.search(block, *lm.tb.spans(pa.array(texts)))
+        found = dict(zip(got["long_doc"].tolist(), zip(got["long_n"].tolist(), got["long_at"].tolist())))
+        for d, t in enumerate(texts):
+            w, best = t.split(), (0, 0)
+            for _, i in items:
+                q = i.split()
+                for a in range(len(w)):
+                    for b in range(len(q)):
+                        n = 0
+                        while a + n < len(w) and b + n < len(q) and w[a + n] == q[b + n]:
+                            n += 1
+                        if n >= min(3, len(q)) and (-n, a) < (-best[0], best[1]):
+                            best = (n, a)
+            assert found.get(d, (0, 0)) == best, (trial, d)
+
+
+def test_op6_a_passage_common_to_many_items_is_linear():
+    """Work, counted in numpy elements that are compared, doubles with the occurrences."""
+    import pyarrow as pa
+    passage = " ".join(f"p{i}" for i in range(12))
+    work = []
+    for n in (200, 400, 800):
+        block = sd.Block([(str(k), f"q{k} x{k} {passage} y{k}") for k in range(n)], 10)
+        counted = [0]
+
+        def common(b, text, p, q, counted=counted, real=sd._common):
+            counted[0] += len(p)
+            return real(b, text, p, q)
+        old, sd._common = sd._common, common
+        try:
+            got = sd.search(block, *lm.tb.spans(pa.array([f"{passage} z{k}" for k in range(n)])))
+        finally:
+            sd._common = old
+        assert len(got["sets"]) == 1 and len(got["sets"][0]) == n and len(got["set_doc"]) == n and (got["long_n"] == 12).all()
+        work.append(counted[0])
+    assert work[1] < 2.5 * work[0] and work[2] < 2.5 * work[1]
+
+
+def test_op6_words_with_structured_bytes(spark):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs, items = [(1, f"x {word} y"), (2, f"x {other} y")], [(7, f"{word} y")]
+    got = sd.judge(edge.documents(spark, docs), sd.blocks(spark.createDataFrame(items, "item_id long, text string"))).collect()
+    assert sorted(str(tuple(r)[:7]) for r in got) == plain_leaks(docs, items)
+
+
 def test_suffix_array_is_sorted():
     r = np.random.default_rng(0)
     for n, high in ((1, 2), (50, 2), (400, 3), (300, 1000)):
