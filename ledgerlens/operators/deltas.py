@@ -1,13 +1,14 @@
-"""Monthly application sums kept up to date from an upsert's changes.
+"""Monthly sums kept up to date from an upsert's changes.
 
 A changed row counts twice: its new values come in, its old ones go out, each in its own
 month. ``apply`` adds these signed sums to the stored ones and rewrites the months that
-they name; a code whose rows have all left a month leaves it. The report-ready summary
+they name; a group whose rows have all left a month leaves it. A report-ready summary
 joins the stored sums to the accounts.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import DataFrame
@@ -16,55 +17,84 @@ from pyspark.sql import functions as F
 from ledgerlens.operators.summaries import SUMMARY_ACCOUNT_COLS
 from ledgerlens.sources.snapshots import MONTH, SnapshotTable, of_months
 
-KEYS = ["facility_code", MONTH]
-#: Stored sums: of a row's values, and of how many rows have one (a sum of none is null).
-VALUES = {"accept": "accept", "accept_val": "accept_val", "decline": "decline", "decline_val": "decline_val",
-          "pending": "pending", "pending_val": "pending_val"}
-SUMS = ["rows", *VALUES, *(f"{v}_n" for v in VALUES)]
 
+@dataclasses.dataclass(frozen=True)
+class Sums:
+    """What is summed: ``values`` by ``keys`` and month. Stored are the rows of a group, of each
+    value its sum, and how many rows have one (the sum of none is null)."""
+    keys: tuple[str, ...]
+    values: tuple[str, ...]
 
-def _signed(rows: DataFrame, sign: int) -> DataFrame:
-    value = lambda c: (F.coalesce(F.col(c), F.lit(0)) * sign).cast("decimal(28,2)").alias(c)
-    return rows.select(*KEYS, F.lit(sign).cast("long").alias("rows"), *(value(c) for c in VALUES),
-                       *(F.when(F.col(c).isNotNull(), sign).otherwise(0).cast("long").alias(f"{c}_n") for c in VALUES))
+    @property
+    def group(self) -> list[str]:
+        return [*self.keys, MONTH]
 
+    @property
+    def columns(self) -> list[str]:
+        return ["rows", *self.values, *(f"{v}_n" for v in self.values)]
 
-def _summed(rows: DataFrame) -> DataFrame:
-    cast = {c: "long" if c == "rows" or c.endswith("_n") else "decimal(28,2)" for c in SUMS}
-    return rows.groupBy(*KEYS).agg(*(F.sum(c).cast(cast[c]).alias(c) for c in SUMS))
+    def signed(self, rows: DataFrame, sign: int) -> DataFrame:
+        value = lambda c: (F.coalesce(F.col(c), F.lit(0)) * sign).cast("decimal(28,2)").alias(c)
+        return rows.select(*self.group, F.lit(sign).cast("long").alias("rows"), *(value(c) for c in self.values),
+                           *(F.when(F.col(c).isNotNull(), sign).otherwise(0).cast("long").alias(f"{c}_n") for c in self.values))
 
+    def summed(self, rows: DataFrame) -> DataFrame:
+        kind = lambda c: "long" if c == "rows" or c.endswith("_n") else "decimal(28,2)"
+        return rows.groupBy(*self.group).agg(*(F.sum(c).cast(kind(c)).alias(c) for c in self.columns))
 
-def sums(applications: DataFrame) -> DataFrame:
-    """Stored sums of whole applications: one row a code and month."""
-    return _summed(_signed(applications, 1))
+    def of(self, rows: DataFrame) -> DataFrame:
+        """Stored sums of whole rows."""
+        return self.summed(self.signed(rows, 1))
 
+    def delta(self, changes: DataFrame) -> DataFrame:
+        """Signed sums of an upsert's ``changes`` (see ``snapshots.Upsert``)."""
+        before = changes.filter("_op = 'updated'").select("_old.*")
+        return self.summed(self.signed(changes, 1).unionByName(self.signed(before, -1)))
 
-def delta(changes: DataFrame) -> DataFrame:
-    """Signed sums of an upsert's ``changes`` (see ``snapshots.Upsert``)."""
-    before = changes.filter("_op = 'updated'").select("_old.*")
-    return _summed(_signed(changes, 1).unionByName(_signed(before, -1)))
+    def apply(self, stored: SnapshotTable, changes: DataFrame, made_by: dict | None = None) -> int:
+        """Bring the stored sums up to date; returns the rows of the months written anew. Only
+        those months are read. A delta's size follows the batch, not the table."""
+        d, v = self.delta(changes), stored.version()
+        months = d.select(MONTH).distinct()
+        mine = stored.read(v, of_months(stored.parts(v), months)).select(*self.group, *self.columns)
+        return stored.replace_months(self.summed(mine.unionByName(d)).filter("rows > 0"), made_by or {"by": "delta"}, months=months)
 
 
-def apply(stored: SnapshotTable, changes: DataFrame, made_by: dict | None = None) -> int:
-    """Bring the stored sums up to date; returns the rows of the months written anew. Only
-    those months are read. A delta's size follows the batch, not the table."""
-    d = delta(changes)
-    v = stored.version()
-    months = d.select(MONTH).distinct()
-    mine = stored.read(v, of_months(stored.parts(v), months))
-    fresh = _summed(mine.select(*KEYS, *SUMS).unionByName(d)).filter("rows > 0")
-    return stored.replace_months(fresh, made_by or {"by": "delta"}, months=months)
+APPLICATIONS = Sums(("facility_code",), ("accept", "accept_val", "decline", "decline_val", "pending", "pending_val"))
+PAIDS = Sums(("facility_code", "product_code"), ("advance",))
 
 
-def summary(account: DataFrame, stored: DataFrame, as_of: dt.date) -> DataFrame:
+def _reported(stored: DataFrame, account: DataFrame, s: Sums, more: tuple[str, ...] = ()) -> DataFrame:
+    """Stored sums by account columns; a sum of no value is null."""
+    whole = [F.when(F.col(f"{c}_n") > 0, F.col(c)).alias(c) for c in s.values]
+    rows = stored.select(*s.group, *more, *whole, *(f"{c}_n" for c in s.values))
+    return (rows.join(account.select("facility_code", *SUMMARY_ACCOUNT_COLS), "facility_code")
+            .groupBy(*s.keys, *more, *SUMMARY_ACCOUNT_COLS, MONTH).agg(*(F.sum(c).alias(c) for c in s.columns[1:])))
+
+
+def _total(c: str, name: str):
+    return F.col(c).cast("decimal(18,2)").alias(name)
+
+
+def _count(c: str, name: str):
+    return F.col(c).cast("bigint").alias(name)
+
+
+def _made(as_of: dt.date):
+    return F.lit(dt.datetime.combine(as_of, dt.time())).cast("timestamp_ntz").alias("last_updated")
+
+
+def application_summary(account: DataFrame, stored: DataFrame, as_of: dt.date) -> DataFrame:
     """The application summary of all stored months."""
-    whole = lambda c: F.when(F.col(f"{c}_n") > 0, F.col(c))
-    a = stored.select(*KEYS, whole("accept").alias("accept"), *[c for c in SUMS if c not in ("rows", "accept")])
-    g = (a.join(account.select("facility_code", *SUMMARY_ACCOUNT_COLS), "facility_code")
-          .groupBy("facility_code", *SUMMARY_ACCOUNT_COLS, MONTH).agg(*(F.sum(c).alias(c) for c in ("accept", *[c for c in SUMS if c not in ("rows", "accept")]))))
-    total = lambda c, n: F.col(c).cast("decimal(18,2)").alias(n)
-    count = lambda c, n: F.col(c).cast("bigint").alias(n)
-    return g.select(*SUMMARY_ACCOUNT_COLS, "facility_code", count("accept", "accept_count"), total("accept_val", "accept_total"),
-                    count("decline_n", "decline_count"), total("decline_val", "decline_total"),
-                    count("pending_n", "pending_count"), total("pending_val", "pending_total"), MONTH,
-                    F.lit(dt.datetime.combine(as_of, dt.time())).cast("timestamp_ntz").alias("last_updated"))
+    zero = lambda c, name: F.coalesce(F.col(c), F.lit(0)).cast("decimal(18,2)").alias(name)
+    return _reported(stored, account, APPLICATIONS).select(
+        *SUMMARY_ACCOUNT_COLS, "facility_code", _count("accept", "accept_count"), zero("accept_val", "accept_total"),
+        _count("decline_n", "decline_count"), zero("decline_val", "decline_total"), _count("pending_n", "pending_count"),
+        zero("pending_val", "pending_total"), MONTH, _made(as_of))
+
+
+def paid_summary(account: DataFrame, stored: DataFrame, lender_product_code: DataFrame, as_of: dt.date) -> DataFrame:
+    """The paid summary of all stored months."""
+    rows = _reported(stored.join(lender_product_code, "product_code"), account, PAIDS, ("funding_option_uc",))
+    return rows.select(*SUMMARY_ACCOUNT_COLS, "facility_code", "product_code", "funding_option_uc", _count("advance_n", "advance_count"),
+                       _total("advance", "advance_total"), MONTH, _made(as_of))

@@ -167,20 +167,34 @@ def q_summary_sink_append(spark, sf_dir):
 # summaries kept by deltas
 # --------------------------------------------------------------------------
 
+def _kept_by_deltas(spark, pair, sf_dir, sums, change_cols, name):
+    """Stored sums after three batches of a feed, kept by the batches' deltas alone."""
+    from pyspark.sql import functions as F
+    _, target, staged = pair(spark, sf_dir)
+    table = _loaded(spark, target, name)
+    stored = _loaded(spark, sums.of(table.read()), f"{name}_sums", None)
+    for k in range(3):
+        batch = staged.filter(F.pmod(F.col("id"), F.lit(3)) == k)     # the three together are the feed
+        sums.apply(stored, table.upsert(batch, change_cols).changes)
+    return stored.read()
+
+
 @register("summary_incremental", O.with_fixtures(O.application_summary_sql(None)))
 def q_summary_incremental(spark, sf_dir):
-    """The summary after three batches of the feed, kept by their deltas alone; equal to one
-    made anew of all applications."""
-    from pyspark.sql import functions as F
+    """Equal to the summary made anew of all applications."""
     from ledgerlens.operators import deltas
     from ledgerlens.operators.loaders import APPS_CHANGE_COLS
-    _, target, staged = apps_pair(spark, sf_dir)
-    table = _loaded(spark, target, "application_mth")
-    stored = _loaded(spark, deltas.sums(table.read()), "application_sums", None)
-    for k in range(3):
-        batch = staged.filter(F.pmod(F.col("id"), F.lit(3)) == k)     # the three together are the feed
-        deltas.apply(stored, table.upsert(batch, [*APPS_CHANGE_COLS, "year_month"]).changes)
-    return deltas.summary(D.account(Tables(spark, sf_dir)), stored.read(), O.AS_OF)
+    stored = _kept_by_deltas(spark, apps_pair, sf_dir, deltas.APPLICATIONS, [*APPS_CHANGE_COLS, "year_month"], "application_mth")
+    return deltas.application_summary(D.account(Tables(spark, sf_dir)), stored, O.AS_OF)
+
+
+@register("paid_summary_incremental", O.with_fixtures(O.paid_summary_sql(None), O.PAID_WITH_PRODUCT))
+def q_paid_summary_incremental(spark, sf_dir):
+    """Equal to the summary made anew of all paid deals."""
+    from ledgerlens.operators import deltas
+    from ledgerlens.operators.loaders import PAIDS_CHANGE_COLS
+    stored, t = _kept_by_deltas(spark, paids_pair, sf_dir, deltas.PAIDS, [*PAIDS_CHANGE_COLS, "year_month"], "paid_mth"), Tables(spark, sf_dir)
+    return deltas.paid_summary(D.account(t), stored, D.lender_product_code(t), O.AS_OF)
 
 
 # --------------------------------------------------------------------------

@@ -523,7 +523,7 @@ def application_summary_sql(month: str | None, as_of=AS_OF, source: str = "appli
     JOIN (SELECT facility_code, {PLACE} FROM account) USING (facility_code) GROUP BY ALL"""
 
 
-def paid_summary_sql(month: str, as_of=AS_OF) -> str:
+def paid_summary_sql(month: str | None, as_of=AS_OF) -> str:
     long = {"advance_count": "advance IS NOT NULL", "advance_total": "advance"}
     return f"""
     SELECT {PLACE}, facility_code, product_code, funding_option_uc, {_measure('advance_count', 'BIGINT')},

@@ -123,21 +123,21 @@ def test_deltas_equal_the_whole_recomputation(spark):
     table = SnapshotTable(spark, new_path(spark, "apps"), "id", 2)
     table.replace(spark.createDataFrame([row(i) for i in range(25)], APP))
     stored = SnapshotTable(spark, new_path(spark, "sums"), None, 2)
-    stored.replace(deltas.sums(table.read()))
-    rows = lambda df: sorted(map(str, map(tuple, df.select("facility_code", "year_month", *deltas.SUMS).collect())))
+    stored.replace(deltas.APPLICATIONS.of(table.read()))
+    rows = lambda df: sorted(map(str, map(tuple, df.select("facility_code", "year_month", *deltas.APPLICATIONS.columns).collect())))
     for k in range(3):
         batch = [row(i) for i in r.sample(range(32), 12)]
-        deltas.apply(stored, table.upsert(spark.createDataFrame(batch, APP), cols, null_safe=True).changes)
-        assert rows(stored.read()) == rows(deltas.sums(table.read()))
+        deltas.APPLICATIONS.apply(stored, table.upsert(spark.createDataFrame(batch, APP), cols, null_safe=True).changes)
+        assert rows(stored.read()) == rows(deltas.APPLICATIONS.of(table.read()))
 
 
 def test_a_moved_row_leaves_its_month(spark):
     table = SnapshotTable(spark, new_path(spark, "apps"), "id", 2)
     table.replace(spark.createDataFrame([(1, "c", 1, 10, 0, 0, 0, 0, "2024-01"), (2, "c", 1, 10, 0, 0, 0, 0, "2024-03")], APP))
     stored = SnapshotTable(spark, new_path(spark, "sums"), None, 2)
-    stored.replace(deltas.sums(table.read()))
+    stored.replace(deltas.APPLICATIONS.of(table.read()))
     before = {(p.year_month, p.batch) for p in stored.parts().collect()}
     done = table.upsert(spark.createDataFrame([(1, "c", 1, 10, 0, 0, 0, 0, "2024-02")], APP), ["year_month"])
-    assert deltas.apply(stored, done.changes) == 1
+    assert deltas.APPLICATIONS.apply(stored, done.changes) == 1
     after = {(p.year_month, p.batch) for p in stored.parts().collect()}
     assert {m for m, _ in after} == {"2024-02", "2024-03"} and {x for x in before if x[0] == "2024-03"} <= after
