@@ -2,35 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only a single-process ``local[...]`` session may leave it unset (tests);
-    it then gets a temporary folder of its own, removed at exit.
-    """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if "dir" not in _LOCAL:
-        _LOCAL["dir"] = tempfile.mkdtemp(prefix="llm-scratch-")
-        atexit.register(shutil.rmtree, _LOCAL["dir"], True)
-    return _LOCAL["dir"]
-
+from ledgerlens.session import shared_dir
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder."""
