@@ -15,6 +15,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.filters import not_cash
+
 ACCOUNT_KEYS = ["account_id", "facility_used_by_id", "facility_used_by_business_manager_initials",
                 "facility_used_by_report_group_id", "facility_used_by_report_group",
                 "facility_used_by_legal_name", "facility_used_by_trading_style",
@@ -108,7 +110,7 @@ def ecof_facts(account: DataFrame, vw_ecof_all: DataFrame, account_ecof: DataFra
     ``selected_funding_option <> 'cash'`` drops NULL options too (SQL
     three-valued logic), as in the reference.
     """
-    v = (vw_ecof_all.filter(F.col("selected_funding_option") != "cash")
+    v = (not_cash(vw_ecof_all)
          .groupBy("company_key", "selected_lender", "year", "month")
          .agg(F.count("doc_type").alias("n"), F.sum("selected_balance").alias("bal")))
     acc = account.select("account_id", "facility_used_by_report_group_id",
