@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import shared_dir
 
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder."""
     return os.path.join(shared_dir(spark), "llm", f"{name}-{uuid.uuid4().hex}")
