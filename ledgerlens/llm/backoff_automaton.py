@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import read_table, written
+from .common import finished, read_table, written
 
 ORDER = 3
 BLOCK_BYTES = 2 << 20
@@ -229,7 +229,9 @@ def _answered(asked: DataFrame, partitions: int) -> DataFrame:
                              "distinct": [None] * len(out) + [sums[1]], "once": [None] * len(out) + [sums[2]]}).astype(
             {"tokens": "Int64", "distinct": "Int64", "once": "Int64"})
 
-    return written(asked.repartition(partitions, "k", "part").groupBy("k", "part").applyInPandas(add_up, ASKED), "lm_answers")
+    out = written(asked.repartition(partitions, "k", "part").groupBy("k", "part").applyInPandas(add_up, ASKED), "lm_answers")
+    finished(asked.sparkSession)
+    return out
 
 
 def _sums(counts: np.ndarray) -> np.ndarray:
