@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import finished, read_table, written
+from .common import read_table, written
 
 ORDER = 3
 BLOCK_BYTES = 2 << 20
@@ -148,17 +148,26 @@ class Grams:
         no other block holds."""
         return alone[self.context[k - 1]] | alone[self.suffix[k - 1]]
 
-    def totals(self, k: int, raws: list[bytes], before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """(training totals of the k-grams, whether no other block holds them) from the answers, by
-        partition. ``before``: the latter of order k - 1, where what follows from it has not been asked."""
-        out = self.training(k).astype(np.int64)
-        alone = self.inferred(k, before) if before is not None else np.zeros(len(out), bool)
-        asked = np.flatnonzero(~alone)
-        by = asked[np.argsort(self.hash[k - 1][asked], kind="stable")]
+    def _asked(self, k: int, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """(the k-grams that follow from ``before``, the others in the order of their questions)"""
+        told = self.inferred(k, before) if before is not None else np.zeros(len(self.hash[k - 1]), bool)
+        asked = np.flatnonzero(~told)
+        return told, asked[np.argsort(self.hash[k - 1][asked], kind="stable")]
+
+    def alone(self, k: int, flags: list[bytes], before: np.ndarray | None) -> np.ndarray:
+        """The k-grams that no other block holds, from the answers' flags (their number, then bits), by partition;
+        ``before``: those of order k - 1, if what follows from them has not been asked."""
+        out, by = self._asked(k, before)
+        if len(by):
+            out[by] = np.concatenate([np.unpackbits(np.frombuffer(f[4:], np.uint8), count=int.from_bytes(f[:4], "little")) for f in flags])
+        return out
+
+    def totals(self, k: int, raws: list[bytes], before: np.ndarray | None) -> np.ndarray:
+        """Training totals of the k-grams from the answers, by partition; ``before``: as for ``alone``."""
+        out, by = self.training(k).astype(np.int64), self._asked(k, before)[1]
         if len(by):
-            told = np.concatenate([unpack(r, _U) for r in raws])
-            out[by], alone[by] = (told >> _U(1)).astype(np.int64), (told & _U(1)).astype(bool)
-        return out, alone
+            out[by] = np.concatenate([unpack(r, _U) for r in raws]).astype(np.int64)
+        return out
 
 
 def write_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -190,6 +199,7 @@ def write_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return written(rows.mapInArrow(run, "block long, raw binary"), "lm_blocks")
 
 
+ANSWERED = "block long, k int, part int, raw binary, flags binary, tokens long, distinct long, once long"
 ASKED = "block long, k int, part int, raw binary, tokens long, distinct long, once long"
 
 
@@ -206,32 +216,30 @@ def _ask(block: int, g: Grams, k: int, some: np.ndarray, partitions: int, last:
 
 
 def _answered(asked: DataFrame, partitions: int) -> DataFrame:
-    """Questions answered with twice the training total, plus one if all occurrences are the
+    """Questions answered: ``raw`` training totals, ``flags`` whether all occurrences are the
     asking block's own; rows of block -1 hold the sums of a partition."""
     def add_up(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         k, part = key
         told, rows = rows[rows.raw.isna()], rows[rows.raw.notna()]      # counted by a block itself
         sums = np.array([int(told[c].sum()) for c in ("tokens", "distinct", "once")])
-        out = []
+        out, flags = [], []
         if len(rows):
             asked = [_split(r) for r in rows.raw]
             keys = [np.cumsum(unpack(q[0], _U)) for q in asked]
             names, number = np.unique(np.concatenate(keys), return_inverse=True)
             total = np.bincount(number, np.concatenate([unpack(q[1], np.uint32) for q in asked]), len(names)).astype(np.int64)
-            alone = np.zeros(len(number), bool)
+            cuts = np.cumsum([len(x) for x in keys])[:-1]
+            out, flags = [pack(total[x].astype(np.uint64)) for x in np.split(number, cuts)], [None] * len(asked)
             if len(asked[0]) > 2:
                 held = np.concatenate([unpack(q[2], np.uint32) for q in asked])
                 alone = held == np.bincount(number, held, len(names))[number]
-            told_all = (total[number].astype(_U) << _U(1)) | alone.astype(_U)
-            out = [pack(x) for x in np.split(told_all, np.cumsum([len(x) for x in keys])[:-1])]
+                flags = [len(x).to_bytes(4, "little") + np.packbits(x).tobytes() for x in np.split(alone, cuts)]
             sums += _sums(total[names != START] if k == 1 else total)
-        return pd.DataFrame({"block": [*rows.block, -1], "k": k, "part": part, "raw": [*out, None], "tokens": [None] * len(out) + [sums[0]],
+        return pd.DataFrame({"block": [*rows.block, -1], "k": k, "part": part, "raw": [*out, None], "flags": [*flags, None], "tokens": [None] * len(out) + [sums[0]],
                              "distinct": [None] * len(out) + [sums[1]], "once": [None] * len(out) + [sums[2]]}).astype(
             {"tokens": "Int64", "distinct": "Int64", "once": "Int64"})
 
-    out = written(asked.repartition(partitions, "k", "part").groupBy("k", "part").applyInPandas(add_up, ASKED), "lm_answers")
-    finished(asked.sparkSession)
-    return out
+    return written(asked.repartition(partitions, "k", "part").groupBy("k", "part").applyInPandas(add_up, ANSWERED), "lm_answers")
 
 
 def _sums(counts: np.ndarray) -> np.ndarray:
@@ -239,29 +247,26 @@ def _sums(counts: np.ndarray) -> np.ndarray:
     return np.array([int(counts.sum()), int((counts > 0).sum()), int((counts == 1).sum())])
 
 
-def _gathered(blocks: DataFrame, got: DataFrame | None, partitions: int):
-    """Each block's raw row (k = 0) and its answers, grouped by block."""
-    rows = blocks.select("block", F.lit(0).alias("k"), F.lit(0).alias("part"), "raw")
-    if got is not None:
-        rows = rows.union(got.filter("block <> -1").select("block", "k", "part", "raw"))
+def _gathered(blocks: DataFrame, got: DataFrame, partitions: int, totals: bool):
+    """Each block's raw row (k = 0) and its answers, with or without the totals, grouped by block."""
+    none = F.lit(None).cast("binary")
+    rows = blocks.select("block", F.lit(0).alias("k"), F.lit(0).alias("part"), "raw", none.alias("flags")).union(
+        got.filter("block <> -1").select("block", "k", "part", F.col("raw") if totals else none, "flags"))
     return rows.repartition(partitions, "block").groupBy("block")
 
 
-def _totals(rows: pd.DataFrame, order: int, known: int) -> tuple[Grams, list[np.ndarray], np.ndarray]:
-    """A block's n-grams, the totals of orders 1 to ``known``, and which of the last order no other
-    block holds."""
-    g, totals, alone = Grams(rows.raw[rows.k == 0].iloc[0], order), [], None
-    for k in range(1, known + 1):
-        total, alone = g.totals(k, rows[rows.k == k].sort_values("part").raw.tolist(), alone if k > 2 else None)
-        totals.append(total)
-    return g, totals, alone
+def _opened(rows: pd.DataFrame, order: int) -> tuple[Grams, list[list[bytes]], list[list[bytes]]]:
+    """A block's n-grams, and by order its answers (totals, flags) by partition."""
+    by_order = [rows[rows.k == k].sort_values("part") for k in range(order + 1)]
+    return Grams(by_order[0].raw.iloc[0], order), [r["raw"].tolist() for r in by_order], [r["flags"].tolist() for r in by_order]
 
 
 def _further(k: int, partitions: int, last: bool):
     """Function of a block's group: its questions of order k, and the sums of what it need not ask."""
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        block = int(key[0])
-        g, _, alone = _totals(rows, k, k - 1)
+        block, (g, _, flags), alone = int(key[0]), _opened(rows, k), None
+        for j in range(2, k):
+            alone = g.alone(j, flags[j], alone)
         told = g.inferred(k, alone)
         out = _ask(block, g, k, np.flatnonzero(~told), partitions, last)
         out.append((block, k, block % partitions, None, *_sums(g.training(k)[told]).tolist()))
@@ -286,7 +291,7 @@ def answers(blocks: DataFrame, order: int, partitions: int) -> tuple[DataFrame,
 
     got = _answered(blocks.mapInArrow(first, ASKED), partitions)
     for k in range(3, order + 1):
-        got = got.union(_answered(_gathered(blocks, got, partitions).applyInPandas(_further(k, partitions, k == order), ASKED), partitions))
+        got = got.union(_answered(_gathered(blocks, got.filter("k > 1"), partitions, False).applyInPandas(_further(k, partitions, k == order), ASKED), partitions))
     sums = got.filter("block = -1").groupBy("k").agg(*(F.sum(c).alias(c) for c in ("tokens", "distinct", "once"))).collect()
     return got, {r.k: (r.tokens, r.distinct, r.once) for r in sums}
 
@@ -384,13 +389,17 @@ def score(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id", text_col:
     tokens = sums.get(1, (0, 0, 0))[0]
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        g, totals, _ = _totals(rows, order, order)
+        (g, raws, flags), totals, alone = _opened(rows, order), [], None
+        for k in range(1, order + 1):
+            totals.append(g.totals(k, raws[k], alone))
+            if 1 < k < order:
+                alone = g.alone(k, flags[k], alone)
         known, base, full = traverse(g, totals, sums)
         return pd.DataFrame({"doc_id": pd.array(np.where(g.known, g.ids, 0), "Int64").copy(), "held_out": g.held, "n_tokens": g.n - 1, "n_known": known,
                              "train_tokens": tokens, "base_score": base, "score": full}).assign(
             doc_id=lambda f: f.doc_id.mask(~g.known))
 
-    return _gathered(blocks, got, partitions).applyInPandas(
+    return _gathered(blocks, got, partitions, True).applyInPandas(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import uuid
 
@@ -27,14 +26,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def finished(spark: SparkSession) -> None:
-    """Let go of the shuffle files of plans that are written and referenced no more. Spark's
-    cleaner removes them once the driver's JVM has collected the plans, which may be long
-    after the next round has filled the disks."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
