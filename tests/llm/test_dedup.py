@@ -232,3 +232,31 @@ def test_op7_ties_at_the_cap_height_are_decoded_in_full():
     for v, f in zip(x, cf.decode_list(x)):
         whole = ((a @ v[:32])[:, None] + b @ v[32:]).ravel()
         assert set(f[f >= 0]) == set(np.flatnonzero(whole >= np.sort(whole)[-cf.LIST] - cf.TIE))
+
+
+def _at_the_threshold(n, seed):
+    """Pairs of whole-number vectors of 64 dimensions whose cosine is 49/50, each under a label of its own."""
+    r, h = np.random.default_rng(seed), np.ones((1, 1))
+    while len(h) < 64:
+        h = np.block([[h, h], [h, -h]])
+    out = []
+    for k in range(n):
+        x, at = np.zeros((2, 64)), r.permutation(64)[:4]
+        x[0, at[0]], x[1, at] = r.integers(1, 50), r.integers(1, 50) * np.array([49, 9, 3, 3])
+        out += [(2 * k + i, v.tolist(), k) for i, v in enumerate(x @ h)]
+    return out
+
+
+def test_op7_pairs_at_exactly_the_threshold_are_linked(spark):
+    rows = _at_the_threshold(40, 3)
+    got = cf.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted(tuple(r) for r in got) == [(i, 1, i - i % 2, i % 2 == 0) for i in range(80)]
+    x = np.array([v for _, v, _ in rows[:2]])
+    x[1, 0] -= 1e-9 * x[1, 0]
+    assert cf._linked(x, 0.98)[0, 1] == (x[0] @ x[1] / np.sqrt((x[0] @ x[0]) * (x[1] @ x[1])) >= 0.98)
+
+
+def test_op7_lengths_whose_squares_leave_the_doubles(spark):
+    rows = [(1, [1e-200, 0.0], 1), (2, [3e-200, 1e-203], 1), (3, [1e250, 0.0], 1), (4, [0.0, 1e250], 1)]
+    got = cf.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 0, 4, True)]
