@@ -7,13 +7,15 @@ rename, so a reader sees a version whole or not at all, keeps the one it opened,
 load that fails leaves the version before it in place::
 
     data/batch=<id>/year_month=<m>/bucket=<b>/*.parquet   rows
-    index/batch=<id>/                                     Bloom filter of each part's keys
+    index/<id>/parts/                                     rows of each part
+    index/<id>/filters/                                   Bloom filters of each part's keys, by stripe
     manifests/<id>/                                       year_month, bucket, batch, rows
     commits/<version>.json                                manifest, columns, what made it
 
 ``upsert`` asks the Bloom filters which parts may hold a batch's keys, reads those
-rows, and rewrites only the parts that a changed row leaves or enters. Filters are
-probed per bucket: a key meets the filters of its own bucket, one a month. What it
+rows, and rewrites only the parts that a changed row leaves or enters. A part's filter is
+cut into STRIPES by the key's hash: a key meets the stripes of its own number, one a month,
+so keys and filters are dealt out over all tasks however few buckets there are. What it
 writes follows the batch and the parts it touches, not the table.
 
 Row counts come from observations on the writes; months and sizes from the manifest. Both
@@ -37,6 +39,8 @@ from ledgerlens.operators.loaders import changed, one_per_key
 MONTH, BUCKET, BATCH = "year_month", "bucket", "batch"
 #: Bloom filter: bits a key and hashes a key (about one false hit in 200).
 BITS, HASHES = 12, 5
+#: Stripes of a part's filter, each of the same number of words.
+STRIPES = 1024
 PARTS = f"{MONTH} string, {BUCKET} int, {BATCH} string, rows long"
 
 
@@ -198,26 +202,35 @@ class SnapshotTable:
         return batch, n
 
     def _write_index(self, batch: str, schema: StructType) -> None:
-        """Rows of each part of a batch, and the Bloom filter of its keys as an array of
-        64-bit words. Reads the key column of what was written, no other."""
+        """Rows of each part of a batch, and the Bloom filters of its keys, a stripe's as an array
+        of 64-bit words. Reads the key column of what was written, no other."""
         known = StructType([f for f in schema if f.name in (MONTH, self.key)]).add(BUCKET, "integer")
         rows = self.spark.read.schema(known).parquet(self._at("data", f"{BATCH}={batch}")).select(
             MONTH, month_key().alias("_m"), BUCKET, (F.col(self.key) if self.key else F.lit(None)).alias("_key"))
-        parts = rows.groupBy(MONTH, "_m", BUCKET).agg(F.count(F.lit(1)).alias("rows")).withColumn("n", F.ceil(F.col("rows") * BITS / 64).cast("int"))
+        rows.groupBy(MONTH, BUCKET).agg(F.count(F.lit(1)).alias("rows")).write.parquet(self._at("index", batch, "parts"))
         if self.key is None:
-            words = parts.select("_m", BUCKET, F.array().cast("array<bigint>").alias("words"))
-        else:
-            sized = rows.join(parts.select("_m", BUCKET, "n"), ["_m", BUCKET])
-            at = sized.select("_m", BUCKET, F.explode(F.array(*self._places(F.col("_key"), F.col("n")))).alias("at"))
-            bits = at.select("_m", BUCKET, F.expr("cast(at div 64 as int)").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bits"))
-            zero = parts.select("_m", BUCKET, F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("word"), F.lit(0).cast("long").alias("bits"))
-            words = (bits.unionByName(zero).groupBy("_m", BUCKET, "word").agg(F.bit_or("bits").alias("bits"))
-                     .groupBy("_m", BUCKET).agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x.bits).alias("words")))
-        parts.join(words, ["_m", BUCKET]).select(MONTH, BUCKET, "rows", "words").write.parquet(self._at("index", batch))
+            return
+        sizes = self._index_parts(batch).select(month_key().alias("_m"), BUCKET, F.ceil(F.col("rows") * BITS / (64 * STRIPES)).cast("int").alias("n"))
+        sized = rows.filter("_key is not null").join(sizes, ["_m", BUCKET]).withColumn("stripe", self._stripe(F.col("_key")))
+        at = sized.select("_m", BUCKET, "stripe", F.explode(F.array(*self._places(F.col("_key"), F.col("n")))).alias("at"))
+        bits = at.select("_m", BUCKET, "stripe", F.expr("cast(at div 64 as int)").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bits"))
+        every = sizes.filter("n > 1").select("_m", BUCKET, "n", F.explode(F.sequence(F.lit(0), F.lit(STRIPES - 1))).alias("stripe"))
+        zero = every.select("_m", BUCKET, "stripe", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("word"), F.lit(0).cast("long").alias("bits"))
+        words = (bits.unionByName(zero).groupBy("_m", BUCKET, "stripe", "word").agg(F.bit_or("bits").alias("bits"))
+                 .groupBy("_m", BUCKET, "stripe").agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x.bits).alias("words")))
+        words.write.parquet(self._at("index", batch, "filters"))
+
+    def _index_parts(self, batch: str) -> DataFrame:
+        """Rows of each part of a batch."""
+        return self.spark.read.schema(f"{MONTH} string, {BUCKET} int, rows long").parquet(self._at("index", batch, "parts"))
+
+    @staticmethod
+    def _stripe(key: Column) -> Column:
+        return F.pmod(F.xxhash64(key, F.lit(HASHES)), F.lit(STRIPES)).cast("int")
 
     @staticmethod
     def _places(key: Column, words: Column) -> list[Column]:
-        """Bits of a key in a filter of so many words."""
+        """Bits of a key in a stripe of so many words."""
         return [F.pmod(F.xxhash64(key, F.lit(i)), words.cast("long") * 64) for i in range(HASHES)]
 
     def _commit(self, before: Version | None, kept: DataFrame | None, batch: str | None, schema: StructType, made_by: dict) -> Version:
@@ -225,8 +238,7 @@ class SnapshotTable:
         name = uuid.uuid4().hex
         parts = kept if kept is not None else self.spark.createDataFrame([], PARTS)
         if batch is not None:
-            new = self.spark.read.schema(f"{MONTH} string, {BUCKET} int, rows long").parquet(self._at("index", batch))
-            parts = parts.select(MONTH, BUCKET, BATCH, "rows").unionByName(new.select(MONTH, BUCKET, F.lit(batch).alias(BATCH), "rows"))
+            parts = parts.select(MONTH, BUCKET, BATCH, "rows").unionByName(self._index_parts(batch).select(MONTH, BUCKET, F.lit(batch).alias(BATCH), "rows"))
         parts.write.parquet(self._at("manifests", name))
         number = before.number + 1 if before else 0
         body = {"manifest": name, "schema": schema.json(), "made_by": made_by}
@@ -263,7 +275,7 @@ class SnapshotTable:
         batch, n = self._write(rows, measures)
         kept = self.parts(v) if v else None
         if v and n:
-            kept = of_months(kept, self.spark.read.schema(f"{MONTH} string").parquet(self._at("index", batch)), "left_anti")
+            kept = of_months(kept, self._index_parts(batch), "left_anti")
         if v and months is not None:
             kept = of_months(kept, months, "left_anti")
         self._commit(v, kept, batch if n else None, rows.schema, made_by or {"by": "replace_months"})
@@ -292,14 +304,13 @@ class SnapshotTable:
         batches = [r[0] for r in live.select(BATCH).distinct().collect()]
         if not batches:
             return live
-        index = self.spark.read.schema(f"{MONTH} string, {BUCKET} int, words array<bigint>").parquet(*(self._at("index", b) for b in batches))
-        index = index.select(month_key().alias("_m"), BUCKET, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias(BATCH), "words")
+        index = self.spark.read.schema(f"_m string, {BUCKET} int, stripe int, words array<bigint>").parquet(*(self._at("index", b, "filters") for b in batches))
+        index = index.withColumn(BATCH, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3))
         index = live.withColumn("_m", month_key()).join(index, ["_m", BUCKET, BATCH])
-        asked = keys.select(F.col(self.key).alias("_k"), self._bucket([]).alias(BUCKET))
-        n = F.size("words")
+        asked = keys.select(F.col(self.key).alias("_k"), self._bucket([]).alias(BUCKET), self._stripe(F.col(self.key)).alias("stripe")).filter("_k is not null")
         hit = reduce(lambda a, b: a & b, (F.expr(f"shiftright(element_at(words, cast(at{i} div 64 + 1 as int)), cast(at{i} % 64 as int)) & 1L") == 1 for i in range(HASHES)))
-        pairs = index.join(asked, BUCKET)
-        for i, at in enumerate(self._places(F.col("_k"), n)):
+        pairs = asked.join(index, [BUCKET, "stripe"])       # a key's stripes, one a part, are the side that is held
+        for i, at in enumerate(self._places(F.col("_k"), F.size("words"))):
             pairs = pairs.withColumn(f"at{i}", at)
         return pairs.filter(hit).select(MONTH, BUCKET, BATCH, "rows").distinct()
 

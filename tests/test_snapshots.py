@@ -170,3 +170,17 @@ def test_a_stream_upserts_once_a_batch(spark):
     # a batch that has been committed is not run again, even if the stream forgets it
     upsert_stream_into(feed_stream(spark, f"{root}/in", SCHEMA, max_files_per_trigger=1), stage, t, ["v"], f"{root}/other", "feed").awaitTermination()
     assert t.versions() == [0, 1, 2]
+
+
+def test_a_filter_is_dealt_out_over_stripes(spark):
+    """However many keys a part has, a key meets one short array of it, and no task all keys."""
+    t = _table(spark, [(0, 0, "1999-01")], buckets=1)
+    rows = spark.range(1, 20000).select("id", F.lit(0).alias("v"), F.lit("1999-02").alias("year_month"))
+    t.append(rows.unionByName(_rows(spark, [(None, 0, "1999-03")])))
+    batch = t.parts().filter("year_month = '1999-02'").first().batch
+    words = spark.read.parquet(f"{t.root}/index/{batch}/filters").selectExpr("count(*) AS rows", "min(size(words)) AS low", "max(size(words)) AS high").first()
+    assert (words.rows, words.low, words.high) == (1024, 4, 4)
+    held = spark.range(1, 20000, 37).unionByName(spark.createDataFrame([(None,)], "id long"))
+    assert "1999-02" in {r.year_month for r in t.may_hold(held, t.version()).collect()}
+    assert t.may_hold(spark.createDataFrame([(None,)], "id long"), t.version()).count() == 0
+    assert t.rows_total() == 20001
