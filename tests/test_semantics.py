@@ -284,3 +284,22 @@ def test_month_windows_reach_the_scans(spark, sf_small):
             if "o_totalprice" in s and name in ("funnel_group_facilities",) and "GreaterThanOrEqual" not in s:
                 continue  # budgets are sums over whole years
             assert "LessThan(" in s and "GreaterThanOrEqual(" in s, (name, s[:300])
+
+
+def test_paid_facts_count_equal_accounts_once_each_without_a_second_grouping(spark):
+    """Equal account rows multiply a month's sums; deals are not grouped again by all account columns."""
+    from ledgerlens.operators import facts as X
+    D = Decimal
+    acc = [("A1", "U1", "BM", "G1", "r", "n", None, "x", "1"), ("A1", "U1", "BM", "G1", "r", "n", None, "x", "1"),
+           ("A1", "U2", "BM", "G1", "r", "n", "t", "x", "1"), ("A2", None, "BM", "G1", "r", "n", "t", "x", "2"), ("A3", "U3", "BM", "G1", "r", "n", "t", "x", None)]
+    account = spark.createDataFrame(acc, ", ".join(f"{c} string" for c in X.ACCOUNT_KEYS))
+    day = dt.datetime(1999, 2, 3)
+    deals = [("1", day, 1999, 2, D(5), D("0.50")), ("1", day, 1999, 2, None, D("0.25")), ("2", day, 1999, 3, None, None), (None, day, 1999, 2, D(7), D(1)),
+             ("1", dt.datetime(1995, 1, 1), 1995, 1, D(9), D(1))]
+    paid = spark.createDataFrame(deals, "facility_code string, date timestamp_ntz, year int, month int, advance decimal(10,0), commission decimal(18,2)")
+    got = X.paid_facts(account, paid, dt.date(1999, 7, 15))
+    rows = sorted(tuple(r) for r in got.select("account_id", F.coalesce("facility_used_by_id", F.lit("")), "advance", "advance_count", "commission", "year_month").collect())
+    assert rows == [("A1", "U1", D("10.00"), 2, D("1.50"), "1999-02"), ("A1", "U2", D("5.00"), 1, D("0.75"), "1999-02"), ("A2", "", None, 0, None, "1999-03")]
+    assert [f.dataType.simpleString() for f in got.schema[9:12]] == ["decimal(18,2)", "bigint", "decimal(18,2)"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [x for x in plan if "Aggregate" in x and "account_id" in x and "year" in x]
