@@ -15,11 +15,14 @@ bucketed alike without a shuffle.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import facts as facts_op
+from ledgerlens.sources.domain import year_month_of
 from ledgerlens.sources.snapshots import MONTH, SnapshotTable
 
 NAMES = ("applications", "paids", "quotes", "budgets")
@@ -28,7 +31,7 @@ KEYS = {"applications": "id", "paids": "id", "quotes": None, "budgets": None}
 
 def _month(name: str) -> Column:
     """Business month of a table's rows; a budget's year starts in January."""
-    return F.format_string("%04d-%02d", F.col("year"), F.lit(1) if name == "budgets" else F.col("month"))
+    return year_month_of(F.col("year"), F.lit(1) if name == "budgets" else F.col("month"))
 
 
 class FactStore:
@@ -44,9 +47,12 @@ class FactStore:
         return rows.drop(MONTH).withColumn(MONTH, _month(name))
 
     def load(self, **tables: DataFrame) -> None:
-        """Replace tables by name."""
-        for name, rows in tables.items():
-            self.tables[name].replace(self.by_month(name, rows))
+        """Replace tables by name. They are loaded side by side, so the last tasks of one leave no
+        core idle; the first error is raised when all have ended."""
+        with ThreadPoolExecutor(len(NAMES)) as pool:
+            loads = [pool.submit(inheritable_thread_target(self.spark)(self.tables[n].replace), self.by_month(n, rows)) for n, rows in tables.items()]
+        for load in loads:
+            load.result()
 
     def versions(self) -> dict[str, int]:
         """Current version of each table."""

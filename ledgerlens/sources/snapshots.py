@@ -30,7 +30,7 @@ import os
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -41,6 +41,8 @@ MONTH, BUCKET, BATCH = "year_month", "bucket", "batch"
 BITS, HASHES = 12, 5
 #: Stripes of a part's filter, each of the same number of words.
 STRIPES = 1024
+#: Bits of a word's place in its part's filter; the part's number is above them.
+PLACE_BITS = 40
 PARTS = f"{MONTH} string, {BUCKET} int, {BATCH} string, rows long"
 
 
@@ -211,13 +213,18 @@ class SnapshotTable:
         if self.key is None:
             return
         sizes = self._index_parts(batch).select(month_key().alias("_m"), BUCKET, F.ceil(F.col("rows") * BITS / (64 * STRIPES)).cast("int").alias("n"))
+        # parts are numbered, so a word goes by one number: its part's above its place in the part
+        sizes = sizes.withColumn("part", F.row_number().over(Window.orderBy("_m", BUCKET)).cast("long"))
+        first = F.col("part") * 2 ** PLACE_BITS + F.col("stripe") * F.col("n").cast("long")
         sized = rows.filter("_key is not null").join(sizes, ["_m", BUCKET]).withColumn("stripe", self._stripe(F.col("_key")))
-        at = sized.select("_m", BUCKET, "stripe", F.explode(F.array(*self._places(F.col("_key"), F.col("n")))).alias("at"))
-        bits = at.select("_m", BUCKET, "stripe", F.expr("cast(at div 64 as int)").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bits"))
-        every = sizes.filter("n > 1").select("_m", BUCKET, "n", F.explode(F.sequence(F.lit(0), F.lit(STRIPES - 1))).alias("stripe"))
-        zero = every.select("_m", BUCKET, "stripe", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("word"), F.lit(0).cast("long").alias("bits"))
-        words = (bits.unionByName(zero).groupBy("_m", BUCKET, "stripe", "word").agg(F.bit_or("bits").alias("bits"))
-                 .groupBy("_m", BUCKET, "stripe").agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x.bits).alias("words")))
+        at = sized.select(first.alias("first"), F.explode(F.array(*self._places(F.col("_key"), F.col("n")))).alias("at"))
+        bits = at.select(F.expr("first + at div 64").alias("place"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bits"))
+        every = sizes.filter("n > 1").select("part", "n", F.explode(F.sequence(F.lit(0), F.lit(STRIPES - 1))).alias("stripe"))
+        zero = every.select(F.explode(F.sequence(first, first + F.col("n") - 1)).alias("place"), F.lit(0).cast("long").alias("bits"))
+        placed = (bits.unionByName(zero).groupBy("place").agg(F.bit_or("bits").alias("bits"))
+                  .select(F.shiftright("place", PLACE_BITS).alias("part"), (F.col("place") % 2 ** PLACE_BITS).alias("place"), "bits").join(sizes, "part"))
+        words = (placed.groupBy("_m", BUCKET, F.expr("cast(place div n as int)").alias("stripe"))
+                 .agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "bits"))), lambda x: x.bits).alias("words")))
         words.write.parquet(self._at("index", batch, "filters"))
 
     def _index_parts(self, batch: str) -> DataFrame:

@@ -108,3 +108,45 @@ def test_bucketed_join_needs_no_exchange(spark, sf_small):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         for s in sides:
             s.drop()
+
+
+def test_tables_are_loaded_side_by_side(spark, monkeypatch):
+    import threading
+    from ledgerlens.sources.fact_store import NAMES, FactStore
+    from ledgerlens.sources.snapshots import SnapshotTable
+    replace, meet = SnapshotTable.replace, threading.Barrier(len(NAMES), timeout=60)
+    monkeypatch.setattr(SnapshotTable, "replace", lambda self, rows: (meet.wait(), replace(self, rows))[1])
+    rows = spark.createDataFrame([(1, 1999, 7), (2, 1999, None), (3, None, 2)], "id long, year int, month int")
+    store = FactStore(spark, new_path(spark, "facts"), 1)
+    store.load(**dict.fromkeys(NAMES, rows))
+    assert store.versions() == dict.fromkeys(NAMES, 0)
+    assert sorted(map(tuple, store.read("paids").collect()), key=str) == sorted(
+        [(1, 1999, 7, "1999-07"), (2, 1999, None, "1999-null"), (3, None, 2, "null-02")], key=str)
+    monkeypatch.undo()
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        store.load(applications=rows, paids=rows.withColumn("id", F.expr("id div (id - 2)")))
+    assert store.versions() == {"applications": 1, "paids": 0, "quotes": 0, "budgets": 0}
+
+
+def test_months_are_padded_without_the_formatter(spark):
+    rows = [(y, m) for y in (1999, 7, 0, -5, 9999, 12345, None) for m in (1, 12, 0, -3, 99, 100, None)]
+    df = spark.createDataFrame(rows, "year int, month int")
+    got = df.select(D.year_month_of(F.col("year"), F.col("month")).alias("a"), F.format_string("%04d-%02d", "year", "month").alias("b"))
+    assert not got.schema["a"].nullable and got.filter("a <> b or a is null").count() == 0
+    store_plan = _plan(df.select(D.year_month_of(F.col("year"), F.col("month"))))
+    assert "lpad" in store_plan
+
+
+def test_paid_deals_are_not_sorted_to_meet_their_accounts(spark, sf_small):
+    from ledgerlens.operators import facts
+    t, old = Tables(spark, sf_small), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    want = _rows(facts.paid_facts(D.account(t), D.paid_mth(t), D.AS_OF))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        deals = spark.createDataFrame(D.paid_mth(t).select("facility_code", "date", "advance", "commission", "year", "month").collect())
+        got = facts.paid_facts(spark.createDataFrame(D.account(t).collect()), deals, D.AS_OF)
+        plan = _plan(got)
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        assert _rows(got) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
