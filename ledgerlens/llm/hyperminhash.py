@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import lookup, read_table, written
+from .common import arrow_rows, lookup, read_table, written
 from .components import components
 
 THRESHOLD = 0.8
@@ -48,6 +48,8 @@ MARGIN = 0.15
 CELL = 1000
 #: Sketches that a task makes at once.
 SKETCH_ROWS = 2000
+#: Rows of an Arrow batch: whole texts, or pairs with both sets.
+BATCH_ROWS = 1000
 #: Ids (8 bytes each) that are broadcast at most; more are joined by a shuffle.
 MAX_IDS = 1_000_000
 
@@ -189,9 +191,16 @@ def signatures(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str
     return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_shingles long, key binary, reg binary")
 
 
+def _among(rows: DataFrame, col: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``col`` is in ``ids`` (written, distinct, one column): no other text,
+    set or sketch is shuffled or sorted after."""
+    ids = ids.toDF(col)
+    return rows.join(F.broadcast(ids) if ids.count() <= MAX_IDS else ids, col, "left_semi")
+
+
 def _sets(ids: DataFrame, docs: DataFrame, size: int, short: bool = False) -> DataFrame:
-    """doc_id, hashes (sorted, packed) of the documents in ``ids``; ``short``:
-    the upper 32 bits of the hashes only."""
+    """doc_id, hashes (sorted, packed) of the documents in ``ids`` (as in ``_among``); ``short``:
+    the upper 32 bits of the hashes only. doc_id is unique in ``docs``."""
     def run(batches):
         for batch in batches:
             for a, b, data, offs in tb.slices(batch, "text"):
@@ -201,10 +210,12 @@ def _sets(ids: DataFrame, docs: DataFrame, size: int, short: bool = False) -> Da
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).slice(a, b - a), "hashes": pa.array(
                     [sets[x:y].tobytes() for x, y in zip(before[:-1].tolist(), before[1:].tolist())], pa.binary())})
 
-    ids = written(ids.distinct(), "set_ids")
-    if ids.count() <= MAX_IDS:
-        ids = F.broadcast(ids)
-    return written(docs.join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, hashes binary").dropDuplicates(["doc_id"]), "shingle_sets")
+    return written(_among(docs, "doc_id", ids).mapInArrow(run, "doc_id long, hashes binary"), "shingle_sets")
+
+
+def _ends(pairs: DataFrame, name: str) -> DataFrame:
+    """The distinct ids of the pairs (a, b)."""
+    return written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), name)
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame:
@@ -219,14 +230,15 @@ def _verify(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) -> D
                 keep.append(bool(len(p)) and linked(int((p[at] == q).sum()), len(p), len(q), threshold))
             yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("a", "b")}).filter(pa.array(keep, pa.bool_()))
 
-    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, size)
+    sets = _sets(_ends(pairs, "set_ids"), docs, size)
     both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("sa")), "a")
                  .join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("sb")), "b"))
     return both.select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Of the pairs, those whose sizes and estimate allow the threshold."""
+    """Of the pairs (written), those whose sizes and estimate allow the threshold."""
+    classes = _among(classes, "cid", _ends(pairs, "estimated_ids"))
     side = lambda c: classes.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("reg").alias(f"r{c}"))
 
     def run(batches):
@@ -367,6 +379,11 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, threshold: float = THRE
 
 def _linked(texts: DataFrame, size: int, threshold: float) -> DataFrame:
     """``near_duplicates`` of texts whose doc_id is unique and never null."""
+    with arrow_rows(texts.sparkSession, BATCH_ROWS):
+        return _found(texts, size, threshold)
+
+
+def _found(texts: DataFrame, size: int, threshold: float) -> DataFrame:
     sig = written(signatures(texts, size), "signatures")
     named = sig.filter("key is not null")
     classes = written(named.groupBy("key").agg(F.min("doc_id").alias("cid"), F.first("n_shingles").alias("n"), F.first("reg").alias("reg"), F.count("*").alias("held")), "set_classes")
@@ -380,7 +397,7 @@ def _linked(texts: DataFrame, size: int, threshold: float) -> DataFrame:
     banded = classes.select("cid", "reg").mapInArrow(bands, "cid long, band long")
     hubs = written(banded.groupBy("band").agg(F.min("cid").alias("hub"), F.count("*").alias("m")).filter("m > 1"), "shared_buckets")
     met = written(lookup(banded, hubs, "band", "m").filter("hub is not null"), "met")  # members of shared buckets
-    star = met.filter("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
+    star = written(met.filter("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct(), "star")
     by_id = classes.select("cid", "n", "reg")
     links = written(_verify(written(_estimated(star, by_id, threshold), "star_pairs"), texts, size, threshold), "star_links")
     roots = components(links)
@@ -393,8 +410,9 @@ def _linked(texts: DataFrame, size: int, threshold: float) -> DataFrame:
         rest = written(placed.filter("cid <> hub").drop("hub"), "placed")
         split = written(rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).filter("lo <> hi").select("band", "m"), "open_bands")
         still = written(lookup(rest, split.withColumn("held", F.col("m")), "band", "held").filter("m is not null").drop("held"), "open_buckets")
-        sets = _sets(still.select(F.col("cid").alias("doc_id")), texts, size, short=True).withColumnRenamed("doc_id", "cid")
-        more = written(_cells(still.join(by_id, "cid").join(sets, "cid"), threshold, best), "cross_pairs")
+        ids = written(still.select("cid").distinct(), "set_ids")
+        sets = _sets(ids, texts, size, short=True).withColumnRenamed("doc_id", "cid")
+        more = written(_cells(still.join(_among(by_id, "cid", ids), "cid").join(sets, "cid"), threshold, best), "cross_pairs")
         found = written(_verify(more, texts, size, threshold), "cross_links")
         links = links.union(found)
         roots = components(links)

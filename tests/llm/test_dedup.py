@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from ledgerlens.llm import cap_filters as cf, hyperminhash as hm
+from ledgerlens.llm import cap_filters as cf, common, hyperminhash as hm
 from ledgerlens.llm.components import components
 from tests.compare import compare, duck
 from tests.llm import edge
@@ -103,6 +103,37 @@ def test_op3_texts_of_one_doc_id(spark):
                                    (None, n[3], None, True), (7, n[3], 7, True)]))
 
 
+def test_op3_batches_are_small(spark, monkeypatch):
+    """Texts and sets go to Python BATCH_ROWS rows at a time; the session's own number is back after, also
+    when a step fails, and a lower one holds."""
+    key, rows, most = "spark.sql.execution.arrow.maxRecordsPerBatch", edge.documents(spark), []
+    before, written = spark.conf.get(key), hm.written
+    monkeypatch.setattr(hm, "written", lambda df, name: (most.append((name, int(spark.conf.get(key)))), written(df, name))[1])
+    hm.near_duplicates(rows, 2)
+    assert {n for name, n in most if name != "numbered" and not name.endswith(("_components", "_names"))} == {hm.BATCH_ROWS}
+    assert spark.conf.get(key) == before
+    monkeypatch.setattr(hm, "components", lambda links: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        hm.near_duplicates(rows, 2)
+    assert spark.conf.get(key) == before
+    with common.arrow_rows(spark, int(before) + 1):
+        assert spark.conf.get(key) == before
+
+
+def test_op3_moves_only_what_is_in_a_pair(spark, monkeypatch):
+    """Sketches of classes without a partner are not shuffled, nor are sets grouped again by doc_id."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(40)]
+    rows += [(100, " ".join(f"v{j}" for j in range(60))), (101, " ".join(f"v{j}" for j in range(59)))]
+    plans, written = {}, hm.written
+    monkeypatch.setattr(hm, "written", lambda df, name: (plans.setdefault(name, df), written(df, name))[1])
+    got = sorted(tuple(x) for x in hm.near_duplicates(edge.documents(spark, rows), 2).collect())
+    assert got == brute(rows, 2)
+    assert [sorted(tuple(x) for x in plans[k].collect()) for k in ("star", "star_pairs")] == [[(100, 101)]] * 2
+    text = plans["star_pairs"]._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LeftSemi") == 2 and "reg" in text.split("LeftSemi")[0]
+    assert "Aggregate" not in plans["shingle_sets"]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_op3_words_with_structured_bytes(spark):
     """Words that a sum of byte powers would take for one."""
     word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
