@@ -134,6 +134,12 @@ def test_op3_moves_only_what_is_in_a_pair(spark, monkeypatch):
     assert "Aggregate" not in plans["shingle_sets"]._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_op3_ids_beyond_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(hm, "MAX_IDS", 0)
+    rows = [(i, " ".join(f"w{j % (25 + i // 3)}y{i // 9}" for j in range(60 - i % 3))) for i in range(45)]
+    assert sorted(tuple(x) for x in hm.near_duplicates(edge.documents(spark, rows), 2).collect()) == brute(rows, 2)
+
+
 def test_op3_words_with_structured_bytes(spark):
     """Words that a sum of byte powers would take for one."""
     word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
