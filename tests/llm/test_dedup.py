@@ -271,6 +271,41 @@ def test_op7_ties_at_the_cap_height_are_decoded_in_full():
         assert set(f[f >= 0]) == set(np.flatnonzero(whole >= np.sort(whole)[-cf.LIST] - cf.TIE))
 
 
+def _apart(n, seed, cosine=0.9801):
+    """``n`` pairs of that cosine whose second vector lies away from the caps of the first one's list."""
+    r, (a, b), q = np.random.default_rng(seed), cf._codes(64, cf.CODE), cf.rotation(64)
+    x = r.standard_normal((n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    f = cf.decode_list(x)
+    caps = np.concatenate((a[f // cf.CODE].mean(1), b[f % cf.CODE].mean(1)), axis=1)
+    z = (caps * x).sum(1, keepdims=True) * x - caps
+    return x @ q.T, (cosine * x + np.sqrt(1 - cosine ** 2) * z / np.linalg.norm(z, axis=1, keepdims=True)) @ q.T
+
+
+@pytest.mark.parametrize("cell", [cf.CELL, 20])
+def test_op7_pairs_that_share_no_cap_are_linked(spark, cell, monkeypatch):
+    monkeypatch.setattr(cf, "CELL", cell)
+    x, y = _apart(200, 4)
+    own, other = (cf.decode_list(cf._unit(v) @ cf.rotation(64)) for v in (x, y))
+    assert sum(not len(np.intersect1d(a, b)) for a, b in zip(own, other)) > 5
+    rows = [(i, [float(c) for c in v], 1) for i, v in enumerate(np.concatenate((x, y, y * 3)))]
+    got = cf.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted(tuple(r) for r in got) == brute_vectors(rows)
+
+
+@pytest.mark.parametrize("few", [1, 3, 32])
+def test_op7_a_pair_counts_in_its_lowest_filter_only(few, monkeypatch):
+    monkeypatch.setattr(cf, "FEW", few)
+    monkeypatch.setattr(cf, "FILTERS", 2)
+    r = np.random.default_rng(2)
+    left, right = (np.sort(r.permuted(np.tile(np.arange(30), (n, 1)), axis=1)[:, :3], axis=1) for n in (40, 25))
+    left[::5, 2] = -1
+    link = np.ones((40, 25), bool)
+    cf._drop_lower(link, left, right, 20)
+    shared = [[len({*a.tolist()} & {*b.tolist()} & {*range(20)}) for b in right] for a in left]
+    assert (link == (np.array(shared) == 0)).all() and 0 < link.sum() < 1000
+
+
 def _at_the_threshold(n, seed):
     """Pairs of whole-number vectors of 64 dimensions whose cosine is 49/50, each under a label of its own."""
     r, h = np.random.default_rng(seed), np.ones((1, 1))
