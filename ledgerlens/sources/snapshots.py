@@ -35,12 +35,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlens.operators.loaders import changed, one_per_key
+from ledgerlens.session import shuffles_removed
 
 MONTH, BUCKET, BATCH = "year_month", "bucket", "batch"
 #: Bloom filter: bits a key and hashes a key (about one false hit in 200).
 BITS, HASHES = 12, 5
 #: Stripes of a part's filter, each of the same number of words.
 STRIPES = 1024
+#: Stripes whose keys ask first: a part that they hit is known, so a large batch is soon done.
+FIRST = 16
+#: Keys that are broadcast; more meet their rows by a shuffle.
+MAX_SENT = 1_000_000
 #: Bits of a word's place in its part's filter; the part's number is above them.
 PLACE_BITS = 40
 PARTS = f"{MONTH} string, {BUCKET} int, {BATCH} string, rows long"
@@ -168,6 +173,11 @@ class SnapshotTable:
     def rows_total(self, version: Version | None = None) -> int:
         return self.parts(version).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
+    def _save(self, rows: DataFrame, path: str, *by: str) -> None:
+        """Write files; the shuffles that made them are removed."""
+        with shuffles_removed(self.spark):
+            rows.write.partitionBy(*by).parquet(path)
+
     # -- reading -------------------------------------------------------------
 
     def read(self, version: Version | None = None, parts: DataFrame | None = None) -> DataFrame:
@@ -193,10 +203,9 @@ class SnapshotTable:
         """Write a batch of whole parts and their filters; (batch, rows written). The count and
         the ``measures`` (aggregates) are observed on the write: the plan runs once."""
         batch, seen = uuid.uuid4().hex, Observation()
-        order = [MONTH, BUCKET] + ([self.key] if self.key else [])
-        (rows.withColumn(BUCKET, self._bucket(rows.columns)).repartition(MONTH, BUCKET).sortWithinPartitions(*order)
-             .observe(seen, F.count(F.lit(1)).alias("rows"), *(m.alias(k) for k, m in (measures or {}).items()))
-             .write.partitionBy(MONTH, BUCKET).parquet(self._at("data", f"{BATCH}={batch}")))
+        rows_ = (rows.withColumn(BUCKET, self._bucket(rows.columns)).repartition(MONTH, BUCKET).sortWithinPartitions(MONTH, BUCKET)
+                 .observe(seen, F.count(F.lit(1)).alias("rows"), *(m.alias(k) for k, m in (measures or {}).items())))
+        self._save(rows_, self._at("data", f"{BATCH}={batch}"), MONTH, BUCKET)
         self.observed = dict(seen.get)
         n = self.observed["rows"]
         if n:
@@ -209,7 +218,7 @@ class SnapshotTable:
         known = StructType([f for f in schema if f.name in (MONTH, self.key)]).add(BUCKET, "integer")
         rows = self.spark.read.schema(known).parquet(self._at("data", f"{BATCH}={batch}")).select(
             MONTH, month_key().alias("_m"), BUCKET, (F.col(self.key) if self.key else F.lit(None)).alias("_key"))
-        rows.groupBy(MONTH, BUCKET).agg(F.count(F.lit(1)).alias("rows")).write.parquet(self._at("index", batch, "parts"))
+        self._save(rows.groupBy(MONTH, BUCKET).agg(F.count(F.lit(1)).alias("rows")), self._at("index", batch, "parts"))
         if self.key is None:
             return
         sizes = self._index_parts(batch).select(month_key().alias("_m"), BUCKET, F.ceil(F.col("rows") * BITS / (64 * STRIPES)).cast("int").alias("n"))
@@ -225,7 +234,7 @@ class SnapshotTable:
                   .select(F.shiftright("place", PLACE_BITS).alias("part"), (F.col("place") % 2 ** PLACE_BITS).alias("place"), "bits").join(sizes, "part"))
         words = (placed.groupBy("_m", BUCKET, F.expr("cast(place div n as int)").alias("stripe"))
                  .agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "bits"))), lambda x: x.bits).alias("words")))
-        words.write.parquet(self._at("index", batch, "filters"))
+        self._save(words, self._at("index", batch, "filters"))
 
     def _index_parts(self, batch: str) -> DataFrame:
         """Rows of each part of a batch."""
@@ -246,7 +255,7 @@ class SnapshotTable:
         parts = kept if kept is not None else self.spark.createDataFrame([], PARTS)
         if batch is not None:
             parts = parts.select(MONTH, BUCKET, BATCH, "rows").unionByName(self._index_parts(batch).select(MONTH, BUCKET, F.lit(batch).alias(BATCH), "rows"))
-        parts.write.parquet(self._at("manifests", name))
+        self._save(parts, self._at("manifests", name))
         number = before.number + 1 if before else 0
         body = {"manifest": name, "schema": schema.json(), "made_by": made_by}
         if not self.files.put_new(self._at("commits", f"{number:020d}.json"), json.dumps(body)):
@@ -306,15 +315,27 @@ class SnapshotTable:
     # -- upsert --------------------------------------------------------------
 
     def may_hold(self, keys: DataFrame, version: Version) -> DataFrame:
-        """Live parts whose filter has some of the ``keys`` (a column named as the key)."""
+        """Live parts whose filter has some of the ``keys`` (a column named as the key). The keys of the
+        first stripes ask all parts, the others only those that are not hit yet."""
         live = self.parts(version)
-        batches = [r[0] for r in live.select(BATCH).distinct().collect()]
-        if not batches:
+        parts = live.collect()
+        if not parts:
             return live
+        batches = sorted({p[BATCH] for p in parts})
         index = self.spark.read.schema(f"_m string, {BUCKET} int, stripe int, words array<bigint>").parquet(*(self._at("index", b, "filters") for b in batches))
         index = index.withColumn(BATCH, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3))
         index = live.withColumn("_m", month_key()).join(index, ["_m", BUCKET, BATCH])
         asked = keys.select(F.col(self.key).alias("_k"), self._bucket([]).alias(BUCKET), self._stripe(F.col(self.key)).alias("stripe")).filter("_k is not null")
+        with shuffles_removed(self.spark):
+            known = self._hit(asked.filter(F.col("stripe") < FIRST), index.filter(F.col("stripe") < FIRST)).collect()
+        if len(known) == len(parts):
+            return live
+        known = self.spark.createDataFrame(known, live.schema)
+        there = known.select(month_key().alias("_m"), BUCKET, BATCH)
+        return known.union(self._hit(asked.filter(F.col("stripe") >= FIRST), index.filter(F.col("stripe") >= FIRST).join(F.broadcast(there), ["_m", BUCKET, BATCH], "left_anti")))
+
+    def _hit(self, asked: DataFrame, index: DataFrame) -> DataFrame:
+        """Parts of the ``index`` whose filter has some of the keys that are ``asked`` for."""
         hit = reduce(lambda a, b: a & b, (F.expr(f"shiftright(element_at(words, cast(at{i} div 64 + 1 as int)), cast(at{i} % 64 as int)) & 1L") == 1 for i in range(HASHES)))
         pairs = asked.join(index, [BUCKET, "stripe"])       # a key's stripes, one a part, are the side that is held
         for i, at in enumerate(self._places(F.col("_k"), F.size("words"))):
@@ -322,10 +343,11 @@ class SnapshotTable:
         return pairs.filter(hit).select(MONTH, BUCKET, BATCH, "rows").distinct()
 
     def upsert(self, staged: DataFrame, change_cols: list[str], null_safe: bool = False, latest: list[str] | None = None,
-               made_by: dict | None = None) -> Upsert:
+               made_by: dict | None = None, stored: bool = False) -> Upsert:
         """Changed rows take the staged values, new keys are inserted, all other rows and
         their files stay. Change detection and repeated staged keys: as
-        ``ledgerlens.operators.loaders.upsert``. If nothing changes, nothing is committed."""
+        ``ledgerlens.operators.loaders.upsert``. If nothing changes, nothing is committed.
+        Staged rows are read twice, so they are written first, unless ``stored`` says that they are read from files."""
         if self.key is None:
             raise ValueError("an upsert needs a key")
         v, staged = self.version(), self._checked(staged)
@@ -334,26 +356,31 @@ class SnapshotTable:
             self.replace(self.spark.createDataFrame([], staged.schema), {"by": "create"})
             v = self.version()
         stage = uuid.uuid4().hex
-        one_per_key(staged, key, latest).write.parquet(self._at("staging", stage, "rows"))
-        staged = self.spark.read.schema(staged.schema).parquet(self._at("staging", stage, "rows"))
-        old = self.read(v, self.may_hold(staged.select(key), v)).join(staged.select(key), key, "left_semi").select(*columns)
-        s, t = staged.alias("s"), old.alias("t")
+        if not stored:
+            self._save(staged, self._at("staging", stage, "rows"))
+            staged = self.spark.read.schema(staged.schema).parquet(self._at("staging", stage, "rows"))
+        with shuffles_removed(self.spark):
+            old = self.read(v, self.may_hold(staged.select(key), v)).select(*columns)
+        # rows are dealt out by key once: for the guard against repeated keys and the join
+        s, t = one_per_key(staged, key, latest).alias("s"), old.alias("t")
         new = F.col(f"t.{key}").isNull()
         ops = (s.join(t, F.col(f"s.{key}") == F.col(f"t.{key}"), "left").filter(new | changed(change_cols, null_safe))
                 .select("s.*", F.when(new, "inserted").otherwise("updated").alias("_op"),
                         F.when(~new, F.struct(*(F.col(f"t.{c}") for c in columns))).alias("_old")))
         seen = Observation()
-        (ops.observe(seen, F.count(F.when(F.col("_op") == "inserted", 1)).alias("inserted"), F.count(F.when(F.col("_op") == "updated", 1)).alias("updated"))
-            .write.parquet(self._at("staging", stage, "changes")))
+        self._save(ops.observe(seen, F.count(F.when(F.col("_op") == "inserted", 1)).alias("inserted"), F.count(F.when(F.col("_op") == "updated", 1)).alias("updated")),
+                   self._at("staging", stage, "changes"))
         changes = self.spark.read.schema(ops.schema).parquet(self._at("staging", stage, "changes"))
         inserted, updated = seen.get["inserted"], seen.get["updated"]
         if inserted + updated:
             left, entered = changes.filter("_op = 'updated'").select(month_key(f"_old.{MONTH}").alias("_m"), key), changes.select(month_key().alias("_m"), key)
             touched = left.union(entered).select("_m", self._bucket([]).alias(BUCKET)).distinct()
-            touched.write.parquet(self._at("staging", stage, "touched"))
+            self._save(touched, self._at("staging", stage, "touched"))
             touched = self.spark.read.schema(f"_m string, {BUCKET} int").parquet(self._at("staging", stage, "touched"))
             live = self.parts(v).withColumn("_m", month_key())
-            stay = self.read(v, live.join(touched, ["_m", BUCKET], "left_semi")).join(changes.select(key), key, "left_anti").select(*columns)
+            gone = changes.filter("_op = 'updated'").select(key)        # no part holds an inserted key
+            gone = F.broadcast(gone) if updated <= MAX_SENT else gone
+            stay = self.read(v, live.join(touched, ["_m", BUCKET], "left_semi")).join(gone, key, "left_anti").select(*columns)
             batch, _ = self._write(stay.unionByName(changes.select(*columns)))
             v = self._commit(v, live.join(touched, ["_m", BUCKET], "left_anti"), batch, staged.schema, made_by or {"by": "upsert"})
         return Upsert(v, updated, inserted, self.rows_total(v), changes)

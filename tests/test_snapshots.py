@@ -3,12 +3,14 @@
 import glob
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import loaders as L
 from ledgerlens.session import new_path
+from ledgerlens.sources import snapshots
 from ledgerlens.sources.snapshots import CommitConflict, SnapshotTable
 
 SCHEMA = "id long, v int, year_month string"
@@ -184,3 +186,47 @@ def test_a_filter_is_dealt_out_over_stripes(spark):
     assert "1999-02" in {r.year_month for r in t.may_hold(held, t.version()).collect()}
     assert t.may_hold(spark.createDataFrame([(None,)], "id long"), t.version()).count() == 0
     assert t.rows_total() == 20001
+
+
+def test_a_large_batch_asks_the_filters_with_its_first_keys(spark, monkeypatch):
+    t, asked = _table(spark, [(i, 0, f"1999-0{1 + i % 3}") for i in range(9000)]), []
+    hit = t._hit
+    monkeypatch.setattr(t, "_hit", lambda keys, index: asked.append(keys) or hit(keys, index))
+    assert t.may_hold(spark.range(9000).toDF("id"), t.version()).count() == t.parts().count() == 12
+    assert len(asked) == 1 and asked[0].count() < 9000 / 20
+    stripes = {r.id: r.s for r in spark.range(200).select("id", t._stripe(F.col("id")).alias("s")).collect()}
+    early, late = (next(i for i, s in stripes.items() if (s < 16) == first) for first in (True, False))
+    for keys in ([early], [late], [early, late]):
+        want = {(f"1999-0{1 + i % 3}", r.b) for i in keys for r in spark.createDataFrame([(i,)], "id long").select(t._bucket([]).alias("b")).collect()}
+        found = [(r.year_month, r.bucket) for r in t.may_hold(spark.createDataFrame([(i,) for i in keys], "id long"), t.version()).collect()]
+        assert want <= set(found) and len(found) == len(set(found))
+
+
+def _shuffle_blocks(spark):
+    blocks = spark._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks()
+    return sum(blocks.apply(i).isShuffle() for i in range(blocks.size()))
+
+
+def test_an_upsert_leaves_no_shuffle_files(spark):
+    rows = spark.range(3000).select("id", F.lit(0).alias("v"), F.lit("1999-01").alias("year_month")).repartition(4)
+    seen, key = _shuffle_blocks(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    t = _table(spark)
+    t.replace(rows)
+    done = t.upsert(rows.filter("id % 3 > 0").withColumn("v", F.lit(1)), ["v"])
+    assert (done.rows_updated, done.rows_total) == (2000, 3000) and spark.conf.get(key, None) == before
+    for _ in range(50):                     # files are removed beside the next work
+        if _shuffle_blocks(spark) <= seen:
+            break
+        time.sleep(0.2)
+    assert _shuffle_blocks(spark) <= seen
+
+
+@pytest.mark.parametrize("most", [0, 10 ** 6])
+def test_changed_keys_by_broadcast_or_shuffle(spark, monkeypatch, most):
+    monkeypatch.setattr(snapshots, "MAX_SENT", most)
+    t = _table(spark, [*BASE, (None, 1, "1999-01")])
+    done = t.upsert(_rows(spark, [(4, 9, "1999-02"), (1, 8, "1999-02"), (2, 2, "1999-03"), (5000, 1, "1999-02"), (None, 3, "1999-02")]), ["v", "year_month"])
+    assert (done.rows_updated, done.rows_inserted, done.rows_total) == (2, 2, 403)
+    want = {r[0]: r for r in BASE} | {4: (4, 9, "1999-02"), 1: (1, 8, "1999-02"), 5000: (5000, 1, "1999-02")}
+    assert _read(t) == sorted([*want.values(), (None, 1, "1999-01"), (None, 3, "1999-02")], key=str)
