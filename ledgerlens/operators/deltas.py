@@ -10,11 +10,14 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+from functools import reduce
+from operator import mul
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.summaries import SUMMARY_ACCOUNT_COLS
+from ledgerlens.session import shuffles_removed
 from ledgerlens.sources.snapshots import MONTH, SnapshotTable, of_months
 
 
@@ -46,16 +49,21 @@ class Sums:
         """Stored sums of whole rows."""
         return self.summed(self.signed(rows, 1))
 
-    def delta(self, changes: DataFrame) -> DataFrame:
-        """Signed sums of an upsert's ``changes`` (see ``snapshots.Upsert``)."""
+    def entries(self, changes: DataFrame) -> DataFrame:
+        """An upsert's ``changes`` (see ``snapshots.Upsert``) as signed rows."""
         before = changes.filter("_op = 'updated'").select("_old.*")
-        return self.summed(self.signed(changes, 1).unionByName(self.signed(before, -1)))
+        return self.signed(changes, 1).unionByName(self.signed(before, -1))
+
+    def delta(self, changes: DataFrame) -> DataFrame:
+        """Signed sums of an upsert's ``changes``."""
+        return self.summed(self.entries(changes))
 
     def apply(self, stored: SnapshotTable, changes: DataFrame, made_by: dict | None = None) -> int:
         """Bring the stored sums up to date; returns the rows of the months written anew. Only
         those months are read. A delta's size follows the batch, not the table."""
-        d, v = self.delta(changes), stored.version()
-        months = d.select(MONTH).distinct()
+        d, v = self.entries(changes), stored.version()
+        with shuffles_removed(stored.spark):        # a few months; looked up once
+            months = stored.spark.createDataFrame(d.select(MONTH).distinct().collect(), f"{MONTH} string")
         mine = stored.read(v, of_months(stored.parts(v), months)).select(*self.group, *self.columns)
         return stored.replace_months(self.summed(mine.unionByName(d)).filter("rows > 0"), made_by or {"by": "delta"}, months=months)
 
@@ -64,12 +72,17 @@ APPLICATIONS = Sums(("facility_code",), ("accept", "accept_val", "decline", "dec
 PAIDS = Sums(("facility_code", "product_code"), ("advance",))
 
 
-def _reported(stored: DataFrame, account: DataFrame, s: Sums, more: tuple[str, ...] = ()) -> DataFrame:
-    """Stored sums by account columns; a sum of no value is null."""
-    whole = [F.when(F.col(f"{c}_n") > 0, F.col(c)).alias(c) for c in s.values]
-    rows = stored.select(*s.group, *more, *whole, *(f"{c}_n" for c in s.values))
-    return (rows.join(account.select("facility_code", *SUMMARY_ACCOUNT_COLS), "facility_code")
-            .groupBy(*s.keys, *more, *SUMMARY_ACCOUNT_COLS, MONTH).agg(*(F.sum(c).alias(c) for c in s.columns[1:])))
+def _reported(stored: DataFrame, account: DataFrame, s: Sums, more: tuple[str, ...] = (), times: tuple[str, ...] = ("times",)) -> DataFrame:
+    """Stored sums by account columns, each taken as often as ``times`` say; a sum of no value is null. A group is stored once and equal
+    rows of the accounts are one row with their number, so joined rows need no second grouping."""
+    value = lambda c: F.col(c) if c.endswith("_n") else F.when(F.col(f"{c}_n") > 0, F.col(c))
+    rows = _counted(account.select("facility_code", *SUMMARY_ACCOUNT_COLS), "facility_code").hint("shuffle_hash").join(stored, "facility_code")
+    return rows.select(*s.keys, *more, *SUMMARY_ACCOUNT_COLS, MONTH, *(reduce(mul, map(F.col, times), value(c)).alias(c) for c in s.columns[1:]))
+
+
+def _counted(rows: DataFrame, key: str) -> DataFrame:
+    """Distinct rows and their number, dealt out by ``key``."""
+    return rows.repartition(key).groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("times"))
 
 
 def _total(c: str, name: str):
@@ -95,6 +108,7 @@ def application_summary(account: DataFrame, stored: DataFrame, as_of: dt.date) -
 
 def paid_summary(account: DataFrame, stored: DataFrame, lender_product_code: DataFrame, as_of: dt.date) -> DataFrame:
     """The paid summary of all stored months."""
-    rows = _reported(stored.join(lender_product_code, "product_code"), account, PAIDS, ("funding_option_uc",))
+    codes = _counted(lender_product_code.select("product_code", "funding_option_uc"), "product_code").withColumnRenamed("times", "copies")
+    rows = _reported(stored.join(codes, "product_code"), account, PAIDS, ("funding_option_uc",), ("times", "copies"))
     return rows.select(*SUMMARY_ACCOUNT_COLS, "facility_code", "product_code", "funding_option_uc", _count("advance_n", "advance_count"),
                        _total("advance", "advance_total"), MONTH, _made(as_of))

@@ -10,7 +10,7 @@ from ledgerlens.plans import funnel as fn
 from ledgerlens.plans import oracle_sql as O
 from ledgerlens.plans.catalog import (FACILITY, FINISHED, GROUP, LENDER, RECON_CASES, RECON_SQL, STARTED, apps_pair, both_sql, case_reports, paids_pair, prev_month,
                                       register, strip_order)
-from ledgerlens.session import new_path
+from ledgerlens.session import new_path, shuffles_removed
 from ledgerlens.sources import domain as D
 from ledgerlens.sources.snapshots import SnapshotTable
 from ledgerlens.sources.tables import Tables
@@ -173,9 +173,13 @@ def _kept_by_deltas(spark, pair, sf_dir, sums, change_cols, name):
     _, target, staged = pair(spark, sf_dir)
     table = _loaded(spark, target, name)
     stored = _loaded(spark, sums.of(table.read()), f"{name}_sums", None)
+    # the feed is derived once; its three batches together are the feed
+    path, feed = new_path(spark, f"{name}_feed"), staged.withColumn("_batch", F.pmod(F.col("id"), F.lit(3)).cast("int"))
+    with shuffles_removed(spark):
+        feed.write.partitionBy("_batch").parquet(path)
     for k in range(3):
-        batch = staged.filter(F.pmod(F.col("id"), F.lit(3)) == k)     # the three together are the feed
-        sums.apply(stored, table.upsert(batch, change_cols).changes)
+        batch = spark.read.schema(feed.schema).parquet(path).filter(F.col("_batch") == k).drop("_batch")
+        sums.apply(stored, table.upsert(batch, change_cols, stored=True).changes)
     return stored.read()
 
 

@@ -141,3 +141,35 @@ def test_a_moved_row_leaves_its_month(spark):
     assert deltas.APPLICATIONS.apply(stored, done.changes) == 1
     after = {(p.year_month, p.batch) for p in stored.parts().collect()}
     assert {m for m, _ in after} == {"2024-02", "2024-03"} and {x for x in before if x[0] == "2024-03"} <= after
+
+
+def test_a_feed_in_batches_is_derived_once(spark):
+    from ledgerlens.plans.catalog_tables import _kept_by_deltas
+    seen = spark.sparkContext.accumulator(0)
+
+    def through(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    rows = [(i, f"c{i % 4}", 1, i, 0, 0, 0, 0, f"2024-0{1 + i % 3}") for i in range(30)]
+    staged = spark.createDataFrame([(i, f, 2, v, *rest) for i, f, _, v, *rest in rows], APP).mapInArrow(through, APP)
+    stored = _kept_by_deltas(spark, lambda *_: (None, spark.createDataFrame(rows[:20], APP), staged), None, deltas.APPLICATIONS, ["accept"], "feed")
+    assert seen.value == 30
+    want = deltas.APPLICATIONS.of(spark.createDataFrame([(i, f, 2, *rest) for i, f, _, *rest in rows], APP))
+    assert sorted(map(str, map(tuple, stored.select(want.columns).collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
+def test_summaries_of_repeated_accounts_and_codes(spark):
+    """Equal rows of accounts or product codes count as often as they are there, by one grouping of the accounts alone."""
+    accounts = [("c1", "U1"), ("c1", "U1"), ("c1", "U2"), ("c2", "U1"), (None, "U3")]
+    account = spark.createDataFrame([(c, u, "l", None, "G1", "r", "m") for c, u in accounts], ", ".join(f"{c} string" for c in ["facility_code", *S.SUMMARY_ACCOUNT_COLS]))
+    codes = spark.createDataFrame([("A", "HP"), ("A", "HP"), ("A", "LOAN"), ("B", None)], "product_code string, funding_option_uc string")
+    deals = [("c1", "A", 5, "2024-01"), ("c1", "A", 7, "2024-01"), ("c1", "B", None, None), ("c2", None, 9, "2024-01"), (None, "A", 9, "2024-01")]
+    stored = deltas.PAIDS.of(spark.createDataFrame(deals, "facility_code string, product_code string, advance int, year_month string"))
+    out = deltas.paid_summary(account, stored, codes, dt.date(2024, 2, 1))
+    got = out.select("facility_used_by_id", "facility_code", "product_code", "funding_option_uc", "advance_count", F.col("advance_total").cast("int"), "year_month")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [
+        ("U1", "c1", "A", "HP", 8, 48, "2024-01"), ("U1", "c1", "A", "LOAN", 4, 24, "2024-01"), ("U2", "c1", "A", "HP", 4, 24, "2024-01"),
+        ("U2", "c1", "A", "LOAN", 2, 12, "2024-01"), ("U1", "c1", "B", None, 0, None, None), ("U2", "c1", "B", None, 0, None, None)]))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 3           # stored sums, accounts, codes
