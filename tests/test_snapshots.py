@@ -6,10 +6,11 @@ import random
 import time
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import loaders as L
-from ledgerlens.session import new_path
+from ledgerlens.session import new_path, shuffles_removed
 from ledgerlens.sources import snapshots
 from ledgerlens.sources.snapshots import CommitConflict, SnapshotTable
 
@@ -202,24 +203,27 @@ def test_a_large_batch_asks_the_filters_with_its_first_keys(spark, monkeypatch):
         assert want <= set(found) and len(found) == len(set(found))
 
 
-def _shuffle_blocks(spark):
-    blocks = spark._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks()
-    return sum(blocks.apply(i).isShuffle() for i in range(blocks.size()))
+def test_an_upserts_writes_leave_no_shuffle_files(spark, monkeypatch):
+    key, parquet, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", DataFrameWriter.parquet, []
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **kw: seen.append(spark.conf.get(key, None)) or parquet(self, *a, **kw))
+    before, t = spark.conf.get(key, None), _table(spark, BASE)
+    done = t.upsert(_rows(spark, BASE[:50]).withColumn("v", F.lit(9)), ["v"])
+    assert (done.rows_updated, done.rows_total) == (50, 400) and spark.conf.get(key, None) == before
+    assert len(seen) > 8 and set(seen) == {"true"}
 
 
-def test_an_upsert_leaves_no_shuffle_files(spark):
-    rows = spark.range(3000).select("id", F.lit(0).alias("v"), F.lit("1999-01").alias("year_month")).repartition(4)
-    seen, key = _shuffle_blocks(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    t = _table(spark)
-    t.replace(rows)
-    done = t.upsert(rows.filter("id % 3 > 0").withColumn("v", F.lit(1)), ["v"])
-    assert (done.rows_updated, done.rows_total) == (2000, 3000) and spark.conf.get(key, None) == before
+def test_shuffle_files_go_when_an_action_ends(spark):
+    def blocks():
+        found = spark._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks()
+        return {n for n in (found.apply(i).name() for i in range(found.size())) if n.startswith("shuffle_")}
+    before, rows = blocks(), spark.range(3000).repartition(4, "id")
+    with shuffles_removed(spark), shuffles_removed(spark):
+        rows.write.parquet(new_path(spark, "rows"))
     for _ in range(50):                     # files are removed beside the next work
-        if _shuffle_blocks(spark) <= seen:
+        if blocks() <= before:
             break
         time.sleep(0.2)
-    assert _shuffle_blocks(spark) <= seen
+    assert blocks() <= before
 
 
 @pytest.mark.parametrize("most", [0, 10 ** 6])
